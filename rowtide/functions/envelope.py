@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowtide.functions.settle import settled
 from rowtide.schemas import DEFAULT_TABLES, TableSpec
 
 # Envelope fields and their JSON types.
@@ -116,4 +117,5 @@ def decode_envelope(
         number = F.coalesce(F.try_variant_get(at(path), "$", "bigint"), F.lit(0).cast("bigint"))
         columns[column_of(path)] = F.when(good, number)
     wanted = {name: value for name, value in columns.items() if name == "record" or name in keep}
-    return checked.withColumns(wanted).drop("_json")
+    read = checked.withColumns(wanted).drop("_json")
+    return settled(read, "decodable", "record_keys", "record_fields", *wanted)

@@ -76,11 +76,11 @@ def _mistyped(value: str, kind: str) -> str:
     if kind == "string":
         return f"NOT {of('STRING')}"
     if kind == "date":
-        blank = f"{text} IN ('', 'null')"
-        return f"NOT {of('STRING')} OR NOT coalesce({blank} OR try_to_date({text}, '{DATE_FORMAT}') IS NOT NULL, {text} IS NULL)"
+        good = f"{text} IN ('', 'null') OR try_to_date({text}, '{DATE_FORMAT}') IS NOT NULL"
+        return f"NOT {of('STRING')} OR ({text} IS NOT NULL AND NOT ({good}))"
     if kind == "timestamp":
         good = f"{text} RLIKE r'{RFC3339_PATTERN}' AND try_to_timestamp({text}) IS NOT NULL"
-        return f"NOT {of('STRING')} OR NOT coalesce({good}, true)"
+        return f"NOT {of('STRING')} OR ({text} IS NOT NULL AND NOT ({good}))"
     # A number with a zero fraction or an exponent is an integer too.
     low, high = _INTEGER_LIMITS[kind]
     exact = f"try_variant_get({value}, '$', 'decimal(38,9)')"

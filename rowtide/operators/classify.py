@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.functions import records as R
 from rowtide.functions.envelope import decode_envelope
+from rowtide.functions.settle import settled
 from rowtide.functions.subjects import parse_subject, target_subject
 from rowtide.schemas import DEFAULT_TABLES, TableSpec, per_table, table_names
 
@@ -79,12 +80,13 @@ def with_record(df: DataFrame, tables: Sequence[TableSpec] = DEFAULT_TABLES) ->
     fits = F.size("type_errors") == 0
     drift = per_table("payload_table", tables, lambda s: R.unhandled_fields(keys, s))
     ids = R.routing_ids(rec, "payload_table", tables)
-    return checked.withColumns(
+    read = checked.withColumns(
         {
             "unhandled_fields": F.when(fits, drift),
             **{name: F.when(fits, value) for name, value in ids.items()},
         }
     )
+    return settled(read, "type_errors", "unhandled_fields", *ids)
 
 
 def error_code(tables: Sequence[TableSpec] = DEFAULT_TABLES) -> Column:
@@ -131,7 +133,7 @@ def classify(
     ``event_id`` and ``target_subject``.
     """
     checked = with_record(with_envelope(with_subject(raw, tables), data, tables), tables)
-    coded = checked.withColumn("error_code", error_code(tables))
+    coded = settled(checked.withColumn("error_code", error_code(tables)), "error_code")
     code = F.col("error_code")
     event = R.event_id(F.col("commit_lsn"), F.col("payload_table"), F.col("pk"))
     out = coded.withColumns(

@@ -134,7 +134,6 @@ _FITS = "(step = 0 OR step >= 8)"
 _EVENT = """eid AS event_id, etime AS event_time, company AS company_id, agent AS agent_id,
   CASE WHEN mt IN ('messages', 'chats') THEN coalesce(chat, '') ELSE '' END AS chat_id,
   CASE WHEN mt = 'messages' THEN message ELSE '' END AS message_id"""
-_DOC_ROWS = "NOT cut"
 _EVENTS_TOTAL = """
   SELECT "table", result, count(*) AS value FROM (
     SELECT rtable AS "table", result FROM z
@@ -243,7 +242,7 @@ ORACLE: dict[str, str] = {
     "typed_messages": f"""{_W} SELECT seq AS stream_seq, x AS id, message AS message_id, chat AS chat_id,
         agent AS agent_id, company AS company_id,
         CASE WHEN x % 2 = 0 THEN 'inbound' ELSE 'outbound' END AS flow, false AS is_deleted,
-        epoch_ms(ts) AS message_timestamp, mdate AS message_date, CAST(k AS BIGINT) AS message_obj_k
+        us // 1000 AS message_timestamp, mdate AS message_date, CAST(k AS BIGINT) AS message_obj_k
         FROM z WHERE mt = 'messages' AND {_FITS}""",
     "typed_contacts": f"""{_W} SELECT seq AS stream_seq, contact AS id, CAST(user_id AS VARCHAR) AS phone_number,
         company AS company_id, agent AS agent_id, CAST(NULL AS VARCHAR) AS custom_name
@@ -306,7 +305,7 @@ ORACLE: dict[str, str] = {
         WHERE result = 'processed' AND st = 'messages'""",
     "slo_report": f"""{_W} SELECT epoch_us(date_trunc('day', make_timestamp(rus))) AS window_start_us,
         count(*) AS events, round(count(*) / 86400, 6) AS events_per_s,
-        round(quantile_cont((aus - rus) / 1000000, 0.95), 4) AS p95_latency_s,
+        round(quantile_cont((aus - rus) / 1000000, 0.95), 6) AS p95_latency_s,
         quantile_cont((aus - rus) / 1000000, 0.95) <= 2.0 AS latency_met,
         count(*) / 86400 >= 5000 AS throughput_met
         FROM z WHERE result = 'processed' GROUP BY 1""",
@@ -351,3 +350,18 @@ ORACLE: dict[str, str] = {
         where="AND mt = 'user_profiles'",
     ),
 }
+
+ORACLE |= {
+    "src_stream": f"{_W} SELECT seq AS stream_seq, subject, rus AS received_us FROM d",
+    "bounded_intake": f"""{_W}, span AS (
+          SELECT min(rus) AS low, (max(rus) - min(rus)) // 4 + 1 AS width FROM d)
+        SELECT count(*) AS n, min(seq) AS first_seq FROM d, span GROUP BY (rus - low) // width""",
+    "dedup_ttl_stream": ORACLE["dedup_ttl"],
+    "dedup_watermark": f"{_W} SELECT DISTINCT eid AS event_id FROM z WHERE step = 0 AND sink_ok",
+    "streamed_outcomes": ORACLE["outcomes"],
+    "sink_routed": _published(
+        """eid AS event_id, seq AS stream_seq, company AS company_id, mt AS logical,
+        target AS target_subject, etime AS event_time"""
+    ),
+    "quarantine_stream": ORACLE["quarantine"],
+}

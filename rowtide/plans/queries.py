@@ -380,7 +380,7 @@ def slo_report(spark, sf_dir):
         _micros("window_start", "window_start_us"),
         "events",
         F.round("events_per_s", 6).alias("events_per_s"),
-        F.round("p95_latency_s", 4).alias("p95_latency_s"),
+        F.round("p95_latency_s", 6).alias("p95_latency_s"),
         "latency_met",
         "throughput_met",
     )
