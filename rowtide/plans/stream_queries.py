@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowtide.operators import classify as C
 from rowtide.session import shared_dir
 from rowtide.sources.event_log import cdc_log
-from rowtide.sources.logs import stream_log
+from rowtide.sources.logs import LOG_SCHEMA, stream_log
 from rowtide.streaming import run
 from rowtide.streaming.dedup import check_complete, dedup_ttl_stream, dedup_watermark
 
@@ -29,7 +29,7 @@ def capture(spark: SparkSession, sf_dir: str, path: str, parts: int = PARTS) ->
     for part in range(parts):
         start = low + part * width
         rows = log.filter((at >= start) & (at < start + width))
-        rows.coalesce(1).write.mode("append").parquet(path)
+        rows.withColumn("part", F.lit(part)).write.mode("append").parquet(path)
     return path
 
 
@@ -56,12 +56,14 @@ def src_stream(spark, sf_dir):
 
 
 def bounded_intake(spark, sf_dir):
-    """Rows taken in per trigger when one file at a time is admitted."""
+    """What was taken in, one file per trigger, by the part of the log it came from."""
     work = work_dir(spark)
-    stream = stream_log(spark, capture(spark, sf_dir, f"{work}/log"), max_files=1)
-    names = stream.select("stream_seq", "received_at", F.input_file_name().alias("file"))
-    taken = _drain(names, work, "taken")
-    return taken.groupBy("file").agg(F.count("*").alias("n"), F.min("stream_seq").alias("first_seq")).drop("file")
+    log = capture(spark, sf_dir, f"{work}/log")
+    stream = stream_log(spark, log, schema=f"{LOG_SCHEMA}, part int", max_files=1)
+    taken = _drain(stream.select("stream_seq", "part"), work, "taken")
+    return taken.groupBy(F.col("part").cast("bigint").alias("part")).agg(
+        F.count("*").alias("n"), F.min("stream_seq").alias("first_seq")
+    )
 
 
 def _keyed_stream(spark, sf_dir, work) -> DataFrame:
