@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.functions.settle import settled
-from rowtide.schemas import DEFAULT_TABLES, TableSpec
 
 # Envelope fields and their JSON types.
 STRING_FIELDS = (
@@ -29,7 +28,7 @@ STRING_FIELDS = (
 INTEGER_FIELDS = ("metadata.commit_lsn",)
 ENVELOPE = (
     "doc struct<"
-    "record variant, changes map<string,variant>, action variant, "
+    "record map<string,variant>, changes map<string,variant>, action variant, "
     "metadata struct<"
     "table_schema variant, table_name variant, commit_timestamp variant, commit_lsn variant, "
     "idempotency_key variant, transaction_annotations map<string,variant>, "
@@ -39,11 +38,6 @@ ENVELOPE = (
 _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
-def as_map(value: Column) -> Column:
-    """A JSON object as a map from names to VARIANT values; NULL for anything else."""
-    return F.try_variant_get(value, "$", "map<string,variant>")
-
-
 def json_type_in(value: Column, *names: str) -> Column:
     """True where the value is absent, JSON null or of one of Spark's named types."""
     return F.coalesce(F.schema_of_variant(value).isin("VOID", *names), F.lit(True))
@@ -56,43 +50,39 @@ def column_of(path: str) -> str:
 ENVELOPE_COLUMNS = tuple(column_of(path) for path in STRING_FIELDS + INTEGER_FIELDS)
 
 
-def known_struct(record: Column, tables: Sequence[TableSpec] = DEFAULT_TABLES) -> Column:
-    """All fields the registry knows, as a struct of VARIANT; NULL unless an object."""
-    names = dict.fromkeys(name for spec in tables for name in spec.fields)
-    ddl = ", ".join(f"`{name}`: variant" for name in names)
-    return F.try_variant_get(record, "$", f"struct<{ddl}>")
-
-
 def parse_body(data: Column) -> Column:
     outer = F.concat(F.lit('{"doc":'), data, F.lit(',"__end__":1}'))
     return F.from_json(outer, ENVELOPE, _STRICT)
 
 
+def last_of_each_key(record: Column, data: Column) -> Column:
+    """The row image with the last value of every key.
+
+    A parsed map keeps repeated keys, a parsed VARIANT resolves them; only a
+    row that has some is parsed a second time.
+    """
+    unique = F.size(F.array_distinct(F.map_keys(record))) == F.size(record)
+    again = F.try_variant_get(F.try_parse_json(data), "$.record", "map<string,variant>")
+    return F.when(record.isNull() | unique, record).otherwise(again)
+
+
 def decode_envelope(
     df: DataFrame,
     data: str = "data",
     only_if: Column | None = None,
     keep: Sequence[str] = ENVELOPE_COLUMNS,
-    tables: Sequence[TableSpec] = DEFAULT_TABLES,
 ) -> DataFrame:
     """Replace the body by ``decodable``, ``record`` and the ``keep`` columns.
 
     ``only_if`` keeps rows that are known to be dropped from being parsed at
     all; they come out with ``decodable`` NULL. An envelope that is JSON null
     decodes to empty values. Missing strings are ``''``, a missing commit
-    position is 0. ``record_keys`` lists the row image's keys and
-    ``record_fields`` holds its known fields; both are NULL without a row image.
+    position is 0. ``record`` maps the row image's keys to VARIANT values, NULL
+    without a row image.
     """
     attempted = F.lit(True) if only_if is None else only_if
     j = F.col("_json")
-    record = j["doc"]["record"]
-    parsed = df.withColumn("_json", F.when(attempted, parse_body(F.col(data)))).drop(data)
-    opened = parsed.withColumns(
-        {
-            "record_keys": F.map_keys(as_map(record)),
-            "record_fields": known_struct(record, tables),
-        }
-    )
+    parsed = df.withColumn("_json", F.when(attempted, parse_body(F.col(data))))
 
     def at(path: str) -> Column:
         value = j["doc"]
@@ -101,15 +91,14 @@ def decode_envelope(
         return value
 
     ok = j["_corrupt_record"].isNull() & (j["__end__"] == 1)
-    ok = ok & (record.isNull() | F.is_variant_null(record) | F.col("record_keys").isNotNull())
     for path in STRING_FIELDS:
         ok = ok & json_type_in(at(path), "STRING")
     for path in INTEGER_FIELDS:
         ok = ok & json_type_in(at(path), "BIGINT")
-    checked = opened.withColumn("decodable", F.when(attempted, F.coalesce(ok, F.lit(False))))
+    checked = parsed.withColumn("decodable", F.when(attempted, F.coalesce(ok, F.lit(False))))
 
     good = F.col("decodable")
-    columns = {"record": F.when(good, record)}
+    columns = {"record": F.when(good, last_of_each_key(at("record"), F.col(data)))}
     for path in STRING_FIELDS:
         text = F.coalesce(F.try_variant_get(at(path), "$", "string"), F.lit(""))
         columns[column_of(path)] = F.when(good, text)
@@ -117,5 +106,5 @@ def decode_envelope(
         number = F.coalesce(F.try_variant_get(at(path), "$", "bigint"), F.lit(0).cast("bigint"))
         columns[column_of(path)] = F.when(good, number)
     wanted = {name: value for name, value in columns.items() if name == "record" or name in keep}
-    read = checked.withColumns(wanted).drop("_json")
-    return settled(read, "decodable", "record_keys", "record_fields", *wanted)
+    read = checked.withColumns(wanted).drop("_json", data)
+    return settled(read, "decodable", *wanted)

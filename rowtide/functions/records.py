@@ -20,7 +20,7 @@ _INTEGER_LIMITS = {"long": (-(2**63), 2**63 - 1), "int": (-(2**31), 2**31 - 1)}
 
 
 def field(record: Column, name: str, spark_type: str = "variant") -> Column:
-    """A field of a row image given as struct of, or map to, VARIANT values."""
+    """A field of a row image given as map to VARIANT values."""
     if spark_type == "variant":
         return record[name]
     return F.try_variant_get(record[name], "$", spark_type)
@@ -93,7 +93,7 @@ def _mistyped(value: str, kind: str) -> str:
 def type_errors(record: str, table: str, tables: Sequence[TableSpec] = DEFAULT_TABLES) -> Column:
     """Names of the fields that do not fit the row's table, in schema order.
 
-    ``record`` and ``table`` name the columns with the known fields and the table.
+    ``record`` and ``table`` name the columns with the row image and its table.
     """
     branches = []
     for spec in tables:

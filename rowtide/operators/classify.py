@@ -48,9 +48,7 @@ def with_subject(df: DataFrame, tables: Sequence[TableSpec] = DEFAULT_TABLES) ->
     )
 
 
-def with_envelope(
-    df: DataFrame, data: str = "data", tables: Sequence[TableSpec] = DEFAULT_TABLES
-) -> DataFrame:
+def with_envelope(df: DataFrame, data: str = "data") -> DataFrame:
     """Decode the body of allowed rows and name its authoritative table."""
     head = F.substring(F.col(data).cast("binary"), 1, PREVIEW_BYTES)
     decoded = decode_envelope(
@@ -58,7 +56,6 @@ def with_envelope(
         data,
         only_if=F.col("allowed"),
         keep=("table_name", "commit_lsn"),
-        tables=tables,
     )
     return decoded.withColumnRenamed("table_name", "payload_table")
 
@@ -74,11 +71,11 @@ def with_record(df: DataFrame, tables: Sequence[TableSpec] = DEFAULT_TABLES) ->
     Drift and ids exist only for rows that fit their table, as nothing can be
     read from a row of the wrong shape.
     """
-    rec, keys = F.col("record_fields"), F.col("record_keys")
-    errors = R.type_errors("record_fields", "payload_table", tables)
-    checked = df.withColumn("type_errors", F.when(keys.isNotNull(), errors))
+    rec = F.col("record")
+    errors = R.type_errors("record", "payload_table", tables)
+    checked = df.withColumn("type_errors", F.when(rec.isNotNull(), errors))
     fits = F.size("type_errors") == 0
-    drift = per_table("payload_table", tables, lambda s: R.unhandled_fields(keys, s))
+    drift = per_table("payload_table", tables, lambda s: R.unhandled_fields(F.map_keys(rec), s))
     ids = R.routing_ids(rec, "payload_table", tables)
     read = checked.withColumns(
         {
@@ -132,7 +129,7 @@ def classify(
     that end here and NULL for rows that go on to deduplication, which have
     ``event_id`` and ``target_subject``.
     """
-    checked = with_record(with_envelope(with_subject(raw, tables), data, tables), tables)
+    checked = with_record(with_envelope(with_subject(raw, tables), data), tables)
     coded = settled(checked.withColumn("error_code", error_code(tables)), "error_code")
     code = F.col("error_code")
     event = R.event_id(F.col("commit_lsn"), F.col("payload_table"), F.col("pk"))
@@ -149,7 +146,7 @@ def classify(
             "preview": F.when(code.isNotNull() & (code != "table_not_allowed"), F.col("preview")),
         }
     )
-    return out.drop("subject_info", "allowed", "decodable", "record_keys", "record_fields")
+    return out.drop("subject_info", "allowed", "decodable")
 
 
 def quarantine(raw: DataFrame, tables: Sequence[TableSpec] = DEFAULT_TABLES) -> DataFrame:

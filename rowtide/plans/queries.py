@@ -76,7 +76,7 @@ def decode_envelope_query(spark, sf_dir):
         "table_schema",
         "table_name",
         "commit_lsn",
-        F.col("record_keys").isNotNull().alias("has_record"),
+        F.col("record").isNotNull().alias("has_record"),
     )
 
 
@@ -153,7 +153,7 @@ def quarantine(spark, sf_dir):
 
 def _typed(spark, sf_dir, spec: TableSpec) -> DataFrame:
     rows = _decoded(spark, sf_dir).filter(F.col("payload_table") == spec.name)
-    return rows.select(SEQ, *R.typed_columns(F.col("record_fields"), spec))
+    return rows.select(SEQ, *R.typed_columns(F.col("record"), spec))
 
 
 def typed_agents(spark, sf_dir):
@@ -200,10 +200,10 @@ def typed_contacts(spark, sf_dir):
 def _message_texts(spark, sf_dir):
     """Two texts per decodable message: its date, and its commit time, which is none."""
     log = decode_envelope(cdc_log(spark, sf_dir)).filter(F.col("table_name") == "messages")
-    dated = log.filter(F.col("record_fields").isNotNull())
+    dated = log.filter(F.col("record").isNotNull())
     return dated.select(
         SEQ,
-        R.field(F.col("record_fields"), "message_date", "string").alias("date_text"),
+        R.field(F.col("record"), "message_date", "string").alias("date_text"),
         F.col("commit_timestamp").alias("time_text"),
     )
 
@@ -233,7 +233,7 @@ def known_fields_query(spark, sf_dir):
     """The catalogue with the number of rows that carry each field."""
     carried = (
         _decoded(spark, sf_dir)
-        .select(F.col("payload_table").alias("table"), F.explode("record_keys").alias("field"))
+        .select(F.col("payload_table").alias("table"), F.explode(F.map_keys("record")).alias("field"))
         .groupBy("table", "field")
         .agg(F.count("*").alias("n"))
     )
