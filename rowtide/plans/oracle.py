@@ -354,7 +354,7 @@ ORACLE: dict[str, str] = {
 ORACLE |= {
     "src_stream": f"{_W} SELECT seq AS stream_seq, subject, rus AS received_us FROM d",
     "bounded_intake": f"""{_W}, span AS (
-          SELECT min(rus) AS low, (max(rus) - min(rus)) // 4 + 1 AS width FROM d)
+          SELECT min(rus) AS low, (max(rus) - min(rus)) // 3 + 1 AS width FROM d)
         SELECT (rus - low) // width AS part, count(*) AS n, min(seq) AS first_seq FROM d, span GROUP BY 1""",
     "dedup_ttl_stream": ORACLE["dedup_ttl"],
     "dedup_watermark": f"{_W} SELECT DISTINCT eid AS event_id FROM z WHERE step = 0 AND sink_ok",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,7 +15,22 @@ from rowtide.sources.logs import LOG_SCHEMA, stream_log
 from rowtide.streaming import run
 from rowtide.streaming.dedup import check_complete, dedup_ttl_stream, dedup_watermark
 
-PARTS = 4
+PARTS = 3
+
+
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """As many state partitions as the session has cores.
+
+    Their number is fixed when a query first starts; each one holds a state
+    store and, for the Python state function, a worker.
+    """
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -35,14 +52,15 @@ def capture(spark: SparkSession, sf_dir: str, path: str, parts: int = PARTS) ->
 
 def _drain(df: DataFrame, work: str, name: str) -> DataFrame:
     """Run a stream over everything available and read what it wrote."""
-    query = (
-        df.writeStream.format("parquet")
-        .option("path", f"{work}/{name}")
-        .option("checkpointLocation", f"{work}/checkpoints/{name}")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with state_partitions(df.sparkSession):
+        query = (
+            df.writeStream.format("parquet")
+            .option("path", f"{work}/{name}")
+            .option("checkpointLocation", f"{work}/checkpoints/{name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     check_complete(query)
     return df.sparkSession.read.schema(df.schema).parquet(f"{work}/{name}")
 
@@ -90,7 +108,8 @@ def dedup_watermark_streamed(spark, sf_dir):
 def _settled(spark, sf_dir) -> str:
     work = work_dir(spark)
     log = capture(spark, sf_dir, f"{work}/log")
-    run.settle_log(spark, log, work, max_files=1, stamp=F.col("received_at"))
+    with state_partitions(spark):
+        run.settle_log(spark, log, work, max_files=1, stamp=F.col("received_at"))
     return work
 
 
