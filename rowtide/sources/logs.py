@@ -37,15 +37,14 @@ def routed_rows(events: DataFrame) -> DataFrame:
 def write_routed(events: DataFrame, path: str) -> None:
     """Events as JSON lines, laid out so that a reader can take one company or stream.
 
-    Rows are first brought together by folder, spread over several tasks per
-    folder, so that a company with most of the events is not written by one
-    task and the number of files stays small. Chat ids are not part of the
-    layout; they would make a folder per chat.
+    Rows are first brought together by folder in partitions of even size:
+    adaptive execution splits those of a company with most of the events and
+    joins small ones, so no task writes a hot folder alone and files stay few.
+    Chat ids are not part of the layout; they would make a folder per chat.
     """
-    spread = F.pmod(F.xxhash64("event_id"), F.lit(8))
     (
         events.select("company_id", "logical", "event_id", "target_subject", "payload")
-        .repartition("company_id", "logical", spread)
+        .hint("rebalance", "company_id", "logical")
         .write.mode("append")
         .partitionBy("company_id", "logical")
         .json(path)
