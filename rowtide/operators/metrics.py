@@ -209,7 +209,7 @@ def slo_report(
     window: str = "1 hour",
     latency_target_s: float = 0.060,
     throughput_target: float = 5000.0,
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     """P95 latency and events per second of each time window against targets.
 
