@@ -181,6 +181,9 @@ def flag_deliveries(
     keyed = F.col(key).isNotNull()
     ok = F.lit(True) if published is None else F.coalesce(F.col(published), F.lit(True))
     accepted = accepted_deliveries(deliveries.filter(keyed & ok), ttl_seconds, key, at, seq, fold_limit)
+    if published is not None:
+        # Read twice below, once per kind of delivery.
+        accepted = materialize(accepted, "accepted")
     marked = deliveries if published is None else deliveries.filter(~keyed | ok)
     out = marked.join(accepted.withColumn("_new", F.lit(True)), [key, at, seq], "left").select(
         *deliveries.columns,
@@ -201,19 +204,15 @@ def _flag_failed(
     covering a moment was opened in the same block or the one before.
     """
     ttl = ttl_seconds * _SECOND
-    opened = accepted.select(
-        F.col(key),
-        F.struct(F.unix_micros(at).alias("at"), F.col(seq).alias("seq")).alias("a"),
-        _bucket(F.unix_micros(at), ttl).alias("_block"),
+    block = _bucket(F.unix_micros(at), ttl)
+    anchor = F.struct(F.unix_micros(at).alias("at"), F.col(seq).alias("seq"))
+    none = F.lit(None)
+    spans = F.array(
+        F.struct(block.alias("_block"), anchor.alias("here"), none.alias("before")),
+        F.struct((block + 1).alias("_block"), none.alias("here"), anchor.alias("before")),
     )
     covers = (
-        opened.withColumn("here", F.col("a"))
-        .withColumn("before", F.lit(None).cast(opened.schema["a"].dataType))
-        .unionByName(
-            opened.withColumn("_block", F.col("_block") + 1)
-            .withColumn("here", F.lit(None).cast(opened.schema["a"].dataType))
-            .withColumn("before", F.col("a"))
-        )
+        accepted.select(key, F.inline(spans))
         .groupBy(key, "_block")
         .agg(F.max("here").alias("here"), F.max("before").alias("before"))
     )
