@@ -10,7 +10,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
-__all__ = ["SPACE", "WORD", "fold_of", "labelled", "materialize", "read", "table_bytes", "words_of"]
+__all__ = ["SPACE", "WORD", "drop_table", "fold_of", "labelled", "materialize", "read", "table_bytes", "words_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,3 +52,11 @@ def labelled(labels: DataFrame, label: str, fit_rows: int, folds: int = 5) -> Da
 def table_bytes(df: DataFrame) -> int:
     """Spark's own estimate of the size of ``df``; exact to the file for a materialized table."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialize` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

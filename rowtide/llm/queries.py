@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import quality_rules, quality_trees
+from rowtide.llm import minhash, quality_rules, quality_trees, token_counts, toxicity
 from rowtide.llm.common import read
 
 
@@ -25,13 +26,30 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(docs, vocabulary)
+
+
 def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_trees.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_toxicity": op2_toxicity,
+    "op3_token_counts": op3_token_counts,
     "op4_quality_trees": op4_quality_trees,
+    "op5_minhash": op5_minhash,
 }
 
 ORACLE: dict[str, str] = {}
