@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowtide.session import materialize
@@ -10,7 +12,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
-__all__ = ["SPACE", "WORD", "drop_table", "fold_of", "labelled", "materialize", "read", "table_bytes", "words_of"]
+__all__ = ["SPACE", "WORD", "drop_table", "fold_of", "labelled", "materialize", "read", "release", "table_bytes", "words_of"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -60,3 +62,9 @@ def drop_table(df: DataFrame) -> None:
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does so when the driver collects their handles."""
+    gc.collect()
+    spark._jvm.System.gc()

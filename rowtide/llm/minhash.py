@@ -27,7 +27,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowtide.llm.common import drop_table, materialize
+from rowtide.llm.batches import text_slices
+from rowtide.llm.common import drop_table, materialize, release
 from rowtide.llm.components import components
 from rowtide.llm.shingles import WordHashes, mix, shingle_sets
 
@@ -35,23 +36,10 @@ BANDS = 32
 ROWS = 4
 PERCENT = 80
 BLOCK = 512
-SLICE_BYTES = 4_000_000
 GROUP_ROWS = 2_000
 _GOLD = 0x9E3779B97F4A7C15
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with a few megabytes of text each, or one text."""
-    column = batch.column("text")
-    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
-    begin = 0
-    while begin < len(column):
-        end = int(np.searchsorted(offsets, offsets[begin] + SLICE_BYTES, side="right")) - 1
-        end = min(max(end, begin + 1), len(column))
-        yield batch.slice(begin, end - begin)
-        begin = end
-
-
 def probes(bins: int) -> np.ndarray:
     """For each bin the order in which it asks the others: fixed random permutations."""
     return np.stack([np.random.default_rng(bin).permutation(bins) for bin in range(bins)])
@@ -97,7 +85,7 @@ def _binary(docs: DataFrame) -> DataFrame:
 def _sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in (part for b in batches for part in _slices(b)):
+        for batch in text_slices(batches):
             n = batch.num_rows
             row, hashes = shingle_sets(batch.column("text").to_pylist(), shingle, known)
             sizes = np.bincount(row, minlength=n)
@@ -122,7 +110,7 @@ def _sketches(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in (part for b in batches for part in _slices(b)):
+        for batch in text_slices(batches):
             row, hashes = shingle_sets(batch.column("text").to_pylist(), shingle, known)
             ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(hashes.view(np.int64)))
@@ -170,6 +158,7 @@ def near_duplicates(
     asked = materialize(asked.distinct(), "minhash-asked")
     wanted = docs.select("doc_id", "text").join(asked, "doc_id", "left_semi")
     sets = materialize(_sets(wanted, shingle), "minhash-sets")
+    release(docs.sparkSession)
 
     links = materialize(_verified(stars, sets, percent), "minhash-links")
     twice = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowtide.llm import minhash, quality_rules, quality_trees, token_counts, toxicity
+from rowtide.llm import decontaminate, line_dedup, minhash, quality_rules, quality_trees, token_counts, toxicity
 from rowtide.llm.common import read
 
 
@@ -44,12 +44,27 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    return line_dedup.drop_lines(docs).select("doc_id", "n_lines", "n_removed", kept)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op4_quality_trees": op4_quality_trees,
     "op5_minhash": op5_minhash,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_decontaminate": decontaminate.SQL,
+    "op10_line_dedup": line_dedup.SQL,
+}
