@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +50,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/rowtide/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Functions that run in Python workers are looked up there by module name, and
+    an executor need not have the package installed.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_rowtide_shipped", False):
+        return
+    package = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="rowtide-package-")) / "rowtide.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._rowtide_shipped = True
