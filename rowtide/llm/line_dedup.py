@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rowtide.llm.batches import text_slices
 from rowtide.llm.common import materialize, release
 from rowtide.llm.shingles import WordHashes, mix
+from rowtide.session import ship
 
 MIN_WORDS = 5
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -233,6 +234,7 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 def line_verdicts(docs: DataFrame) -> DataFrame:
     """``doc_id, version, removed``: for rows that lose lines, the sorted numbers of those lines from 0."""
+    ship(docs.sparkSession)
     occurrences = materialize(_occurrences(docs), "line-occurrences")
     first = earliest_lines(docs, occurrences)
     late = occurrences.select("doc_id", "version", "number", "line", "n").join(first, ["line", "n"])

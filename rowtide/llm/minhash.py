@@ -31,6 +31,7 @@ from rowtide.llm.batches import text_slices
 from rowtide.llm.common import drop_table, materialize, release
 from rowtide.llm.components import components
 from rowtide.llm.shingles import WordHashes, mix, shingle_sets
+from rowtide.session import ship
 
 BANDS = 32
 ROWS = 4
@@ -132,6 +133,7 @@ def near_duplicates(
     rows share a component. Rows without an id cannot be named by a link: their
     component is null and they are kept.
     """
+    ship(docs.sparkSession)
     found = materialize(_sketches(docs, shingle, bands, rows), "minhash-sketches")
     worded = found.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = materialize(

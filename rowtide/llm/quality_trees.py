@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowtide.llm.common import fold_of, labelled, materialize
 from rowtide.llm.text_stats import FEATURES, ratios, text_counts
+from rowtide.session import ship
 
 FIT_ROWS = 50_000
 TREES = 40
@@ -102,6 +103,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     empty or null text is scored from its zero counts. Repeated rows get equal
     scores; a row without id is scored and counts as not held out.
     """
+    ship(docs.sparkSession)
     counts = materialize(text_counts(docs), "text-counts")
     named = [v.alias(k) for k, v in ratios().items()]
     fit = counts.join(F.broadcast(labelled(labels, "quality", fit_rows)), "doc_id").select("label", *named).toPandas()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowtide.llm import decontaminate, line_dedup, minhash, quality_rules, quality_trees, token_counts, toxicity
+from rowtide.llm import decontaminate, line_dedup, maxent_lm, minhash, packing, quality_rules, quality_trees, suffix_dedup, token_counts, toxicity
 from rowtide.llm.common import read
 
 
@@ -44,6 +44,19 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer)
+
+
+def op7_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.language_scores(read(spark, sf_dir, "documents"))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(read(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -60,11 +73,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_quality_trees": op4_quality_trees,
     "op5_minhash": op5_minhash,
+    "op6_packing": op6_packing,
+    "op7_maxent_lm": op7_maxent_lm,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_suffix_dedup": suffix_dedup.SQL,
     "op9_decontaminate": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
 }

@@ -20,6 +20,8 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from rowtide.session import ship
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE = 400_000
@@ -108,6 +110,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFr
     memory of their own length. The other columns, of any name but
     ``n_tokens``, pass through.
     """
+    ship(docs.sparkSession)
     pieces = read_vocabulary(vocabulary)
     rest = [c for c in docs.columns if c not in ("n_tokens", text)]
 

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rowtide.llm.common import fold_of, labelled, materialize
+from rowtide.session import ship
 
 FIT_ROWS = 20_000
 STEMS = (4, 5, 6)
@@ -266,8 +267,8 @@ def fit_weights(x: np.ndarray, toxic: np.ndarray, total: np.ndarray, rounds: int
 def learn_grammar(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Grammar:
     """Learn from at most about ``fit_rows`` labelled rows outside fold 0."""
     fit = labelled(labels, "toxic", fit_rows)
-    sample = _texts(docs.join(F.broadcast(fit), "doc_id"), "label")
-    sample = materialize(sample.repartition(F.xxhash64("text") % 64), "toxicity-fit")
+    sample = docs.join(F.broadcast(fit), "doc_id").repartition(64, "doc_id")
+    sample = materialize(_texts(sample, "label"), "toxicity-fit")
     start = Grammar(*learn_terminals(sample), prior_weights()[0])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,6 +293,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     and get the score of such texts. Repeated rows get equal scores; rows
     without id are scored and count as not held out.
     """
+    ship(docs.sparkSession)
     grammar = learn_grammar(docs, labels, fit_rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
