@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.llm.batches import text_slices
 from rowtide.llm.common import drop_table, materialize, release
@@ -192,37 +192,48 @@ def _rest(full: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> D
 
     A bucket matters if its members besides the centre, which was compared with
     all of them, lie in several components; of buckets with equal members one
-    is enough. Members are dealt into blocks, and each pair of blocks is a
-    small task of its own.
+    is enough. Only members outside the largest component ask. Members are
+    dealt into blocks, and each pair of blocks is a small task of its own.
     """
     placed = full.filter("rep != centre").join(label.withColumnRenamed("node", "rep"), "rep", "left")
     placed = materialize(
         placed.select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component")), "minhash-placed"
     )
-    split = (
-        placed.groupBy("bucket", "n")
-        .agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.bit_xor(F.xxhash64("rep")).alias("x"),
-            F.min("rep").alias("least"),
-            F.max("rep").alias("most"),
-        )
-        .filter("low < high")
-        .groupBy("n", "x", "least", "most", "low", "high")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket")
+    parts = placed.groupBy("bucket", "component").agg(
+        F.count("*").alias("c"),
+        F.bit_xor(F.xxhash64("rep")).alias("x"),
+        F.min("rep").alias("least"),
+        F.max("rep").alias("most"),
     )
-    open_cells = placed.join(materialize(split, "minhash-open"), "bucket")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit("block")), blocks).cast("int")
-    dealt = open_cells.select("bucket", "rep", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = materialize(
-        dealt.select(
-            "bucket", "rep", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-        ),
-        "minhash-blocks",
+    split = parts.groupBy("bucket").agg(
+        F.max_by("component", "c").alias("main"),
+        F.max("c").alias("m"),
+        F.sum("c").alias("n"),
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.bit_xor("x").alias("x"),
+        F.min("least").alias("least"),
+        F.max("most").alias("most"),
     )
+    same = ("n", "x", "least", "most", "low", "high")
+    split = split.filter("low < high").groupBy(*same).agg(
+        F.min_by(F.struct("bucket", "main", "m"), "bucket").alias("b")
+    )
+    open_cells = placed.drop("n").join(materialize(split.select("b.*", "n"), "minhash-open"), "bucket")
+    # Members outside the largest component are compared with all members, in blocks of both.
+    here, there = F.ceil((F.col("n") - F.col("m")) / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.xxhash64("rep", F.lit("block"))
+
+    def copies(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    asking = open_cells.filter("component != main").select(
+        "bucket", "rep", "component", F.lit(True).alias("asks"), F.pmod(own, here).cast("int").alias("i"), copies(there).alias("j")
+    )
+    asked = open_cells.select(
+        "bucket", "rep", "component", F.lit(False).alias("asks"), copies(here).alias("i"), F.pmod(own, there).cast("int").alias("j")
+    )
+    dealt = materialize(asking.unionByName(asked), "minhash-blocks")
     groups = max(1, dealt.count() // GROUP_ROWS)
     work = dealt.join(sets.select(F.col("doc_id").alias("rep"), "shingles"), "rep")
     work = work.withColumn("group", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(groups)))
@@ -231,17 +242,18 @@ def _rest(full: DataFrame, sets: DataFrame, label: DataFrame, percent: int) -> D
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         out = [
             link
-            for (_, i, j), block in pdf.groupby(["bucket", "i", "j"], sort=False)
-            for link in _forest(block, i != j, percent)
+            for _, block in pdf.groupby(["bucket", "i", "j"], sort=False)
+            for link in _forest(block, percent)
         ]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return work.groupBy("group").applyInPandas(compare, f"a {kind}, b {kind}")
 
 
-def _forest(block: pd.DataFrame, across: bool, percent: int) -> list[tuple[int, int]]:
-    """Links that join the components of a block, as few as do so."""
-    ids, label, own = (block[c].to_numpy() for c in ("rep", "component", "own"))
+def _forest(block: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Links between asking and asked members of different components, as few as join what they join."""
+    asks = block["asks"].to_numpy()
+    ids, label = block["rep"].to_numpy(), block["component"].to_numpy()
     root: dict[int, int] = {c: c for c in label}
 
     def find(c: int) -> int:
@@ -254,22 +266,22 @@ def _forest(block: pd.DataFrame, across: bool, percent: int) -> list[tuple[int,
     sizes = np.array([len(s) for s in block["shingles"]])
     all_shingles, at = np.unique(np.concatenate(block["shingles"].to_list()), return_inverse=True)
     rows = np.repeat(np.arange(len(ids)), sizes)
-    shared = np.zeros((len(ids), len(ids)), np.float32)
+    shared = np.zeros((asks.sum(), (~asks).sum()), np.float32)
     for begin in range(0, len(all_shingles), 8192):  # counts of common shingles, some columns at a time
         some = (at >= begin) & (at < begin + 8192)
         has = np.zeros((len(ids), min(8192, len(all_shingles) - begin)), np.float32)
         has[rows[some], at[some] - begin] = 1
-        shared += has @ has.T
-    similar = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
-    similar &= label[:, None] != label[None, :]
-    if across:
-        similar &= own[:, None] != own[None, :]
+        shared += has[asks] @ has[~asks].T
+    total = sizes[asks][:, None] + sizes[~asks][None, :]
+    similar = (100 * shared >= percent * (total - shared)) & (label[asks][:, None] != label[~asks][None, :])
+    mine, theirs = np.flatnonzero(asks), np.flatnonzero(~asks)
     out = []
-    for x, y in zip(*np.nonzero(np.triu(similar, 1)), strict=True):
-        p, q = find(label[x]), find(label[y])
+    for x, y in zip(*np.nonzero(similar), strict=True):
+        p, q = find(label[mine[x]]), find(label[theirs[y]])
         if p != q:
             root[max(p, q)] = min(p, q)
-            out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+            a, b = ids[mine[x]], ids[theirs[y]]
+            out.append((min(a, b), max(a, b)))
     return out
 
 
