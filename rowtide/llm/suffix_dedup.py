@@ -251,8 +251,6 @@ def _send(bits: int):
                 if ids[text[i]] < ids[text[o]]:
                     owner[c] = i
             later = np.array([ids[text[owner[c]]] < ids[text[i]] for i, c in enumerate(content)])
-            lead = np.zeros(len(text), bool)
-            lead[list(owner.values())] = True
             out = []
             if later.any():
                 out.append(
@@ -262,7 +260,7 @@ def _send(bits: int):
                         windows=windows[later].astype(np.uint8).tobytes(),
                     )
                 )
-            at = np.flatnonzero(lead)
+            at = np.flatnonzero(~later)
             parts = (gram[at] >> np.uint64(40 - bits)).astype(np.int64)
             for p in np.unique(parts):
                 mine = at[parts == p]
