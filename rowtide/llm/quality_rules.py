@@ -19,8 +19,9 @@ from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowtide.functions.settle import settled
 from rowtide.llm.common import labelled, materialize
-from rowtide.llm.text_stats import FEATURES, ratios, text_counts
+from rowtide.llm.text_stats import COUNTS, FEATURES, ratios, text_counts
 
 FIT_ROWS = 50_000
 BINS = 24
@@ -178,5 +179,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> D
     seen = docs.select("doc_id", "text").join(F.broadcast(fit.select("doc_id")), "doc_id", "left_semi")
     rules = learn_rules(materialize(text_counts(seen), "text-counts"), fit)
     packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("text"))
-    judged = judge(text_counts(packed, keep=("row",)), rules)
-    return judged.filter("kept").select("row.*")
+    # Final counts: the filter below must not repeat the expressions that make them.
+    counts = settled(text_counts(packed, keep=("row",)), *COUNTS)
+    return judge(counts, rules).filter("kept").select("row.*")
