@@ -44,6 +44,7 @@ SEGMENT = 1 << 19
 SLICE_BYTES = 1 << 20
 PART_BYTES = 16_000_000
 BUCKET_BYTES = 64_000_000
+REFINE_BYTES = 2_000_000
 _G1, _G2, _G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -331,15 +332,30 @@ def _covered(blobs: pd.DataFrame) -> pd.DataFrame:
         start, count = (_read(rest, c, k).astype(np.int64) for c, k in (("starts", np.uint32), ("windows", np.uint8)))
         data = _read(rest, "bytes", np.uint8)
         sizes = count + LENGTH - 1
-        first = np.cumsum(sizes) - sizes
-        entry = np.repeat(np.arange(len(docs)), count)
-        places = _ragged(first, count)
-        covered = refine(data, places, ids[docs][entry], _read(rest, "grams", np.uint64)[entry])
-        begins = covered & ~np.append(False, covered[:-1] & (entry[1:] == entry[:-1]))
-        ends = covered & ~np.append(covered[1:] & (entry[1:] == entry[:-1]), False)
-        e, b, z = entry[begins], places[begins], places[ends]
-        shift = start[e] - first[e]
-        ranges.append((ids[docs[e]], versions[docs[e]], b + shift, z + shift + LENGTH))
+        at = np.cumsum(sizes) - sizes
+        gram = _read(rest, "grams", np.uint64)
+        # Whole buckets of the first q-gram, some megabytes at a time.
+        order, heads = _groups(gram)
+        ends = np.append(heads[1:], len(order))
+        upto = np.cumsum(sizes[order])[ends - 1] if len(heads) else heads
+        begin = 0
+        while begin < len(heads):
+            done_bytes = upto[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, done_bytes + REFINE_BYTES, side="right")))
+            some = order[heads[begin] : ends[end - 1]]
+            begin = end
+            own = data[_ragged(at[some], sizes[some])]
+            first = np.cumsum(sizes[some]) - sizes[some]
+            entry = np.repeat(np.arange(len(some)), count[some])
+            places = _ragged(first, count[some])
+            covered = refine(own, places, ids[docs[some]][entry], gram[some][entry])
+            same = entry[1:] == entry[:-1]
+            opens = covered & ~np.append(False, covered[:-1] & same)
+            closes = covered & ~np.append(covered[1:] & same, False)
+            e = entry[opens]
+            shift = start[some][e] - first[e]
+            who = docs[some][e]
+            ranges.append((ids[who], versions[who], places[opens] + shift, places[closes] + shift + LENGTH))
     out = []
     if ranges:
         ids, versions, begin, end = (np.concatenate(c) for c in zip(*ranges, strict=True))
@@ -407,13 +423,15 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     firsts_named = firsts.select(F.col("first").alias("doc_id"), "sha", version.cast("int").alias("version"))
     volume = base.agg(F.sum("n_bytes")).first()[0] or 0
     bits = max(1, int(np.ceil(np.log2(1 + volume / PART_BYTES))))
-    buckets = 1 + volume // BUCKET_BYTES
+    # As many buckets as joins have partitions at least: with fewer, Spark would deal the texts anew.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + volume // BUCKET_BYTES)
 
     # Written in buckets of ids, so that the later joins move ranges and not texts.
     name = f"bytes_{uuid.uuid4().hex}"
-    once = plain.withColumn("sha", F.sha2("text", 256)).join(firsts_named, ["doc_id", "sha"])
-    once = once.dropDuplicates(["doc_id", "sha"]).select("doc_id", "version", "sha", "text")
-    writer = once.repartition(int(buckets), "doc_id").write.bucketBy(int(buckets), "doc_id").sortBy("doc_id")
+    named = firsts_named.withColumnRenamed("sha", "first_sha").repartition(buckets, "doc_id")
+    once = plain.withColumn("sha", F.sha2("text", 256)).repartition(buckets, "doc_id").join(named.hint("merge"), "doc_id")
+    once = once.filter(F.col("sha") == F.col("first_sha")).dropDuplicates(["doc_id", "sha"])
+    writer = once.select("doc_id", "version", "sha", "text").write.bucketBy(buckets, "doc_id").sortBy("doc_id")
     writer.option("path", f"{shared_dir(spark)}/rowtide/{name}").saveAsTable(name)
     release(spark)
     corpus = spark.table(name)
@@ -452,7 +470,7 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
 def _with(corpus: DataFrame, by_doc: DataFrame) -> DataFrame:
     """Join on the id alone, by which the texts lie in buckets already."""
     right = by_doc.withColumnRenamed("version", "_version")
-    return corpus.join(right, "doc_id").filter(F.col("version") == F.col("_version"))
+    return corpus.join(right.hint("merge"), "doc_id").filter(F.col("version") == F.col("_version"))
 
 
 def _forget(spark, folder: str) -> None:
