@@ -182,7 +182,8 @@ def _words(docs: DataFrame, asked: DataFrame) -> DataFrame:
                 ["line", "n", "words", "variants"],
             )
 
-    texts = _keyed(docs).join(place, "doc_id").select("doc_id", "text", "asked")
+    # The same plan at every size: texts are dealt by id and merged.
+    texts = _keyed(docs).join(place.hint("merge"), "doc_id").select("doc_id", "text", "asked")
     read = texts.mapInArrow(scan, "line bigint, n int, words array<bigint>, variants array<bigint>")
     read = read.dropDuplicates(["line", "n"]).join(asked, ["line", "n"])
     out = materialize(read, "line-words")
@@ -266,7 +267,7 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     lost = line_verdicts(docs).select(
         F.col("doc_id").alias("_id"), F.col("version").alias("_version"), F.col("removed").alias("_removed")
     )
-    joined = packed.join(lost, ["_id", "_version"], "left")
+    joined = packed.join(lost.hint("merge"), ["_id", "_version"], "left")
     lines = F.split("_text", "\n")
     joined = joined.select("_row", "_text", "_removed", lines.alias("_lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_removed"))
