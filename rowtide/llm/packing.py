@@ -37,7 +37,8 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 OFFSPRING = 8
-CACHE = 600_000
+CACHE = 800_000
+TOGETHER = 128
 
 
 class WordIds(dict):
@@ -54,21 +55,29 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
 
-    def text(self, text: bytes) -> bytes:
-        words = (text if b"<|" in text else text.lower()).split()
-        new = {w for w in words if w not in self}
-        if new:
-            if len(self) + len(new) > CACHE:
-                self.clear()
-                new = set(words)
-            many = list(new)
-            for w, e in zip(
-                many,
-                self.tokenizer.encode_batch([w.decode("utf-8") for w in many], add_special_tokens=False),
-                strict=True,
-            ):
-                self[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+    def learn(self, words: list[bytes]) -> None:
+        """Read words that are new, some hundred in one text; offsets tell whose each token is."""
+        texts = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        for begin in range(0, len(texts), TOGETHER):
+            some = [[w.decode("utf-8") for w in t] for t in texts[begin : begin + TOGETHER]]
+            read = self.tokenizer.encode_batch([" ".join(t) for t in some], add_special_tokens=False)
+            for own, t, e in zip(texts[begin : begin + TOGETHER], some, read, strict=True):
+                ends = np.cumsum([len(w) + 1 for w in t])
+                whose = np.searchsorted(ends, np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids)), side="right")
+                cuts = (4 * np.cumsum(np.bincount(whose, minlength=len(t)))).tolist()
+                ids = np.array(e.ids, "<u4").tobytes()
+                for w, a, z in zip(own, [0, *cuts], cuts, strict=False):
+                    self[w] = ids[a:z]
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of whole texts."""
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        new = set().union(*split).difference(self)
+        if len(self) + len(new) > CACHE:
+            self.clear()
+            new = set().union(*split)
+        self.learn(list(new))
+        return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
 _KNOWN: dict[str, WordIds] = {}  # stays with the Python worker, for the next task
@@ -90,8 +99,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ids:
         item = TaskContext.get().partitionId() << 36
         for batch in text_slices(batches):
             rows, pieces, starts, parts = [], [], [], []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                whole = known.text(text) + end
+            for row, whole in enumerate(known.texts(batch.column("text").to_pylist())):
+                whole += end
                 for piece, at in enumerate(range(0, len(whole), 4 * capacity)):
                     rows.append(row)
                     pieces.append(piece)

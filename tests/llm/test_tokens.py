@@ -61,7 +61,7 @@ def test_count_tokens_of_odd_rows(spark):
 
 
 def word_ids(text: str) -> list[int]:
-    return np.frombuffer(packing._KNOWN.setdefault(WORDS, packing.WordIds(WORDS)).text(text.encode()), "<u4").tolist()
+    return np.frombuffer(packing._KNOWN.setdefault(WORDS, packing.WordIds(WORDS)).texts([text.encode()])[0], "<u4").tolist()
 
 
 EXACT = Tokenizer.from_file(WORDS)
