@@ -3,8 +3,10 @@
 The change log is derived from ``events`` and captured as Parquet first, outside
 the timings, as a consumer would find it. Every query then runs over the whole
 log into Spark's ``noop`` sink, after one warm-up pass on the same session; the
-better of two runs counts. ``rates`` gives deliveries per second end to end by
-payload size and share of duplicates.
+better of two runs counts. ``settle_log`` is one run of the streaming flow over the
+captured files, ``dedup_hot_key`` deduplicates a log of which one key has a third,
+``classify_x10`` classifies ten copies of the log. ``rates`` gives deliveries per
+second end to end by payload size and share of duplicates.
 """
 
 from __future__ import annotations
@@ -18,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowtide.operators import classify as C, dedup as D, events as E, metrics as M, reliability as G
 from rowtide.operators.outcomes import outcomes
-from rowtide.session import configure, materialize
+from rowtide.session import configure, materialize, shared_dir, tune
 from rowtide.sources.event_log import cdc_log
+from rowtide.streaming import run
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -41,7 +44,7 @@ def session() -> SparkSession:
         builder = builder.config("spark.checkpoint.dir", os.environ["SPARK_CHECKPOINT_DIR"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return configure(spark)
+    return tune(configure(spark))
 
 
 def noop(df: DataFrame) -> None:
@@ -57,6 +60,15 @@ def best(build) -> float:
     return round(min(times), 3)
 
 
+def streamed(log: DataFrame) -> float:
+    """Seconds that the streaming flow takes for the whole log, from files to outcomes."""
+    work = f"{shared_dir(log.sparkSession)}/bench-stream-{time.time_ns()}"
+    log.write.parquet(f"{work}/log")
+    start = time.perf_counter()
+    run.settle_log(log.sparkSession, f"{work}/log", work)
+    return round(time.perf_counter() - start, 3)
+
+
 def payload_log(spark: SparkSession, size: str, duplicate_share: int) -> DataFrame:
     """Messages with bodies from ``conversations``, a share of them delivered twice."""
     talk = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
@@ -119,7 +131,12 @@ def main() -> None:
         "metrics_snapshot": best(lambda: M.metrics_snapshot(settled)),
         "failure_guard": best(lambda: G.failure_guard(settled)),
         "slo_report": best(lambda: M.slo_report(settled)),
+        "settle_log": streamed(log),
     }
+    hot = keys.withColumn("event_id", F.when(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0, "hot").otherwise(F.col("event_id")))
+    queries["dedup_hot_key"] = best(lambda: D.accepted_deliveries(hot))
+    tenfold = materialize(log.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(10)))).drop("copy"), "bench-log-x10")
+    queries["classify_x10"] = best(lambda: C.classify(tenfold))
     rates = {}
     for size in ("small", "medium", "large"):
         for share in (0, 10, 50):

@@ -50,9 +50,17 @@ def column_of(path: str) -> str:
 ENVELOPE_COLUMNS = tuple(column_of(path) for path in STRING_FIELDS + INTEGER_FIELDS)
 
 
+def _outer(data: Column) -> Column:
+    return F.concat(F.lit('{"doc":'), data, F.lit(',"__end__":1}'))
+
+
 def parse_body(data: Column) -> Column:
-    outer = F.concat(F.lit('{"doc":'), data, F.lit(',"__end__":1}'))
-    return F.from_json(outer, ENVELOPE, _STRICT)
+    return F.from_json(_outer(data), ENVELOPE, _STRICT)
+
+
+def is_alone(data: Column) -> Column:
+    """True if the body is one value, without further members after it."""
+    return F.json_object_keys(_outer(data)) == F.array(F.lit("doc"), F.lit("__end__"))
 
 
 def last_of_each_key(record: Column, data: Column) -> Column:
@@ -95,6 +103,7 @@ def decode_envelope(
         ok = ok & json_type_in(at(path), "STRING")
     for path in INTEGER_FIELDS:
         ok = ok & json_type_in(at(path), "BIGINT")
+    ok = ok & is_alone(F.col(data))  # the last condition: bodies that fail another are not read again
     checked = parsed.withColumn("decodable", F.when(attempted, F.coalesce(ok, F.lit(False))))
 
     good = F.col("decodable")

@@ -83,9 +83,12 @@ def _mistyped(value: str, kind: str) -> str:
         return f"NOT {of('STRING')} OR ({text} IS NOT NULL AND NOT ({good}))"
     # A number with a zero fraction or an exponent is an integer too.
     low, high = _INTEGER_LIMITS[kind]
-    exact = f"try_variant_get({value}, '$', 'decimal(38,9)')"
-    number = f"(schema_of_variant({value}) IN ('BIGINT', 'DOUBLE') OR schema_of_variant({value}) LIKE 'DECIMAL%')"
-    whole = f"{number} AND {exact} = floor({exact}) AND {exact} BETWEEN {low} AND {high}"
+    found, double = f"schema_of_variant({value})", f"try_variant_get({value}, '$', 'double')"
+    number = (
+        f"({found} = 'BIGINT' OR ({found} = 'DOUBLE' AND {double} = floor({double}))"
+        f" OR ({found} LIKE 'DECIMAL%' AND {text} RLIKE r'^-?[0-9]+([.]0*)?$'))"
+    )
+    whole = f"{number} AND try_variant_get({value}, '$', 'decimal(38,0)') BETWEEN {low} AND {high}"
     plain = of("BIGINT") if kind == "long" else of()
     return f"NOT ({plain} OR coalesce({whole}, false))"
 
@@ -117,7 +120,7 @@ def typed_field(record: Column, name: str, kind: str) -> Column:
     if kind in _INTEGER_LIMITS:
         return F.coalesce(
             field(record, name, SPARK_TYPES[kind]),
-            field(record, name, "decimal(38,9)").try_cast(SPARK_TYPES[kind]),
+            field(record, name, "decimal(38,0)").try_cast(SPARK_TYPES[kind]),
         )
     return field(record, name, SPARK_TYPES[kind])
 

@@ -16,6 +16,7 @@ from rowtide.functions.envelope import decode_envelope
 from rowtide.functions.settle import settled
 from rowtide.functions.subjects import parse_subject, target_subject
 from rowtide.schemas import DEFAULT_TABLES, TableSpec, per_table, table_names
+from rowtide.session import check_settings
 
 # Outcome labels, error stages and the label of unreadable subjects.
 BAD_SUBJECT_TABLE = "unknown_subject_format"
@@ -50,9 +51,8 @@ def with_subject(df: DataFrame, tables: Sequence[TableSpec] = DEFAULT_TABLES) ->
 
 def with_envelope(df: DataFrame, data: str = "data") -> DataFrame:
     """Decode the body of allowed rows and name its authoritative table."""
-    head = F.substring(F.col(data).cast("binary"), 1, PREVIEW_BYTES)
     decoded = decode_envelope(
-        df.withColumn("preview", head),
+        df.withColumn("body", F.col(data)),
         data,
         only_if=F.col("allowed"),
         keep=("table_name", "commit_lsn"),
@@ -86,9 +86,14 @@ def with_record(df: DataFrame, tables: Sequence[TableSpec] = DEFAULT_TABLES) ->
     return settled(read, "type_errors", "unhandled_fields", *ids)
 
 
-def error_code(tables: Sequence[TableSpec] = DEFAULT_TABLES) -> Column:
-    """The first check a row fails, in order; NULL for a routable row."""
+def error_code(tables: Sequence[TableSpec] = DEFAULT_TABLES, at: str | None = None) -> Column:
+    """The first check a row fails, in order; NULL for a routable row.
+
+    ``at`` names the arrival time, without which no delivery can be told from
+    its redelivery.
+    """
     per_chat = [s.name for s in tables if s.per_chat]
+    arrived = F.lit(True) if at is None else F.col(at).isNotNull()
     return (
         F.when(~F.col("subject_info.is_valid"), "invalid_subject")
         .when(~F.col("allowed"), "table_not_allowed")
@@ -101,6 +106,7 @@ def error_code(tables: Sequence[TableSpec] = DEFAULT_TABLES) -> Column:
         .when(F.col("company_id") == "", "missing_company_id")
         .when(F.col("agent_id") == "", "empty_agent_id")
         .when(F.col("payload_table").isin(per_chat) & (F.col("chat_id") == ""), "missing_chat_id")
+        .when(~arrived, "missing_arrival_time")
     )
 
 
@@ -121,16 +127,21 @@ def result_of_code(code: Column) -> Column:
 
 
 def classify(
-    raw: DataFrame, tables: Sequence[TableSpec] = DEFAULT_TABLES, data: str = "data"
+    raw: DataFrame,
+    tables: Sequence[TableSpec] = DEFAULT_TABLES,
+    data: str = "data",
+    at: str = "received_at",
 ) -> DataFrame:
     """Run all per-message checks.
 
     Input columns other than the body pass through. ``result`` is set for rows
     that end here and NULL for rows that go on to deduplication, which have
-    ``event_id`` and ``target_subject``.
+    ``event_id`` and ``target_subject``. Rows that end here because of their
+    content keep their whole body in ``body``, and its first bytes in ``preview``.
     """
+    check_settings(raw.sparkSession)
     checked = with_record(with_envelope(with_subject(raw, tables), data), tables)
-    coded = settled(checked.withColumn("error_code", error_code(tables)), "error_code")
+    coded = settled(checked.withColumn("error_code", error_code(tables, at if at in raw.columns else None)), "error_code")
     code = F.col("error_code")
     event = R.event_id(F.col("commit_lsn"), F.col("payload_table"), F.col("pk"))
     out = coded.withColumns(
@@ -143,9 +154,9 @@ def classify(
             "event_id": F.when(code.isNull(), event),
             "target_subject": F.when(code.isNull(), target_subject("payload_table", tables)),
             "result_table": F.coalesce(F.col("subject_table"), F.lit(BAD_SUBJECT_TABLE)),
-            "preview": F.when(code.isNotNull() & (code != "table_not_allowed"), F.col("preview")),
+            "body": F.when(code.isNotNull() & (code != "table_not_allowed"), F.col("body")),
         }
-    )
+    ).withColumn("preview", F.substring(F.col("body").cast("binary"), 1, PREVIEW_BYTES))
     return out.drop("subject_info", "allowed", "decodable")
 
 

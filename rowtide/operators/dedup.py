@@ -6,13 +6,8 @@ delivery at or after its end is accepted and opens the next window. So which
 delivery is accepted depends on the one accepted before it, which no window
 frame expresses.
 
-Keys are told apart by partial aggregates, which are safe for hot keys:
-
-* all deliveries within one ttl: the earliest is accepted, nothing else to do.
-  A hot key that is redelivered in a burst ends here, reduced on the map side;
-* up to ``fold_limit`` deliveries: collected per key and folded in order;
-* more: the chain of accepted deliveries is followed by pointer doubling over
-  rows spread by (key, time), see :func:`_long_chains`.
+There is one way for all keys, see :func:`accepted_deliveries`. No step gathers
+the deliveries of a key: they are dealt by key and time.
 """
 
 from __future__ import annotations
@@ -24,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rowtide.session import materialize
 
 DEFAULT_TTL_SECONDS = 300
-FOLD_LIMIT = 20_000
 _SECOND = 1_000_000
 
 
@@ -33,93 +27,65 @@ def _bucket(micros: Column, width: int) -> Column:
     return ((micros - F.pmod(micros, F.lit(width))) / F.lit(width)).cast("bigint")
 
 
-def _fold(arrivals: Column, ttl: int) -> Column:
-    """Accepted (at, seq) pairs out of one key's deliveries."""
-    return F.aggregate(
-        F.array_sort(arrivals),
-        F.array().cast("array<struct<at:bigint,seq:bigint>>"),
-        lambda kept, d: F.when(
-            (F.size(kept) == 0) | (d["at"] >= F.element_at(kept, -1)["at"] + ttl),
-            F.concat(kept, F.array(d)),
-        ).otherwise(kept),
-    )
-
-
 def accepted_deliveries(
     deliveries: DataFrame,
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
     key: str = "event_id",
     at: str = "received_at",
     seq: str = "stream_seq",
-    fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
-    """The accepted deliveries as ``(key, at, seq)``.
+    """The accepted deliveries as ``(key, at, seq)``, each once however often it was captured.
+
+    ``(at, seq)`` identifies a delivery of a key; rows without key or time are
+    passed over. The input is read once, for the distinct arrivals.
 
-    ``(at, seq)`` identifies a delivery of a key. One small job counts whether
-    any key needs the long-chain path; give a materialised input where
-    computing it is expensive.
+    Time is cut into blocks of one ttl. A block whose predecessor is empty
+    starts a new chain at its earliest arrival whatever came before; a chain of
+    one block ends there. Every other accepted arrival is the earliest one at or
+    after its predecessor's expiry, so each arrival points to at most one
+    successor, and the accepted ones are those reachable from the chain starts.
+    Doubling the pointers finds them in log2(blocks) rounds. No step groups
+    more than the arrivals of one key in one second, which the microsecond
+    clock bounds, or the blocks of one key.
     """
     if ttl_seconds <= 0:
         raise ValueError("ttl_seconds must be positive")
     ttl = ttl_seconds * _SECOND
-    narrow = deliveries.select(
+    narrow = deliveries.filter(F.col(key).isNotNull() & F.col(at).isNotNull()).select(
         F.col(key).alias("k"),
         F.unix_micros(F.col(at)).alias("at"),
         F.col(seq).cast("bigint").alias("seq"),
     )
-    stats = narrow.groupBy("k").agg(
-        F.min(F.struct("at", "seq")).alias("first"), F.max("at").alias("last"), F.count("*").alias("n")
-    )
-    spread = F.col("last") >= F.col("first.at") + ttl
-    short = stats.filter(~spread).select("k", "first.at", "first.seq")
-
-    folded = (
-        narrow.join(stats.filter(spread & (F.col("n") <= fold_limit)).select("k"), "k", "left_semi")
-        .groupBy("k")
-        .agg(F.collect_list(F.struct("at", "seq")).alias("arrivals"))
-        .select("k", F.explode(_fold(F.col("arrivals"), ttl)).alias("d"))
-        .select("k", "d.at", "d.seq")
-    )
-    out = short.unionByName(folded)
-
-    long_keys = stats.filter(spread & (F.col("n") > fold_limit)).select("k")
-    if not long_keys.isEmpty():
-        rows = narrow.join(long_keys, "k", "left_semi")
-        out = out.unionByName(_long_chains(rows, ttl))
-    return out.select(
+    nodes = materialize(narrow.groupBy("k", "at").agg(F.min("seq").alias("seq")), "arrivals")
+    return _chains(nodes, ttl).select(
         F.col("k").alias(key),
         F.timestamp_micros("at").alias(at),
         F.col("seq").cast(deliveries.schema[seq].dataType).alias(seq),
     )
 
 
-def _long_chains(rows: DataFrame, ttl: int) -> DataFrame:
-    """Accepted deliveries of keys with very many of them.
-
-    Time is cut into blocks of one ttl. A block whose predecessor is empty
-    starts a new chain at its earliest arrival whatever came before. Every other
-    accepted arrival is the earliest one at or after its predecessor's expiry,
-    so each arrival points to at most one successor, and the accepted ones are
-    those reachable from the chain starts. Doubling the pointers finds them in
-    log2(blocks) rounds. No step groups more than the arrivals of one key in
-    one second, which the microsecond clock bounds, or the blocks of one key.
-    """
-    nodes = materialize(rows.groupBy("k", "at").agg(F.min("seq").alias("seq")), "chain-nodes")
-    blocks = materialize(
-        nodes.groupBy("k", _bucket(F.col("at"), ttl).alias("block")).agg(F.min("at").alias("head")),
-        "chain-blocks",
-    )
+def _chains(nodes: DataFrame, ttl: int) -> DataFrame:
+    blocks = nodes.groupBy("k", _bucket(F.col("at"), ttl).alias("block")).agg(F.min("at").alias("head"))
     by_key = Window.partitionBy("k").orderBy("block")
-    runs = blocks.withColumn(
-        "starts", F.coalesce(F.col("block") - F.lag("block").over(by_key) > 1, F.lit(True))
-    ).withColumn("run", F.sum(F.col("starts").cast("bigint")).over(by_key))
+    starts = F.coalesce(F.col("block") - F.lag("block").over(by_key) > 1, F.lit(True))
+    runs = blocks.withColumn("starts", starts).withColumn("run", F.sum(F.col("starts").cast("bigint")).over(by_key))
+    runs = materialize(runs.withColumn("length", F.count("*").over(Window.partitionBy("k", "run"))), "arrival-runs")
     roots = runs.filter("starts").select("k", F.col("head").alias("at"))
-    longest = runs.groupBy("k", "run").count().agg(F.max("count")).first()[0]
+    longest = runs.agg(F.max("length")).first()[0] or 1
+    reached = roots if longest == 1 else _reached(nodes, runs, roots, longest, ttl)
+    return reached.join(nodes, ["k", "at"]).select("k", "at", "seq")
+
+
+def _reached(nodes: DataFrame, runs: DataFrame, roots: DataFrame, longest: int, ttl: int) -> DataFrame:
+    """Arrivals on the chains from ``roots``; only those in runs of several blocks can have a successor."""
+    blocks = runs.filter("length > 1").select("k", "block", "head")
+    linked = nodes.select("k", "at", _bucket(F.col("at"), ttl).alias("block"))
+    linked = materialize(linked.join(blocks, ["k", "block"]).select("k", "at"), "chain-arrivals")
 
     # Successor of every arrival: the earliest arrival at or after `at + ttl`,
     # looked up in that second, then in the rest of the block, then in the next.
-    asked = nodes.select("k", (F.col("at") + ttl).alias("pos"), F.col("at").alias("src"))
-    given = nodes.select("k", F.col("at").alias("pos"), F.lit(None).cast("bigint").alias("src"))
+    asked = linked.select("k", (F.col("at") + ttl).alias("pos"), F.col("at").alias("src"))
+    given = linked.select("k", F.col("at").alias("pos"), F.lit(None).cast("bigint").alias("src"))
     both = (
         asked.unionByName(given)
         .withColumn("block", _bucket(F.col("pos"), ttl))
@@ -147,7 +113,7 @@ def _long_chains(rows: DataFrame, ttl: int) -> DataFrame:
     )
 
     reached = roots
-    rounds = max(1, math.ceil(math.log2(longest + 1)))
+    rounds = math.ceil(math.log2(longest))
     for i in range(rounds):
         jump = materialize(jump, f"chain-jump-{i}")
         step = reached.select("k", F.col("at").alias("src")).join(jump, ["k", "src"])
@@ -157,7 +123,7 @@ def _long_chains(rows: DataFrame, ttl: int) -> DataFrame:
         if i + 1 < rounds:
             onward = jump.select("k", F.col("src").alias("dst"), F.col("dst").alias("far"))
             jump = jump.join(onward, ["k", "dst"]).select("k", "src", F.col("far").alias("dst"))
-    return reached.join(nodes, ["k", "at"]).select("k", "at", "seq")
+    return reached
 
 
 def flag_deliveries(
@@ -167,28 +133,33 @@ def flag_deliveries(
     at: str = "received_at",
     seq: str = "stream_seq",
     published: str | None = None,
-    fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
     """Add ``dedup``: ``miss`` for accepted deliveries, ``hit`` for duplicates.
 
     ``published`` names a boolean column; a delivery whose publishing failed is
     a miss when it arrives outside a window, but opens none, so that its
-    redelivery is published. Rows without a key get NULL.
+    redelivery is published. Of identical rows, a delivery captured several
+    times, one is the delivery and the others are hits. Rows without a key or an
+    arrival time get NULL.
 
     The join is on the delivery, not the key, so a hot key spreads over all
-    tasks.
+    tasks; rows without a key go around it.
     """
-    keyed = F.col(key).isNotNull()
+    keyed = F.col(key).isNotNull() & F.col(at).isNotNull()
     ok = F.lit(True) if published is None else F.coalesce(F.col(published), F.lit(True))
-    accepted = accepted_deliveries(deliveries.filter(keyed & ok), ttl_seconds, key, at, seq, fold_limit)
+    accepted = accepted_deliveries(deliveries.filter(keyed & ok), ttl_seconds, key, at, seq)
     if published is not None:
         # Read twice below, once per kind of delivery.
         accepted = materialize(accepted, "accepted")
-    marked = deliveries if published is None else deliveries.filter(~keyed | ok)
-    out = marked.join(accepted.withColumn("_new", F.lit(True)), [key, at, seq], "left").select(
+    # The copies of a delivery meet in the join anyway.
+    copy = F.row_number().over(Window.partitionBy(key, at, seq).orderBy(F.lit(0)))
+    marked = deliveries.filter(keyed & ok).join(accepted.withColumn("_new", F.lit(True)), [key, at, seq], "left")
+    marked = marked.withColumn("_copy", copy).select(
         *deliveries.columns,
-        F.when(keyed, F.when(F.col("_new"), "miss").otherwise("hit")).alias("dedup"),
+        F.when(F.col("_new") & (F.col("_copy") == 1), "miss").otherwise("hit").alias("dedup"),
     )
+    rest = deliveries.filter(~keyed).withColumn("dedup", F.lit(None).cast("string"))
+    out = marked.unionByName(rest)
     if published is None:
         return out
     failed = deliveries.filter(keyed & ~ok)
@@ -231,11 +202,12 @@ def _flag_failed(
 def first_deliveries(
     deliveries: DataFrame, key: str = "event_id", at: str = "received_at", seq: str = "stream_seq"
 ) -> DataFrame:
-    """The earliest delivery per key (a ttl without end).
+    """The earliest delivery per key (a ttl without end) as ``(key, at, seq)``, once.
 
-    A partial aggregate finds it, so a hot key shrinks to one row per map task
+    Two partial aggregates find it, so a hot key shrinks to one row per map task
     before the shuffle, unlike with a window function.
     """
-    first = deliveries.groupBy(key).agg(F.min(F.struct(at, seq)).alias("_f"))
-    first = first.select(key, F.col(f"_f.{at}").alias(at), F.col(f"_f.{seq}").alias(seq))
-    return deliveries.join(first, [key, at, seq], "left_semi")
+    there = deliveries.filter(F.col(key).isNotNull() & F.col(at).isNotNull())
+    arrivals = there.groupBy(key, at).agg(F.min(seq).alias(seq))
+    first = arrivals.groupBy(key).agg(F.min(at).alias("_at"), F.min_by(seq, at).alias(seq))
+    return first.select(key, F.col("_at").alias(at), seq)

@@ -1,16 +1,16 @@
 """The metric suite, computed from outcome rows.
 
-Every counter is a partial plus final aggregate. ``counter_base`` counts all
-label combinations in one pass; the counters derived from it share its shuffle.
-The published-events counter has one row per target subject and stays
-distributed.
+Every counter is a partial plus final aggregate. ``counter_base`` and ``summary``
+count by labels of low cardinality. The published-events counter has one row per
+target subject, so it is an aggregate of its own and stays distributed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowtide.operators import classify as C
+from rowtide.session import materialize
 
 # Metric names, and the upper bounds of the duration buckets.
 EVENTS_TOTAL = "cdc_consumer_events_total"
@@ -22,6 +22,7 @@ LAG_SECONDS = "cdc_consumer_lag_seconds"
 UNHANDLED_FIELDS_TOTAL = "cdc_consumer_unhandled_fields_total"
 DEDUP_CHECKS_TOTAL = "cdc_consumer_deduplication_checks_total"
 DURATION_BUCKETS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
+LATENCY_BUCKET_US = 50_000
 EXTRA_RESULT = {
     "null_record": "typed_data_population_error",
     "type_mismatch": "typed_data_population_error",
@@ -29,10 +30,27 @@ EXTRA_RESULT = {
 }
 
 
+# The outcome columns that metrics read.
+READ = (
+    "result_table",
+    "payload_table",
+    "result",
+    "error_code",
+    "dedup",
+    "disposition",
+    "consumer_id",
+    "target_subject",
+    "unhandled_fields",
+    "duration_s",
+    "received_at",
+    "acked_at",
+)
+_LABELS = ("result_table", "payload_table", "result", "error_code", "dedup")
+
+
 def counter_base(out: DataFrame) -> DataFrame:
-    return out.groupBy(
-        "result_table", "payload_table", "result", "error_code", "dedup", "target_subject"
-    ).agg(F.count("*").alias("n"))
+    """Deliveries by the labels of the small counters; a few hundred rows."""
+    return out.groupBy(*_LABELS).agg(F.count("*").alias("n"))
 
 
 def events_total(base: DataFrame) -> DataFrame:
@@ -65,17 +83,18 @@ def publish_errors_total(base: DataFrame) -> DataFrame:
     )
 
 
-def events_published_total(base: DataFrame) -> DataFrame:
-    """Publish attempts by (subject, status)."""
+def published_base(out: DataFrame) -> DataFrame:
+    """Publish attempts by target subject; a row per chat, so apart from the small counters."""
     status = F.when(F.col("result") == C.PROCESSED, "success").when(
         F.col("result") == C.PUBLISH_ERROR, "failure"
     )
-    return (
-        base.withColumn("status", status)
-        .filter(F.col("status").isNotNull())
-        .groupBy(F.col("target_subject").alias("subject"), "status")
-        .agg(F.sum("n").alias("value"))
-    )
+    tried = out.select(F.col("target_subject").alias("subject"), status.alias("status"))
+    return tried.filter(F.col("status").isNotNull()).groupBy("subject", "status").agg(F.count("*").alias("value"))
+
+
+def events_published_total(out: DataFrame) -> DataFrame:
+    """Publish attempts by (subject, status)."""
+    return published_base(out)
 
 
 def dedup_cache_hits(base: DataFrame) -> DataFrame:
@@ -114,29 +133,36 @@ def processing_histogram(
     the input is not multiplied by the number of buckets. Durations are summed
     as decimals of nanoseconds, which does not depend on row order.
     """
+    base = out.filter(F.col("result") == C.PROCESSED).groupBy("result_table")
+    return _histogram(base.agg(*_duration_parts(duration, buckets)), buckets)
+
+
+def _duration_parts(duration: str, buckets: tuple[float, ...]) -> list[Column]:
+    """Aggregates that add up over any grouping: sum, count and one count per bound."""
     d = F.col(duration)
+    return [
+        F.sum(d.cast("decimal(28,9)")).alias("d_sum"),
+        F.count(d).alias("d_count"),
+        *[F.count_if(d <= F.lit(b)).alias(f"d_le{i}") for i, b in enumerate([*buckets, float("inf")])],
+    ]
+
+
+def _histogram(parts: DataFrame, buckets: tuple[float, ...]) -> DataFrame:
     bounds = [*buckets, float("inf")]
-    counted = (
-        out.filter(F.col("result") == C.PROCESSED)
-        .groupBy(F.col("result_table").alias("table"))
-        .agg(
-            F.sum(d.cast("decimal(28,9)")).alias("_sum"),
-            F.count(d).alias("_count"),
-            *[F.count_if(d <= F.lit(b)).alias(f"_le{i}") for i, b in enumerate(bounds)],
-        )
-    )
+    sums = [F.sum(c).alias(c) for c in ("d_sum", "d_count", *[f"d_le{i}" for i in range(len(bounds))])]
+    counted = parts.groupBy(F.col("result_table").alias("table")).agg(*sums)
     cells = F.array(
         *[
-            F.struct(F.lit(bound_label(b)).alias("le"), F.col(f"_le{i}").alias("bucket_count"))
+            F.struct(F.lit(bound_label(b)).alias("le"), F.col(f"d_le{i}").alias("bucket_count"))
             for i, b in enumerate(bounds)
         ]
     )
-    return counted.select("table", F.explode(cells).alias("c"), "_sum", "_count").select(
+    return counted.select("table", F.explode(cells).alias("c"), "d_sum", "d_count").select(
         "table",
         "c.le",
         "c.bucket_count",
-        F.col("_sum").cast("double").alias("sum_seconds"),
-        F.col("_count").alias("total_count"),
+        F.col("d_sum").cast("double").alias("sum_seconds"),
+        F.col("d_count").alias("total_count"),
     )
 
 
@@ -150,9 +176,30 @@ def consumer_lag(out: DataFrame, delivered: str = "received_at", acked: str = "a
     return out.filter(F.col("disposition") == "ack").groupBy("consumer_id").agg(lag.alias("lag_seconds"))
 
 
+def summary(out: DataFrame) -> DataFrame:
+    """Everything the small metrics need, by their labels, consumer and disposition.
+
+    A few thousand rows whatever the input. Summaries of parts of an outcome
+    table may be put together: all metrics add them up.
+    """
+    lag = F.max(F.unix_micros("acked_at") - F.unix_micros("received_at")).alias("lag_us")
+    return out.groupBy(*_LABELS, "consumer_id", "disposition").agg(
+        F.count("*").alias("n"), lag, *_duration_parts("duration_s", DURATION_BUCKETS)
+    )
+
+
 def metrics_snapshot(out: DataFrame) -> DataFrame:
-    """All metrics in long form ``(metric, labels, value)``."""
-    base = counter_base(out)
+    """All metrics in long form ``(metric, labels, value)``; reads ``out`` three times."""
+    return snapshot_of(materialize(summary(out), "metrics"), published_base(out), unhandled_fields_total(out))
+
+
+def snapshot_of(small: DataFrame, published: DataFrame, drift: DataFrame) -> DataFrame:
+    """The snapshot from summaries, publish attempts by subject and drift counts, each in one or more parts."""
+    base = small.groupBy(*_LABELS).agg(F.sum("n").alias("n"))
+    attempts = published.groupBy("subject", "status").agg(F.sum("value").alias("value"))
+    drifted = drift.groupBy("table", "field").agg(F.sum("value").alias("value"))
+    acked = small.filter(F.col("disposition") == "ack").groupBy("consumer_id")
+    lag = acked.agg((F.max("lag_us") / F.lit(1_000_000)).alias("lag_seconds"))
 
     def rows(df: DataFrame, metric: str, labels: dict[str, str], value: Column) -> DataFrame:
         pairs = [F.lit(p) if i % 2 == 0 else F.col(p) for kv in labels.items() for i, p in enumerate(kv)]
@@ -160,13 +207,13 @@ def metrics_snapshot(out: DataFrame) -> DataFrame:
         return df.select(F.lit(metric).alias("metric"), made.alias("labels"), value.cast("double").alias("value"))
 
     v = F.col("value")
-    histogram = processing_histogram(out)
+    histogram = _histogram(small.filter(F.col("result") == C.PROCESSED), DURATION_BUCKETS)
     totals = histogram.filter(F.col("le") == "+Inf")
     parts = [
         rows(events_total(base), EVENTS_TOTAL, {"table": "table", "result": "result"}, v),
         rows(publish_errors_total(base), PUBLISH_ERRORS_TOTAL, {}, v),
         rows(
-            events_published_total(base),
+            attempts,
             EVENTS_PUBLISHED_TOTAL,
             {"subject": "subject", "status": "status"},
             v,
@@ -174,7 +221,7 @@ def metrics_snapshot(out: DataFrame) -> DataFrame:
         rows(dedup_cache_hits(base), DEDUP_HIT_TOTAL, {"status": "status"}, v),
         rows(dedup_checks_total(base), DEDUP_CHECKS_TOTAL, {"table": "table", "result": "result"}, v),
         rows(
-            unhandled_fields_total(out),
+            drifted,
             UNHANDLED_FIELDS_TOTAL,
             {"table": "table", "field_name": "field"},
             v,
@@ -182,7 +229,7 @@ def metrics_snapshot(out: DataFrame) -> DataFrame:
         rows(histogram, PROCESSING_SECONDS + "_bucket", {"table": "table", "le": "le"}, F.col("bucket_count")),
         rows(totals, PROCESSING_SECONDS + "_sum", {"table": "table"}, F.col("sum_seconds")),
         rows(totals, PROCESSING_SECONDS + "_count", {"table": "table"}, F.col("total_count")),
-        rows(consumer_lag(out), LAG_SECONDS, {"consumer": "consumer_id"}, F.col("lag_seconds")),
+        rows(lag, LAG_SECONDS, {"consumer": "consumer_id"}, F.col("lag_seconds")),
     ]
     snapshot = parts[0]
     for part in parts[1:]:
@@ -209,20 +256,43 @@ def slo_report(
     window: str = "1 hour",
     latency_target_s: float = 0.060,
     throughput_target: float = 5000.0,
-    exact: bool = False,
 ) -> DataFrame:
     """P95 latency and events per second of each time window against targets.
 
-    ``exact`` counts every distinct latency; without it a mergeable sketch of
-    bounded size is used, which fits windows with very many events.
+    The percentile is exact, interpolated between the two nearest latencies.
+    These are found in two steps: a count per window and coarse latency bucket
+    names the buckets that hold them, and only those are ordered, each bounded
+    by the microseconds it spans.
     """
-    seconds = (F.unix_micros("acked_at") - F.unix_micros("received_at")) / F.lit(1_000_000)
+    micros = F.unix_micros("acked_at") - F.unix_micros("received_at")
     timed = out.filter(F.col("result") == C.PROCESSED).select(
-        F.window("received_at", window).alias("w"), seconds.alias("latency_s")
+        F.window("received_at", window).alias("w"), micros.alias("us")
+    )
+    timed = timed.withColumn("b", F.floor(F.col("us") / LATENCY_BUCKET_US))
+    cells = timed.groupBy("w", "b").agg(F.count("*").alias("events"), F.count("us").alias("c"))
+    cells = materialize(cells, "latency-buckets")
+    totals = cells.groupBy("w").agg(F.sum("events").alias("events"), F.sum("c").alias("timed"))
+    totals = totals.withColumn("rank", (F.col("timed") - 1) * F.lit(0.95))
+    ends = totals.withColumns({"low": F.floor("rank"), "high": F.ceil("rank")})
+    before = Window.partitionBy("w").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    placed = cells.filter("c > 0").withColumn("start", F.coalesce(F.sum("c").over(before), F.lit(0)))
+    wanted = placed.join(ends, "w").filter(
+        ((F.col("start") <= F.col("low")) & (F.col("low") < F.col("start") + F.col("c")))
+        | ((F.col("start") <= F.col("high")) & (F.col("high") < F.col("start") + F.col("c")))
     )
-    p95 = F.percentile("latency_s", 0.95) if exact else F.percentile_approx("latency_s", 0.95, 10_000)
+    fine = timed.groupBy("w", "b", "us").agg(F.count("*").alias("n")).join(
+        wanted.select("w", "b", "start", "low", "high"), ["w", "b"]
+    )
+    upto = Window.partitionBy("w", "b").orderBy("us")
+    fine = fine.withColumn("upto", F.col("start") + F.sum("n").over(upto))
+
+    def at(rank: str) -> Column:
+        return F.min(F.when(F.col("upto") > F.col(rank), F.col("us")))
+
+    found = fine.groupBy("w").agg(at("low").alias("below"), at("high").alias("above"))
+    between = F.col("below") + (F.col("above") - F.col("below")) * (F.col("rank") - F.col("low"))
     span = F.unix_timestamp(F.col("w.end")) - F.unix_timestamp(F.col("w.start"))
-    report = timed.groupBy("w").agg(F.count("*").alias("events"), p95.alias("p95_latency_s"))
+    report = ends.join(found, "w", "left").withColumn("p95_latency_s", between / F.lit(1_000_000))
     return report.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),

@@ -26,7 +26,8 @@ def failure_guard(
     threshold after the run's first one. Failures are grouped by the last
     processed event before them, found in two steps so that no task orders a
     whole consumer: inside short time buckets, which hold what one replica can
-    finish in that time, and across the buckets' summaries.
+    finish in that time, and across the buckets' summaries. Events without a
+    consumer are one consumer's; a failure without time counts to its first run.
     """
     done = F.struct(F.unix_micros(at).alias("at"), F.col("stream_seq").alias("seq"))
     events = (
@@ -46,13 +47,14 @@ def failure_guard(
         .agg(F.max(reset_pos).alias("last_reset"), F.count_if(~F.col("resets")).alias("failures"))
         .withColumn("reset_before", F.max("last_reset").over(before))
         .filter("failures > 0")
-        .select("consumer_id", "bucket", "reset_before")
+        .select(F.col("consumer_id").alias("_consumer"), F.col("bucket").alias("_bucket"), "reset_before")
     )
+    there = F.col("consumer_id").eqNullSafe(F.col("_consumer")) & F.col("bucket").eqNullSafe(F.col("_bucket"))
     inside = Window.partitionBy("consumer_id", "bucket").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     runs = (
-        events.join(buckets, ["consumer_id", "bucket"])
+        events.join(buckets, there)
         .withColumn("reset_inside", F.max(reset_pos).over(inside))
         .filter(~F.col("resets"))
         .withColumn("since", F.coalesce("reset_inside", "reset_before"))

@@ -29,7 +29,8 @@ s AS (
   SELECT *, CASE WHEN mt IN ('', 'unknown_table') THEN st ELSE mt END AS shape,
     CASE WHEN x % 20 = 0 THEN 'delete' WHEN x % 20 BETWEEN 1 AND 4 THEN 'update' ELSE 'insert' END AS act,
     (x % 101 = 7 OR x % 199 = 11 OR x % 197 = 13) AS bad_subject,
-    (x % 103 = 5) AS cut FROM m),
+    (x % 103 = 5) AS short,
+    (x % 103 = 5 OR x % 307 = 20 OR x % 311 = 21 OR x % 313 = 22) AS cut FROM m),
 c AS (
   SELECT *,
     CASE WHEN x % 59 = 8 THEN NULL ELSE 'company_' || (user_id % 10) END AS company,
@@ -79,38 +80,39 @@ q AS (
     WHEN mt = '' THEN 4
     WHEN mt NOT IN ({allowed}) THEN 5
     WHEN x % 113 = 1 THEN 6
-    WHEN x % 61 = 4 THEN 7
+    WHEN x % 61 = 4 OR (x % 127 = 30 AND shape <> 'contacts') THEN 7
     WHEN coalesce(pk, '') = '' THEN 8
     WHEN coalesce(company, '') = '' THEN 9
     WHEN coalesce(agent, '') = '' THEN 10
     WHEN mt = 'messages' AND coalesce(chat, '') = '' THEN 11
+    WHEN x % 401 = 33 THEN 12
     ELSE 0 END AS step FROM p),
 d AS (
-  SELECT q.*, v.n, x * 10 + v.n AS seq, us + v.off * 1000000 AS rus,
+  SELECT q.*, v.n, v.cp, x * 10 + v.n AS seq, CASE WHEN x % 401 <> 33 THEN us + v.off * 1000000 END AS rus,
     'c' || (user_id % 4) AS consumer, value / 100 AS dur,
-    us + v.off * 1000000 + CAST(round(value / 100 * 1000000) AS BIGINT) AS aus,
-    NOT (v.n = 0 AND x % 47 = 14) AS sink_ok,
-    strftime(make_timestamp(us + v.off * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS etime,
+    CASE WHEN x % 401 <> 33 THEN us + v.off * 1000000 + CAST(round(value / 100 * 1000000) AS BIGINT) END AS aus,
+    NOT (v.n = 0 AND x % 47 = 14) AS sink_ok, NOT (v.n = 0 AND x % 43 = 15) AS lookup_ok,
+    CASE WHEN x % 401 <> 33 THEN strftime(make_timestamp(us + v.off * 1000000), '%Y-%m-%dT%H:%M:%SZ') END AS etime,
     CASE WHEN step = 0 THEN (1000000 + x) || ':' || mt || ':' || pk END AS eid,
     CASE WHEN step = 0 THEN 'websocket.' || company || '.' || agent || '.' || mt
       || CASE WHEN mt = 'messages' THEN '.' || chat ELSE '' END END AS target
-  FROM q CROSS JOIN (VALUES (0, 0), (1, 60), (2, 400), (3, 500), (4, 300)) v(n, off)
-  WHERE v.n = 0 OR (v.n = 1 AND x % 10 = 0) OR (v.n = 2 AND x % 15 = 0)
+  FROM q CROSS JOIN (VALUES (0, 0, 0), (0, 0, 1), (1, 60, 0), (2, 400, 0), (3, 500, 0), (4, 300, 0)) v(n, off, cp)
+  WHERE (v.n = 0 AND v.cp = 0) OR (v.cp = 1 AND x % 35 = 1) OR (v.n = 1 AND x % 10 = 0) OR (v.n = 2 AND x % 15 = 0)
      OR (v.n = 3 AND x % 45 = 0) OR (v.n = 4 AND x % 50 = 0)),
 o AS (
-  SELECT x, seq, rus, sink_ok, row_number() OVER (PARTITION BY x ORDER BY rus, seq) AS rn
-  FROM d WHERE step = 0),
+  SELECT x, seq, cp, rus, sink_ok, row_number() OVER (PARTITION BY x ORDER BY rus, seq, cp) AS rn
+  FROM d WHERE step = 0 AND lookup_ok),
 f AS (
-  SELECT x, seq, rn, CASE WHEN sink_ok THEN rus END AS anchor, 'miss' AS dedup FROM o WHERE rn = 1
+  SELECT x, seq, cp, rn, CASE WHEN sink_ok THEN rus END AS anchor, 'miss' AS dedup FROM o WHERE rn = 1
   UNION ALL
-  SELECT o.x, o.seq, o.rn,
+  SELECT o.x, o.seq, o.cp, o.rn,
     CASE WHEN o.rus < f.anchor + 300000000 THEN f.anchor WHEN o.sink_ok THEN o.rus ELSE f.anchor END,
     CASE WHEN o.rus < f.anchor + 300000000 THEN 'hit' ELSE 'miss' END
   FROM f JOIN o ON o.x = f.x AND o.rn = f.rn + 1),
 r AS (
   SELECT d.*, f.dedup,
     CASE step WHEN 1 THEN 'error' WHEN 2 THEN 'skipped' WHEN 3 THEN 'unmarshal_error'
-      WHEN 0 THEN CASE WHEN f.dedup = 'hit' THEN 'duplicate' WHEN NOT d.sink_ok THEN 'publish_error'
+      WHEN 0 THEN CASE WHEN NOT d.lookup_ok THEN 'dedup_error' WHEN f.dedup = 'hit' THEN 'duplicate' WHEN NOT d.sink_ok THEN 'publish_error'
         ELSE 'processed' END
       ELSE 'transform_data_error' END AS result,
     CASE WHEN bad_subject THEN 'unknown_subject_format' ELSE st END AS rtable,
@@ -119,13 +121,13 @@ r AS (
     CASE step WHEN 1 THEN 'invalid_subject' WHEN 2 THEN 'table_not_allowed' WHEN 3 THEN 'undecodable'
       WHEN 4 THEN 'empty_table_name' WHEN 5 THEN 'unknown_table' WHEN 6 THEN 'null_record'
       WHEN 7 THEN 'type_mismatch' WHEN 8 THEN 'empty_pk' WHEN 9 THEN 'missing_company_id'
-      WHEN 10 THEN 'empty_agent_id' WHEN 11 THEN 'missing_chat_id' END AS code,
+      WHEN 10 THEN 'empty_agent_id' WHEN 11 THEN 'missing_chat_id' WHEN 12 THEN 'missing_arrival_time' END AS code,
     CASE step WHEN 4 THEN 'empty_metadata_table_name' WHEN 6 THEN 'populate_typed_data'
       WHEN 7 THEN 'unmarshal_to_typed_data' WHEN 8 THEN 'extract_pk' END AS stage,
     CASE WHEN step = 0 OR step >= 8 THEN array_to_string(drift, ',') END AS drift_text
-  FROM d LEFT JOIN f ON f.seq = d.seq),
+  FROM d LEFT JOIN f ON f.seq = d.seq AND f.cp = d.cp),
 z AS (
-  SELECT *, CASE WHEN result = 'publish_error' THEN 'nack' ELSE 'ack' END AS disp FROM r)
+  SELECT *, CASE WHEN result IN ('publish_error', 'dedup_error') THEN 'nack' ELSE 'ack' END AS disp FROM r)
 """
 
 
@@ -202,7 +204,7 @@ def _published(cols: str, tables: tuple[str, ...] = _TABLES, where: str = "") ->
 
 ORACLE: dict[str, str] = {
     "cdc_scan": f"""{_W} SELECT seq AS stream_seq, subject, rus AS received_us, consumer AS consumer_id,
-        sink_ok, dur AS duration_s FROM d""",
+        sink_ok, lookup_ok AS dedup_ok, dur AS duration_s FROM d""",
     "subject_pattern_filter": f"""{_W} SELECT seq AS stream_seq, subject FROM d
         WHERE st IN ('messages', 'agents') AND NOT bad_subject""",
     "parse_subject": f"""{_W} SELECT seq AS stream_seq, subject AS raw,
@@ -228,11 +230,11 @@ ORACLE: dict[str, str] = {
     "unknown_table": _code(5),
     "null_record": _code(6),
     "validate_required": f"""{_W} SELECT seq AS stream_seq, mt AS payload_table,
-        CASE WHEN step >= 8 THEN code END AS failed FROM z WHERE {_FITS}""",
+        CASE WHEN step BETWEEN 8 AND 11 THEN code END AS failed FROM z WHERE {_FITS}""",
     "type_errors": f"""{_W} SELECT seq AS stream_seq, mt AS payload_table, 'id' AS type_errors
         FROM z WHERE step = 7""",
     "quarantine": f"""{_W} SELECT seq AS stream_seq, result, code AS error_code,
-        CASE WHEN cut THEN 20 ELSE 64 END AS preview_bytes FROM z WHERE step <> 0 AND step <> 2""",
+        CASE WHEN short THEN 20 ELSE 64 END AS preview_bytes, true AS whole FROM z WHERE step <> 0 AND step <> 2""",
     "typed_agents": f"""{_W} SELECT seq AS stream_seq, x AS id, agent AS agent_id, company AS company_id,
         CASE WHEN x % 2 = 0 THEN 'online' ELSE 'offline' END AS status, CAST(NULL AS VARCHAR) AS host_name,
         epoch_us(date_trunc('second', ts)) AS created_us FROM z WHERE mt = 'agents' AND {_FITS}""",
@@ -312,20 +314,32 @@ ORACLE: dict[str, str] = {
     "dedup_ttl": f"""{_W} SELECT eid AS event_id, rus AS received_us, seq AS stream_seq FROM z
         WHERE dedup = 'miss' AND sink_ok""",
     "dedup_first": f"""{_W} SELECT eid AS event_id, min(seq) AS stream_seq FROM (
-          SELECT eid, seq, rus, min(rus) OVER (PARTITION BY eid) AS first_us FROM z WHERE step = 0 AND sink_ok)
+          SELECT eid, seq, rus, min(rus) OVER (PARTITION BY eid) AS first_us FROM z
+          WHERE step = 0 AND sink_ok AND lookup_ok)
         WHERE rus = first_us GROUP BY eid""",
     "dedup_flags": f"""{_W} SELECT eid AS event_id, seq AS stream_seq, dedup FROM z
-        WHERE step = 0 AND sink_ok""",
+        WHERE step = 0 AND sink_ok AND lookup_ok""",
+    "dedup_hot_key": """
+        WITH RECURSIVE a AS (
+          SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE 'k' || user_id END AS k, epoch_us(ts) AS us, min(event_id) AS seq
+          FROM events GROUP BY ALL),
+        n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY us) AS rn FROM a),
+        w AS (
+          SELECT k, us, seq, rn, us AS anchor FROM n WHERE rn = 1
+          UNION ALL
+          SELECT n.k, n.us, n.seq, n.rn, CASE WHEN n.us >= w.anchor + 300000000 THEN n.us ELSE w.anchor END
+          FROM w JOIN n ON n.k = w.k AND n.rn = w.rn + 1)
+        SELECT k AS event_id, us AS received_us, seq AS stream_seq FROM w WHERE us = anchor""",
     "failure_guard": f"""{_W}, ordered AS (
           SELECT consumer, aus, result, sum(CASE WHEN result = 'processed' THEN 1 ELSE 0 END) OVER (
             PARTITION BY consumer ORDER BY aus, seq) AS island
-          FROM z WHERE result IN ('processed', 'publish_error'))
+          FROM z WHERE result IN ('processed', 'publish_error', 'dedup_error'))
         SELECT consumer AS consumer_id, min(aus) AS first_us, max(aus) AS last_us, count(*) AS failures,
           max(aus) - min(aus) > 60000000 AS breached
-        FROM ordered WHERE result = 'publish_error' GROUP BY consumer, island""",
+        FROM ordered WHERE result <> 'processed' GROUP BY consumer, island""",
     "redelivery_status": f"""{_W}, msg AS (
           SELECT x AS message, count(*) AS attempts, min(rus) AS first_us, max(rus) AS last_us,
-            arg_max(disp, rus) AS last_disposition, bool_or(disp = 'ack') AS acked FROM z GROUP BY x)
+            coalesce(arg_max(disp, rus), max(disp)) AS last_disposition, bool_or(disp = 'ack') AS acked FROM z GROUP BY x)
         SELECT message, attempts, first_us, last_us, last_disposition,
           CASE WHEN acked THEN 'acked' WHEN attempts >= 3 THEN 'exhausted' ELSE 'pending' END AS status,
           CASE WHEN NOT acked AND attempts < 3 THEN last_us + 30000000 END AS next_us FROM msg""",
@@ -355,13 +369,14 @@ ORACLE |= {
     "src_stream": f"{_W} SELECT seq AS stream_seq, subject, rus AS received_us FROM d",
     "bounded_intake": f"""{_W}, span AS (
           SELECT min(rus) AS low, (max(rus) - min(rus)) // 3 + 1 AS width FROM d)
-        SELECT (rus - low) // width AS part, count(*) AS n, min(seq) AS first_seq FROM d, span GROUP BY 1""",
+        SELECT coalesce((rus - low) // width, 0) AS batch, count(*) AS n, min(seq) AS first_seq FROM d, span GROUP BY 1""",
     "dedup_ttl_stream": ORACLE["dedup_ttl"],
-    "dedup_watermark": f"{_W} SELECT DISTINCT eid AS event_id FROM z WHERE step = 0 AND sink_ok",
+    "dedup_watermark": f"{_W} SELECT DISTINCT eid AS event_id FROM z WHERE step = 0 AND sink_ok AND lookup_ok",
     "streamed_outcomes": ORACLE["outcomes"],
     "sink_routed": _published(
         """eid AS event_id, seq AS stream_seq, company AS company_id, mt AS logical,
         target AS target_subject, etime AS event_time"""
     ),
     "quarantine_stream": ORACLE["quarantine"],
+    "streamed_metrics": ORACLE["metrics_snapshot"],
 }

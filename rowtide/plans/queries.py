@@ -50,7 +50,7 @@ def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_scan(spark, sf_dir):
     return cdc_log(spark, sf_dir).select(
-        SEQ, "subject", _micros("received_at", "received_us"), "consumer_id", "sink_ok", "duration_s"
+        SEQ, "subject", _micros("received_at", "received_us"), "consumer_id", "sink_ok", "dedup_ok", "duration_s"
     )
 
 
@@ -142,12 +142,23 @@ def type_errors(spark, sf_dir):
     return found.select(SEQ, "payload_table", _joined("type_errors"))
 
 
-def quarantine(spark, sf_dir):
-    return C.quarantine(cdc_log(spark, sf_dir)).select(
-        SEQ, "result", "error_code", F.length("preview").alias("preview_bytes")
+def with_whole(rejected: DataFrame, log: DataFrame) -> DataFrame:
+    """Whether the kept body is the one that was captured, and its first bytes' number."""
+    sent = log.select(SEQ, F.col("data").alias("_sent")).distinct()
+    return rejected.join(sent, SEQ).select(
+        SEQ,
+        "result",
+        "error_code",
+        F.length("preview").alias("preview_bytes"),
+        F.col("body").eqNullSafe(F.col("_sent")).alias("whole"),
     )
 
 
+def quarantine(spark, sf_dir):
+    log = cdc_log(spark, sf_dir)
+    return with_whole(C.quarantine(log), log)
+
+
 # -- row images -------------------------------------------------------------------------------
 
 
@@ -350,6 +361,10 @@ def _counter(fn) -> Query:
     return lambda spark, sf_dir: fn(M.counter_base(_outcomes(spark, sf_dir)))
 
 
+def events_published_total(spark, sf_dir):
+    return M.events_published_total(_outcomes(spark, sf_dir))
+
+
 def processing_histogram(spark, sf_dir):
     return M.processing_histogram(_outcomes(spark, sf_dir))
 
@@ -363,19 +378,19 @@ def unhandled_fields_total(spark, sf_dir):
 
 
 def metrics_snapshot(spark, sf_dir):
-    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir).drop("record"), "outcomes"))
+    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir).select(*M.READ), "outcomes"))
     return snapshot.select("metric", M.label_text(F.col("labels")).alias("labels"), "value")
 
 
 def metric_lookup(spark, sf_dir):
-    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir).drop("record"), "outcomes"))
+    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir).select(*M.READ), "outcomes"))
     found = M.metric_lookup(snapshot, M.EVENTS_TOTAL, {"table": "messages", "result": "processed"})
     absent = M.metric_lookup(snapshot, M.EVENTS_TOTAL, {"table": "messages"})
     return found.unionByName(absent).select("metric", M.label_text(F.col("labels")).alias("labels"), "value")
 
 
 def slo_report(spark, sf_dir):
-    report = M.slo_report(_outcomes(spark, sf_dir), window="1 day", latency_target_s=2.0, exact=True)
+    report = M.slo_report(_outcomes(spark, sf_dir), window="1 day", latency_target_s=2.0)
     return report.select(
         _micros("window_start", "window_start_us"),
         "events",
@@ -391,7 +406,7 @@ def slo_report(spark, sf_dir):
 
 def _keys(spark, sf_dir) -> DataFrame:
     """Published deliveries' keys, written once for the passes of deduplication."""
-    routable = _routable(spark, sf_dir).filter("sink_ok")
+    routable = _routable(spark, sf_dir).filter("sink_ok AND dedup_ok")
     return materialize(routable.select("event_id", "received_at", SEQ), "keys")
 
 
@@ -404,6 +419,16 @@ def dedup_first(spark, sf_dir):
     return D.first_deliveries(_keys(spark, sf_dir)).select("event_id", SEQ)
 
 
+def dedup_hot_key(spark, sf_dir):
+    """Accepted arrivals where one key has a third of them: long chains."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    hot = F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("user_id")))
+    rows = events.select(
+        hot.alias("event_id"), F.col("ts").cast("timestamp").alias("received_at"), F.col("event_id").alias(SEQ)
+    )
+    return D.accepted_deliveries(rows).select("event_id", _micros("received_at", "received_us"), SEQ)
+
+
 def dedup_flags(spark, sf_dir):
     return D.flag_deliveries(_keys(spark, sf_dir)).select("event_id", SEQ, "dedup")
 
@@ -522,7 +547,7 @@ QUERIES: dict[str, Query] = {
     "dispositions": dispositions,
     "events_total": _counter(M.events_total),
     "publish_errors_total": _counter(M.publish_errors_total),
-    "events_published_total": _counter(M.events_published_total),
+    "events_published_total": events_published_total,
     "dedup_cache_hits": _counter(M.dedup_cache_hits),
     "dedup_checks_total": _counter(M.dedup_checks_total),
     "processing_histogram": processing_histogram,
@@ -534,6 +559,7 @@ QUERIES: dict[str, Query] = {
     "dedup_ttl": dedup_ttl,
     "dedup_first": dedup_first,
     "dedup_flags": dedup_flags,
+    "dedup_hot_key": dedup_hot_key,
     "failure_guard": failure_guard,
     "redelivery_status": redelivery_status,
     "redelivery_schedule": redelivery_schedule,

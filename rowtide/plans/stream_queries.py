@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.operators import classify as C
+from rowtide.operators.metrics import label_text
+from rowtide.plans.queries import with_whole
 from rowtide.session import shared_dir
 from rowtide.sources.event_log import cdc_log
-from rowtide.sources.logs import LOG_SCHEMA, stream_log
+from rowtide.sources.logs import stream_log
 from rowtide.streaming import run
-from rowtide.streaming.dedup import check_complete, dedup_ttl_stream, dedup_watermark
+from rowtide.streaming.dedup import check_complete, data_batches_only, dedup_ttl_stream, dedup_watermark
 
 PARTS = 3
 
@@ -37,22 +40,25 @@ def work_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/rowtide/stream-{uuid.uuid4().hex}"
 
 
-def capture(spark: SparkSession, sf_dir: str, path: str, parts: int = PARTS) -> str:
-    """Write the log as files that follow each other in time."""
+def capture(spark: SparkSession, sf_dir: str, path: str, parts: int = PARTS, files: int | None = None) -> str:
+    """Write the log as files that follow each other in time, ``files`` for each part if given."""
     log = cdc_log(spark, sf_dir)
     at = F.unix_micros("received_at")
     low, high = log.agg(F.min(at), F.max(at)).first()
     width = (high - low) // parts + 1
     for part in range(parts):
         start = low + part * width
-        rows = log.filter((at >= start) & (at < start + width))
+        rows = log.filter(F.coalesce((at >= start) & (at < start + width), F.lit(part == 0)))
+        rows = rows if files is None else rows.repartition(files)
         rows.withColumn("part", F.lit(part)).write.mode("append").parquet(path)
     return path
 
 
-def _drain(df: DataFrame, work: str, name: str) -> DataFrame:
+def _drain(
+    df: DataFrame, work: str, name: str, check: Callable[[StreamingQuery], None] | None = None
+) -> DataFrame:
     """Run a stream over everything available and read what it wrote."""
-    with state_partitions(df.sparkSession):
+    with state_partitions(df.sparkSession), data_batches_only(df.sparkSession):
         query = (
             df.writeStream.format("parquet")
             .option("path", f"{work}/{name}")
@@ -61,7 +67,8 @@ def _drain(df: DataFrame, work: str, name: str) -> DataFrame:
             .start()
         )
         query.awaitTermination()
-    check_complete(query)
+    if check:
+        check(query)
     return df.sparkSession.read.schema(df.schema).parquet(f"{work}/{name}")
 
 
@@ -74,19 +81,30 @@ def src_stream(spark, sf_dir):
 
 
 def bounded_intake(spark, sf_dir):
-    """What was taken in, one file per trigger, by the part of the log it came from."""
+    """What each trigger took in: two files, which are one part of the log."""
     work = work_dir(spark)
-    log = capture(spark, sf_dir, f"{work}/log")
-    stream = stream_log(spark, log, schema=f"{LOG_SCHEMA}, part int", max_files=1)
-    taken = _drain(stream.select("stream_seq", "part"), work, "taken")
-    return taken.groupBy(F.col("part").cast("bigint").alias("part")).agg(
+    log = capture(spark, sf_dir, f"{work}/log", files=2)
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.select("stream_seq").write.mode("overwrite").parquet(f"{work}/taken/batch={number}")
+
+    query = (
+        stream_log(spark, log, max_files=2)
+        .writeStream.foreachBatch(keep)
+        .option("checkpointLocation", f"{work}/checkpoints/taken")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    taken = spark.read.parquet(f"{work}/taken")
+    return taken.groupBy(F.col("batch").cast("bigint").alias("batch")).agg(
         F.count("*").alias("n"), F.min("stream_seq").alias("first_seq")
     )
 
 
 def _keyed_stream(spark, sf_dir, work) -> DataFrame:
     stream = stream_log(spark, capture(spark, sf_dir, f"{work}/log"), max_files=1)
-    routable = C.classify(stream).filter(F.col("result").isNull() & F.col("sink_ok"))
+    routable = C.classify(stream).filter(F.col("result").isNull() & F.col("sink_ok") & F.col("dedup_ok"))
     return routable.select("event_id", "received_at", "stream_seq")
 
 
@@ -101,7 +119,7 @@ def dedup_ttl_streamed(spark, sf_dir):
 def dedup_watermark_streamed(spark, sf_dir):
     """Event ids that survive the approximate rule: every one of them, at least once."""
     work = work_dir(spark)
-    kept = _drain(dedup_watermark(_keyed_stream(spark, sf_dir, work)), work, "kept")
+    kept = _drain(dedup_watermark(_keyed_stream(spark, sf_dir, work)), work, "kept", check_complete)
     return kept.select("event_id").distinct()
 
 
@@ -149,9 +167,14 @@ def sink_routed(spark, sf_dir):
 def quarantine_streamed(spark, sf_dir):
     work = _settled(spark, sf_dir)
     run.keep_rejected(spark, work)
-    return spark.read.parquet(f"{work}/quarantine").select(
-        "stream_seq", "result", "error_code", F.length("preview").alias("preview_bytes")
-    )
+    return with_whole(spark.read.parquet(f"{work}/quarantine"), cdc_log(spark, sf_dir))
+
+
+def streamed_metrics(spark, sf_dir):
+    work = _settled(spark, sf_dir)
+    run.count_outcomes(spark, work)
+    snapshot = run.metrics_snapshot(spark, work)
+    return snapshot.select("metric", label_text(F.col("labels")).alias("labels"), "value")
 
 
 STREAM_QUERIES = {
@@ -162,4 +185,5 @@ STREAM_QUERIES = {
     "streamed_outcomes": streamed_outcomes,
     "sink_routed": sink_routed,
     "quarantine_stream": quarantine_streamed,
+    "streamed_metrics": streamed_metrics,
 }

@@ -3,7 +3,8 @@
 Each event becomes a row change of one of the processed tables, or of a table
 that is not processed, delivered one to five times. Fixed remainders of the
 event id put every kind of defect into it: bad subjects, broken bodies, wrong
-types, missing keys, unknown tables, failed publishing.
+types, missing keys and times, unknown tables, failed lookups and publishing,
+repeated captures.
 """
 
 from __future__ import annotations
@@ -80,6 +81,7 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_contacts & rem(61, 4), eid)
         .when(is_contacts, F.when(~no_key, _quoted(F.concat(F.lit("contact_"), eid))))
         .when(rem(61, 4), '"abc"')
+        .when(rem(127, 30), F.concat(eid, F.lit(".0000000001")))
         .otherwise(eid)
     )
     day = F.date_format("ts", "yyyy-MM-dd")
@@ -140,7 +142,12 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "ts",
         subject.alias("subject"),
-        F.when(rem(103, 5), F.substring(body, 1, 20)).otherwise(body).alias("data"),
+        F.when(rem(103, 5), F.substring(body, 1, 20))
+        .when(rem(307, 20), F.concat(body, F.lit(',"x":1')))
+        .when(rem(311, 21), F.concat(F.lit('null,"doc":'), body))
+        .when(rem(313, 22), F.concat(body, F.lit(',"__end__":1')))
+        .otherwise(body)
+        .alias("data"),
     )
 
 
@@ -154,6 +161,7 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries = F.array_compact(
         F.array(
             delivery(0, 0, F.lit(True)),
+            delivery(0, 0, x % 35 == 1),  # the same delivery, captured twice
             delivery(1, 60, x % 10 == 0),
             delivery(2, 400, x % 15 == 0),
             delivery(3, 500, x % 45 == 0),
@@ -161,7 +169,7 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     rows = change_events(spark, sf_dir).withColumn("d", F.explode(deliveries))
-    received = F.col("ts") + F.make_dt_interval(secs=F.col("d.offset_s"))
+    received = F.when(x % 401 != 33, F.col("ts") + F.make_dt_interval(secs=F.col("d.offset_s")))
     duration = F.col("value") / F.lit(100)
     timed = rows.select(
         "subject",
@@ -171,6 +179,7 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("c"), (F.col("user_id") % 4).cast("string")).alias("consumer_id"),
         duration.alias("duration_s"),
         (~((F.col("d.number") == 0) & (x % 47 == 14))).alias("sink_ok"),
+        (~((F.col("d.number") == 0) & (x % 43 == 15))).alias("dedup_ok"),
     )
     micros = F.unix_micros("received_at") + F.round(F.col("duration_s") * 1_000_000).cast("bigint")
     return timed.withColumn("acked_at", F.timestamp_micros(micros))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 MAX_FILES_PER_TRIGGER = 100
 LOG_SCHEMA = (
     "subject string, data string, stream_seq bigint, received_at timestamp, "
-    "consumer_id string, duration_s double, sink_ok boolean, acked_at timestamp"
+    "consumer_id string, duration_s double, sink_ok boolean, dedup_ok boolean, acked_at timestamp"
 )
 
 
@@ -34,6 +34,11 @@ def routed_rows(events: DataFrame) -> DataFrame:
     return events.select(F.col("target_subject").alias("key"), F.col("payload").alias("value"))
 
 
+def send(events: DataFrame, fmt: str, **options: str) -> None:
+    """Append events as key and value to any sink Spark can write, for example a message broker's."""
+    routed_rows(events).write.format(fmt).options(**options).mode("append").save()
+
+
 def write_routed(events: DataFrame, path: str) -> None:
     """Events as JSON lines, laid out so that a reader can take one company or stream.
 

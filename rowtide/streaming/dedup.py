@@ -3,22 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rowtide.operators.dedup import DEFAULT_TTL_SECONDS
+from rowtide.session import ship
+
+
+KEEP_SECONDS = 86_400
+_NEVER = np.iinfo(np.int64).min
 
 
 def label_arrivals(at: np.ndarray, opens: np.ndarray, expiry: int, ttl: int) -> tuple[np.ndarray, int]:
     """Which of one key's ordered arrivals are new, and the window's end after them.
 
-    Jumps from one accepted arrival to the first one after its window.
+    ``expiry`` is the end of the last window known, which began a ttl earlier.
+    Arrivals before that beginning are told apart among themselves and leave the
+    window as it is. The rest jumps from one accepted arrival to the first one
+    after its window.
     """
     new = np.zeros(len(at), dtype=bool)
+    if expiry != _NEVER:
+        old = int(np.searchsorted(at, expiry - ttl, side="left"))
+        if old:
+            new[:old], _ = label_arrivals(at[:old], opens[:old], _NEVER, ttl)
     i = int(np.searchsorted(at, expiry, side="left"))
     while i < len(at):
         new[i] = True
@@ -30,10 +43,27 @@ def label_arrivals(at: np.ndarray, opens: np.ndarray, expiry: int, ttl: int) ->
     return new, expiry
 
 
+@contextmanager
+def data_batches_only(spark: SparkSession) -> Iterator[None]:
+    """Start queries so that only data makes them run a batch.
+
+    State that times out on the clock otherwise asks for one batch after the
+    other, and a query that is to end with its input never ends. Timeouts are
+    then looked at along with the next data.
+    """
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def dedup_ttl_stream(
     events: DataFrame,
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
-    watermark_delay: str = "10 minutes",
+    keep_seconds: int = KEEP_SECONDS,
     key: str = "event_id",
     at: str = "received_at",
     seq: str = "stream_seq",
@@ -41,12 +71,15 @@ def dedup_ttl_stream(
 ) -> DataFrame:
     """Add ``dedup`` (``miss`` or ``hit``) to a stream of keyed deliveries.
 
-    The state of a key is the end of its window. It is removed once the
-    watermark has passed that end, after which any arrival is new anyway. The
-    watermark delay must exceed the disorder of arrivals: Spark drops rows that
-    come later than that, see :func:`check_complete`. A third of a micro-batch
-    in one key stays within the bounded intake of the source.
+    The state of a key is the end of its last window. It is removed when the key
+    has not come for ``keep_seconds`` of processing time, so no row is ever
+    dropped for being late: an arrival before the last window is new, since its
+    own window is no longer known, and does not move that window back. A log
+    that is replayed slower than it was recorded needs a longer time. Start a
+    query that ends with its input under :func:`data_batches_only`.
     """
+    if keep_seconds < ttl_seconds:
+        raise ValueError("keep_seconds must be at least ttl_seconds")
     ttl = ttl_seconds * 1_000_000
     columns = events.columns
     output = T.StructType([*events.schema.fields, T.StructField("dedup", T.StringType())])
@@ -61,21 +94,17 @@ def dedup_ttl_stream(
         opens = np.ones(len(rows), dtype=bool)
         if published is not None:
             opens = rows[published].fillna(True).to_numpy(dtype=bool)
-        before = state.get[0] if state.exists else np.iinfo(np.int64).min
+        before = state.get[0] if state.exists else _NEVER
         new, expiry = label_arrivals(micros, opens, before, ttl)
-        if expiry != np.iinfo(np.int64).min:
+        if expiry != _NEVER:
             state.update((expiry,))
-            # Microseconds rounded up to whole milliseconds, and never in the past.
-            state.setTimeoutTimestamp(max(-(-expiry // 1000), state.getCurrentWatermarkMs() + 1))
+            state.setTimeoutDuration(keep_seconds * 1000)
         rows["dedup"] = np.where(new, "miss", "hit")
         yield rows[[*columns, "dedup"]]
 
-    return (
-        events.withWatermark(at, watermark_delay)
-        .groupBy(key)
-        .applyInPandasWithState(
-            label, output, "expiry bigint", "append", GroupStateTimeout.EventTimeTimeout
-        )
+    ship(events.sparkSession)
+    return events.groupBy(key).applyInPandasWithState(
+        label, output, "expiry bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 
@@ -90,7 +119,12 @@ def dedup_watermark(events: DataFrame, delay: str = "5 minutes", key: str = "eve
 
 
 def check_complete(query: StreamingQuery) -> None:
-    """Raise when the watermark made a finished query drop rows."""
+    """Raise when the watermark of :func:`dedup_watermark` made a finished query drop rows.
+
+    Only progress that Spark still remembers is looked at
+    (``spark.sql.streaming.numRecentProgressUpdates``). The exact rule needs no
+    watermark and drops nothing.
+    """
     dropped = sum(
         op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
     )

@@ -2,8 +2,8 @@
 
 One query settles deliveries into an outcome table; its exactly-once file sink
 commits together with the deduplication state, so a failed write replays both
-and loses nothing. The published events and the quarantine are streams over
-that table, and the metrics aggregates of it.
+and loses nothing. The published events, the quarantine and the metrics are streams
+over that table.
 """
 
 from __future__ import annotations
@@ -14,19 +14,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowtide.functions.records import format_rfc3339, payload_json
-from rowtide.operators import classify as C
+from rowtide.operators import classify as C, metrics as M
 from rowtide.operators.dedup import DEFAULT_TTL_SECONDS
 from rowtide.operators.outcomes import settle, with_health
 from rowtide.schemas import DEFAULT_TABLES, TableSpec
 from rowtide.sources.logs import stream_log
-from rowtide.streaming.dedup import check_complete, dedup_ttl_stream
+from rowtide.streaming.dedup import KEEP_SECONDS, data_batches_only, dedup_ttl_stream
 
 
 def stream_outcomes(
     raw: DataFrame,
     tables: Sequence[TableSpec] = DEFAULT_TABLES,
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
-    watermark_delay: str = "10 minutes",
+    keep_seconds: int = KEEP_SECONDS,
     stamp: Column | None = None,
 ) -> DataFrame:
     """Settle a stream of raw messages; routable rows carry their JSON payload."""
@@ -35,14 +35,14 @@ def stream_outcomes(
     routable = F.col("result").isNull()
     rows = classified.withColumn("payload", F.when(routable, payload_json(F.col("event_time")))).drop("record")
     looked_up = rows.filter(routable & F.col("dedup_ok"))
-    flagged = dedup_ttl_stream(looked_up, ttl_seconds, watermark_delay, published="sink_ok")
+    narrow = looked_up.drop("body", "preview")
+    flagged = dedup_ttl_stream(narrow, ttl_seconds, keep_seconds, published="sink_ok")
     rest = rows.filter(~(routable & F.col("dedup_ok"))).withColumn("dedup", F.lit(None).cast("string"))
-    return settle(flagged.unionByName(rest))
+    return settle(flagged.unionByName(rest, allowMissingColumns=True))
 
 
 def _finish(query: StreamingQuery) -> StreamingQuery:
     query.awaitTermination()
-    check_complete(query)
     return query
 
 
@@ -51,13 +51,14 @@ def settle_log(
 ) -> StreamingQuery:
     """Bring the outcome table up to date with the log and stop."""
     out = stream_outcomes(stream_log(spark, source, max_files=max_files), **options)
-    return _finish(
+    writer = (
         out.writeStream.format("parquet")
         .option("path", f"{out_dir}/outcomes")
         .option("checkpointLocation", f"{out_dir}/checkpoints/outcomes")
         .trigger(availableNow=True)
-        .start()
     )
+    with data_batches_only(spark):
+        return _finish(writer.start())
 
 
 def _outcome_stream(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -86,10 +87,40 @@ def keep_rejected(spark: SparkSession, out_dir: str) -> StreamingQuery:
     refused = (C.SUBJECT_ERROR, C.UNMARSHAL_ERROR, C.DATA_ERROR)
     rows = _outcome_stream(spark, out_dir).filter(F.col("result").isin(*refused))
     return _finish(
-        rows.select("stream_seq", "received_at", "subject", "result", "error_code", "error_stage", "preview")
+        rows.select("stream_seq", "received_at", "subject", "result", "error_code", "error_stage", "body", "preview")
         .writeStream.format("parquet")
         .option("path", f"{out_dir}/quarantine")
         .option("checkpointLocation", f"{out_dir}/checkpoints/quarantine")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def count_outcomes(spark: SparkSession, out_dir: str) -> StreamingQuery:
+    """Count new outcomes into the metric tables, a part per micro-batch.
+
+    Parts are sums by label, so a snapshot adds up a few rows per batch and never
+    reads the outcomes again. A batch that is run again replaces its part.
+    """
+
+    def count(batch: DataFrame, number: int) -> None:
+        for name, part in (
+            ("summary", M.summary(batch)),
+            ("published", M.published_base(batch)),
+            ("drift", M.unhandled_fields_total(batch)),
+        ):
+            part.write.mode("overwrite").parquet(f"{out_dir}/metrics/{name}/batch={number}")
+
+    return _finish(
+        _outcome_stream(spark, out_dir)
+        .writeStream.foreachBatch(count)
+        .option("checkpointLocation", f"{out_dir}/checkpoints/metrics")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def metrics_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All metrics as counted so far by :func:`count_outcomes`."""
+    parts = [spark.read.parquet(f"{out_dir}/metrics/{name}") for name in ("summary", "published", "drift")]
+    return M.snapshot_of(*parts)

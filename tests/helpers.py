@@ -6,10 +6,10 @@ import json
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
 MESSAGE = {
-    "agent_id": "agent-123",
-    "chat_id": "chat-456",
-    "message_id": "msg-789",
-    "company_id": "test-company",
+    "agent_id": "agent-a7",
+    "chat_id": "chat-b8",
+    "message_id": "msg-c9",
+    "company_id": "company-d0",
 }
 
 

@@ -34,6 +34,11 @@ CASES = {
     "trailing text": (M, body("messages", msg()) + " x", "undecodable"),
     "trailing brace": (M, body("messages", msg()) + "}", "undecodable"),
     "two values": (M, body("messages", msg()) + "," + body("messages", msg()), "undecodable"),
+    "trailing member": (M, body("messages", msg()) + ',"x":1', "undecodable"),
+    "second document": (M, 'null,"doc":' + body("messages", msg()), "undecodable"),
+    "second end": (M, body("messages", msg()) + ',"__end__":1', "undecodable"),
+    "tiny fraction": (M, body("messages", msg(id=0)).replace('"id": 0', '"id": 12.0000000001'), "type_mismatch"),
+    "whole fraction": (M, body("messages", msg(id=0)).replace('"id": 0', '"id": 12.000'), None),
     "single quotes": (M, body("messages", msg()).replace('"', "'"), "undecodable"),
     "array body": (M, "[1]", "undecodable"),
     "number body": (M, "5", "undecodable"),
@@ -103,8 +108,8 @@ def test_error_code(classified, name):
 
 def test_happy_message(classified):
     row = classified["ok"]
-    assert row.event_id == "1632321:messages:msg-789"
-    assert row.target_subject == "websocket.test-company.agent-123.messages.chat-456"
+    assert row.event_id == "1632321:messages:msg-c9"
+    assert row.target_subject == "websocket.company-d0.agent-a7.messages.chat-b8"
     assert row.unhandled_fields == ["text"]
     assert row.result is None
 
@@ -112,7 +117,7 @@ def test_happy_message(classified):
 def test_payload_table_wins(classified):
     row = classified["mismatch"]
     assert row.event_id == "1632321:contacts:c1"
-    assert row.target_subject == "websocket.test-company.agent-123.contacts"
+    assert row.target_subject == "websocket.company-d0.agent-a7.contacts"
     assert (row.result_table, row.payload_table) == ("messages", "contacts")
 
 
@@ -131,7 +136,7 @@ def test_stage_and_preview(classified):
 
 def test_duplicate_keys_last_wins(spark):
     text = body("messages", msg()).replace('"message_id"', '"message_id":"first","message_id"')
-    assert C.classify(log(spark, [(M, text)])).first().pk == "msg-789"
+    assert C.classify(log(spark, [(M, text)])).first().pk == "msg-c9"
 
 
 def test_subject_parts(spark):

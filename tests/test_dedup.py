@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from helpers import MESSAGE, T0, body, log, subject
+from pyspark.sql import functions as F
 
 from rowtide.operators import dedup as D
 from rowtide.operators.outcomes import outcomes
@@ -49,11 +50,10 @@ def test_worked_example(spark):
     assert sorted(r.stream_seq for r in kept) == [0, 3, 5]
 
 
-@pytest.mark.parametrize("fold_limit", [10_000, 50, 0])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_accepted_on_every_path(spark, seed, fold_limit):
+def test_accepted(spark, seed):
     rows = random_rows(seed)
-    got = D.accepted_deliveries(frame(spark, rows), TTL, fold_limit=fold_limit).collect()
+    got = D.accepted_deliveries(frame(spark, rows), TTL).collect()
     want = [s for s, label in walk(rows).items() if label == "miss"]
     assert sorted(r.stream_seq for r in got) == sorted(want)
 
@@ -62,21 +62,20 @@ def test_long_chain_with_gaps_and_ties(spark):
     rng = random.Random(7)
     times = sorted(rng.choice([0, 10_000, 10_300, 50_000]) + rng.randrange(2000) for _ in range(800))
     rows = [("hot", t, i, True) for i, t in enumerate(times)]
-    got = D.accepted_deliveries(frame(spark, rows), 7, fold_limit=0).collect()
+    got = D.accepted_deliveries(frame(spark, rows), 7).collect()
     want = [s for s, label in walk(rows, 7).items() if label == "miss"]
     assert sorted(r.stream_seq for r in got) == sorted(want)
 
 
 def test_evenly_spaced_chain(spark):
     rows = [("hot", i * 0.5, i, True) for i in range(1000)]
-    got = D.accepted_deliveries(frame(spark, rows), 3, fold_limit=0).collect()
+    got = D.accepted_deliveries(frame(spark, rows), 3).collect()
     assert sorted(r.stream_seq for r in got) == list(range(0, 1000, 6))
 
 
-@pytest.mark.parametrize("fold_limit", [10_000, 0])
-def test_failed_publishing_opens_no_window(spark, fold_limit):
+def test_failed_publishing_opens_no_window(spark):
     rows = random_rows(3, fail=0.5)
-    flagged = D.flag_deliveries(frame(spark, rows), TTL, published="ok", fold_limit=fold_limit)
+    flagged = D.flag_deliveries(frame(spark, rows), TTL, published="ok")
     got = {r.stream_seq: r.dedup for r in flagged.collect()}
     assert got == walk(rows)
 
@@ -87,6 +86,37 @@ def test_rows_without_key_pass_unlabelled(spark):
     assert got == {0: "miss", 1: None, 2: None}
 
 
+def test_a_delivery_captured_twice_is_published_once(spark):
+    rows = [("e", 0, 0, True), ("e", 0, 0, True), ("e", 0, 0, True), ("e", 400, 1, True), ("f", 1, 2, True)]
+    flagged = [(r.stream_seq, r.dedup) for r in D.flag_deliveries(frame(spark, rows), published="ok").collect()]
+    assert sorted(flagged) == [(0, "hit"), (0, "hit"), (0, "miss"), (1, "miss"), (2, "miss")]
+    assert sorted(r.stream_seq for r in D.accepted_deliveries(frame(spark, rows)).collect()) == [0, 1, 2]
+    assert sorted(r.stream_seq for r in D.first_deliveries(frame(spark, rows)).collect()) == [0, 2]
+
+
+def test_rows_without_time_are_no_duplicates(spark):
+    rows = frame(spark, [("e", 0, 0, True), ("e", 1, 1, True)])
+    rows = rows.withColumn("received_at", F.when(F.col("stream_seq") == 0, F.col("received_at")))
+    assert {r.stream_seq: r.dedup for r in D.flag_deliveries(rows).collect()} == {0: "miss", 1: None}
+    same = body("messages", MESSAGE)
+    timeless = log(spark, [(subject("messages"), same, 0)]).withColumn("received_at", F.lit(None).cast("timestamp"))
+    assert [(r.result, r.error_code) for r in outcomes(timeless).collect()] == [
+        ("transform_data_error", "missing_arrival_time")
+    ]
+
+
+def test_arrivals_before_the_window_leave_it(spark):
+    second, ttl = 10**6, TTL * 10**6
+
+    def labels(at, expiry):
+        new, end = label_arrivals(np.array([t * second for t in at]), np.ones(len(at), bool), expiry * second, ttl)
+        return new.tolist(), end // second
+
+    assert labels([500], 1300) == ([True], 1300)
+    assert labels([500, 600, 900, 1000, 1299, 1300], 1300) == ([True, False, True, False, False, True], 1600)
+    assert labels([999], 1300) == ([True], 1300)
+
+
 def test_first_deliveries(spark):
     rows = [("a", 5, 0, True), ("a", 1, 1, True), ("a", 1, 2, True), ("b", 9, 3, True)]
     assert sorted(r.stream_seq for r in D.first_deliveries(frame(spark, rows)).collect()) == [1, 3]
@@ -122,8 +152,6 @@ def test_publish_failure_is_retried(spark):
 
 
 def test_failed_lookup(spark):
-    from pyspark.sql import functions as F
-
     same = body("messages", MESSAGE)
     m = subject("messages")
     rows = log(spark, [(m, same, 0), (m, same, 30)]).withColumn("dedup_ok", F.col("stream_seq") == 1)

@@ -9,6 +9,11 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_module
+from rowtide.plans.oracle import ORACLE
+from rowtide.plans.queries import QUERIES
+from rowtide.plans.stream_queries import STREAM_QUERIES
+
+ALL = QUERIES | STREAM_QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -34,17 +39,18 @@ def _rows(frame: pd.DataFrame) -> list[tuple]:
     return sorted((tuple(plain(v) for v in row) for row in frame.itertuples(index=False)), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query_matches_sql(spark, duck, name):
-    got = entry_module.queries()[name](spark, SF_DIR).toPandas()
-    want = duck.execute(entry_module.oracle_sql()[name]).df()
+    got = ALL[name](spark, SF_DIR).toPandas()
+    want = duck.execute(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert _rows(got) == _rows(want)
     assert len(got) > 0
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(ALL) == set(ORACLE)
+    assert set(ALL) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from helpers import T0
 
@@ -48,6 +49,25 @@ def test_failure_runs(spark, seed, bucket):
     assert shown == runs(rows, 20)
 
 
+def test_failures_without_consumer_or_time_are_kept(spark):
+    rows = [(None, 0, "publish_error"), (None, 5, "dedup_error"), ("c", 1, "publish_error")]
+    out = outcome_rows(spark, rows)
+    got = {r.consumer_id: r.failures for r in G.failure_guard(out).collect()}
+    assert got == {None: 2, "c": 1}
+    timeless = out.withColumn("acked_at", F.when(F.col("stream_seq") > 0, F.col("acked_at")))
+    assert {r.consumer_id: r.failures for r in G.failure_guard(timeless).collect()} == {None: 2, "c": 1}
+
+
+def test_exact_percentile(spark):
+    rng = random.Random(4)
+    waits = [rng.choice([0.01, 0.3, 2.0, 30.0]) * (1 + rng.random()) for _ in range(333)]
+    data = [("processed", T0, T0 + dt.timedelta(seconds=w)) for w in waits]
+    out = spark.createDataFrame(data, "result string, received_at timestamp, acked_at timestamp")
+    row = M.slo_report(out).collect()
+    assert len(row) == 1 and row[0].events == 333
+    assert row[0].p95_latency_s == pytest.approx(float(np.quantile(np.round(waits, 6), 0.95)), abs=2e-6)
+
+
 def test_breach_needs_more_than_the_threshold(spark):
     rows = [("c", 0, "publish_error"), ("c", 900, "publish_error"), ("d", 0, "dedup_error"), ("d", 901, "dedup_error")]
     got = {r.consumer_id: r.breached for r in G.failure_guard(outcome_rows(spark, rows)).collect()}

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import pytest
 from helpers import MESSAGE, body, log, subject
 from pyspark.sql import functions as F
 
 from rowtide.operators.outcomes import outcomes
-from rowtide.session import shared_dir
-from rowtide.sources.logs import routed_rows, stream_log, write_routed
+from rowtide.session import configure, shared_dir
+from rowtide.sources.logs import routed_rows, send, stream_log, write_routed
 from rowtide.streaming import run
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -37,10 +38,44 @@ def test_restart_between_files(spark):
     assert got == want
     published = spark.read.json(f"{work}/published").collect()
     assert sorted(r.stream_seq for r in published) == [0, 4, 7]
-    assert {(r.company_id, r.logical) for r in published} == {("test-company", "messages")}
+    assert {(r.company_id, r.logical) for r in published} == {("company-d0", "messages")}
     assert [r.stream_seq for r in spark.read.parquet(f"{work}/quarantine").collect()] == [2]
 
 
+def test_late_rows_are_settled_and_counted(spark):
+    same, other = body("messages", MESSAGE), body("messages", {**MESSAGE, "message_id": "m2"}, lsn=7)
+    m = subject("messages")
+    work = f"{shared_dir(spark)}/late-{uuid.uuid4().hex}"
+    for part in ([(m, same, 90_000)], [(m, other, 10), (m, same, 500), (m, same, 90_010), (m, "cut", 1)]):
+        rows = log(spark, part).withColumn("stream_seq", F.col("stream_seq") + len(part) * 10)
+        rows.coalesce(1).write.mode("append").parquet(f"{work}/log")
+        run.settle_log(spark, f"{work}/log", work, max_files=1, stamp=F.col("received_at"))
+        run.keep_rejected(spark, work)
+        run.count_outcomes(spark, work)
+    got = {r.stream_seq: r.result for r in spark.read.parquet(f"{work}/outcomes").collect()}
+    assert got == {10: "processed", 40: "processed", 41: "processed", 42: "duplicate", 43: "unmarshal_error"}
+    assert [r.body for r in spark.read.parquet(f"{work}/quarantine").collect()] == ["cut"]
+    streamed = run.metrics_snapshot(spark, work).filter("metric = 'cdc_consumer_events_total'").collect()
+    assert {r.labels["result"]: r.value for r in streamed} == {"processed": 3, "duplicate": 1, "unmarshal_error": 1}
+
+
+def test_wrong_settings_are_refused(spark):
+    rows = log(spark, [(subject("messages"), "{}")])
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        with pytest.raises(ValueError, match="allowDuplicateKeys"):
+            outcomes(rows)
+    finally:
+        configure(spark)
+
+
+def test_any_sink(spark):
+    events = spark.createDataFrame([("websocket.co1.a.chats", "{}")], "target_subject string, payload string")
+    path = f"{shared_dir(spark)}/sent-{uuid.uuid4().hex}"
+    send(events, "parquet", path=path, compression="none")
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("websocket.co1.a.chats", "{}")]
+
+
 def test_intake_is_bounded(spark):
     work = f"{shared_dir(spark)}/intake-{uuid.uuid4().hex}"
     rows = log(spark, [(subject("messages"), "{}", i) for i in range(6)])
