@@ -94,6 +94,8 @@ class Viterbi(dict):
         """Tokens of a text that starts with a space mark."""
         if not text:
             return 0
+        if MARK in text:  # a mark in the text is the same to the tokenizer as a space
+            text = text.replace(MARK, " ")
         if not self.by_word:
             return self.count(MARK + text.replace(" ", MARK))
         if "  " not in text and text[0] != " " and text[-1] != " ":

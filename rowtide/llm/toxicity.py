@@ -267,7 +267,7 @@ def fit_weights(x: np.ndarray, toxic: np.ndarray, total: np.ndarray, rounds: int
 def learn_grammar(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Grammar:
     """Learn from at most about ``fit_rows`` labelled rows outside fold 0."""
     fit = labelled(labels, "toxic", fit_rows)
-    sample = docs.join(F.broadcast(fit), "doc_id").repartition(64, "doc_id")
+    sample = docs.select("doc_id", "text").join(F.broadcast(fit), "doc_id").repartition(64, "doc_id")
     sample = materialize(_texts(sample, "label"), "toxicity-fit")
     start = Grammar(*learn_terminals(sample), prior_weights()[0])
 
