@@ -37,7 +37,7 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 OFFSPRING = 8
-CACHE = 800_000
+CACHE = 600_000
 TOGETHER = 128
 
 
@@ -46,7 +46,8 @@ class WordIds(dict):
 
     The tokenizer drops white space and reads the words between it one by one,
     in lower case, so the ids of a text are those of its words in order. Only
-    marks that are tokens of their own must keep their case.
+    marks that are tokens of their own must keep their case. Letters and the
+    punctuation after them are separate tokens, so they are known separately.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,14 +55,34 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> None:
+        self[word] = None
+        self.new.append(word)
 
     def learn(self, words: list[bytes]) -> None:
-        """Read words that are new, some hundred in one text; offsets tell whose each token is."""
+        whole, ended = [], []
+        for w in words:
+            core = w.rstrip(b".,!?;:")
+            if core != w and core.isalpha():
+                ended.append((w, core, w[len(core) :]))
+            else:
+                whole.append(w)
+        for part in {p for _, *parts in ended for p in parts}:
+            if self.get(part) is None:
+                whole.append(part)
+        self.read(list(dict.fromkeys(whole)))
+        for w, core, end in ended:
+            self[w] = self[core] + self[end]
+
+    def read(self, words: list[bytes]) -> None:
+        """Ask the tokenizer for words, some hundred in one text; offsets tell whose each token is."""
         texts = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         for begin in range(0, len(texts), TOGETHER):
             some = [[w.decode("utf-8") for w in t] for t in texts[begin : begin + TOGETHER]]
-            read = self.tokenizer.encode_batch([" ".join(t) for t in some], add_special_tokens=False)
-            for own, t, e in zip(texts[begin : begin + TOGETHER], some, read, strict=True):
+            found = self.tokenizer.encode_batch([" ".join(t) for t in some], add_special_tokens=False)
+            for own, t, e in zip(texts[begin : begin + TOGETHER], some, found, strict=True):
                 ends = np.cumsum([len(w) + 1 for w in t])
                 whose = np.searchsorted(ends, np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids)), side="right")
                 cuts = (4 * np.cumsum(np.bincount(whose, minlength=len(t)))).tolist()
@@ -71,13 +92,20 @@ class WordIds(dict):
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of whole texts."""
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        new = set().union(*split).difference(self)
-        if len(self) + len(new) > CACHE:
+        if len(self) > CACHE:
             self.clear()
-            new = set().union(*split)
-        self.learn(list(new))
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        parts = [list(map(self.__getitem__, words)) for words in split]
+        if self.new:
+            words, self.new = self.new, []
+            self.learn(words)
+        out = []
+        for words, found in zip(split, parts, strict=True):
+            try:
+                out.append(b"".join(found))
+            except TypeError:  # some were new
+                out.append(b"".join(map(self.__getitem__, words)))
+        return out
 
 
 _KNOWN: dict[str, WordIds] = {}  # stays with the Python worker, for the next task
