@@ -43,6 +43,7 @@ GRAM = 24
 SEGMENT = 1 << 19
 SLICE_BYTES = 1 << 20
 PART_BYTES = 16_000_000
+SEND_BYTES = 5_000_000
 BUCKET_BYTES = 64_000_000
 REFINE_BYTES = 2_000_000
 _G1, _G2, _G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -172,7 +173,7 @@ def _announce(bits: int):
     """Hashes of the grams of all runs, dealt by their highest bits."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, PART_BYTES):
+        for batch in text_slices(batches, SEND_BYTES):
             runs = find_runs(batch.column("text").to_pylist())
             ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
             if not len(runs.text):
@@ -234,7 +235,7 @@ def _send(bits: int):
     """The bytes of the runs in shared buckets; what a batch can settle itself is marked done."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, PART_BYTES):
+        for batch in text_slices(batches, SEND_BYTES):
             texts = batch.column("text").to_pylist()
             runs = find_runs(texts)
             ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
