@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 import xxhash
 
-CACHE = 400_000
+CACHE = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed values: splitmix64
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
