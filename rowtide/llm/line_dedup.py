@@ -139,11 +139,15 @@ def earliest_lines(docs: DataFrame, occurrences: DataFrame) -> DataFrame:
     )
     shared = cells.groupBy("half").agg(F.count("*").alias("lines"), F.max(F.col("own").cast("int")).alias("own"))
     shared = materialize(shared.filter("lines > 1 AND own = 1").select("half"), "line-halves")
+    release(docs.sparkSession)
     some = cells.join(shared, "half").select("line", "n").distinct()
     asked = materialize(lines.select("line", "n", "first").join(some, ["line", "n"]), "line-candidates")
+    release(docs.sparkSession)
     near = _near(_words(docs, asked))
     out = lines.join(near, ["line", "n"], "left").filter((F.col("times") > 1) | F.col("near").isNotNull())
-    return materialize(out.select("line", "n", F.coalesce("near", "first").alias("first")), "lines-first")
+    out = materialize(out.select("line", "n", F.coalesce("near", "first").alias("first")), "lines-first")
+    release(docs.sparkSession)
+    return out
 
 
 def _words(docs: DataFrame, asked: DataFrame) -> DataFrame:
@@ -203,6 +207,7 @@ def _near(lines: DataFrame) -> DataFrame:
     left_out = F.min(F.when(F.col("at") >= 0, F.col("first"))).alias("left_out")
     other = cells.groupBy("key").agg(whole, left_out).filter("whole IS NOT NULL AND left_out IS NOT NULL")
     other = materialize(other, "line-other")
+    release(lines.sparkSession)
     longer = F.when(F.col("at") < 0, F.col("left_out")).otherwise(F.col("whole"))
     found = (
         cells.join(replaced, ["key", "at", "n"])
