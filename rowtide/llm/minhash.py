@@ -295,3 +295,31 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataF
     packed = docs.select(F.col("doc_id").alias("_id"), F.struct(*docs.columns).alias("row"))
     one = packed.join(kept.distinct().withColumnRenamed("doc_id", "_id"), "_id").dropDuplicates(["_id"])
     return one.unionByName(packed.filter(F.col("_id").isNull())).select("row.*")
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+# For shingles of two words.
+SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s FROM w
+), u AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i, any_value(a.n) + any_value(b.n) AS n
+  FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p WHERE 100 * i >= {PERCENT} * (n - i)
+), e AS (
+  SELECT a AS x, b AS y FROM l UNION SELECT b, a FROM l
+), r AS (
+  SELECT DISTINCT x, x AS y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x
+), c AS (
+  SELECT x, min(y) AS least FROM r GROUP BY x
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(least, doc_id) AS component_id, coalesce(least, doc_id) = doc_id AS kept
+FROM s LEFT JOIN c ON c.x = doc_id
+"""

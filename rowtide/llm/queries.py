@@ -81,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op5_minhash": minhash.SQL,
     "op8_suffix_dedup": suffix_dedup.SQL,
     "op9_decontaminate": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,

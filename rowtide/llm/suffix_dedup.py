@@ -484,10 +484,8 @@ WITH d AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), w AS (
   SELECT doc_id, p, h[2 * p + 1:2 * p + {2 * LENGTH}] AS s FROM d, unnest(range(length(h) // 2 - {LENGTH - 1})) AS t(p)
-), f AS (
-  SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)
 ), hit AS (
-  SELECT doc_id, p FROM w JOIN f USING (s) WHERE doc_id > first
+  SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS first FROM w) WHERE doc_id > first
 ), island AS (
   SELECT doc_id, p, sum(gap) OVER (PARTITION BY doc_id ORDER BY p) AS g
   FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= {LENGTH} THEN 0 ELSE 1 END AS gap FROM hit)
