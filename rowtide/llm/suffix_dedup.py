@@ -431,7 +431,8 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     name = f"bytes_{uuid.uuid4().hex}"
     named = firsts_named.withColumnRenamed("sha", "first_sha").repartition(buckets, "doc_id")
     once = plain.withColumn("sha", F.sha2("text", 256)).repartition(buckets, "doc_id").join(named.hint("merge"), "doc_id")
-    once = once.filter(F.col("sha") == F.col("first_sha")).dropDuplicates(["doc_id", "sha"])
+    # A repeated row stays here: rows of one id never cover each other.
+    once = once.filter(F.col("sha") == F.col("first_sha"))
     writer = once.select("doc_id", "version", "sha", "text").write.bucketBy(buckets, "doc_id").sortBy("doc_id")
     writer.option("path", f"{shared_dir(spark)}/rowtide/{name}").saveAsTable(name)
     release(spark)
@@ -449,7 +450,8 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     by_doc = covered.groupBy("doc_id", "version").agg(F.collect_list("ranges").alias("ranges"))
     cut = _with(corpus, by_doc).select("doc_id", "sha", "text", "ranges").mapInArrow(_cut, _CUT)
     more = ("kept", "spans") if texts else ()
-    cut = materialize(cut.select("doc_id", "sha", "n_removed", "n_spans", "kept_sha256", *more), "bytes-cut")
+    cut = cut.select("doc_id", "sha", "n_removed", "n_spans", "kept_sha256", *more).dropDuplicates(["doc_id", "sha"])
+    cut = materialize(cut, "bytes-cut")
     spark.sql(f"DROP TABLE {name}")
     _forget(spark, f"{shared_dir(spark)}/rowtide/{name}")
     drop_table(asked)
