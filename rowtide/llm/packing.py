@@ -37,7 +37,7 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 OFFSPRING = 8
-CACHE = 600_000
+CACHE = 400_000
 TOGETHER = 128
 
 
@@ -123,7 +123,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ids:
     end = np.array([SEPARATOR], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _KNOWN.setdefault(tokenizer, WordIds(tokenizer))
+        if tokenizer not in _KNOWN:
+            _KNOWN[tokenizer] = WordIds(tokenizer)
+        known = _KNOWN[tokenizer]
         item = TaskContext.get().partitionId() << 36
         for batch in text_slices(batches):
             rows, pieces, starts, parts = [], [], [], []
