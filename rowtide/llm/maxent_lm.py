@@ -1,21 +1,29 @@
 """A hashed maximum-entropy language model with a class-factored softmax.
 
-``P(word | history) = P(class | history) * P(word | class)``.
+``P(word | history) = P(class | history) * P(word | class, history)``.
 
 * Words fall into ``CLASSES`` classes: the most frequent ones have one of their
   own, as the end of a text has; the others are clustered by the frequent words
-  near them, rare words through their last bytes. Within a class a word has its
-  smoothed share of the class's tokens in all training texts.
-* The class is predicted by a softmax over features of the last three classes:
-  single, skipped, pairs, a skipped pair and the triple, hashed into a table
-  with a block of slots for each last class.
+  near them, rare words through their last bytes.
+* The class is predicted by a softmax over features of the last three classes
+  (single, skipped, pairs, a skipped pair and the triple, hashed into a table
+  with a block of slots for each last class) and of the last three words
+  themselves: n-grams and skips, hashed into slots (:func:`word_keys`).
+* The word is predicted within its class by softmaxes over the same features of
+  words: first its group in the class, then the word in the group. Without
+  weights each has its smoothed share of the class's tokens. Words that are not
+  among the frequent ones are one group, in which they have their shares.
 
 All statistics cover all training texts: word counts, neighbours of words, and
-how often each class follows each history. Weights are fitted to the latter by
-distributed gradient updates: tasks return the gradient of their histories,
-the driver adds them up, which is the size of the weights whatever the corpus.
-Scoring walks batches in numpy, one softmax for each history that is new in the
-batch.
+how often each class follows each history. Weights of classes are fitted to the
+latter by distributed gradient updates: tasks return the gradient of their
+histories, the driver adds them up.
+
+Weights of words are dealt out by the last word (a frequent one also by the two
+before it) to parts of about ``EVENTS`` tokens, each with ``SLOTS`` slots for
+each softmax, so the table grows with the corpus. No slot is used by two parts:
+gradients are added up by slot within a Spark group, and the weights stay there.
+The same group scores the tokens dealt to it.
 """
 
 from __future__ import annotations
@@ -31,6 +39,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.llm.batches import text_slices
 from rowtide.llm.common import fold_of, materialize, release
+from rowtide.llm.shingles import mix
 from rowtide.session import ship
 
 HEAD = 65_536
@@ -45,6 +54,15 @@ ROUNDS = 12
 LIMIT = 0.4
 CACHE = 400_000
 FEATURES = 7
+EVENTS = 2**19
+SLOT_BITS = 15
+GROUPS = 64
+WORD_FEATURES = 5
+WORD_ROUNDS = 3
+WORD_LIMIT = 1.0
+CHUNK = 16_384
+EVENT = np.dtype([("h", "<u2", 3), ("code", "<u4"), ("member", "<u2")])
+TEXT = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("n", "<i4"), ("learn", "?")])
 
 
 class Words(dict):
@@ -87,11 +105,15 @@ class Lexicon:
     counts: np.ndarray
     types: np.ndarray
 
-    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """For each numbered word its count (-1: not among the frequent) and its type."""
+    def places(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """For each numbered word where it is, and whether it is there at all."""
         at = np.searchsorted(self.hashes, words.hash)
         at[at == len(self.hashes)] = 0
-        known = self.hashes[at] == words.hash if len(self.hashes) else np.zeros(len(at), bool)
+        return at, self.hashes[at] == words.hash if len(self.hashes) else np.zeros(len(at), bool)
+
+    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """For each numbered word its count (-1: not among the frequent) and its type."""
+        at, known = self.places(words)
         count, kind = np.full(len(at), -1, np.int64), TOP + words.affix
         if len(self.hashes):
             count[known] = self.counts[at[known]]
@@ -101,12 +123,23 @@ class Lexicon:
         return count, kind
 
 
+@dataclass(frozen=True)
+class Places:
+    """Where the frequent words stand in their classes, and the softmaxes' logits without weights."""
+
+    group: np.ndarray  # by place in the lexicon; group 0 holds the words that are not in it
+    member: np.ndarray
+    groups: np.ndarray  # classes x GROUPS
+    members: np.ndarray  # classes x GROUPS x members
+    rare: np.ndarray  # by class: log10 of what the count + 1 of a word in group 0 is divided by
+
+
 @dataclass(frozen=True)
 class Model:
     lexicon: Lexicon
     class_of: np.ndarray  # by type
-    share: np.ndarray  # by class: log10 of what a word's count + 1 is divided by
     weights: np.ndarray
+    words: Places
     tokens: int
     vocabulary: int
     ends: int
@@ -344,16 +377,204 @@ def train(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model
             was, now = class_of[TOP + affixes[int(word)]], class_of[kind]
             n[was], v[was] = n[was] - count, v[was] - 1
             n[now], v[now] = n[now] + count, v[now] + 1
-    share = np.log10(n + v + 1)
-    alone = np.arange(CLASSES) < OWN
-    share[alone] = np.log10(n[alone] + 1)  # the only word of its class
-    share[END] = np.log10(ends + 1)
+    of = class_of[lexicon.types]
+    rare = n - np.bincount(of, lexicon.counts, CLASSES) + v - np.bincount(of, minlength=CLASSES) + 1
     tokens, vocabulary = sum(r["n"] for r in sums) + ends, sum(r["v"] for r in sums) + (ends > 0)
     often = n.copy()
     often[END] = ends
     table = materialize(class_counts(training, lexicon, class_of), "lm-histories")
     release(training.sparkSession)
-    return Model(lexicon, class_of, share, fit_weights(table, often, rounds), tokens, vocabulary, ends)
+    return Model(lexicon, class_of, fit_weights(table, often, rounds), word_places(lexicon, class_of, rare), tokens, vocabulary, ends)
+
+
+def word_places(lexicon: Lexicon, class_of: np.ndarray, rare: np.ndarray) -> Places:
+    """Deal the frequent words of each class out to its groups; ``rare``: counts + 1 of all its other words, and 1."""
+    of = class_of[lexicon.types]
+    group, member = np.zeros(len(of), np.int64), np.zeros(len(of), np.int64)
+    for c in range(END + 1, CLASSES):
+        mine = np.flatnonzero(of == c)
+        mine = mine[np.argsort(-lexicon.counts[mine], kind="stable")]
+        group[mine], member[mine] = 1 + np.arange(len(mine)) % (GROUPS - 1), np.arange(len(mine)) // (GROUPS - 1)
+    shares = np.zeros((CLASSES, GROUPS, int(member.max(initial=0)) + 1))
+    some = of > END
+    shares[of[some], group[some], member[some]] = lexicon.counts[some] + 1
+    with np.errstate(divide="ignore"):
+        members = np.log(shares).astype(np.float32)
+        shares[:, 0, 0] = np.maximum(rare, 1)
+        groups = np.log(shares.sum(axis=2)).astype(np.float32)
+    return Places(group, member, groups, members, np.log10(np.maximum(rare, 1)))
+
+
+def word_keys(h: np.ndarray) -> np.ndarray:
+    """Features of the hashes of the last three words, the last first: 1-, 2- and 3-grams, and two that skip words."""
+    one, two, three = h.astype(np.uint64).T
+    kinds = [one, two, two << 16 | one, three << 32 | one, three << 32 | two << 16 | one]
+    return np.stack([x | np.uint64(k << 48) for k, x in enumerate(kinds)])
+
+
+def word_slots(keys: np.ndarray, after: np.ndarray | int = 0) -> np.ndarray:
+    """The slots of features, in the softmax of a class and group given by ``after``."""
+    return (mix(keys ^ mix(np.asarray(after, np.uint64))) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+class WordSoftmax:
+    """A softmax over hashed features of words: a row of weights for each slot."""
+
+    def __init__(self, width: int) -> None:
+        self.weights = np.zeros((1 << SLOT_BITS, width), np.float32)
+        self.seen = np.zeros((1 << SLOT_BITS, width), np.float32)
+        self.mean = np.zeros((1 << SLOT_BITS, width), np.float32)
+
+    def logs(self, start: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        x = start.copy()
+        for s in slots:
+            x += self.weights[s]
+        return log_softmax(x)
+
+    def add(self, start: np.ndarray, slots: np.ndarray, target: np.ndarray, first: bool) -> None:
+        """Add up by slot what is there and what the weights expect."""
+        p = np.exp(self.logs(start, slots))
+        for s in slots:
+            order = np.argsort(s.astype(np.uint16), kind="stable")
+            there = s[order]
+            begin = np.flatnonzero(np.append(True, there[1:] != there[:-1])) if len(there) else np.empty(0, np.int64)
+            if len(begin):
+                self.mean[there[begin]] += np.add.reduceat(p[order], begin, axis=0)
+            if first:
+                cell, n = np.unique(s * self.seen.shape[1] + target, return_counts=True)
+                self.seen.reshape(-1)[cell] += n
+
+    def step(self) -> None:
+        """One gradient update, scaled by a bound of the curvature of each cell and shared by the features of a token."""
+        used = np.flatnonzero(self.seen.any(axis=1))
+        seen, mean, weights = self.seen[used], self.mean[used], self.weights[used]
+        curve = mean * np.maximum(1 - mean / seen.sum(axis=1, keepdims=True), 0)
+        move = (seen - mean - 0.1 * weights) / (curve + 1) / WORD_FEATURES
+        self.weights[used] = weights + np.clip(move, -WORD_LIMIT, WORD_LIMIT)
+        self.mean[:] = 0
+
+
+class WordModel:
+    """The three softmaxes of a part: class, group in the class, word in the group."""
+
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.levels = [WordSoftmax(CLASSES), WordSoftmax(GROUPS), WordSoftmax(model.words.members.shape[2])]
+
+    def parts(self, events: np.ndarray) -> Iterator[tuple[WordSoftmax, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each softmax: which events need it, logits without weights, slots, targets."""
+        places, code = self.model.words, events["code"].astype(np.int64)
+        history, now, group = code >> 12, code >> 6 & 63, code & 63
+        keys = word_keys(events["h"])
+        some, which = np.unique(history, return_inverse=True)
+        start = self.model.weights[features(some)].sum(axis=1)[which]
+        yield self.levels[0], np.arange(len(events)), start, word_slots(keys), now
+        at = np.flatnonzero(now > END)
+        yield self.levels[1], at, places.groups[now[at]], word_slots(keys[:, at], now[at] + 1), group[at]
+        at = at[group[at] > 0]
+        after = (now[at] + 1) << 6 | group[at]
+        yield self.levels[2], at, places.members[now[at], group[at]], word_slots(keys[:, at], after), events["member"][at].astype(np.int64)
+
+    def learn(self, events: np.ndarray, rounds: int = WORD_ROUNDS) -> None:
+        for k in range(rounds if len(events) else 0):
+            for begin in range(0, len(events), CHUNK):
+                for level, _, start, slots, target in self.parts(events[begin : begin + CHUNK]):
+                    level.add(start, slots, target, k == 0)
+            for level in self.levels:
+                level.step()
+
+    def logs(self, events: np.ndarray) -> np.ndarray:
+        """The natural logarithm of each word's probability; of a word in group 0 that of the group."""
+        out = np.zeros(len(events))
+        for begin in range(0, len(events), CHUNK):
+            for level, at, start, slots, target in self.parts(events[begin : begin + CHUNK]):
+                out[begin + at] += level.logs(start, slots)[np.arange(len(at)), target]
+        return out
+
+
+def part_count(tokens: int) -> int:
+    return max(1, -(-tokens // EVENTS))
+
+
+def _deal(model: Model):
+    """For each part the tokens of some texts that fall to it, with the texts they are from."""
+    parts, places = part_count(model.tokens), model.words
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in text_slices(batches):
+            if len(words) > CACHE:
+                words.forget()
+            seen, sizes = words.read(batch.column("text").to_pylist())
+            count, kind = model.lexicon.find(words)
+            at, known = model.lexicon.places(words)
+            text, now, code = histories(model.class_of[kind][seen], sizes)
+            place = np.arange(len(text)) - (np.cumsum(sizes + 1) - sizes - 1)[text]
+            is_word = place < sizes[text]
+
+            def of_words(values: np.ndarray, seen=seen, is_word=is_word) -> np.ndarray:
+                out = np.zeros(len(is_word), values.dtype)
+                out[is_word] = values[seen]
+                return out
+
+            group, member = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+            group[known], member[known] = places.group[at[known]], places.member[at[known]]
+            word, hot = of_words(mix(words.hash)), of_words(count * 4 * parts > model.tokens)
+            before = []
+            for values, lag in ((word, 1), (word, 2), (word, 3), (hot, 1)):
+                x = np.zeros_like(values)
+                x[lag:] = values[:-lag]
+                x[place < lag] = 0
+                before.append(x)
+            one, two, three, split = before
+            part = (mix(one ^ np.where(split, mix(two ^ mix(three + np.uint64(1))), np.uint64(0))) >> np.uint64(20)) % np.uint64(parts)
+            events = np.empty(len(text), EVENT)
+            for k, x in enumerate((one, two, three)):
+                events["h"][:, k] = x >> np.uint64(48)
+            events["code"] = code << 12 | now << 6 | of_words(group)
+            events["member"] = of_words(member)
+            order = np.argsort(part, kind="stable")
+            part, events, text = part[order], events[order], text[order]
+            begin = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (text[1:] != text[:-1]))) if len(text) else np.empty(0, np.int64)
+            texts = np.empty(len(begin), TEXT)
+            for k in ("k1", "k2", "learn"):
+                texts[k] = batch.column(k).to_numpy(zero_copy_only=False)[text[begin]]
+            texts["n"] = np.diff(np.append(begin, len(text)))
+            used, first = np.unique(part, return_index=True)
+            ends = np.append(first[1:], len(part))
+            rows = np.searchsorted(begin, np.append(first, len(part)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(used.astype(np.int32)),
+                    pa.array([events[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
+                    pa.array([texts[a:b].tobytes() for a, b in zip(rows[:-1], rows[1:], strict=True)], pa.binary()),
+                ],
+                ["part", "events", "texts"],
+            )
+
+    return deal
+
+
+def word_scores(docs: DataFrame, model: Model, rounds: int = WORD_ROUNDS) -> DataFrame:
+    """``k1, k2, word_score, tokens`` by text of ``docs`` (text, k1, k2, learn), summed over its copies.
+
+    Each part learns from the tokens of texts to learn from, then scores all of its tokens.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def fit(table: pa.Table) -> pa.Table:
+        def read(name: str, kind: np.dtype) -> np.ndarray:
+            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
+
+        events, texts = read("events", EVENT), read("texts", TEXT)
+        words = WordModel(sent.value)
+        words.learn(events[np.repeat(texts["learn"], texts["n"])], rounds)
+        logs = np.add.reduceat(words.logs(events), np.cumsum(texts["n"]) - texts["n"])
+        return pa.table({"k1": texts["k1"], "k2": texts["k2"], "score": logs / np.log(10), "n": texts["n"].astype(np.int64)})
+
+    dealt = docs.mapInArrow(_deal(model), "part int, events binary, texts binary")
+    scored = dealt.groupBy("part").applyInArrow(fit, "k1 bigint, k2 bigint, score double, n bigint")
+    return scored.groupBy("k1", "k2").agg(F.sum("score").alias("word_score"), F.sum("n").alias("tokens"))
 
 
 def _walk(model: Model):
@@ -368,20 +589,12 @@ def _walk(model: Model):
             count, kind = model.lexicon.find(words)
             n = len(sizes)
             of = model.class_of[kind][seen]
-            text, now, code = histories(of, sizes)
-            history, which = np.unique(code, return_inverse=True)
-            logs = np.empty(len(now))
-            order = np.argsort(which, kind="stable")
-            cuts = np.searchsorted(which[order], np.arange(0, len(history) + 16_384, 16_384))
-            for i, begin in enumerate(range(0, len(history), 16_384)):
-                some = order[cuts[i] : cuts[i + 1]]
-                p = log_softmax(model.weights[features(history[begin : begin + 16_384])].sum(axis=1))
-                logs[some] = p[which[some] - begin, now[some]]
-            scored = np.bincount(text, logs / np.log(10) - model.share[now], n)
             row = np.repeat(np.arange(n), sizes)
             c = count[seen]
             head = c >= 0
             sums = np.bincount(row[head], np.log10(c[head] + 1), n) + np.log10(model.ends + 1)
+            # Softmaxes give frequent words and ends as a whole; of the others the group.
+            scored = -sums - np.bincount(row[~head], model.words.rare[of[~head]], n)
             known = np.bincount(row[head], minlength=n) + (model.ends > 0)
             cell, times = np.unique((row[~head] << 32) | seen[~head], return_counts=True)
             rare = pa.array(np.concatenate([words.hash[cell & 0xFFFFFFFF].view(np.int64), np.zeros(n, np.int64)]),
@@ -410,7 +623,7 @@ def _walk(model: Model):
     return walk
 
 
-def score_texts(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+def score_texts(docs: DataFrame, model: Model, counts: DataFrame, learn: Column) -> DataFrame:
     """``doc_id, n_tokens, n_known, base_score, score`` per row of ``docs``.
 
     Counts of frequent words travel with the model; the others are joined. A
@@ -434,14 +647,19 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         F.sum(F.col("times") * F.log10(n + 1)).alias("sum_rare"),
     )
     rare = materialize(rare, "lm-rare")
-    rows = walked.filter(F.col("word").isNull()).join(rare, ["k1", "k2"], "left")
+    release(docs.sparkSession)
+    texts = _texts(docs, F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"), learn.alias("learn"))
+    by_words = materialize(word_scores(texts, model), "lm-words")
+    release(docs.sparkSession)
+    rows = walked.filter(F.col("word").isNull()).join(rare, ["k1", "k2"], "left").join(by_words, ["k1", "k2"])
     # The rare words of copies were added up together.
     part = F.when(F.col("times") > 0, F.col("times") / F.col("all_rare")).otherwise(0.0)
     sums = F.col("sums") + part * F.coalesce("sum_rare", F.lit(0.0))
     known = F.col("n_known") + F.round(part * F.coalesce("known_rare", F.lit(0))).cast("bigint")
+    score = sums + F.col("scored") + F.col("word_score") * F.col("n_tokens") / F.col("tokens")
     base = sums - F.col("n_tokens") * F.log10(F.lit(model.tokens + model.vocabulary + 1).cast("double"))
     return rows.select(
-        "doc_id", "n_tokens", known.alias("n_known"), base.alias("base_score"), (sums + F.col("scored")).alias("score")
+        "doc_id", "n_tokens", known.alias("n_known"), base.alias("base_score"), score.alias("score")
     )
 
 
@@ -460,7 +678,7 @@ def language_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, rounds:
     counts = materialize(count_words(training), "lm-counts")
     release(docs.sparkSession)
     model = train(training, counts, rounds)
-    scored = score_texts(docs, model, counts)
+    scored = score_texts(docs, model, counts, ~out)
     return scored.select(
         "doc_id",
         out.alias("held_out"),

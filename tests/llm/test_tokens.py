@@ -190,6 +190,59 @@ def test_histories_start_and_end_with_ends():
     assert code.tolist() == [a * k * k + b * k + c for a, b, c in want]
 
 
+def test_words_follow_the_words_before_them(spark):
+    dice = random.Random(3)
+    pairs = [(f"x{k}q", f"y{k}q") for k in range(120)]
+    rows = [(d, " ".join("of %s %s of" % dice.choice(pairs) for _ in range(30))) for d in range(600)]
+    held = [d for d in range(600, 800) if zlib.crc32(str(d).encode()) % 7 == 2][:2]
+    order = dice.sample(range(120), 120)
+    for d, shift in zip(held, (0, 1), strict=True):
+        rows.append((d, " ".join(f"of x{k}q y{order[i - shift]}q of" for i, k in enumerate(order))))
+    got = {r["doc_id"]: r for r in maxent_lm.language_scores(spark.createDataFrame(rows, DOC)).collect()}
+    right, wrong = got[held[0]], got[held[1]]
+    assert abs(right["base_score"] - wrong["base_score"]) < 1e-6
+    assert (right["score"] - wrong["score"]) / 120 > 1
+
+
+def word_model() -> maxent_lm.WordModel:
+    dice = np.random.default_rng(2)
+    types = np.array([*range(50), *(maxent_lm.TOP + dice.integers(0, maxent_lm.AFFIXES, 3_000))])
+    lexicon = maxent_lm.Lexicon(np.sort(dice.integers(1, 2**63, len(types)).astype(np.uint64)), dice.integers(1, 90, len(types)), types)
+    of = np.append(np.arange(maxent_lm.OWN), dice.integers(maxent_lm.END + 1, maxent_lm.CLASSES, maxent_lm.TOP + maxent_lm.AFFIXES - maxent_lm.OWN))
+    rare = np.full(maxent_lm.CLASSES, 9.0)
+    weights = dice.normal(size=(maxent_lm.ROWS, maxent_lm.CLASSES)).astype(np.float32)
+    return maxent_lm.WordModel(maxent_lm.Model(lexicon, of, weights, maxent_lm.word_places(lexicon, of, rare), 1, 1, 1))
+
+
+def every_word(model: maxent_lm.WordModel) -> np.ndarray:
+    """The end, each word of the lexicon and the rest of each class, after one history."""
+    places, of = model.model.words, model.model.class_of[model.model.lexicon.types]
+    spare = np.arange(maxent_lm.END + 1, maxent_lm.CLASSES)
+    own = np.arange(maxent_lm.END + 1)
+    of, group, member = (np.concatenate(x) for x in zip((of[of > maxent_lm.END], places.group[of > maxent_lm.END], places.member[of > maxent_lm.END]), (spare, spare * 0, spare * 0), (own, own * 0, own * 0), strict=True))
+    events = np.zeros(len(of), maxent_lm.EVENT)
+    events["h"] = [7, 8, 9]
+    events["code"], events["member"] = 1234 << 12 | of << 6 | group, member
+    return events
+
+
+def test_word_probabilities_add_up():
+    model = word_model()
+    for level in model.levels:
+        level.weights[:] = np.random.default_rng(4).normal(size=level.weights.shape)
+    assert np.isclose(np.exp(model.logs(every_word(model))).sum(), 1, atol=1e-4)
+
+
+def test_word_weights_learn_and_grow_with_the_corpus():
+    model = word_model()
+    events = every_word(model)
+    before = model.logs(events)[5]
+    model.learn(np.repeat(events[5:6], 300))
+    after = model.logs(events)
+    assert after[5] > before + 1 and np.isclose(np.exp(after).sum(), 1, atol=1e-4)
+    assert [maxent_lm.part_count(n) for n in (0, 1, maxent_lm.EVENTS + 1, 10 * maxent_lm.EVENTS)] == [1, 1, 2, 10]
+
+
 @pytest.mark.parametrize("size", [1, 3, 100])
 def test_frequent_words_fit_their_bound(spark, size):
     counts = spark.createDataFrame([(i, i % 7, 1 + i // 3) for i in range(60)], "word bigint, affix bigint, n bigint")
