@@ -10,7 +10,9 @@ packing migrates to the next island of its shard through a join. The best of a
 shard's islands places its pieces.
 
 The number of shards grows with the number of pieces, so each task's work is
-bounded, and the loss at the rims of shards is half a sequence each.
+bounded. The emptiest sequence of each shard is unpacked and packed with those
+of the others in a second, far smaller round of shards, and so on until one
+shard is left.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import random
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -290,16 +293,9 @@ def _epoch(capacity: int, number: int):
 _STATE = "shard bigint, island int, items array<bigint>, sizes array<int>, elite array<int>, fitness array<double>"
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``item, sequence_id, offset`` for written ``pieces`` (item, length up to ``capacity``).
-
-    Empty input packs into nothing. The outcome depends on the items and lengths
-    only, not on the order of rows.
-    """
-    ship(pieces.sparkSession)
-    shards = 1 + pieces.count() // SHARD_PIECES
-    dealt = pieces.select("item", F.col("length").cast("int").alias("size"))
-    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)))
+def _pack_shards(pieces: DataFrame, capacity: int, shards: int, first: int, label: str) -> DataFrame:
+    """``shard, bin, in``: the sequences of ``pieces`` (item, size), dealt to ``shards`` numbered from ``first``."""
+    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(shards)) + first)
     # A shard's pieces are few whatever the input: their number is set, not found.
     grouped = dealt.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("item", "size"))).alias("s"))
     state = grouped.select(
@@ -313,7 +309,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     for number in range(EPOCHS):
         tasks = max(1, min(shards * ISLANDS, 10_000))
         spread = state.repartition(tasks, "shard", "island")
-        now = materialize(spread.mapInPandas(_epoch(capacity, number), _STATE), f"packing-{number}")
+        now = materialize(spread.mapInPandas(_epoch(capacity, number), _STATE), f"{label}-{number}")
         guests = now.select("shard", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.col("elite").alias("guest"))
         state = now.drop("fitness").join(guests, ["shard", "island"])
         state = state.select("shard", "island", "items", "sizes", "elite", "guest")
@@ -324,9 +320,38 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         "shard",
         F.inline(F.arrays_zip(F.col("b.items").alias("item"), F.col("b.sizes").alias("size"), F.col("b.elite").alias("bin"))),
     )
-    return placed.select("shard", "item", "size", "bin").groupBy("shard", "bin").agg(
-        F.sort_array(F.collect_list(F.struct("item", "size"))).alias("in")
-    ).select(
+    return placed.groupBy("shard", "bin").agg(F.sort_array(F.collect_list(F.struct("item", "size"))).alias("in"))
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """``item, sequence_id, offset`` for written ``pieces`` (item, length up to ``capacity``).
+
+    The emptiest sequence of each shard is unpacked, and its pieces are packed
+    with those of the other shards, until one shard is left. Empty input packs
+    into nothing. The outcome depends on the items and lengths only, not on the
+    order of rows.
+    """
+    ship(pieces.sparkSession)
+    left = pieces.select("item", F.col("length").cast("int").alias("size"))
+    there, first, done = left.count(), 0, []
+    while True:
+        shards = 1 + there // SHARD_PIECES
+        bins = _pack_shards(left, capacity, shards, first, f"packing-{first}")
+        if shards == 1:
+            done.append(bins)
+            break
+        bins = materialize(bins, f"packing-bins-{first}")
+        fill = F.aggregate("in", F.lit(0).cast("bigint"), lambda a, x: a + x["size"])
+        emptiest = bins.groupBy("shard").agg(F.min_by("bin", F.struct(fill, "bin")).alias("bin"))
+        emptiest = materialize(emptiest, f"packing-rims-{first}")
+        done.append(bins.join(emptiest, ["shard", "bin"], "left_anti"))
+        left = bins.join(emptiest, ["shard", "bin"], "left_semi").select(F.inline("in"))
+        left = materialize(left, f"packing-left-{first}")
+        before, there, first = there, left.count(), first + shards
+        if there == before:  # a sequence a shard: nothing to gain
+            done[-1] = bins
+            break
+    return reduce(DataFrame.unionByName, done).select(
         (F.col("shard") * (1 << 20) + F.col("bin")).alias("sequence_id"),
         F.posexplode("in").alias("k", "s"),
         "in",

@@ -113,6 +113,14 @@ def test_packing_holds_every_piece(spark):
         assert whole[r["sequence_id"]][r["offset"] : r["offset"] + r["length"]] == r["ids"]
 
 
+def test_sequences_at_shard_rims_are_packed_together(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_PIECES", 60)
+    pieces = materialize(spark.range(700).selectExpr("id AS item", "30 AS length"), "test-pieces")
+    rows = pieces.join(packing.pack(pieces, 300), "item").collect()
+    assert sorted(r["item"] for r in rows) == list(range(700))
+    assert check_packing(rows, 300) <= 71
+
+
 def test_packing_nothing(spark):
     empty = spark.createDataFrame([], DOC)
     assert packing.pack_documents(empty, WORDS).count() == 0
