@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowtide.llm import decontaminate, line_dedup, maxent_lm, minhash, packing, quality_rules, quality_trees, suffix_dedup, token_counts, toxicity
+from rowtide.llm import (
+    conversation_repair,
+    decontaminate,
+    lexical_search,
+    line_dedup,
+    maxent_lm,
+    minhash,
+    packing,
+    quality_rules,
+    quality_trees,
+    source_mix,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from rowtide.llm.common import read
 
 
@@ -67,6 +81,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs).select("doc_id", "n_lines", "n_removed", kept)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = read(spark, sf_dir, "conversations")
+    return conversation_repair.structure_report(conversation_repair.damage(talks), talks)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_sources(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -78,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_line_dedup": op10_line_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_source_mix": op13_source_mix,
 }
 
 ORACLE: dict[str, str] = {
@@ -85,4 +115,6 @@ ORACLE: dict[str, str] = {
     "op8_suffix_dedup": suffix_dedup.SQL,
     "op9_decontaminate": decontaminate.SQL,
     "op10_line_dedup": line_dedup.SQL,
+    "op12_lexical_search": lexical_search.SQL,
+    "op13_source_mix": source_mix.SQL,
 }

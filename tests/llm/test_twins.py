@@ -16,6 +16,11 @@ COLUMNS = {
     "op5_minhash": ["doc_id", "n_shingles", "component_id", "kept"],
     "op6_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op7_maxent_lm": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op11_conversation_repair": [
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    ],
+    "op12_lexical_search": ["item_id", "rank", "doc_id", "score"],
+    "op13_source_mix": ["doc_id", "source", "size", "source_size", "target", "taken"],
     "op8_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
 }
 
@@ -35,8 +40,8 @@ def test_query_matches_sql(spark, name):
 
 
 def test_contract_columns_come_first(spark):
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
-    for name in ("op1_quality_rules", "op2_toxicity", "op4_quality_trees", "op6_packing"):
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
+    for name in ("op1_quality_rules", "op2_toxicity", "op4_quality_trees", "op6_packing", "op11_conversation_repair", "op12_lexical_search", "op13_source_mix"):
         assert QUERIES[name](spark, SF).columns[: len(COLUMNS[name])] == COLUMNS[name]
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
     assert set(ORACLE) <= set(entry_module.oracle_sql())
