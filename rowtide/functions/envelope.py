@@ -59,8 +59,14 @@ def parse_body(data: Column) -> Column:
 
 
 def is_alone(data: Column) -> Column:
-    """True if the body is one value, without further members after it."""
-    return F.json_object_keys(_outer(data)) == F.array(F.lit("doc"), F.lit("__end__"))
+    """True if the body is one value, with nothing after it.
+
+    A body that goes on with further members shows as a further key of the outer
+    object; one that closes the outer object itself, and so hides what follows
+    from the reader, is no single array element.
+    """
+    keys = F.json_object_keys(_outer(data)) == F.array(F.lit("doc"), F.lit("__end__"))
+    return keys & F.coalesce(F.json_array_length(F.concat(F.lit("["), data, F.lit("]"))) == 1, F.lit(False))
 
 
 def last_of_each_key(record: Column, data: Column) -> Column:

@@ -188,6 +188,25 @@ def summary(out: DataFrame) -> DataFrame:
     )
 
 
+def merge_summaries(parts: DataFrame) -> DataFrame:
+    """Summaries of several parts as one."""
+    adds = [c for c in parts.columns if c == "n" or c.startswith("d_")]
+    sums = [F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in adds]
+    return parts.groupBy(*_LABELS, "consumer_id", "disposition").agg(F.max("lag_us").alias("lag_us"), *sums)
+
+
+def lag_part(out: DataFrame) -> DataFrame:
+    """The largest delivery-to-ack latency per consumer of one batch."""
+    lag = F.max(F.unix_micros("acked_at") - F.unix_micros("received_at")).alias("lag_us")
+    return out.filter(F.col("disposition") == "ack").groupBy("consumer_id").agg(lag)
+
+
+def last_lag(parts: DataFrame) -> DataFrame:
+    """A gauge: what the last batch with a value says, not a sum or maximum over batches."""
+    timed = parts.filter(F.col("lag_us").isNotNull()).groupBy("consumer_id")
+    return timed.agg((F.max_by("lag_us", "batch") / F.lit(1_000_000)).alias("lag_seconds"))
+
+
 def metrics_snapshot(out: DataFrame) -> DataFrame:
     """All metrics in long form ``(metric, labels, value)``; reads ``out`` three times."""
     return snapshot_of(materialize(summary(out), "metrics"), published_base(out), unhandled_fields_total(out))
@@ -268,9 +287,12 @@ def slo_report(
     timed = out.filter(F.col("result") == C.PROCESSED).select(
         F.window("received_at", window).alias("w"), micros.alias("us")
     )
+    # Counted by latency and written once: the input may be a long chain of joins.
+    timed = materialize(timed.groupBy("w", "us").agg(F.count("*").alias("n")), "latencies")
     timed = timed.withColumn("b", F.floor(F.col("us") / LATENCY_BUCKET_US))
-    cells = timed.groupBy("w", "b").agg(F.count("*").alias("events"), F.count("us").alias("c"))
-    cells = materialize(cells, "latency-buckets")
+    cells = timed.groupBy("w", "b").agg(
+        F.sum("n").alias("events"), F.coalesce(F.sum(F.when(F.col("us").isNotNull(), F.col("n"))), F.lit(0)).alias("c")
+    )
     totals = cells.groupBy("w").agg(F.sum("events").alias("events"), F.sum("c").alias("timed"))
     totals = totals.withColumn("rank", (F.col("timed") - 1) * F.lit(0.95))
     ends = totals.withColumns({"low": F.floor("rank"), "high": F.ceil("rank")})
@@ -280,9 +302,7 @@ def slo_report(
         ((F.col("start") <= F.col("low")) & (F.col("low") < F.col("start") + F.col("c")))
         | ((F.col("start") <= F.col("high")) & (F.col("high") < F.col("start") + F.col("c")))
     )
-    fine = timed.groupBy("w", "b", "us").agg(F.count("*").alias("n")).join(
-        wanted.select("w", "b", "start", "low", "high"), ["w", "b"]
-    )
+    fine = timed.join(wanted.select("w", "b", "start", "low", "high"), ["w", "b"])
     upto = Window.partitionBy("w", "b").orderBy("us")
     fine = fine.withColumn("upto", F.col("start") + F.sum("n").over(upto))
 
@@ -302,3 +322,18 @@ def slo_report(
         (F.col("p95_latency_s") <= latency_target_s).alias("latency_met"),
         (F.col("events") / span >= throughput_target).alias("throughput_met"),
     )
+
+
+# What a micro-batch counts, and how the parts of many batches become one.
+PARTS = {
+    "summary": summary,
+    "published": published_base,
+    "drift": unhandled_fields_total,
+    "lag": lag_part,
+}
+FOLDS = {
+    "summary": merge_summaries,
+    "published": lambda parts: parts.groupBy("subject", "status").agg(F.sum("value").alias("value")),
+    "drift": lambda parts: parts.groupBy("table", "field").agg(F.sum("value").alias("value")),
+    "lag": lambda parts: parts.groupBy("consumer_id").agg(F.max_by("lag_us", "batch").alias("lag_us")),
+}

@@ -50,22 +50,40 @@ def with_health(classified: DataFrame) -> DataFrame:
     return out
 
 
+KEYS = ("event_id", "received_at", "stream_seq", "sink_ok", "dedup_ok", "result")
+ROW = "_row"
+
+
 def outcomes(
     raw: DataFrame,
     tables: Sequence[TableSpec] = DEFAULT_TABLES,
     ttl_seconds: int = DEFAULT_TTL_SECONDS,
+    columns: Sequence[str] | None = None,
+    windows: DataFrame | None = None,
 ) -> DataFrame:
     """Classify, deduplicate and settle every delivery of a captured log.
 
     Exactly one row per input row. The classified rows are written to the shared
-    folder once, so the JSON is decoded once and deduplication reads only its
-    three columns of them.
+    folder once, so the JSON is decoded once; deduplication reads only keys and
+    row numbers of them. ``columns`` names what the caller wants of the result:
+    other columns of the classification are neither computed nor written.
+    ``windows`` are deliveries accepted in earlier logs.
     """
-    has_failures = "sink_ok" in raw.columns or "dedup_ok" in raw.columns
-    staged = materialize(with_health(C.classify(raw, tables)), "classified")
-    if not has_failures:
-        return settle(flag_deliveries(staged, ttl_seconds))
+    classified = with_health(C.classify(raw, tables))
+    if columns is not None:
+        wanted = [n for n in classified.columns if n in columns or n in KEYS]
+        classified = classified.select(*wanted)
+    staged = materialize(classified.withColumn(ROW, F.monotonically_increasing_id()), "classified")
+    settled = settle(flag_staged(staged, ttl_seconds, windows))
+    return settled if columns is None else settled.select(*columns)
+
+
+def flag_staged(staged: DataFrame, ttl_seconds: int = DEFAULT_TTL_SECONDS, windows: DataFrame | None = None) -> DataFrame:
+    """Add ``dedup`` to a written table of classified rows with numbers in ``ROW``, which goes."""
     # A delivery whose lookup failed never reaches the window state.
     looked_up = staged.withColumn("event_key", F.when(F.col("dedup_ok"), F.col("event_id")))
-    flagged = flag_deliveries(looked_up, ttl_seconds, key="event_key", published="sink_ok")
-    return settle(flagged.drop("event_key"))
+    windows = windows if windows is None else windows.withColumnRenamed("event_id", "event_key")
+    flagged = flag_deliveries(
+        looked_up, ttl_seconds, key="event_key", published="sink_ok", windows=windows, row=ROW
+    )
+    return flagged.drop("event_key", ROW)

@@ -30,7 +30,8 @@ s AS (
     CASE WHEN x % 20 = 0 THEN 'delete' WHEN x % 20 BETWEEN 1 AND 4 THEN 'update' ELSE 'insert' END AS act,
     (x % 101 = 7 OR x % 199 = 11 OR x % 197 = 13) AS bad_subject,
     (x % 103 = 5) AS short,
-    (x % 103 = 5 OR x % 307 = 20 OR x % 311 = 21 OR x % 313 = 22) AS cut FROM m),
+    (x % 103 = 5 OR x % 307 = 20 OR x % 311 = 21 OR x % 313 = 22
+      OR x % 317 = 23 OR x % 331 = 24) AS cut FROM m),
 c AS (
   SELECT *,
     CASE WHEN x % 59 = 8 THEN NULL ELSE 'company_' || (user_id % 10) END AS company,
@@ -380,3 +381,23 @@ ORACLE |= {
     "quarantine_stream": ORACLE["quarantine"],
     "streamed_metrics": ORACLE["metrics_snapshot"],
 }
+
+_LAST_SENT = """
+  SELECT eid, arg_max(seq, (rus, seq)) AS seq, any_value(company) AS company, any_value(mt) AS mt, any_value(target) AS target
+  FROM z WHERE result = 'processed' GROUP BY eid"""
+
+ORACLE |= {
+    "dedup_state_stream": ORACLE["dedup_ttl"],
+    "dedup_continued": ORACLE["dedup_ttl"],
+    "upsert_events": f"""{_W} SELECT eid AS event_id, seq AS stream_seq, company AS company_id, mt AS logical,
+        target AS target_subject FROM ({_LAST_SENT})""",
+    "pipeline_stream": f"""{_W} SELECT 'events' AS sink, eid AS id, CAST(seq AS DOUBLE) AS value FROM ({_LAST_SENT})
+        UNION ALL SELECT 'quarantine', code, count(*) FROM z WHERE step <> 0 AND step <> 2 GROUP BY code
+        UNION ALL SELECT 'metrics', CASE labels WHEN '' THEN metric || '|' ELSE metric || '|' || labels END, value
+        FROM ({_SNAPSHOT})""",
+    "lag_gauge": f"""{_W}, span AS (
+          SELECT min(rus) AS low, (max(rus) - min(rus)) // 3 + 1 AS width FROM d),
+        parts AS (SELECT consumer, (rus - low) // width AS part, max(aus - rus) AS lag FROM z, span
+          WHERE disp = 'ack' AND rus IS NOT NULL GROUP BY ALL)
+        SELECT consumer AS consumer_id, arg_max(lag, part) / 1000000 AS lag_seconds FROM parts GROUP BY consumer""",
+}

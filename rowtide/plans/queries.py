@@ -35,8 +35,9 @@ def _routable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.classify(cdc_log(spark, sf_dir)).filter(F.col("result").isNull())
 
 
-def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcomes(cdc_log(spark, sf_dir))
+def _outcomes(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Outcomes with the named columns; deduplication writes no others."""
+    return outcomes(cdc_log(spark, sf_dir), columns=columns)
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,9 +328,7 @@ def payload_json(spark, sf_dir):
 
 
 def outcomes_query(spark, sf_dir):
-    return _outcomes(spark, sf_dir).select(
-        SEQ,
-        _micros("received_at", "received_us"),
+    kept = (
         "consumer_id",
         "subject_table",
         "payload_table",
@@ -340,8 +339,9 @@ def outcomes_query(spark, sf_dir):
         "error_code",
         "disposition",
         "dedup",
-        _joined("unhandled_fields"),
     )
+    out = _outcomes(spark, sf_dir, SEQ, "received_at", *kept, "unhandled_fields")
+    return out.select(SEQ, _micros("received_at", "received_us"), *kept, _joined("unhandled_fields"))
 
 
 def error_details(spark, sf_dir):
@@ -350,7 +350,7 @@ def error_details(spark, sf_dir):
 
 
 def dispositions(spark, sf_dir):
-    out = _outcomes(spark, sf_dir)
+    out = _outcomes(spark, sf_dir, "result", "disposition")
     return out.groupBy("result", "disposition").agg(F.count("*").alias("n"))
 
 
@@ -358,19 +358,19 @@ def dispositions(spark, sf_dir):
 
 
 def _counter(fn) -> Query:
-    return lambda spark, sf_dir: fn(M.counter_base(_outcomes(spark, sf_dir)))
+    return lambda spark, sf_dir: fn(M.counter_base(_outcomes(spark, sf_dir, *M.READ)))
 
 
 def events_published_total(spark, sf_dir):
-    return M.events_published_total(_outcomes(spark, sf_dir))
+    return M.events_published_total(_outcomes(spark, sf_dir, *M.READ))
 
 
 def processing_histogram(spark, sf_dir):
-    return M.processing_histogram(_outcomes(spark, sf_dir))
+    return M.processing_histogram(_outcomes(spark, sf_dir, *M.READ))
 
 
 def consumer_lag(spark, sf_dir):
-    return M.consumer_lag(_outcomes(spark, sf_dir))
+    return M.consumer_lag(_outcomes(spark, sf_dir, *M.READ))
 
 
 def unhandled_fields_total(spark, sf_dir):
@@ -378,19 +378,19 @@ def unhandled_fields_total(spark, sf_dir):
 
 
 def metrics_snapshot(spark, sf_dir):
-    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir).select(*M.READ), "outcomes"))
+    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir, *M.READ), "outcomes"))
     return snapshot.select("metric", M.label_text(F.col("labels")).alias("labels"), "value")
 
 
 def metric_lookup(spark, sf_dir):
-    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir).select(*M.READ), "outcomes"))
+    snapshot = M.metrics_snapshot(materialize(_outcomes(spark, sf_dir, *M.READ), "outcomes"))
     found = M.metric_lookup(snapshot, M.EVENTS_TOTAL, {"table": "messages", "result": "processed"})
     absent = M.metric_lookup(snapshot, M.EVENTS_TOTAL, {"table": "messages"})
     return found.unionByName(absent).select("metric", M.label_text(F.col("labels")).alias("labels"), "value")
 
 
 def slo_report(spark, sf_dir):
-    report = M.slo_report(_outcomes(spark, sf_dir), window="1 day", latency_target_s=2.0)
+    report = M.slo_report(_outcomes(spark, sf_dir, "result", "received_at", "acked_at"), window="1 day", latency_target_s=2.0)
     return report.select(
         _micros("window_start", "window_start_us"),
         "events",
@@ -434,7 +434,7 @@ def dedup_flags(spark, sf_dir):
 
 
 def failure_guard(spark, sf_dir):
-    runs = G.failure_guard(_outcomes(spark, sf_dir), threshold_seconds=60)
+    runs = G.failure_guard(_outcomes(spark, sf_dir, "consumer_id", SEQ, "acked_at", "result"), threshold_seconds=60)
     return runs.select(
         "consumer_id",
         _micros("first_failure", "first_us"),
@@ -446,7 +446,8 @@ def failure_guard(spark, sf_dir):
 
 def _delivery_log(spark, sf_dir) -> DataFrame:
     message = F.floor(F.col(SEQ) / 10).alias("message")
-    return _outcomes(spark, sf_dir).select(message, SEQ, "received_at", "disposition")
+    out = _outcomes(spark, sf_dir, SEQ, "received_at", "disposition")
+    return out.select(message, SEQ, "received_at", "disposition")
 
 
 def redelivery_status(spark, sf_dir):

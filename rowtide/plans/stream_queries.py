@@ -9,16 +9,20 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rowtide.operators import classify as C
+from rowtide.operators import classify as C, events
 from rowtide.operators.metrics import label_text
+from rowtide.operators.outcomes import outcomes
 from rowtide.plans.queries import with_whole
-from rowtide.session import shared_dir
+from rowtide.session import materialize, shared_dir
+from rowtide.sources import upsert
 from rowtide.sources.event_log import cdc_log
-from rowtide.sources.logs import stream_log
-from rowtide.streaming import run
+from rowtide.sources.logs import LOG_SCHEMA, read_log, stream_log
+from rowtide.sources.store import committed
+from rowtide.streaming import flow, run
 from rowtide.streaming.dedup import check_complete, data_batches_only, dedup_ttl_stream, dedup_watermark
 
 PARTS = 3
+OVERLAP_SECONDS = 200
 
 
 @contextmanager
@@ -40,12 +44,21 @@ def work_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/rowtide/stream-{uuid.uuid4().hex}"
 
 
-def capture(spark: SparkSession, sf_dir: str, path: str, parts: int = PARTS, files: int | None = None) -> str:
-    """Write the log as files that follow each other in time, ``files`` for each part if given."""
+def capture(
+    spark: SparkSession, sf_dir: str, path: str, parts: int = PARTS, files: int | None = None, overlap_seconds: int = 0
+) -> str:
+    """Write the log as files that follow each other in time, ``files`` for each part if given.
+
+    With ``overlap_seconds`` a delivery is captured that much too early or late
+    at most, so the parts overlap in time by twice as much.
+    """
     log = cdc_log(spark, sf_dir)
     at = F.unix_micros("received_at")
     low, high = log.agg(F.min(at), F.max(at)).first()
     width = (high - low) // parts + 1
+    if overlap_seconds:
+        off = F.pmod(F.xxhash64("stream_seq"), F.lit(2 * overlap_seconds + 1)) - overlap_seconds
+        at = F.greatest(F.lit(low), F.least(F.lit(high), at + off * 1_000_000))
     for part in range(parts):
         start = low + part * width
         rows = log.filter(F.coalesce((at >= start) & (at < start + width), F.lit(part == 0)))
@@ -102,13 +115,24 @@ def bounded_intake(spark, sf_dir):
     )
 
 
-def _keyed_stream(spark, sf_dir, work) -> DataFrame:
-    stream = stream_log(spark, capture(spark, sf_dir, f"{work}/log"), max_files=1)
+def _keyed_stream(spark, sf_dir, work, overlap_seconds: int = 0) -> DataFrame:
+    log = capture(spark, sf_dir, f"{work}/log", files=1, overlap_seconds=overlap_seconds)
+    stream = stream_log(spark, log, max_files=1)
     routable = C.classify(stream).filter(F.col("result").isNull() & F.col("sink_ok") & F.col("dedup_ok"))
     return routable.select("event_id", "received_at", "stream_seq")
 
 
 def dedup_ttl_streamed(spark, sf_dir):
+    """Accepted deliveries of a log whose files overlap in time: the labels of one batch."""
+    work = work_dir(spark)
+    flow.dedup_stream(_keyed_stream(spark, sf_dir, work, OVERLAP_SECONDS), work, delay_seconds=2 * OVERLAP_SECONDS)
+    return committed(spark, work, "flagged").filter("dedup = 'miss'").select(
+        "event_id", F.unix_micros("received_at").alias("received_us"), "stream_seq"
+    )
+
+
+def dedup_state_streamed(spark, sf_dir):
+    """The same rule with the windows in Spark's own state store, on files in order."""
     work = work_dir(spark)
     flagged = dedup_ttl_stream(_keyed_stream(spark, sf_dir, work))
     return _drain(flagged.filter("dedup = 'miss'"), work, "accepted").select(
@@ -116,6 +140,19 @@ def dedup_ttl_streamed(spark, sf_dir):
     )
 
 
+def dedup_continued(spark, sf_dir):
+    """Three runs over a third of the log each; a run reads its own log and the windows near it."""
+    work = work_dir(spark)
+    capture(spark, sf_dir, f"{work}/log")
+    for part in range(PARTS):
+        log = read_log(spark, f"{work}/log", schema=f"{LOG_SCHEMA}, part int").filter(F.col("part") == part)
+        routable = C.classify(log).filter(F.col("result").isNull() & F.col("sink_ok") & F.col("dedup_ok"))
+        flow.dedup_run(routable.select("event_id", "received_at", "stream_seq"), work, part)
+    return committed(spark, work, "flagged").filter("dedup = 'miss'").select(
+        "event_id", F.unix_micros("received_at").alias("received_us"), "stream_seq"
+    )
+
+
 def dedup_watermark_streamed(spark, sf_dir):
     """Event ids that survive the approximate rule: every one of them, at least once."""
     work = work_dir(spark)
@@ -125,9 +162,10 @@ def dedup_watermark_streamed(spark, sf_dir):
 
 def _settled(spark, sf_dir) -> str:
     work = work_dir(spark)
-    log = capture(spark, sf_dir, f"{work}/log")
-    with state_partitions(spark):
-        run.settle_log(spark, log, work, max_files=1, stamp=F.col("received_at"))
+    log = capture(spark, sf_dir, f"{work}/log", files=1, overlap_seconds=OVERLAP_SECONDS)
+    run.settle_log(
+        spark, log, work, max_files=1, stamp=F.col("received_at"), delay_seconds=2 * OVERLAP_SECONDS
+    )
     return work
 
 
@@ -177,13 +215,57 @@ def streamed_metrics(spark, sf_dir):
     return snapshot.select("metric", label_text(F.col("labels")).alias("labels"), "value")
 
 
+def pipeline_streamed(spark, sf_dir):
+    """What one pass over a log with overlapping files leaves in every sink, in one table."""
+    work = work_dir(spark)
+    log = capture(spark, sf_dir, f"{work}/log", files=1, overlap_seconds=OVERLAP_SECONDS)
+    flow.pipeline_stream(
+        spark, log, work, max_files=1, stamp=F.col("received_at"), delay_seconds=2 * OVERLAP_SECONDS
+    )
+    flow.fold_metrics(spark, work)
+    sent = upsert.latest_events(spark, f"{work}/events").select(
+        F.lit("events").alias("sink"), F.col("event_id").alias("id"), F.col("stream_seq").cast("double").alias("value")
+    )
+    refused = committed(spark, work, "quarantine").groupBy("error_code").agg(F.count("*").cast("double").alias("value"))
+    counted = flow.metrics_snapshot(spark, work)
+    name = F.concat_ws("|", "metric", label_text(F.col("labels")))
+    return sent.unionByName(
+        refused.select(F.lit("quarantine").alias("sink"), F.col("error_code").alias("id"), "value")
+    ).unionByName(counted.select(F.lit("metrics").alias("sink"), name.alias("id"), "value"))
+
+
+def lag_gauge(spark, sf_dir):
+    """The lag of each consumer as the last micro-batch left it."""
+    work = work_dir(spark)
+    log = capture(spark, sf_dir, f"{work}/log", files=1)
+    flow.pipeline_stream(spark, log, work, max_files=1, stamp=F.col("received_at"), sinks=("metrics",))
+    return flow.lag_gauge(spark, work)
+
+
+def upsert_events(spark, sf_dir):
+    """The last publication of every event after four batches, one of them written twice, and a compaction between."""
+    path = f"{work_dir(spark)}/events"
+    published = events.published(outcomes(cdc_log(spark, sf_dir)), stamp="received_at")
+    published = materialize(published.drop("row_data"), "published")
+    for number in (0, 1, 1, 2, 3):
+        upsert.upsert_batch(published.filter(F.col("stream_seq") % 4 == number), path, number)
+        if number == 2:
+            upsert.compact(spark, path)
+    return upsert.latest_events(spark, path).select("event_id", "stream_seq", "company_id", "logical", "target_subject")
+
+
 STREAM_QUERIES = {
     "src_stream": src_stream,
     "bounded_intake": bounded_intake,
     "dedup_ttl_stream": dedup_ttl_streamed,
+    "dedup_state_stream": dedup_state_streamed,
+    "dedup_continued": dedup_continued,
     "dedup_watermark": dedup_watermark_streamed,
     "streamed_outcomes": streamed_outcomes,
     "sink_routed": sink_routed,
     "quarantine_stream": quarantine_streamed,
     "streamed_metrics": streamed_metrics,
+    "pipeline_stream": pipeline_streamed,
+    "lag_gauge": lag_gauge,
+    "upsert_events": upsert_events,
 }

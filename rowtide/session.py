@@ -5,6 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,17 +62,52 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("rowtide_scratch", default=None)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts the lineage and survives lost executors; later readers prune columns
-    and push filters into the files instead of decoding JSON again.
+    and push filters into the files instead of decoding JSON again. Inside
+    :func:`scratch` the table lives until the end of the block.
     """
     path = f"{shared_dir(df.sparkSession)}/rowtide/{label}-{uuid.uuid4().hex}"
+    made = _SCRATCH.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that :func:`materialize` writes inside the block when it ends.
+
+    Results must be written or counted inside it, since DataFrames read those
+    tables lazily. Every micro-batch of a stream runs in such a block.
+    """
+    outer = _SCRATCH.set(made := [])
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(outer)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialize` wrote and nothing reads any more."""
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 

@@ -146,6 +146,8 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(rem(307, 20), F.concat(body, F.lit(',"x":1')))
         .when(rem(311, 21), F.concat(F.lit('null,"doc":'), body))
         .when(rem(313, 22), F.concat(body, F.lit(',"__end__":1')))
+        .when(rem(317, 23), F.concat(body, F.lit(',"__end__":1}')))
+        .when(rem(331, 24), F.concat(body, F.lit(',"__end__":1} and more')))
         .otherwise(body)
         .alias("data"),
     )

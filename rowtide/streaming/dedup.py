@@ -43,6 +43,20 @@ def label_arrivals(at: np.ndarray, opens: np.ndarray, expiry: int, ttl: int) ->
     return new, expiry
 
 
+def label_among(at: np.ndarray, opens: np.ndarray, known: np.ndarray, ttl: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of one key's ordered arrivals are new beside known windows, and all windows after them."""
+    new = np.zeros(len(at), dtype=bool)
+    free = np.ones(len(at), dtype=bool)
+    if len(known):
+        place = np.searchsorted(known, at, side="right")
+        free = (place == 0) | (at >= known[np.maximum(place - 1, 0)] + ttl)
+        follows = known[np.minimum(place, len(known) - 1)]
+        free &= ~opens | (place == len(known)) | (at + ttl <= follows)
+    chosen = np.flatnonzero(free)
+    new[chosen], _ = label_arrivals(at[chosen], opens[chosen], _NEVER, ttl)
+    return new, np.sort(np.concatenate([known, at[new & opens]]))
+
+
 @contextmanager
 def data_batches_only(spark: SparkSession) -> Iterator[None]:
     """Start queries so that only data makes them run a batch.
@@ -71,12 +85,15 @@ def dedup_ttl_stream(
 ) -> DataFrame:
     """Add ``dedup`` (``miss`` or ``hit``) to a stream of keyed deliveries.
 
-    The state of a key is the end of its last window. It is removed when the key
-    has not come for ``keep_seconds`` of processing time, so no row is ever
-    dropped for being late: an arrival before the last window is new, since its
-    own window is no longer known, and does not move that window back. A log
-    that is replayed slower than it was recorded needs a longer time. Start a
-    query that ends with its input under :func:`data_batches_only`.
+    The state of a key is the set of its windows, disjoint, in order; those that
+    began more than ``keep_seconds`` before the last are forgotten. An arrival in
+    a known window is a hit, also one earlier than the last batch; so is one less
+    than a ttl before a known window, since its event went out already. The state
+    is removed when the key has not come for ``keep_seconds`` of processing time;
+    no row is dropped for being late. A log that is replayed slower than it was
+    recorded needs a longer time. Start a query that ends with its input under
+    :func:`data_batches_only`. The rows of a key in a batch meet in one worker;
+    :func:`rowtide.streaming.flow.dedup_stream` spreads them.
     """
     if keep_seconds < ttl_seconds:
         raise ValueError("keep_seconds must be at least ttl_seconds")
@@ -94,17 +111,18 @@ def dedup_ttl_stream(
         opens = np.ones(len(rows), dtype=bool)
         if published is not None:
             opens = rows[published].fillna(True).to_numpy(dtype=bool)
-        before = state.get[0] if state.exists else _NEVER
-        new, expiry = label_arrivals(micros, opens, before, ttl)
-        if expiry != _NEVER:
-            state.update((expiry,))
+        known = np.array(state.get[0] if state.exists else [], dtype=np.int64)
+        new, known = label_among(micros, opens, known, ttl)
+        if len(known):
+            known = known[known >= known[-1] - keep_seconds * 1_000_000]
+            state.update((known.tolist(),))
             state.setTimeoutDuration(keep_seconds * 1000)
         rows["dedup"] = np.where(new, "miss", "hit")
         yield rows[[*columns, "dedup"]]
 
     ship(events.sparkSession)
     return events.groupBy(key).applyInPandasWithState(
-        label, output, "expiry bigint", "append", GroupStateTimeout.ProcessingTimeTimeout
+        label, output, "starts array<bigint>", "append", GroupStateTimeout.ProcessingTimeTimeout
     )
 
 

@@ -1,44 +1,16 @@
-"""The whole flow as Structured Streaming queries.
+"""Streams over the outcome table, each with a checkpoint of its own.
 
-One query settles deliveries into an outcome table; its exactly-once file sink
-commits together with the deduplication state, so a failed write replays both
-and loses nothing. The published events, the quarantine and the metrics are streams
-over that table.
+:func:`settle_log` settles deliveries into it, see :mod:`rowtide.streaming.flow`,
+which also has the flow as one query. Start the others when it has ended.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rowtide.functions.records import format_rfc3339, payload_json
 from rowtide.operators import classify as C, metrics as M
-from rowtide.operators.dedup import DEFAULT_TTL_SECONDS
-from rowtide.operators.outcomes import settle, with_health
-from rowtide.schemas import DEFAULT_TABLES, TableSpec
-from rowtide.sources.logs import stream_log
-from rowtide.streaming.dedup import KEEP_SECONDS, data_batches_only, dedup_ttl_stream
-
-
-def stream_outcomes(
-    raw: DataFrame,
-    tables: Sequence[TableSpec] = DEFAULT_TABLES,
-    ttl_seconds: int = DEFAULT_TTL_SECONDS,
-    keep_seconds: int = KEEP_SECONDS,
-    stamp: Column | None = None,
-) -> DataFrame:
-    """Settle a stream of raw messages; routable rows carry their JSON payload."""
-    at = F.current_timestamp() if stamp is None else stamp
-    classified = with_health(C.classify(raw, tables)).withColumn("event_time", format_rfc3339(at))
-    routable = F.col("result").isNull()
-    rows = classified.withColumn("payload", F.when(routable, payload_json(F.col("event_time")))).drop("record")
-    looked_up = rows.filter(routable & F.col("dedup_ok"))
-    narrow = looked_up.drop("body", "preview")
-    flagged = dedup_ttl_stream(narrow, ttl_seconds, keep_seconds, published="sink_ok")
-    rest = rows.filter(~(routable & F.col("dedup_ok"))).withColumn("dedup", F.lit(None).cast("string"))
-    return settle(flagged.unionByName(rest, allowMissingColumns=True))
+from rowtide.streaming import flow
 
 
 def _finish(query: StreamingQuery) -> StreamingQuery:
@@ -49,16 +21,8 @@ def _finish(query: StreamingQuery) -> StreamingQuery:
 def settle_log(
     spark: SparkSession, source: str, out_dir: str, max_files: int = 100, **options
 ) -> StreamingQuery:
-    """Bring the outcome table up to date with the log and stop."""
-    out = stream_outcomes(stream_log(spark, source, max_files=max_files), **options)
-    writer = (
-        out.writeStream.format("parquet")
-        .option("path", f"{out_dir}/outcomes")
-        .option("checkpointLocation", f"{out_dir}/checkpoints/outcomes")
-        .trigger(availableNow=True)
-    )
-    with data_batches_only(spark):
-        return _finish(writer.start())
+    """Bring the outcome table up to date with the log and stop; options as of :func:`flow.pipeline_stream`."""
+    return flow.pipeline_stream(spark, source, out_dir, max_files=max_files, sinks=(), **options)
 
 
 def _outcome_stream(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -72,8 +36,11 @@ def route_events(spark: SparkSession, out_dir: str) -> StreamingQuery:
     chosen = events.select(
         "company_id", F.col("payload_table").alias("logical"), "event_id", "target_subject", "payload", "stream_seq"
     )
+    # Dealt by folder and 8 parts of it, so that tasks do not each write a file into every folder.
+    part = F.pmod(F.xxhash64("event_id"), F.lit(8))
     return _finish(
-        chosen.writeStream.format("json")
+        chosen.repartition("company_id", "logical", part)
+        .writeStream.format("json")
         .option("path", f"{out_dir}/published")
         .option("checkpointLocation", f"{out_dir}/checkpoints/published")
         .partitionBy("company_id", "logical")
