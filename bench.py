@@ -40,8 +40,8 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
     )
-    if "SPARK_CHECKPOINT_DIR" in os.environ:
-        builder = builder.config("spark.checkpoint.dir", os.environ["SPARK_CHECKPOINT_DIR"])
+    folder = os.environ.get("SPARK_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="rowtide-bench-")
+    builder = builder.config("spark.checkpoint.dir", folder)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(configure(spark))
@@ -115,8 +115,6 @@ def payload_log(spark: SparkSession, size: str, duplicate_share: int) -> DataFra
 
 def main() -> None:
     spark = session()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rowtide-bench-"))
     log = materialize(cdc_log(spark, SF_DIR).repartition(int(CPUS)), "bench-log")
     rows = log.count()
     noop(E.published(outcomes(log), "received_at"))

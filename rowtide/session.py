@@ -57,9 +57,11 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="rowtide-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    if not getattr(context, "_rowtide_dir", None):
+        # The setting itself cannot be changed in a running session.
+        context._rowtide_dir = tempfile.mkdtemp(prefix="rowtide-")
+    return context._rowtide_dir
 
 
 _SCRATCH: ContextVar[list[str] | None] = ContextVar("rowtide_scratch", default=None)

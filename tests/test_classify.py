@@ -37,6 +37,9 @@ CASES = {
     "trailing member": (M, body("messages", msg()) + ',"x":1', "undecodable"),
     "second document": (M, 'null,"doc":' + body("messages", msg()), "undecodable"),
     "second end": (M, body("messages", msg()) + ',"__end__":1', "undecodable"),
+    "closed by hand": (M, body("messages", msg()) + ',"__end__":1}', "undecodable"),
+    "closed with a tail": (M, body("messages", msg()) + ',"__end__":1} trailing garbage', "undecodable"),
+    "closed as a list": (M, body("messages", msg()) + '], [{"a":1}', "undecodable"),
     "tiny fraction": (M, body("messages", msg(id=0)).replace('"id": 0', '"id": 12.0000000001'), "type_mismatch"),
     "whole fraction": (M, body("messages", msg(id=0)).replace('"id": 0', '"id": 12.000'), None),
     "single quotes": (M, body("messages", msg()).replace('"', "'"), "undecodable"),
@@ -187,3 +190,20 @@ def test_every_body_gets_one_verdict(spark, texts):
     assert len(out) == len(texts)
     for row in out:
         assert (row.error_code is None) == (row.event_id is not None) == (row.target_subject is not None)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.text(alphabet='{}[],:"1 \n_end', max_size=14) | st.sampled_from([',"__end__":1}', "} ", "]", '}],[{"a":1']), min_size=60, max_size=90))
+def test_nothing_may_follow_the_value(spark, tails):
+    whole = body("messages", MESSAGE)
+
+    def alone(text):
+        try:
+            json.loads(text)
+        except ValueError:
+            return False
+        return True
+
+    out = C.classify(log(spark, [(M, whole + tail) for tail in tails])).select("stream_seq", "error_code").collect()
+    got = {r.stream_seq: r.error_code != "undecodable" for r in out}
+    assert got == {i: alone(whole + tail) for i, tail in enumerate(tails)}
