@@ -72,6 +72,29 @@ def matches_pattern(subject: Column, patterns: str) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+# The tokens of a target subject that name its folder.
+LAYOUT = {1: "company_id", 3: "logical"}
+
+
+def layout_filter(patterns: str) -> Column:
+    """What the patterns say about the folder of a target subject, for partition pruning.
+
+    True for every folder that may hold a match; only folder columns are looked at.
+    """
+    out = F.lit(False)
+    for pattern in patterns.split(","):
+        if not pattern.strip():
+            continue
+        tokens = pattern.strip().split(".")
+        may = F.lit(True)
+        for place, column in LAYOUT.items():
+            open_end = ">" in tokens[-1:] and place >= len(tokens) - 1
+            if place < len(tokens) and tokens[place] != "*" and not open_end:
+                may = may & (F.col(column) == tokens[place])
+        out = out | may
+    return out
+
+
 def subject_filter(df: DataFrame, patterns: str, subject: str = "subject") -> DataFrame:
     return df.filter(matches_pattern(F.col(subject), patterns))
 

@@ -29,6 +29,18 @@ def failure_guard(
     finish in that time, and across the buckets' summaries. Events without a
     consumer are one consumer's; a failure without time counts to its first run.
     """
+    elapsed = F.unix_micros("last_failure") - F.unix_micros("first_failure")
+    return failure_runs(out, at, bucket_seconds).select(
+        "consumer_id",
+        "first_failure",
+        "last_failure",
+        "failures",
+        (elapsed > threshold_seconds * 1_000_000).alias("breached"),
+    )
+
+
+def failure_runs(out: DataFrame, at: str = "acked_at", bucket_seconds: int = 10) -> DataFrame:
+    """The runs of :func:`failure_guard`, with ``since``, the processed event before them (null if there is none)."""
     done = F.struct(F.unix_micros(at).alias("at"), F.col("stream_seq").alias("seq"))
     events = (
         out.filter((F.col("result") == C.PROCESSED) | F.col("result").isin(*RETRIED))
@@ -59,21 +71,8 @@ def failure_guard(
         .filter(~F.col("resets"))
         .withColumn("since", F.coalesce("reset_inside", "reset_before"))
     )
-    elapsed = F.unix_micros("last_failure") - F.unix_micros("first_failure")
-    return (
-        runs.groupBy("consumer_id", "since")
-        .agg(
-            F.min("ts").alias("first_failure"),
-            F.max("ts").alias("last_failure"),
-            F.count("*").alias("failures"),
-        )
-        .select(
-            "consumer_id",
-            "first_failure",
-            "last_failure",
-            "failures",
-            (elapsed > threshold_seconds * 1_000_000).alias("breached"),
-        )
+    return runs.groupBy("consumer_id", "since").agg(
+        F.min("ts").alias("first_failure"), F.max("ts").alias("last_failure"), F.count("*").alias("failures")
     )
 
 

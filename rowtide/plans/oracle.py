@@ -395,6 +395,19 @@ ORACLE |= {
         UNION ALL SELECT 'quarantine', code, count(*) FROM z WHERE step <> 0 AND step <> 2 GROUP BY code
         UNION ALL SELECT 'metrics', CASE labels WHEN '' THEN metric || '|' ELSE metric || '|' || labels END, value
         FROM ({_SNAPSHOT})""",
+    "subscriptions": f"""{_W} SELECT subscriber, eid AS event_id, seq AS stream_seq FROM (
+          SELECT 'agent ' || user_id AS subscriber, * FROM z WHERE result = 'processed'
+          UNION ALL SELECT 'company ' || (user_id % 10), * FROM z WHERE result = 'processed' AND mt = 'agents'
+          UNION ALL SELECT 'chats', * FROM z WHERE result = 'processed' AND mt = 'chats')""",
+    "failure_guard_stream": ORACLE["failure_guard"],
+    "redelivery_timers": f"""{_W}, t AS (
+          SELECT x AS message, rus, row_number() OVER w AS attempts, lead(rus) OVER w AS following,
+            max(CASE WHEN disp = 'ack' THEN 1 ELSE 0 END) OVER (
+              PARTITION BY x ORDER BY rus, seq, cp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acked
+          FROM z WHERE rus IS NOT NULL WINDOW w AS (PARTITION BY x ORDER BY rus, seq, cp))
+        SELECT message, attempts, CASE WHEN attempts >= 3 THEN 'exhausted' ELSE 'due' END AS status,
+          rus + 30000000 AS due_us
+        FROM t WHERE acked = 0 AND coalesce(rus + 30000000 <= following, true)""",
     "lag_gauge": f"""{_W}, span AS (
           SELECT min(rus) AS low, (max(rus) - min(rus)) // 3 + 1 AS width FROM d),
         parts AS (SELECT consumer, (rus - low) // width AS part, max(aus - rus) AS lag FROM z, span

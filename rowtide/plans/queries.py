@@ -6,6 +6,7 @@ answers can be compared with SQL written against the base table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,9 +16,11 @@ from rowtide.functions.envelope import decode_envelope
 from rowtide.functions.subjects import parse_subject, subject_filter, table_filter
 from rowtide.operators import classify as C, dedup as D, events as E, metrics as M, reliability as G
 from rowtide.operators.outcomes import outcomes
+from rowtide.operators.subscriptions import matching_subscribers
 from rowtide.schemas import AGENTS, CHATS, CONTACTS, DEFAULT_TABLES, MESSAGES, TableSpec, known_fields
-from rowtide.session import materialize
+from rowtide.session import materialize, shared_dir
 from rowtide.sources.event_log import cdc_log
+from rowtide.sources.logs import read_routed, write_routed
 
 Query = Callable[[SparkSession, str], DataFrame]
 SEQ = "stream_seq"
@@ -494,9 +497,27 @@ def published_by_table(spark, sf_dir):
 
 
 def fanout_select(spark, sf_dir):
+    """One company's messages and another's agents, read from the written layout."""
+    path = f"{shared_dir(spark)}/rowtide/layout-{uuid.uuid4().hex}"
+    write_routed(_published(spark, sf_dir), path)
     wanted = "websocket.company_1.*.messages.>, websocket.company_2.*.agents"
-    chosen = subject_filter(_published(spark, sf_dir), wanted, subject="target_subject")
-    return chosen.select("event_id", SEQ, "target_subject")
+    return read_routed(spark, path, wanted).select("event_id", SEQ, "target_subject")
+
+
+def subscriptions(spark, sf_dir):
+    """Who hears which event: a subscriber per agent, per company and table, and one for all chats."""
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
+    company, user = (F.col("user_id") % 10).cast("string"), F.col("user_id").cast("string")
+
+    def named(subscriber: Column, *pattern: Column | str) -> DataFrame:
+        parts = [F.lit(p) if isinstance(p, str) else p for p in pattern]
+        return users.select(subscriber.alias("subscriber"), F.concat(*parts).alias("pattern")).distinct()
+
+    table = named(F.concat(F.lit("agent "), user), "websocket.company_", company, ".agent_", user, ".>")
+    table = table.unionByName(named(F.concat(F.lit("company "), company), "websocket.company_", company, ".*.agents"))
+    table = table.unionByName(named(F.lit("chats"), "*.*.*.chats"))
+    heard = matching_subscribers(_published(spark, sf_dir).select("event_id", SEQ, "target_subject"), table)
+    return heard.select("subscriber", "event_id", SEQ)
 
 
 USER_PROFILES = TableSpec(
@@ -567,5 +588,6 @@ QUERIES: dict[str, Query] = {
     "published_events": published_events,
     "published_by_table": published_by_table,
     "fanout_select": fanout_select,
+    "subscriptions": subscriptions,
     "custom_table_spec": custom_table_spec,
 }

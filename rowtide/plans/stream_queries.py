@@ -20,6 +20,7 @@ from rowtide.sources.logs import LOG_SCHEMA, read_log, stream_log
 from rowtide.sources.store import committed
 from rowtide.streaming import flow, run
 from rowtide.streaming.dedup import check_complete, data_batches_only, dedup_ttl_stream, dedup_watermark
+from rowtide.streaming.watch import FailureWatch, RedeliveryWatch, Watch
 
 PARTS = 3
 OVERLAP_SECONDS = 200
@@ -242,6 +243,41 @@ def lag_gauge(spark, sf_dir):
     return flow.lag_gauge(spark, work)
 
 
+def _watched(spark, sf_dir, make: Callable[[str], Watch]) -> Watch:
+    """A watch over the outcomes of a log whose files overlap in time."""
+    work = work_dir(spark)
+    log = capture(spark, sf_dir, f"{work}/log", files=1, overlap_seconds=OVERLAP_SECONDS)
+    watch = make(work)
+    flow.pipeline_stream(
+        spark,
+        log,
+        work,
+        max_files=1,
+        stamp=F.col("received_at"),
+        delay_seconds=2 * OVERLAP_SECONDS,
+        sinks=(),
+        watches=[watch],
+    )
+    return watch
+
+
+def failure_guard_stream(spark, sf_dir):
+    watch = _watched(spark, sf_dir, lambda work: FailureWatch(spark, work, delay_seconds=600))
+    return watch.runs(threshold_seconds=60).select(
+        "consumer_id",
+        F.unix_micros("first_failure").alias("first_us"),
+        F.unix_micros("last_failure").alias("last_us"),
+        "failures",
+        "breached",
+    )
+
+
+def redelivery_timers(spark, sf_dir):
+    number = "CAST(floor(stream_seq / 10) AS BIGINT)"
+    watch = _watched(spark, sf_dir, lambda work: RedeliveryWatch(spark, work, 2 * OVERLAP_SECONDS, message=number))
+    return watch.found().select("message", "attempts", "status", F.unix_micros("due_at").alias("due_us"))
+
+
 def upsert_events(spark, sf_dir):
     """The last publication of every event after four batches, one of them written twice, and a compaction between."""
     path = f"{work_dir(spark)}/events"
@@ -268,4 +304,6 @@ STREAM_QUERIES = {
     "pipeline_stream": pipeline_streamed,
     "lag_gauge": lag_gauge,
     "upsert_events": upsert_events,
+    "failure_guard_stream": failure_guard_stream,
+    "redelivery_timers": redelivery_timers,
 }

@@ -23,6 +23,7 @@ from rowtide.session import materialize, remove, scratch
 from rowtide.sources import upsert
 from rowtide.sources.logs import stream_log
 from rowtide.sources.store import BatchLog, WindowStore, committed, names, write_batch
+from rowtide.streaming.watch import Watch
 
 KEEP_SECONDS = 86_400
 REFUSED = (C.SUBJECT_ERROR, C.UNMARSHAL_ERROR, C.DATA_ERROR)
@@ -182,17 +183,25 @@ def pipeline_stream(
     stamp: Column | None = None,
     max_files: int = 100,
     sinks: Sequence[str] = SINKS,
+    watches: Sequence[Watch] = (),
 ) -> StreamingQuery:
     """Bring all tables of ``out_dir`` up to date with the log and stop.
 
     Reads each file of the log once. Writes ``outcomes``, ``events`` (see
     :func:`rowtide.sources.upsert.latest_events`), ``quarantine`` and
     ``metrics``; read the others through
-    :func:`rowtide.sources.store.committed`.
+    :func:`rowtide.sources.store.committed`. ``watches`` take in the outcomes of
+    every batch, and with ``delay_seconds`` or the end of the run what waits.
     """
     settler = Settler(spark, out_dir, ttl_seconds, delay_seconds, keep_seconds)
     at = F.current_timestamp() if stamp is None else stamp
     routable = F.col("result").isNull()
+    to_sinks = _fan_out(out_dir, sinks)
+
+    def fan_out(done: DataFrame, number: int) -> None:
+        to_sinks(done, number)
+        for watch in watches:
+            watch.step(done, 2 * number)
 
     def label(rows: DataFrame, windows: DataFrame | None) -> DataFrame:
         return settle(flag_staged(rows, ttl_seconds, windows))
@@ -200,10 +209,12 @@ def pipeline_stream(
     def batch(raw: DataFrame, number: int) -> None:
         rows = with_health(C.classify(raw, tables)).withColumn("event_time", format_rfc3339(at))
         rows = rows.withColumn("payload", F.when(routable, payload_json(F.col("event_time")))).drop("record")
-        settler.run(rows, 2 * number, label, _fan_out(out_dir, sinks), can_wait=routable)
+        settler.run(rows, 2 * number, label, fan_out, can_wait=routable)
 
     query = _drain(stream_log(spark, source, max_files=max_files), f"{out_dir}/checkpoints/outcomes", batch)
-    settler.finish(label, _fan_out(out_dir, sinks))
+    settler.finish(label, fan_out)
+    for watch in watches:
+        watch.flush()
     return query
 
 
