@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowtide.session import remove
 
 KEPT_ENTRIES = 10
-SLOT_SECONDS = 3600
 
 
 def _at(spark: SparkSession, path: str):
@@ -94,41 +93,46 @@ def committed(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
 
 
 class WindowStore:
-    """Deduplication windows by the hour they were opened in and the batch that opened them.
+    """Deduplication windows, a folder per batch, named by its number and the times it covers.
 
     A delivery can only meet windows opened less than a ttl before or after it,
-    so a batch reads the hours around its own arrivals and no others, however
-    many keys there are, and hours beyond the time kept are deleted whole.
+    so a batch reads the folders whose times come near its own arrivals and of
+    their files, ordered by time, the row groups that do, however many keys there
+    are. Folders older than the time kept are deleted whole.
     """
 
     def __init__(self, spark: SparkSession, path: str, key_type: str = "string"):
         self.spark, self.path = spark, path
-        self.schema = f"event_id {key_type}, received_at timestamp, slot bigint, batch bigint"
+        self.schema = f"event_id {key_type}, received_at timestamp"
+
+    def _folders(self) -> list[tuple[int, int, int, str]]:
+        """Number, first and last microsecond and name of every folder."""
+        found = (n for n in names(self.spark, self.path) if n.startswith("batch_"))
+        return [(*map(int, n.split("_")[1:]), n) for n in found]
 
     def near(self, low: int | None, high: int | None, before: int, ttl_seconds: int) -> DataFrame | None:
         """``(event_id, received_at)`` that matter for arrivals from ``low`` to ``high`` microseconds, opened
         by batches before ``before``; None if there are none."""
-        if low is None or not exists(self.spark, self.path):
+        if low is None:
+            return None
+        first, last = low - ttl_seconds * 1_000_000, high + ttl_seconds * 1_000_000
+        chosen = [n for number, a, b, n in self._folders() if number < before and a <= last and b >= first]
+        if not chosen:
             return None
-        first, last = ((t // 1_000_000 + d) // SLOT_SECONDS for t, d in ((low, -ttl_seconds), (high, ttl_seconds)))
-        there = self.spark.read.schema(self.schema).parquet(self.path)
-        chosen = there.filter(F.col("slot").between(first, last) & (F.col("batch") < before))
-        return chosen.select("event_id", "received_at")
-
-    def add(self, opened: DataFrame, number: int) -> None:
-        slot = F.floor(F.unix_seconds("received_at") / SLOT_SECONDS).cast("bigint")
-        rows = opened.select("event_id", "received_at", slot.alias("slot"), F.lit(number).cast("bigint").alias("batch"))
-        (
-            rows.hint("rebalance", "slot")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("slot", "batch")
-            .parquet(self.path)
-        )
+        there = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{n}" for n in chosen])
+        return there.filter(F.col("received_at").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))))
+
+    def add(self, opened: DataFrame, number: int, low: int | None, high: int | None) -> None:
+        """The windows of a batch whose arrivals are from ``low`` to ``high``; those of an earlier attempt go."""
+        for old, _, _, name in self._folders():
+            if old == number:
+                remove(self.spark, f"{self.path}/{name}")
+        if low is not None:
+            rows = opened.select("event_id", "received_at").repartitionByRange("received_at").sortWithinPartitions("received_at")
+            rows.write.mode("overwrite").parquet(f"{self.path}/batch_{number}_{low}_{high}")
 
     def expire(self, before_micros: int) -> None:
-        """Delete hours that ended before a time."""
-        limit = before_micros // 1_000_000 // SLOT_SECONDS
-        for name in names(self.spark, self.path):
-            if name.startswith("slot=") and int(name.removeprefix("slot=")) < limit:
+        """Delete folders that end before a time."""
+        for _, _, high, name in self._folders():
+            if high < before_micros:
                 remove(self.spark, f"{self.path}/{name}")

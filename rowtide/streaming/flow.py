@@ -89,7 +89,7 @@ class Settler:
             write_batch(label(ripe, windows), f"{self.out_dir}/{name}", number)
             done = self.spark.read.parquet(f"{self.out_dir}/{name}/batch={number}")
             opened = done.filter("dedup = 'miss'")
-            self.windows.add(opened.filter("sink_ok") if "sink_ok" in done.columns else opened, number)
+            self.windows.add(opened.filter("sink_ok") if "sink_ok" in done.columns else opened, number, low, high)
             if still is not None:
                 write_batch(still, f"{self.out_dir}/waiting", number)
             if fan_out:

@@ -70,17 +70,25 @@ def test_runs_continue_each_other(spark):
     assert flags(spark, out) == walk([(*r, True) for r in rows])
 
 
-def test_windows_of_other_hours_are_not_read(spark):
-    store = WindowStore(spark, folder(spark, "windows"))
-    hours = frame(spark, [("e", h * 3600, h, True) for h in range(50)])
-    store.add(hours, 0)
-    now = round(T0.timestamp()) * 10**6 + 20 * 3600 * 10**6
-    near = store.near(now, now + 10**6, 1, TTL)
-    assert sorted(r.received_at.hour for r in near.collect()) == [19, 20]
-    assert "PartitionFilters: [isnotnull(slot" in near._jdf.queryExecution().toString().replace("\n", "")
-    assert store.near(now, now, 0, TTL).collect() == []
-    store.expire(now)
-    assert len(names(spark, store.path)) >= 30 and len([n for n in names(spark, store.path) if n.startswith("slot=")]) == 30
+def test_windows_of_other_times_are_not_read(spark):
+    store, second = WindowStore(spark, folder(spark, "windows")), 10**6
+    start = round(T0.timestamp()) * second
+
+    def span(number):
+        return start + number * 3600 * second, start + (number * 3600 + 1800) * second
+
+    for number in range(6):
+        rows = frame(spark, [("e", number * 3600 + 300 * k, k, True) for k in range(7)])
+        for _ in range(2):
+            store.add(rows, number, *span(number))
+    low = start + 3 * 3600 * second
+    near = store.near(low, low + 400 * second, 6, TTL)
+    assert {f.split("/batch_")[1].split("_")[0] for f in near.inputFiles()} == {"3"}
+    assert sorted((r.received_at - T0.replace(tzinfo=None)).seconds for r in near.collect()) == [10800, 11100, 11400]
+    assert "PushedFilters: [IsNotNull(received_at), GreaterThanOrEqual" in near._jdf.queryExecution().toString()
+    assert store.near(low, low, 3, TTL) is None and store.near(None, None, 6, TTL) is None
+    store.expire(low)
+    assert sorted(n.split("_")[1] for n in names(spark, store.path)) == ["3", "4", "5"]
 
 
 def test_unfinished_batches_do_not_count(spark):
