@@ -5,7 +5,9 @@ and test texts. Words under the gaps of a mask do not matter, so a passage with
 some words replaced still agrees with the test text under one mask. Equal seed
 hashes propose an alignment (item, diagonal); each is verified on the words
 themselves: a window of ``SPAN`` aligned words of which all but ``REPLACED``
-are equal, or the whole of a shorter test item.
+are equal. Where an edge of the text or of the item leaves fewer aligned words,
+as many must be equal; a short item found whole, or a short document that lies
+whole in an item, counts with as many replaced words as :func:`tolerance` says.
 
 The masks are lossless: whatever three of sixteen words are replaced, one of
 them hits (see :func:`tolerance`, which tests that for every length). All of it
@@ -95,21 +97,23 @@ def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "k2",
         "item",
         "n",
+        F.size("words").alias("words"),
         F.slice("words", ahead + 1, F.greatest(both, F.lit(0))).alias("a"),
         F.slice("_h", behind + 1, F.greatest(both, F.lit(0))).alias("b"),
     )
-    equal = aligned.select("k1", "k2", "item", "n", F.zip_with("a", "b", lambda x, y: (x == y).cast("int")).alias("e"))
+    equal = aligned.select("k1", "k2", "item", "n", "words", F.zip_with("a", "b", lambda x, y: (x == y).cast("int")).alias("e"))
 
     def total(e: Column) -> Column:
         return F.aggregate(e, F.lit(0), lambda s, x: s + x)
 
-    starts = F.sequence(F.lit(1), F.size("e") - SPAN + 1)
+    size = F.size("e")
+    equals = total(F.col("e"))
+    starts = F.sequence(F.lit(1), size - SPAN + 1)
     windowed = F.exists(starts, lambda s: total(F.slice("e", s, SPAN)) >= SPAN - REPLACED)
-    allowed = reduce(
-        lambda out, n: F.when(F.col("n") == n, tolerance(n)).otherwise(out), range(MIN_WORDS, SPAN), F.lit(0)
-    )
-    whole = (F.size("e") == F.col("n")) & (total(F.col("e")) >= F.col("n") - allowed)
-    overlap = F.when(F.col("n") < SPAN, whole).when(F.size("e") >= SPAN, windowed).otherwise(False)
+    allowed = reduce(lambda out, n: F.when(size == n, tolerance(n)).otherwise(out), range(MIN_WORDS, SPAN), F.lit(0))
+    whole = (size >= MIN_WORDS) & ((size == F.col("n")) | (size == F.col("words"))) & (equals >= size - allowed)
+    edge = (F.col("n") >= SPAN) & (equals >= SPAN - REPLACED)
+    overlap = F.when(size >= SPAN, windowed).otherwise(whole | edge)
     return equal.filter(overlap).groupBy("k1", "k2").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
@@ -120,7 +124,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items by id, equal items as their smallest; ``kept`` is false if there are
     any. Test items of fewer than eight words are too short to be evidence;
     those of 8 to 15 must be found whole, with as many replaced words as the
-    masks are sure to find. Null and empty texts overlap nothing. Copies of a
+    masks are sure to find, and so must documents of 8 to 15 words that are a
+    part of an item. Of an item cut by an edge of the document 13 equal words
+    are enough. Null and empty texts overlap nothing. Copies of a
     text get equal answers; rows without id are answered too; test items
     without id or text are passed over.
     """
@@ -154,14 +160,14 @@ WITH dw AS (
 ), same AS (
   SELECT doc_id, item_id, p, q, p - q AS d, n, m FROM dw JOIN bw USING (word)
 ), runs AS (
-  SELECT doc_id, item_id, d, n, m,
+  SELECT doc_id, item_id, n, m, least(n - greatest(d, 0), m - greatest(-d, 0)) AS size,
     count(*) OVER (PARTITION BY doc_id, item_id, d ORDER BY p RANGE BETWEEN CURRENT ROW AND {SPAN - 1} FOLLOWING) AS c,
     count(*) OVER (PARTITION BY doc_id, item_id, d) AS total
   FROM same
 ), found AS (
   SELECT DISTINCT doc_id, item_id FROM runs
-  WHERE (m >= {SPAN} AND c >= {SPAN - REPLACED} AND least(n - greatest(d, 0), m - greatest(-d, 0)) >= {SPAN})
-     OR (m < {SPAN} AND d >= 0 AND n - d >= m AND total >= m - CASE m {{cases}} ELSE 0 END)
+  WHERE (m >= {SPAN} AND c >= {SPAN - REPLACED})
+     OR (size BETWEEN {MIN_WORDS} AND {SPAN - 1} AND size IN (n, m) AND total >= size - CASE size {{cases}} ELSE 0 END)
 )
 SELECT doc_id, CAST(count(item_id) AS INTEGER) AS n_items,
   coalesce(list_sort(list(item_id) FILTER (item_id IS NOT NULL)), []) AS items, count(item_id) = 0 AS kept

@@ -2,14 +2,16 @@
 
 A line is its sequence of words. It is removed if an earlier line of the corpus
 (smaller document id, then smaller line number) is the same or differs by one
-word replaced, added or left out. Judged on the input: an earlier line counts
-even if it is removed itself.
-
-1. One scan gives each line of ``MIN_WORDS`` or more words a hash, and hashes
-   of its first and its second half. Equal lines meet in a partial aggregate
-   and go on as their earliest.
-2. One edit leaves one half untouched, so only lines that share a half with
-   another line can have a near one; the others emit no variants.
+word replaced, added or left out. One edit may make another statement of a
+short line, so lines under ``MIN_WORDS`` words are removed as exact copies only.
+Judged on the input: an earlier line counts even if it is removed itself.
+
+1. One scan gives each line with a word a hash, and hashes of its first and its
+   second half. Equal lines meet in a partial aggregate and go on as their
+   earliest.
+2. One edit leaves one half untouched, so only lines of ``MIN_WORDS`` or more
+   words that share a half with another can have a near one; the others emit no
+   variants.
 3. Those lines emit all their variants with one word left out, as hashed keys
    with the word's place, and the line itself. Lines with equal variants at
    equal places differ by a replaced word; a variant that equals a whole line
@@ -67,7 +69,7 @@ class LineHashes:
         return mix(raw * self.back[begin] + mix((end - begin - 1).astype(np.uint64)))
 
 
-def _lines(texts: Sequence[bytes], least: int = MIN_WORDS) -> tuple[list[bytes], np.ndarray]:
+def _lines(texts: Sequence[bytes], least: int) -> tuple[list[bytes], np.ndarray]:
     """Words of all lines of at least ``least`` words, and rows of (text, line number, words)."""
     words: list[bytes] = []
     found: list[tuple[int, int, int]] = []
@@ -91,7 +93,7 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in text_slices(batches):
-            words, found = _lines(batch.column("text").to_pylist())
+            words, found = _lines(batch.column("text").to_pylist(), 1)
             hashes = LineHashes(words, known)
             row, number, n = found.T
             end = np.cumsum(n)
@@ -132,7 +134,7 @@ def earliest_lines(docs: DataFrame, occurrences: DataFrame) -> DataFrame:
         *[F.min(c).alias(c) for c in ("p0", "s0", "p1", "s1")],
     )
     lines = materialize(lines, "lines")
-    cells = lines.select(
+    cells = lines.filter(F.col("n") >= MIN_WORDS).select(
         "line",
         "n",
         F.inline(F.array(*[F.struct(F.col(c).alias("half"), F.lit(c[1] == "0").alias("own")) for c in ("p0", "s0", "p1", "s1")])),
@@ -163,7 +165,7 @@ def _words(docs: DataFrame, asked: DataFrame) -> DataFrame:
         known = WordHashes()
         for batch in text_slices(batches):
             wanted = [{(a["number"], a["line"]) for a in x} for x in batch.column("asked").to_pylist()]
-            words, found = _lines(batch.column("text").to_pylist())
+            words, found = _lines(batch.column("text").to_pylist(), MIN_WORDS)
             hashes = LineHashes(words, known)
             row, number, n = found.T
             end = np.cumsum(n)
@@ -255,7 +257,8 @@ def drop_lines(docs: DataFrame) -> DataFrame:
     """``docs`` without the later ones of near-duplicate lines, and ``n_lines`` and ``n_removed``.
 
     The text is split at line feeds and the lines left are joined by them. Lines
-    of fewer than five words are never removed. A null text stays null, with no
+    of fewer than five words go as exact copies only, those without a word
+    never. A null text stays null, with no
     lines; an empty one has one empty line. Rows without id lose nothing and
     remove nothing. Rows that repeat an id with the same text are one document:
     their lines are no copies of each other. Columns of the two added names are
@@ -308,8 +311,10 @@ WITH raw AS (
 ), lines AS (
   SELECT doc_id, no, doc_id::HUGEINT * 2147483648 + no AS ord,
     list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM split
+), once AS (
+  SELECT w, len(w) AS n, min(ord) AS first FROM lines WHERE len(w) >= 1 GROUP BY w
 ), u AS (
-  SELECT w, len(w) AS n, min(ord) AS first FROM lines WHERE len(w) >= {MIN_WORDS} GROUP BY w
+  SELECT * FROM once WHERE n >= {MIN_WORDS}
 ), v AS (
   SELECT w, n, first, i, list_concat(w[:i - 1], w[i + 1:]) AS key FROM u, unnest(generate_series(1, n)) AS t(i)
 ), sub AS (
@@ -319,7 +324,7 @@ WITH raw AS (
   UNION ALL SELECT v.w, min(u.first) FROM v JOIN u ON v.key = u.w GROUP BY 1
   UNION ALL SELECT u.w, min(v.first) FROM u JOIN v ON v.key = u.w GROUP BY 1
 ), e AS (
-  SELECT w, min(first) AS first FROM (SELECT w, first FROM u UNION ALL SELECT w, best FROM near) GROUP BY w
+  SELECT w, min(first) AS first FROM (SELECT w, first FROM once UNION ALL SELECT w, best FROM near) GROUP BY w
 ), gone AS (
   SELECT doc_id, list(no) AS nos FROM lines JOIN e USING (w) WHERE ord > e.first GROUP BY doc_id
 ), done AS (

@@ -83,11 +83,14 @@ def clean_lines(docs: list[tuple[int, str | None]], least: int = 5) -> dict[int,
     lines = [
         (d, n, WORD.findall(x)) for d, t in sorted(docs, key=lambda r: r[0]) for n, x in enumerate((t or "").split("\n"))
     ]
-    lines = [x for x in lines if len(x[2]) >= least]
+    lines = [x for x in lines if x[2]]
     out: dict[int, list[int]] = {d: [] for d, _ in docs}
     for i, (d, n, words) in enumerate(lines):
-        if any(abs(len(w) - len(words)) <= 1 and edits(w, words) <= 1 for _, _, w in lines[:i]):
-            out[d].append(n)
+        for _, _, w in lines[:i]:
+            both = min(len(w), len(words)) >= least
+            if w == words or both and abs(len(w) - len(words)) <= 1 and edits(w, words) <= 1:
+                out[d].append(n)
+                break
     return out
 
 
@@ -97,10 +100,11 @@ def overlaps(text: str | None, item: str, span: int, replaced: int, tolerance) -
         ahead, behind = max(diagonal, 0), max(-diagonal, 0)
         n = min(len(a) - ahead, len(b) - behind)
         same = [a[ahead + k] == b[behind + k] for k in range(max(n, 0))]
-        if len(b) < span:
-            if n == len(b) and sum(same) >= len(b) - tolerance(len(b)):
-                return True
-        elif any(sum(same[k : k + span]) >= span - replaced for k in range(n - span + 1)):
+        if n < span and n >= 8 and n in (len(a), len(b)) and sum(same) >= n - tolerance(n):
+            return True
+        if n < span <= len(b) and sum(same) >= span - replaced:
+            return True
+        if any(sum(same[k : k + span]) >= span - replaced for k in range(n - span + 1)):
             return True
     return False
 

@@ -222,6 +222,14 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.drop_lines(docs.limit(0)).count() == 0
 
 
+def test_short_lines_go_as_exact_copies_only(spark):
+    rows = [(1, "x\n \none two three four"), (2, "x\nx y\n "), (3, "one  two\tthree four"), (4, "one two three"), (5, "x\nx y")]
+    docs = spark.createDataFrame(rows, DOC)
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.drop_lines(docs).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("x y\n ", 1), 3: ("", 1), 4: ("one two three", 0), 5: ("", 2)}
+    assert sorted(r["doc_id"] for r in line_dedup.clean_lines(docs).collect()) == [1, 2, 4]
+
+
 def test_a_very_long_line(spark):
     words = [f"w{k}" for k in range(30_000)]
     rows = [(1, " ".join(words)), (2, " ".join(words[:15_000] + ["new"] + words[15_000:])), (3, " ".join(words[::2]))]
@@ -253,6 +261,12 @@ def test_decontamination_matches_brute_force(spark):
     items = [" ".join(f"t{dice.randrange(300)}" for _ in range(n)) for n in (4, 8, 10, 15, 16, 17, 30, 60)]
     items += [items[6], items[7].upper()]
     texts: list[str | None] = [None, "", items[0], "short text"]
+    for n in range(5, 17):
+        words = items[7].split()
+        for part in (words[-n:], words[:n], words[20 : 20 + n]):
+            other = ["other"] * 9
+            broken = [*part[:3], "other", *part[4:]]
+            texts += [" ".join(x) for x in (part, part + other, other + part, broken, [*broken, *other], part[1:4] + other + part[4:])]
     for item in items:
         words = item.split()
         for replaced in (0, 1, 2, 3, 4, 6):
@@ -277,6 +291,16 @@ def test_decontamination_matches_brute_force(spark):
         assert (r["items"], r["n_items"], r["kept"]) == (sorted(want), len(want), not want), r["doc_id"]
 
 
+def test_passages_at_the_edges_of_texts(spark):
+    words = [f"t{k}" for k in range(40)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string")
+    texts = [words[-15:], words[20:35], words[:13] + ["z"] * 5, ["z"] * 5 + words[:13], words[-13:] + ["z"] * 5, ["z"] * 5 + words[-12:], words[3:11], words[3:10]]
+    texts += [["z"] * 5 + words[:12], [*words[5:9], "z", *words[10:14]]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], DOC)
+    kept = {r["doc_id"] for r in decontaminate.decontaminate(docs, bench).filter("kept").collect()}
+    assert kept == {5, 7, 8}
+
+
 def test_decontamination_of_odd_rows(spark):
     item = " ".join(f"t{k}" for k in range(20))
     bench = spark.createDataFrame([(1, item), (1, item), (2, None), (None, item), (3, "")], "item_id bigint, text string")
