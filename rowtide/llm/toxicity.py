@@ -4,8 +4,9 @@ Words are read as terminal symbols: insult, threat, modal, second or third
 person target, negation, reported speech, end of clause. Five small transducers
 (one per aspect) run over the symbols of a clause; their product is composed
 into one table. The state at the end of a clause is a pattern, for example "an
-insult with a target, negated". A document is the multiset of its matched
-patterns, and its score a logistic sum of their weights.
+insult with a target, negated". A pattern that is negated or reported asserts
+nothing and counts as no match; a document is the multiset of the others, and
+its score a logistic sum of their weights. No word counts outside its clause.
 
 Terminals and weights are learned from labelled rows: words, and stems that
 several words share, which mark toxic documents in many different contexts
@@ -41,12 +42,15 @@ CACHE = 400_000
 SEEDS = {
     "insult": "idiot moron stupid dumb loser scum trash worthless pathetic disgusting clown fool imbecile cretin "
     "bastard jerk vermin filth dumm trottel versager abschaum bête débile ordure raclure estúpido imbécil basura",
-    "threat": "kill hurt destroy murder stab shoot strangle beat crush burn",
-    "modal": "will gonna shall should must going",
-    "you": "you your yours yourself u ur",
-    "them": "he she they him her them his their",
-    "not": "not never no nor hardly isn't aren't don't won't can't cannot ain't",
-    "report": "said says wrote writes called calls quoted reported claimed told",
+    "threat": "kill hurt destroy murder stab shoot strangle beat crush burn "
+    "töten umbringen verprügeln erschlagen tuer frapper brûler étrangler matar golpear quemar",
+    "modal": "will gonna shall should must going werde werden wirst wird sollst vais vas va allons devrait voy vamos debes",
+    "you": "you your yours yourself u ur dich dir dein deine ihr euch tu toi vous ton votre tú eres usted ustedes",
+    "them": "he she they him her them his their er ihm ihn il ils elle elles lui él ellos ellas",
+    "not": "not never no nor hardly isn't aren't don't won't can't cannot ain't "
+    "nicht nie niemals kein keine keiner pas jamais aucun aucune nunca jamás ningún",
+    "report": "said says wrote writes called calls quoted reported claimed told "
+    "sagt sagte schrieb nannte behauptete dit écrit écrivait appelait dijo escribió llamó",
 }
 
 # Symbols. A clause end follows a word as a mark on it.
@@ -78,19 +82,18 @@ def compose(parts=PARTS, sizes=SIZES) -> tuple[list[list[int]], list[int]]:
 
 
 PATTERNS = 4 * 12
-FEATURES = PATTERNS + 4  # and whether at least 1, 2, 3, 4 insults or threats were read
-CAP = 6
+ASSERTED = [i for i in range(PATTERNS) if i % 4 == 0]  # neither negated nor reported
+KINDS = len(ASSERTED)
+FEATURES = KINDS + 4  # and whether at least 1, 2, 3, 4 clauses assert something
 
 
 def prior_weights() -> tuple[np.ndarray, np.ndarray]:
     """Weights before any label is seen, and how firmly they are held; the bias is last."""
     w = np.zeros(FEATURES + 1)
-    for i in range(PATTERNS):
-        kind, where = divmod(i, 12)
-        target, rest = divmod(where, 4)
-        negated, reported = divmod(rest, 2)
-        w[i] = (0.4, 0.8, 0.8, 1.2)[kind] + 0.4 * (target > 0) - 0.3 * negated - 0.2 * reported
-    w[PATTERNS : PATTERNS + 4] = (0.3, 0.6, 0.6, 0.3)
+    for f, pattern in enumerate(ASSERTED):
+        kind, where = divmod(pattern, 12)
+        w[f] = (0.4, 0.8, 0.8, 1.2)[kind] + 0.4 * (where > 0)
+    w[KINDS:FEATURES] = (0.3, 0.6, 0.6, 0.3)
     w[-1] = -2.0
     hold = np.full(FEATURES + 1, 1.0)
     hold[-1] = 0.05
@@ -135,29 +138,32 @@ class _Symbols(dict):
 
 
 def matcher(grammar: Grammar):
-    """A function from the bytes of a text to its feature counts (uint8)."""
+    """A function from the bytes of a text to its features (uint8) and the number of its asserting clauses.
+
+    Clauses of a pattern count by the bit length of their number, so that a
+    very long text needs no limit and each doubling weighs the same.
+    """
     step, patterns = compose()
+    feature = {pattern: f for f, pattern in enumerate(ASSERTED)}
     symbols = _Symbols(grammar)
     hot = bytes([INSULT, THREAT, INSULT + ENDS, THREAT + ENDS])
-    nothing = bytes(FEATURES)
+    nothing = bytes(FEATURES), 0
 
-    def features(text: bytes) -> bytes:
+    def features(text: bytes) -> tuple[bytes, int]:
         lines = text.split(b"\n") if b"\n" in text else [text]
         read = bytes([ENDS]).join(bytes(map(symbols.__getitem__, line.split())) for line in lines)
         read = read.translate(None, b"\0")
         if not any(h in read for h in hot):
             return nothing
-        out = [0] * FEATURES
-        hits = sum(read.count(h) for h in hot)
+        out = [0] * KINDS
         for clause in _clauses(read):
             state = 0
             for a in clause:
                 state = step[state][a]
-            if patterns[state] >= 0:
-                out[patterns[state]] += 1
-        for k in range(4):
-            out[PATTERNS + k] = int(hits > k)
-        return bytes(min(CAP, x) for x in out)
+            if patterns[state] in feature:
+                out[feature[patterns[state]]] += 1
+        clauses = sum(out)
+        return bytes([*(x.bit_length() for x in out), *(int(clauses > k) for k in range(4))]), clauses
 
     return features
 
@@ -266,6 +272,7 @@ def fit_weights(x: np.ndarray, toxic: np.ndarray, total: np.ndarray, rounds: int
 
 def learn_grammar(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Grammar:
     """Learn from at most about ``fit_rows`` labelled rows outside fold 0."""
+    ship(docs.sparkSession)
     fit = labelled(labels, "toxic", fit_rows)
     sample = docs.select("doc_id", "text").join(F.broadcast(fit), "doc_id").repartition(64, "doc_id")
     sample = materialize(_texts(sample, "label"), "toxicity-fit")
@@ -274,7 +281,7 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = matcher(start)
         for b in batches:
-            found = [features(t) for t in b.column("text").to_pylist()]
+            found = [features(t)[0] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), b.column("label")], ["x", "label"])
 
     kinds = sample.mapInArrow(read, "x binary, label int").groupBy("x").agg(
@@ -289,8 +296,10 @@ def learn_grammar(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
 def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted, clauses`` per row of ``docs``.
 
-    ``clauses`` counts the matched clauses. Null and empty texts match nothing
-    and get the score of such texts. Repeated rows get equal scores; rows
+    ``clauses`` counts the matched clauses that are neither negated nor
+    reported. Null and empty texts match nothing and get the score of such
+    texts; very long ones are read whole. Columns of the added names are not
+    passed on. Repeated rows get equal scores; rows
     without id are scored and count as not held out.
     """
     ship(docs.sparkSession)
@@ -299,13 +308,11 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = matcher(grammar)
         for b in batches:
-            x = np.frombuffer(b"".join(features(t) for t in b.column("text").to_pylist()), np.uint8)
-            x = x.reshape(-1, FEATURES).astype(float)
+            found = [features(t) for t in b.column("text").to_pylist()]
+            x = np.frombuffer(b"".join(f for f, _ in found), np.uint8).reshape(-1, FEATURES).astype(float)
             s = 1 / (1 + np.exp(-(x @ grammar.weights[:-1] + grammar.weights[-1])))
-            clauses = x[:, :PATTERNS].sum(axis=1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(s), pa.array(clauses)], ["doc_id", "score", "clauses"]
-            )
+            clauses = pa.array([n for _, n in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), clauses], ["doc_id", "score", "clauses"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = _texts(docs, "doc_id").mapInArrow(score, f"doc_id {kind}, score double, clauses int")

@@ -142,9 +142,9 @@ def plain_grammar():
     return toxicity.Grammar(terminals, {"lowei": toxicity.INSULT}, toxicity.prior_weights()[0])
 
 
-def score_of(text: str) -> float:
-    g = plain_grammar()
-    x = np.frombuffer(toxicity.matcher(g)(text.encode()), np.uint8)
+def score_of(text: str, g=None) -> float:
+    g = g or plain_grammar()
+    x = np.frombuffer(toxicity.matcher(g)(text.encode())[0], np.uint8)
     return float(x @ g.weights[:-1] + g.weights[-1])
 
 
@@ -160,6 +160,20 @@ def test_clauses_weigh_more_than_words():
     assert score_of("it is not so. you idiot") == score_of("so be it. you idiot")
 
 
+def test_the_learned_model_reads_clauses(spark):
+    g = toxicity.learn_grammar(read(spark, SF, "documents"), read(spark, SF, "labels"))
+    said = score_of("You are an idiot.", g)
+    for harmless in ("He is not an idiot. ", "She said idiot. ", "Du bist kein idiot. ", "Elle a dit imbécil. "):
+        assert said > score_of(harmless * 4, g) == score_of("nobody here", g)
+    assert score_of("You are an idiot. " * 4, g) > said
+
+
+def test_a_very_long_text_has_no_limit():
+    features = toxicity.matcher(plain_grammar())
+    (few, n), (many, m) = features(b"you idiot. " * 300), features(b"you idiot. " * 30_000)
+    assert (n, m) == (300, 30_000) and max(many) > max(few)
+
+
 def test_composed_table_equals_its_parts():
     step, patterns = toxicity.compose()
     states = [(a, b, c, d, e) for a in range(3) for b in range(4) for c in range(3) for d in range(3) for e in range(3)]
