@@ -5,7 +5,8 @@ only where they exceed a sequence, and dealt at random into shards of a few
 thousand pieces. Several islands evolve packings of the same shard: crossover
 injects whole well-filled bins of one parent into another, takes out the bins
 that held the same pieces, and puts the displaced pieces back by best fit;
-mutation empties some of the worst bins. Between epochs each island's best
+mutation empties some of the worst bins. Before best fit, displaced pieces
+change places with smaller ones wherever that fills a bin better. Between epochs each island's best
 packing migrates to the next island of its shard through a join. The best of a
 shard's islands places its pieces.
 
@@ -17,11 +18,12 @@ shard is left.
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -40,8 +42,62 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 OFFSPRING = 8
-CACHE = 400_000
+CACHE = 100_000
 TOGETHER = 128
+CLOSE, ENDED = "</w>", b"\0"  # the end of a word in a vocabulary and in the bytes of a token here
+SLICE_BYTES = 1_000_000
+
+
+def _byte_of_mark() -> dict[str, int]:
+    """The byte behind each character of a byte-level vocabulary: printable ones stand for themselves."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    """Ids by bytes, with ``ENDED`` after those that end a word, of a byte-pair vocabulary numbered in the order
+    of its merges: bytes, bytes that end a word, merged tokens. Empty for any other vocabulary."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    if model.get("type") != "BPE" or model.get("end_of_word_suffix") != CLOSE or model.get("dropout"):
+        return {}
+    marks = _byte_of_mark()
+    ids = {t: i for t, i in model["vocab"].items() if set(t.removesuffix(CLOSE)) <= marks.keys()}
+    single = [*marks, *(m + CLOSE for m in marks)]
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if set(ids) != {*single, *merged} or sorted(map(ids.get, single[:256])) != [*range(256)]:
+        return {}
+    if sorted(map(ids.get, single[256:])) != [*range(256, 512)] or list(map(ids.get, merged)) != [*range(512, len(ids))]:
+        return {}
+    return {bytes(marks[c] for c in t.removesuffix(CLOSE)) + ENDED * t.endswith(CLOSE): i for t, i in ids.items()}
+
+
+@cache
+def never_made(path: str) -> frozenset[int] | None:
+    """Ids of merged tokens that no word gives; none if the words of this vocabulary cannot be merged by rank.
+
+    Merging by rank joins any two neighbours whose bytes are a token, the
+    tokenizer only the listed pair. The outcome is the same if each token's own
+    bytes give that token, since whatever is merged inside it before is then the
+    listed pair, in a longer word too. Tokens that do not give themselves are
+    never made and are left out.
+    """
+    from tokenizers.models import BPE
+
+    ids = _ranks(path)
+    if not ids:
+        return None
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    inside, ending = (BPE(vocab=model["vocab"], merges=pairs, **more) for more in ({}, {"end_of_word_suffix": CLOSE}))
+    out = set()
+    for token, i in model["vocab"].items():
+        last = token.endswith(CLOSE)
+        if 512 <= i < len(ids) and [t.id for t in (ending if last else inside).tokenize(token.removesuffix(CLOSE))] != [i]:
+            out.add(i)
+    return frozenset(out)
 
 
 class WordIds(dict):
@@ -51,18 +107,35 @@ class WordIds(dict):
     in lower case, so the ids of a text are those of its words in order. Only
     marks that are tokens of their own must keep their case. Letters and the
     punctuation after them are separate tokens, so they are known separately.
+    The ``CACHE`` words read last and as many from before them are remembered.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, without: frozenset[int] | None = None) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> None:
-        self[word] = None
-        self.new.append(word)
+        self.before: dict[bytes, bytes] = {}
+        self.ranked = None
+        if without is not None:
+            ranks = {t: i for t, i in _ranks(path).items() if i not in without}
+            self.closes = np.zeros(1 + max(ranks.values()), bool)
+            self.closes[[i for t, i in ranks.items() if len(t) > 1 and t.endswith(ENDED)]] = True
+            self.ranked = tiktoken.Encoding(
+                "words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}
+            ).encode_ordinary
+
+    def __missing__(self, word: bytes) -> bytes | None:
+        ids = self[word] = self.before.get(word)
+        if ids is None:
+            self.new.append(word)
+        return ids
+
+    def forget(self) -> None:
+        self.clear()
+        self.before = {}
 
     def learn(self, words: list[bytes]) -> None:
         whole, ended = [], []
@@ -74,28 +147,40 @@ class WordIds(dict):
                 whole.append(w)
         for part in {p for _, *parts in ended for p in parts}:
             if self.get(part) is None:
-                whole.append(part)
+                self[part] = self.before.get(part)
+                if self[part] is None:
+                    whole.append(part)
         self.read(list(dict.fromkeys(whole)))
         for w, core, end in ended:
             self[w] = self[core] + self[end]
 
     def read(self, words: list[bytes]) -> None:
-        """Ask the tokenizer for words, some hundred in one text; offsets tell whose each token is."""
-        texts = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
-        for begin in range(0, len(texts), TOGETHER):
-            some = [[w.decode("utf-8") for w in t] for t in texts[begin : begin + TOGETHER]]
-            found = self.tokenizer.encode_batch([" ".join(t) for t in some], add_special_tokens=False)
-            for own, t, e in zip(texts[begin : begin + TOGETHER], some, found, strict=True):
-                ends = np.cumsum([len(w) + 1 for w in t])
-                whose = np.searchsorted(ends, np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids)), side="right")
-                cuts = (4 * np.cumsum(np.bincount(whose, minlength=len(t)))).tolist()
-                ids = np.array(e.ids, "<u4").tobytes()
-                for w, a, z in zip(own, [0, *cuts], cuts, strict=False):
-                    self[w] = ids[a:z]
+        """Merge words of ASCII letters by rank; ask the tokenizer for others. Some hundred go in one text."""
+        plain, others = [], words
+        if self.ranked:
+            plain = [w for w in words if w.isalpha()]
+            others = [w for w in words if not w.isalpha()]
+        for begin in range(0, len(plain), TOGETHER):
+            some = plain[begin : begin + TOGETHER]
+            ids = np.array(self.ranked((ENDED.join(some) + ENDED).decode("ascii").lower()), "<u4")
+            self.keep(some, ids, 4 * (np.flatnonzero(self.closes[ids]) + 1))
+        for begin in range(0, len(others), TOGETHER):
+            some = others[begin : begin + TOGETHER]
+            shown = [w.decode("utf-8") for w in some]
+            found = self.tokenizer.encode(" ".join(shown), add_special_tokens=False)
+            ends = np.cumsum([len(w) + 1 for w in shown])
+            whose = np.searchsorted(ends, np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids)), side="right")
+            self.keep(some, np.array(found.ids, "<u4"), 4 * np.cumsum(np.bincount(whose, minlength=len(some))))
+
+    def keep(self, words: list[bytes], ids: np.ndarray, cuts: np.ndarray) -> None:
+        whole, ends = ids.tobytes(), cuts.tolist()
+        for w, a, z in zip(words, [0, *ends[:-1]], ends, strict=True):
+            self[w] = whole[a:z]
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of whole texts."""
         if len(self) > CACHE:
+            self.before = dict(self)
             self.clear()
         split = [(text if b"<|" in text else text.lower()).split() for text in texts]
         parts = [list(map(self.__getitem__, words)) for words in split]
@@ -111,7 +196,7 @@ class WordIds(dict):
         return out
 
 
-_KNOWN: dict[str, WordIds] = {}  # stays with the Python worker, for the next task
+_KNOWN: dict[str, WordIds] = {}  # the tokenizer stays with the Python worker for the next task, its words do not
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
@@ -124,13 +209,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ids:
     """
     ship(docs.sparkSession)
     end = np.array([SEPARATOR], "<u4").tobytes()
+    without = never_made(tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _KNOWN:
-            _KNOWN[tokenizer] = WordIds(tokenizer)
+            _KNOWN[tokenizer] = WordIds(tokenizer, without)
         known = _KNOWN[tokenizer]
         item = TaskContext.get().partitionId() << 36
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, SLICE_BYTES):
             rows, pieces, starts, parts = [], [], [], []
             for row, whole in enumerate(known.texts(batch.column("text").to_pylist())):
                 whole += end
@@ -153,6 +239,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ids:
                 names.append("ids")
             item += len(rows)
             yield pa.RecordBatch.from_arrays(columns, names)
+        known.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     more = ", ids array<int>" if ids else ""
@@ -230,6 +317,47 @@ def first_packing(sizes: list[int], capacity: int, noise: float, dice: random.Ra
     return out
 
 
+def replace(p: Packing, loose: list[int]) -> list[int]:
+    """Exchange pieces of bins for larger loose ones, or for two of them, where these fill the bin better.
+
+    The pieces that come out are smaller, so they are easier to place. Returns
+    the loose pieces after it, largest first.
+    """
+    sizes = p.sizes
+    order = sorted((sizes[i], i) for i in loose)
+    for room, number in [*p.free]:
+        if not room or not order:
+            continue
+        items = p.bins[number]
+        best = (0, None, ())
+        for i in items:
+            space = sizes[i] + room
+            at = bisect_left(order, (space + 1, -1)) - 1
+            if at >= 0 and order[at][0] - sizes[i] > best[0]:
+                best = (order[at][0] - sizes[i], i, (order[at],))
+            low, high = 0, min(at, len(order) - 1)
+            while best[0] < room and low < high:
+                both = order[low][0] + order[high][0]
+                if both > space:
+                    high -= 1
+                    continue
+                if both - sizes[i] > best[0]:
+                    best = (both - sizes[i], i, (order[low], order[high]))
+                low += 1
+            if best[0] == room:
+                break
+        gain, out, into = best
+        if out is None:
+            continue
+        p.close(number)
+        items.remove(out)
+        for piece in into:
+            order.remove(piece)
+        insort(order, (sizes[out], out))
+        p.open([*items, *(i for _, i in into)])
+    return [i for _, i in reversed(order)]
+
+
 def crossover(a: Packing, b: Packing, dice: random.Random) -> Packing:
     """``a`` with some of the fullest bins of ``b`` injected whole."""
     full = [n for room, n in b.free[: max(1, len(b.free) // 2)]]
@@ -244,7 +372,7 @@ def crossover(a: Packing, b: Packing, dice: random.Random) -> Packing:
     ]
     for items in inject:
         out.open(items)
-    out.put(sorted(displaced, key=lambda i: -out.sizes[i]))
+    out.put(replace(out, displaced))
     return out
 
 
@@ -253,7 +381,7 @@ def mutate(p: Packing, dice: random.Random) -> None:
     worst = [n for _, n in p.free[-max(2, len(p.free) // 20) :]]
     some = dice.sample(worst, max(1, len(worst) // 2)) + dice.sample([*p.bins], min(3, len(p.bins)))
     loose = [i for n in set(some) for i in p.close(n)]
-    p.put(sorted(loose, key=lambda i: -p.sizes[i]))
+    p.put(replace(p, loose))
 
 
 def evolve(sizes: list[int], capacity: int, elites: list[list[int]], seed: int) -> tuple[list[int], list[float]]:

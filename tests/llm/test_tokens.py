@@ -142,6 +142,41 @@ def test_evolution_finds_full_bins():
     assert max(fill.values()) <= 100 and len(fill) == -bins
 
 
+def test_the_search_saves_bins_where_best_fit_is_far_off():
+    for seed in range(3):
+        dice, sizes = random.Random(seed), []
+        for _ in range(400):
+            a = dice.randint(380, 490)
+            b = dice.randint(250, (1000 - a) // 2)
+            sizes += [a, b, 1000 - a - b]
+        first = len(packing.first_packing(sizes, 1000, 0.0, dice).bins)
+        labels, (bins, _) = packing.evolve(sizes, 1000, [], seed)
+        assert first > 1.1 * 400 and -bins == len(set(labels)) < 1.05 * 400
+
+
+def test_words_by_rank_are_those_of_the_tokenizer():
+    assert packing.never_made(WORDS) is not None
+    dice = random.Random(8)
+    letters = "etaoinshrdlucmfwypvbgkjqxzETAOaan"
+    words = ["".join(dice.choices(letters, k=dice.randrange(1, 30))) for _ in range(20_000)] + ["a" * 500, "na" * 400]
+    known = packing.WordIds(WORDS, packing.never_made(WORDS))
+    for at in range(0, len(words), 500):
+        text = " ".join(words[at : at + 500])
+        (got,) = known.texts([text.encode()])
+        assert np.frombuffer(got, "<u4").tolist() == EXACT.encode(text, add_special_tokens=False).ids
+
+
+def test_few_words_are_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 50)
+    known = packing.WordIds(WORDS, packing.never_made(WORDS))
+    dice = random.Random(2)
+    for _ in range(40):
+        text = " ".join(dice.choice(["the,", "of", "été", "x|y"]) + f" w{dice.randrange(900)} k{'q' * dice.randrange(9)}." for _ in range(30))
+        (got,) = known.texts([text.encode()])
+        assert np.frombuffer(got, "<u4").tolist() == EXACT.encode(text, add_special_tokens=False).ids
+        assert len(known) + len(known.before) <= 500
+
+
 @given(st.lists(st.integers(1, 50), min_size=2, max_size=40), st.integers(0, 10_000))
 @settings(max_examples=100, deadline=None)
 def test_crossover_and_mutation_lose_nothing(sizes, seed):
