@@ -8,17 +8,20 @@ buckets that several documents share are refined:
 1. Equal texts are settled by their digest; only the first of them goes on.
 2. Each 50-byte window is dealt by the 24-byte gram inside it of the smallest
    hash. Equal windows choose equal grams; neighbouring windows mostly choose
-   the same, so a document is a few *runs* of windows. The hashes of the runs'
-   grams, five bytes each, tell which buckets several documents share.
-3. Runs in shared buckets send their bytes. A bucket of suffixes is refined by
-   the identifiers of the buckets of later offsets: 16 bytes, then 32 from two
-   of those, then 50; after each step suffixes that no other document shares
-   drop out. The last buckets are compared byte by byte.
+   the same, so a document is a few *runs* of windows. A window over the 64-bit
+   hashes of the runs' grams tells which buckets several documents share.
+3. Runs in shared buckets send their bytes, which arrive sorted by gram, bytes
+   and document. Equal runs stand together, so all but the first are covered as
+   they pass. A bucket of suffixes is refined by the identifiers of the buckets
+   of later offsets: 16 bytes, then 32 from two of those, then 50; after each
+   step suffixes that no other document shares drop out. The last buckets are
+   compared byte by byte.
 4. Covered ranges return to their documents and are cut out.
 
 Runs that many documents of a batch share are sent once, and the other
 documents learn at once that they are covered, so a passage that a third of all
-documents hold arrives once per batch.
+documents hold arrives once per batch. A task holds the different runs of one
+gram at a time, or of a few megabytes of small ones.
 """
 
 from __future__ import annotations
@@ -42,7 +45,6 @@ LENGTH = 50
 GRAM = 24
 SEGMENT = 1 << 19
 SLICE_BYTES = 1 << 20
-PART_BYTES = 16_000_000
 SEND_BYTES = 5_000_000
 BUCKET_BYTES = 64_000_000
 REFINE_BYTES = 2_000_000
@@ -116,7 +118,7 @@ def _runs_of(texts: list[bytes], segments: list[tuple[int, int, int]]) -> tuple[
         rows[which],
         place[at] - first[which] + offsets[which],
         np.diff(np.append(at, len(place))),
-        chosen[at] >> np.uint64(24),
+        hashed[(chosen[at] & _LOW).astype(np.int64)],
     )
 
 
@@ -138,144 +140,70 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
-_BLOB = "part int, done boolean, ids binary, versions binary, docs binary, starts binary, windows binary, grams binary, bytes binary"
+_ANNOUNCED = "gram bigint, known boolean, doc_id bigint, version int, start int"
+_SENT = "gram bigint, doc_id bigint, version int, start int, windows int, bytes binary"
+_RANGES = "doc_id bigint, version int, begin int, end int"
 
 
-def _blob(part: int, done: bool, ids: np.ndarray, versions: np.ndarray, docs: np.ndarray, **more) -> dict:
-    used, at = np.unique(docs, return_inverse=True)
-    out = {"part": part, "done": done, "ids": ids[used].tobytes(), "versions": versions[used].tobytes()}
-    out["docs"] = at.astype(np.uint32).tobytes()
-    for name in ("starts", "windows", "grams", "bytes"):
-        out[name] = more.get(name, b"")
-    return out
-
-
-def _read(blobs: pd.DataFrame, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs[name]), kind)
+def _rows(columns: str, values: list) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "bigint": pa.int64()}
+    fields = [c.split() for c in columns.split(", ")]
+    arrays = [pa.array(v, kinds[kind]) for v, (_, kind) in zip(values, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
 
 
-def _read_docs(blobs: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids and versions of the documents of all blobs, and for each entry its document."""
-    ids, versions = _read(blobs, "ids", np.int64), _read(blobs, "versions", np.int32)
-    sizes = np.array([len(x) // 8 for x in blobs["ids"]])
-    entries = np.array([len(x) // 4 for x in blobs["docs"]])
-    docs = _read(blobs, "docs", np.uint32).astype(np.int64) + np.repeat(np.cumsum(sizes) - sizes, entries)
-    return ids, versions, docs
+def _keys(gram: np.ndarray, known: np.ndarray, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Grams to deal rows by; what is settled already goes anywhere, so that no gram gathers it."""
+    anywhere = mix(ids.astype(np.uint64) * _G1 + start.astype(np.uint64) * _G2)
+    return np.where(known, anywhere, gram).view(np.int64)
 
 
-def _rows(rows: list[dict], columns: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "bigint": pa.int64()}
-    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in columns.split(", ")])
-    return pa.RecordBatch.from_pylist(rows, schema=schema)
-
-
-def _announce(bits: int):
-    """Hashes of the grams of all runs, dealt by their highest bits."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, SEND_BYTES):
-            runs = find_runs(batch.column("text").to_pylist())
-            ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
-            if not len(runs.text):
-                continue
-            order, first = _groups(runs.gram, runs.text)
-            text, gram = runs.text[order], runs.gram[order]
-            # Grams that several texts of this batch share are known to be shared.
-            _, heads = _groups(gram)
-            texts_of = np.add.reduceat(np.isin(np.arange(len(order)), first).astype(int), heads)
-            shared = _spread(heads, texts_of > 1, len(order))
-            out = []
-            if shared.any():
-                mine = order[shared]
-                part = int(gram[0]) & ((1 << bits) - 1)
-                out.append(_blob(part, True, ids, versions, runs.text[mine], starts=runs.start[mine].astype(np.uint32).tobytes()))
-            send = np.where(shared, np.isin(np.arange(len(order)), heads), True)
-            text, gram, start = text[send], gram[send], runs.start[order][send]
-            parts = (gram >> np.uint64(40 - bits)).astype(np.int64)
-            cuts = np.searchsorted(parts, np.arange((1 << bits) + 1))
-            for p in np.unique(parts):
-                s = slice(cuts[p], cuts[p + 1])
-                low = gram[s] & np.uint64(0xFFFFFFFF)
-                high = (gram[s] >> np.uint64(32)).astype(np.uint8)
-                out.append(
-                    _blob(
-                        int(p), False, ids, versions, text[s], starts=start[s].astype(np.uint32).tobytes(),
-                        grams=low.astype(np.uint32).tobytes(), bytes=high.tobytes(),
-                    )
-                )
-            yield _rows(out, _BLOB)
-
-    return scan
-
-
-def _shared_grams(blobs: pd.DataFrame) -> pd.DataFrame:
-    """For each document the first windows of runs whose gram another document has too."""
-    out = []
-    open_ = blobs[~blobs["done"]]
-    for some, check in ((blobs[blobs["done"]], False), (open_, True)):
-        if not len(some):
+def _announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The grams of all runs; ``known`` are those that several texts of one batch share."""
+    for batch in text_slices(batches, SEND_BYTES):
+        runs = find_runs(batch.column("text").to_pylist())
+        if not len(runs.text):
+            continue
+        ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
+        order, first = _groups(runs.gram, ids[runs.text], runs.text)
+        _, heads = _groups(runs.gram[order])
+        tails = np.append(heads[1:], len(order)) - 1
+        is_first = np.zeros(len(order), int)
+        is_first[first] = 1
+        known = _spread(heads, np.add.reduceat(is_first, heads) > 1, len(order))
+        # The smallest and the largest document of a known gram speak for the batch to the others.
+        ends = np.concatenate([heads[known[heads]], tails[known[heads]]])
+        at, mine = np.concatenate([order, order[ends]]), np.concatenate([known, np.zeros(len(ends), bool)])
+        who, start = ids[runs.text[at]], runs.start[at]
+        keys = _keys(runs.gram[at], mine, who, start)
+        yield _rows(_ANNOUNCED, [keys, mine, who, versions[runs.text[at]], start.astype(np.int32)])
+
+
+def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the runs in shared buckets; what a batch can settle itself has none."""
+    for batch in text_slices(batches, SEND_BYTES):
+        texts = batch.column("text").to_pylist()
+        runs = find_runs(texts)
+        ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
+        asked = batch.column("asked")
+        rows = np.repeat(np.arange(len(texts)), asked.value_lengths().to_numpy())
+        wanted = (rows << 32) | asked.flatten().to_numpy().astype(np.int64)
+        pick = np.isin((runs.text << 32) | runs.start, wanted)
+        text, start, windows, gram = (x[pick] for x in (runs.text, runs.start, runs.windows, runs.gram))
+        if not len(text):
             continue
-        ids, versions, docs = _read_docs(some)
-        starts = _read(some, "starts", np.uint32)
-        if check:
-            gram = _read(some, "grams", np.uint32).astype(np.uint64)
-            gram |= _read(some, "bytes", np.uint8).astype(np.uint64) << np.uint64(32)
-            order, heads = _groups(gram)
-            owner = ids[docs][order]
-            several = np.minimum.reduceat(owner, heads) < np.maximum.reduceat(owner, heads)
-            keep = order[_spread(heads, several, len(order))]
-            docs, starts = docs[keep], starts[keep]
-        order, heads = _groups(ids[docs], versions[docs])
-        for at in np.split(order, heads[1:]) if len(order) else []:
-            out.append((ids[docs[at[0]]], versions[docs[at[0]]], starts[at].tobytes()))
-    return pd.DataFrame(out, columns=["doc_id", "version", "starts"])
-
-
-def _send(bits: int):
-    """The bytes of the runs in shared buckets; what a batch can settle itself is marked done."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, SEND_BYTES):
-            texts = batch.column("text").to_pylist()
-            runs = find_runs(texts)
-            ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
-            asked = [np.frombuffer(b"".join(x), np.uint32) for x in batch.column("asked").to_pylist()]
-            rows = np.repeat(np.arange(len(asked)), [len(x) for x in asked])
-            wanted = (rows << 32) | np.concatenate([*asked, np.empty(0, np.uint32)]).astype(np.int64)
-            pick = np.isin((runs.text << 32) | runs.start, wanted)
-            text, start, windows, gram = (x[pick] for x in (runs.text, runs.start, runs.windows, runs.gram))
-            if not len(text):
-                continue
-            content = [texts[r][a : a + w + LENGTH - 1] for r, a, w in zip(text, start, windows, strict=True)]
-            owner: dict[bytes, int] = {}
-            for i, c in enumerate(content):
-                o = owner.setdefault(c, i)
-                if ids[text[i]] < ids[text[o]]:
-                    owner[c] = i
-            later = np.array([ids[text[owner[c]]] < ids[text[i]] for i, c in enumerate(content)])
-            out = []
-            if later.any():
-                out.append(
-                    _blob(
-                        int(gram[0]) & ((1 << bits) - 1), True, ids, versions, text[later],
-                        starts=start[later].astype(np.uint32).tobytes(),
-                        windows=windows[later].astype(np.uint8).tobytes(),
-                    )
-                )
-            at = np.flatnonzero(~later)
-            parts = (gram[at] >> np.uint64(40 - bits)).astype(np.int64)
-            for p in np.unique(parts):
-                mine = at[parts == p]
-                out.append(
-                    _blob(
-                        int(p), False, ids, versions, text[mine], starts=start[mine].astype(np.uint32).tobytes(),
-                        windows=windows[mine].astype(np.uint8).tobytes(), grams=gram[mine].tobytes(),
-                        bytes=b"".join(content[i] for i in mine),
-                    )
-                )
-            yield _rows(out, _BLOB)
-
-    return scan
+        content = [texts[r][a : a + w + LENGTH - 1] for r, a, w in zip(text, start, windows, strict=True)]
+        owner: dict[bytes, int] = {}
+        for i, c in enumerate(content):
+            o = owner.setdefault(c, i)
+            if ids[text[i]] < ids[text[o]]:
+                owner[c] = i
+        later = np.array([ids[text[owner[c]]] < ids[text[i]] for i, c in enumerate(content)])
+        sent = [None if done else c for c, done in zip(content, later, strict=True)]
+        keys = _keys(gram, later, ids[text], start)
+        yield _rows(
+            _SENT, [keys, ids[text], versions[text], start.astype(np.int32), windows.astype(np.int32), sent]
+        )
 
 
 def refine(data: np.ndarray, windows: np.ndarray, owner: np.ndarray, bucket: np.ndarray) -> np.ndarray:
@@ -319,52 +247,63 @@ def refine(data: np.ndarray, windows: np.ndarray, owner: np.ndarray, bucket: np.
     return out
 
 
-def _covered(blobs: pd.DataFrame) -> pd.DataFrame:
-    """For each document the ranges of bytes that windows of smaller documents cover, as pairs of begin and end."""
-    ranges: list[tuple[np.ndarray, ...]] = []
-    done = blobs[blobs["done"]]
-    if len(done):
-        ids, versions, docs = _read_docs(done)
-        start, count = _read(done, "starts", np.uint32).astype(np.int64), _read(done, "windows", np.uint8)
-        ranges.append((ids[docs], versions[docs], start, start + count + LENGTH - 1))
-    rest = blobs[~blobs["done"]]
-    if len(rest):
-        ids, versions, docs = _read_docs(rest)
-        start, count = (_read(rest, c, k).astype(np.int64) for c, k in (("starts", np.uint32), ("windows", np.uint8)))
-        data = _read(rest, "bytes", np.uint8)
-        sizes = count + LENGTH - 1
-        at = np.cumsum(sizes) - sizes
-        gram = _read(rest, "grams", np.uint64)
-        # Whole buckets of the first q-gram, some megabytes at a time.
-        order, heads = _groups(gram)
-        ends = np.append(heads[1:], len(order))
-        upto = np.cumsum(sizes[order])[ends - 1] if len(heads) else heads
-        begin = 0
-        while begin < len(heads):
-            done_bytes = upto[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(upto, done_bytes + REFINE_BYTES, side="right")))
-            some = order[heads[begin] : ends[end - 1]]
-            begin = end
-            own = data[_ragged(at[some], sizes[some])]
-            first = np.cumsum(sizes[some]) - sizes[some]
-            entry = np.repeat(np.arange(len(some)), count[some])
-            places = _ragged(first, count[some])
-            covered = refine(own, places, ids[docs[some]][entry], gram[some][entry])
-            same = entry[1:] == entry[:-1]
-            opens = covered & ~np.append(False, covered[:-1] & same)
-            closes = covered & ~np.append(covered[1:] & same, False)
-            e = entry[opens]
-            shift = start[some][e] - first[e]
-            who = docs[some][e]
-            ranges.append((ids[who], versions[who], places[opens] + shift, places[closes] + shift + LENGTH))
-    out = []
-    if ranges:
-        ids, versions, begin, end = (np.concatenate(c) for c in zip(*ranges, strict=True))
-        order, heads = _groups(ids, versions)
-        pairs = np.stack([begin, end], axis=1).astype(np.uint32)
-        for at in np.split(order, heads[1:]) if len(order) else []:
-            out.append((ids[at[0]], versions[at[0]], pairs[at].tobytes()))
-    return pd.DataFrame(out, columns=["doc_id", "version", "ranges"])
+def _covered_in(buckets: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Ranges of the runs of whole ``buckets`` that windows of smaller documents cover."""
+    rows = pa.Table.from_batches(buckets).combine_chunks()
+    gram, ids, versions, start, count = (
+        rows.column(c).to_numpy() for c in ("gram", "doc_id", "version", "start", "windows")
+    )
+    data = np.frombuffer(b"".join(rows.column("bytes").to_pylist()), np.uint8)
+    sizes = count.astype(np.int64) + LENGTH - 1
+    at = np.cumsum(sizes) - sizes
+    entry = np.repeat(np.arange(len(sizes)), count)
+    places = _ragged(at, count.astype(np.int64))
+    covered = refine(data, places, ids[entry], gram.view(np.uint64)[entry])
+    same = entry[1:] == entry[:-1]
+    opens = covered & ~np.append(False, covered[:-1] & same)
+    closes = covered & ~np.append(covered[1:] & same, False)
+    e = entry[opens]
+    shift = start[e] - at[e]
+    ends = places[closes] + shift + LENGTH
+    return _rows(_RANGES, [ids[e], versions[e], (places[opens] + shift).astype(np.int32), ends.astype(np.int32)])
+
+
+def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Covered ranges of bytes from runs sorted by gram, bytes and document, whole buckets at a time."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None  # last: gram, bytes and smallest document of the run before
+    for batch in batches:
+        gram, ids, content = batch.column("gram").to_numpy(), batch.column("doc_id"), batch.column("bytes").to_pylist()
+        whole, keep = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+        for i, (g, c, doc) in enumerate(zip(gram.tolist(), content, ids.to_pylist(), strict=True)):
+            if c is None:
+                whole[i] = True
+            elif last is not None and last[:2] == (g, c) and doc > last[2]:
+                # Equal runs: the smallest document comes first.
+                whole[i] = True
+            else:
+                keep[i] = True
+                last = (g, c, doc)
+        if whole.any():
+            some = batch.filter(pa.array(whole))
+            begin, count = some.column("start").to_numpy(), some.column("windows").to_numpy()
+            yield _rows(_RANGES, [some.column("doc_id"), some.column("version"), begin, begin + count + LENGTH - 1])
+        at, begin = np.flatnonzero(keep), 0
+        sizes = np.array([len(content[i]) for i in at], np.int64)
+        runs, grams = batch.take(pa.array(at)), gram[at]
+        for cut in np.flatnonzero(grams[1:] != grams[:-1]) + 1 if len(at) else []:
+            size += int(sizes[begin:cut].sum())
+            if size >= REFINE_BYTES:
+                yield _covered_in([*held, runs.slice(begin, cut - begin)])
+                held, size = [], 0
+            else:
+                held.append(runs.slice(begin, cut - begin))
+            begin = cut
+        if begin < len(at):
+            held.append(runs.slice(begin))
+            size += int(sizes[begin:].sum())
+    if held:
+        yield _covered_in(held)
 
 
 def union_ranges(pairs: np.ndarray) -> np.ndarray:
@@ -379,8 +318,11 @@ def union_ranges(pairs: np.ndarray) -> np.ndarray:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         kept, spans = [], []
-        for text, parts in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
-            pairs = union_ranges(np.frombuffer(b"".join(parts), np.uint32).reshape(-1, 2).astype(np.int64))
+        ranges = batch.column("ranges")
+        all_pairs = np.stack([a.to_numpy() for a in ranges.flatten().flatten()], axis=1).astype(np.int64)
+        cuts = np.cumsum(ranges.value_lengths().to_numpy())[:-1]
+        for text, parts in zip(batch.column("text").to_pylist(), np.split(all_pairs, cuts), strict=True):
+            pairs = union_ranges(parts)
             edges = [0, *pairs.ravel().tolist(), len(text)]
             kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             spans.append(pairs)
@@ -411,6 +353,8 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     are numbers. A null or empty text has no bytes. Texts under 50 bytes lose
     nothing. Rows without id lose nothing and cause nothing. Rows that repeat an
     id never match each other; a repeated row gets the same answer twice.
+    Long texts are read in segments and judged whole. Other columns are left
+    out, whatever their names.
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
@@ -423,7 +367,6 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     version = F.row_number().over(Window.partitionBy("first").orderBy("sha")) - 1
     firsts_named = firsts.select(F.col("first").alias("doc_id"), "sha", version.cast("int").alias("version"))
     volume = base.agg(F.sum("n_bytes")).first()[0] or 0
-    bits = max(1, int(np.ceil(np.log2(1 + volume / PART_BYTES))))
     # As many buckets as joins have partitions at least: with fewer, Spark would deal the texts anew.
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + volume // BUCKET_BYTES)
 
@@ -434,28 +377,14 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     # A repeated row stays here: rows of one id never cover each other.
     once = once.filter(F.col("sha") == F.col("first_sha"))
     writer = once.select("doc_id", "version", "sha", "text").write.bucketBy(buckets, "doc_id").sortBy("doc_id")
-    writer.option("path", f"{shared_dir(spark)}/rowtide/{name}").saveAsTable(name)
-    release(spark)
-    corpus = spark.table(name)
-
-    announced = corpus.select("doc_id", "version", "text").mapInArrow(_announce(bits), _BLOB)
-    asked = announced.groupBy("part").applyInPandas(_shared_grams, "doc_id bigint, version int, starts binary")
-    asked = materialize(asked, "bytes-asked")
-    release(spark)
-    by_doc = asked.groupBy("doc_id", "version").agg(F.collect_list("starts").alias("asked"))
-    sent = _with(corpus, by_doc).select("doc_id", "version", "text", "asked").mapInArrow(_send(bits), _BLOB)
-    covered = sent.groupBy("part").applyInPandas(_covered, "doc_id bigint, version int, ranges binary")
-    covered = materialize(covered, "bytes-covered")
-    release(spark)
-    by_doc = covered.groupBy("doc_id", "version").agg(F.collect_list("ranges").alias("ranges"))
-    cut = _with(corpus, by_doc).select("doc_id", "sha", "text", "ranges").mapInArrow(_cut, _CUT)
+    try:
+        writer.option("path", f"{shared_dir(spark)}/rowtide/{name}").saveAsTable(name)
+        release(spark)
+        cut = _cut_table(spark.table(name), ("kept", "spans") if texts else ())
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _forget(spark, f"{shared_dir(spark)}/rowtide/{name}")
     more = ("kept", "spans") if texts else ()
-    cut = cut.select("doc_id", "sha", "n_removed", "n_spans", "kept_sha256", *more).dropDuplicates(["doc_id", "sha"])
-    cut = materialize(cut, "bytes-cut")
-    spark.sql(f"DROP TABLE {name}")
-    _forget(spark, f"{shared_dir(spark)}/rowtide/{name}")
-    drop_table(asked)
-    drop_table(covered)
 
     rows = base.join(firsts, "sha", "left").join(cut, ["doc_id", "sha"], "left")
     copy = F.col("doc_id") > F.col("first")
@@ -470,6 +399,30 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     )
 
 
+def _cut_table(corpus: DataFrame, more: tuple[str, ...]) -> DataFrame:
+    """What :func:`_cut` says of each text of ``corpus``, written."""
+    spark = corpus.sparkSession
+    gram = Window.partitionBy("gram")
+    announced = corpus.select("doc_id", "version", "text").mapInArrow(_announce, _ANNOUNCED)
+    announced = announced.withColumns({"low": F.min("doc_id").over(gram), "high": F.max("doc_id").over(gram)})
+    shared = announced.filter(F.col("known") | (F.col("low") < F.col("high")))
+    asked = shared.groupBy("doc_id", "version").agg(F.collect_list("start").alias("asked"))
+    asked = materialize(asked, "bytes-asked")
+    release(spark)
+    sent = _with(corpus, asked).select("doc_id", "version", "text", "asked").mapInArrow(_send, _SENT)
+    sent = sent.repartition("gram").sortWithinPartitions("gram", "bytes", "doc_id")
+    ranges = F.collect_list(F.struct("begin", "end")).alias("ranges")
+    covered = sent.mapInArrow(_covered, _RANGES).groupBy("doc_id", "version").agg(ranges)
+    covered = materialize(covered, "bytes-covered")
+    release(spark)
+    cut = _with(corpus, covered).select("doc_id", "sha", "text", "ranges").mapInArrow(_cut, _CUT)
+    cut = cut.select("doc_id", "sha", "n_removed", "n_spans", "kept_sha256", *more).dropDuplicates(["doc_id", "sha"])
+    cut = materialize(cut, "bytes-cut")
+    drop_table(asked)
+    drop_table(covered)
+    return cut
+
+
 def _with(corpus: DataFrame, by_doc: DataFrame) -> DataFrame:
     """Join on the id alone, by which the texts lie in buckets already."""
     right = by_doc.withColumnRenamed("version", "_version")

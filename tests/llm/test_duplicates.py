@@ -158,6 +158,26 @@ def test_repeated_bytes_of_odd_rows(spark):
     assert suffix_dedup.repeated_bytes(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows_a_batch", [1, 3, 100])
+def test_covered_stream_splits_no_bucket(monkeypatch, rows_a_batch):
+    """Runs sorted by gram, bytes and document, in batches that cut buckets anywhere, against all windows of a bucket."""
+    monkeypatch.setattr(suffix_dedup, "REFINE_BYTES", 200)
+    dice = random.Random(5)
+    rows = []
+    for i in range(60):
+        a = dice.randrange(0, 12)
+        content = "".join(f"{i % 4}{n:03}" for n in range(30))[a : a + dice.randrange(50, 70)].encode()
+        rows.append((i % 4, dice.randrange(6), 0, 1000 * i, len(content) - 49, content))
+    rows.sort(key=lambda r: (r[0], r[5], r[1]))
+    made = [suffix_dedup._rows(suffix_dedup._SENT, list(zip(*rows[i : i + rows_a_batch], strict=True))) for i in range(0, 60, rows_a_batch)]
+    got = {b for out in suffix_dedup._covered(iter(made)) for r in out.to_pylist() for b in range(r["begin"], r["end"])}
+    first: dict[tuple[int, bytes], int] = {}
+    windows = [(g, doc, start + o, c[o : o + 50]) for g, doc, _, start, n, c in rows for o in range(n)]
+    for g, doc, _, w in windows:
+        first[g, w] = min(doc, first.get((g, w), doc))
+    assert got == {b for g, doc, at, w in windows if first[g, w] < doc for b in range(at, at + 50)}
+
+
 @given(st.lists(st.text("ab", min_size=50, max_size=140), min_size=1, max_size=6))
 @settings(max_examples=60, deadline=None)
 def test_refinement_matches_brute_force(texts):
