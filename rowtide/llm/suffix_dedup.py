@@ -426,7 +426,8 @@ def _cut_table(corpus: DataFrame, more: tuple[str, ...]) -> DataFrame:
 def _with(corpus: DataFrame, by_doc: DataFrame) -> DataFrame:
     """Join on the id alone, by which the texts lie in buckets already."""
     right = by_doc.withColumnRenamed("version", "_version")
-    return corpus.join(right.hint("merge"), "doc_id").filter(F.col("version") == F.col("_version"))
+    # No equality of two columns: as a key of the join it would deal all texts anew by id and version.
+    return corpus.join(right.hint("merge"), "doc_id").filter(F.col("version") - F.col("_version") == 0)
 
 
 def _forget(spark, folder: str) -> None:
