@@ -46,6 +46,7 @@ GRAM = 24
 SEGMENT = 1 << 19
 SLICE_BYTES = 1 << 20
 SEND_BYTES = 5_000_000
+SALTS = 1 << 16
 BUCKET_BYTES = 64_000_000
 REFINE_BYTES = 2_000_000
 _G1, _G2, _G3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -140,7 +141,7 @@ def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
-_ANNOUNCED = "gram bigint, known boolean, doc_id bigint, version int, start int"
+_ANNOUNCED = "gram bigint, salt int, doc_id bigint"
 _SENT = "gram bigint, doc_id bigint, version int, start int, windows int, bytes binary"
 _RANGES = "doc_id bigint, version int, begin int, end int"
 
@@ -152,31 +153,24 @@ def _rows(columns: str, values: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
 
 
-def _keys(gram: np.ndarray, known: np.ndarray, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Grams to deal rows by; what is settled already goes anywhere, so that no gram gathers it."""
-    anywhere = mix(ids.astype(np.uint64) * _G1 + start.astype(np.uint64) * _G2)
-    return np.where(known, anywhere, gram).view(np.int64)
-
-
 def _announce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The grams of all runs; ``known`` are those that several texts of one batch share."""
+    """The grams of the runs of each document. Those that several documents of one batch share are known: they have a salt."""
     for batch in text_slices(batches, SEND_BYTES):
         runs = find_runs(batch.column("text").to_pylist())
         if not len(runs.text):
             continue
-        ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
-        order, first = _groups(runs.gram, ids[runs.text], runs.text)
-        _, heads = _groups(runs.gram[order])
-        tails = np.append(heads[1:], len(order)) - 1
-        is_first = np.zeros(len(order), int)
-        is_first[first] = 1
-        known = _spread(heads, np.add.reduceat(is_first, heads) > 1, len(order))
+        who = batch.column("doc_id").to_numpy()[runs.text]
+        order, first = _groups(runs.gram, who)
+        gram, who = runs.gram[order[first]], who[order[first]]
+        heads = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        tails = np.append(heads[1:], len(gram)) - 1
+        known = _spread(heads, tails > heads, len(gram))
+        salt = np.where(known, 1 + who % SALTS, 0)
         # The smallest and the largest document of a known gram speak for the batch to the others.
         ends = np.concatenate([heads[known[heads]], tails[known[heads]]])
-        at, mine = np.concatenate([order, order[ends]]), np.concatenate([known, np.zeros(len(ends), bool)])
-        who, start = ids[runs.text[at]], runs.start[at]
-        keys = _keys(runs.gram[at], mine, who, start)
-        yield _rows(_ANNOUNCED, [keys, mine, who, versions[runs.text[at]], start.astype(np.int32)])
+        salt = np.concatenate([salt, np.zeros(len(ends), np.int64)]).astype(np.int32)
+        at = np.concatenate([np.arange(len(gram)), ends])
+        yield _rows(_ANNOUNCED, [gram[at].view(np.int64), salt, who[at]])
 
 
 def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,8 +181,9 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, versions = batch.column("doc_id").to_numpy(), batch.column("version").to_numpy()
         asked = batch.column("asked")
         rows = np.repeat(np.arange(len(texts)), asked.value_lengths().to_numpy())
-        wanted = (rows << 32) | asked.flatten().to_numpy().astype(np.int64)
-        pick = np.isin((runs.text << 32) | runs.start, wanted)
+        # Pairs of text and gram as one hash; one that collides is sent for nothing.
+        wanted = mix(asked.flatten().to_numpy().view(np.uint64) + rows.astype(np.uint64) * _G1)
+        pick = np.isin(mix(runs.gram + runs.text.astype(np.uint64) * _G1), wanted)
         text, start, windows, gram = (x[pick] for x in (runs.text, runs.start, runs.windows, runs.gram))
         if not len(text):
             continue
@@ -200,7 +195,9 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 owner[c] = i
         later = np.array([ids[text[owner[c]]] < ids[text[i]] for i, c in enumerate(content)])
         sent = [None if done else c for c, done in zip(content, later, strict=True)]
-        keys = _keys(gram, later, ids[text], start)
+        # What is settled goes anywhere, so that no gram gathers it.
+        anywhere = mix(ids[text].astype(np.uint64) * _G1 + start.astype(np.uint64) * _G2)
+        keys = np.where(later, anywhere, gram).view(np.int64)
         yield _rows(
             _SENT, [keys, ids[text], versions[text], start.astype(np.int32), windows.astype(np.int32), sent]
         )
@@ -402,14 +399,14 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
 def _cut_table(corpus: DataFrame, more: tuple[str, ...]) -> DataFrame:
     """What :func:`_cut` says of each text of ``corpus``, written."""
     spark = corpus.sparkSession
-    gram = Window.partitionBy("gram")
-    announced = corpus.select("doc_id", "version", "text").mapInArrow(_announce, _ANNOUNCED)
+    gram = Window.partitionBy("gram", "salt")
+    announced = corpus.select("doc_id", "text").mapInArrow(_announce, _ANNOUNCED)
     announced = announced.withColumns({"low": F.min("doc_id").over(gram), "high": F.max("doc_id").over(gram)})
-    shared = announced.filter(F.col("known") | (F.col("low") < F.col("high")))
-    asked = shared.groupBy("doc_id", "version").agg(F.collect_list("start").alias("asked"))
+    shared = announced.filter((F.col("salt") > 0) | (F.col("low") < F.col("high")))
+    asked = shared.groupBy("doc_id").agg(F.collect_list("gram").alias("asked"))
     asked = materialize(asked, "bytes-asked")
     release(spark)
-    sent = _with(corpus, asked).select("doc_id", "version", "text", "asked").mapInArrow(_send, _SENT)
+    sent = corpus.join(asked.hint("merge"), "doc_id").select("doc_id", "version", "text", "asked").mapInArrow(_send, _SENT)
     sent = sent.repartition("gram").sortWithinPartitions("gram", "bytes", "doc_id")
     ranges = F.collect_list(F.struct("begin", "end")).alias("ranges")
     covered = sent.mapInArrow(_covered, _RANGES).groupBy("doc_id", "version").agg(ranges)
