@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,7 +14,19 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
-__all__ = ["SPACE", "WORD", "drop_table", "fold_of", "labelled", "materialize", "read", "release", "table_bytes", "words_of"]
+__all__ = [
+    "SPACE",
+    "WORD",
+    "drop_table",
+    "finished_shuffles_go",
+    "fold_of",
+    "labelled",
+    "materialize",
+    "read",
+    "release",
+    "table_bytes",
+    "words_of",
+]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -68,3 +82,19 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps: it does so when the driver collects their handles."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+@contextmanager
+def finished_shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Inside the block Spark deletes the shuffle files of each query as soon as it ends.
+
+    For steps that write tables: what they shuffled is of no use once the table
+    is there. DataFrames that are run later are best made after the block.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rowtide.llm.batches import text_slices
-from rowtide.llm.common import drop_table, materialize, release
+from rowtide.llm.common import drop_table, finished_shuffles_go, materialize
 from rowtide.llm.shingles import mix
 from rowtide.session import shared_dir, ship
 
@@ -375,9 +375,9 @@ def repeated_bytes(docs: DataFrame, texts: bool = False) -> DataFrame:
     once = once.filter(F.col("sha") == F.col("first_sha"))
     writer = once.select("doc_id", "version", "sha", "text").write.bucketBy(buckets, "doc_id").sortBy("doc_id")
     try:
-        writer.option("path", f"{shared_dir(spark)}/rowtide/{name}").saveAsTable(name)
-        release(spark)
-        cut = _cut_table(spark.table(name), ("kept", "spans") if texts else ())
+        with finished_shuffles_go(spark):
+            writer.option("path", f"{shared_dir(spark)}/rowtide/{name}").saveAsTable(name)
+            cut = _cut_table(spark.table(name), ("kept", "spans") if texts else ())
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         _forget(spark, f"{shared_dir(spark)}/rowtide/{name}")
@@ -405,13 +405,11 @@ def _cut_table(corpus: DataFrame, more: tuple[str, ...]) -> DataFrame:
     shared = announced.filter((F.col("salt") > 0) | (F.col("low") < F.col("high")))
     asked = shared.groupBy("doc_id").agg(F.collect_list("gram").alias("asked"))
     asked = materialize(asked, "bytes-asked")
-    release(spark)
     sent = corpus.join(asked.hint("merge"), "doc_id").select("doc_id", "version", "text", "asked").mapInArrow(_send, _SENT)
     sent = sent.repartition("gram").sortWithinPartitions("gram", "bytes", "doc_id")
     ranges = F.collect_list(F.struct("begin", "end")).alias("ranges")
     covered = sent.mapInArrow(_covered, _RANGES).groupBy("doc_id", "version").agg(ranges)
     covered = materialize(covered, "bytes-covered")
-    release(spark)
     cut = _with(corpus, covered).select("doc_id", "sha", "text", "ranges").mapInArrow(_cut, _CUT)
     cut = cut.select("doc_id", "sha", "n_removed", "n_spans", "kept_sha256", *more).dropDuplicates(["doc_id", "sha"])
     cut = materialize(cut, "bytes-cut")
