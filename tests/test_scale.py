@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import glob
+import uuid
+
 from pyspark.sql import functions as F
 
 from rowtide.operators import classify as C
+from rowtide.plans.stream_queries import PARTS, _captured
+from rowtide.session import shared_dir
 from rowtide.sources.event_log import cdc_log
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,3 +21,14 @@ def test_classification_is_dealt_before_the_bodies_are_built(spark):
     dealt = text.index("RepartitionByExpression [event_id")
     assert max(text.rfind("get_json"), text.rfind("from_json"), text.rfind('{"doc":')) < dealt
     assert '"record"' not in text[dealt:]
+
+
+def test_a_part_of_the_log_is_a_file_per_core(spark):
+    path, files = _captured(spark, SF_DIR, f"{shared_dir(spark)}/captured-{uuid.uuid4().hex}")
+    assert files == spark.sparkContext.defaultParallelism
+    assert len(glob.glob(f"{path}/*.parquet")) == PARTS * files
+    got = spark.read.parquet(path)
+    by_part = got.withColumn("file", F.input_file_name()).groupBy("part").agg(F.countDistinct("file").alias("n"))
+    assert {r.part: r.n for r in by_part.collect()} == {p: files for p in range(PARTS)}
+    assert got.drop("part").exceptAll(cdc_log(spark, SF_DIR).select(*got.drop("part").columns)).count() == 0
+    assert got.count() == cdc_log(spark, SF_DIR).count()
