@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import glob
 import uuid
 
+from helpers import T0
 from pyspark.sql import functions as F
 
 from rowtide.operators import classify as C
 from rowtide.plans.stream_queries import PARTS, _captured
 from rowtide.session import shared_dir
 from rowtide.sources.event_log import cdc_log
+from rowtide.streaming.dedup import data_batches_only, dedup_ttl_stream
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -32,3 +35,36 @@ def test_a_part_of_the_log_is_a_file_per_core(spark):
     assert {r.part: r.n for r in by_part.collect()} == {p: files for p in range(PARTS)}
     assert got.drop("part").exceptAll(cdc_log(spark, SF_DIR).select(*got.drop("part").columns)).count() == 0
     assert got.count() == cdc_log(spark, SF_DIR).count()
+
+
+def test_state_is_held_by_shard(spark):
+    work = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
+    schema = "event_id string, received_at timestamp, stream_seq bigint, sink_ok boolean"
+
+    def rows(seconds, first, ok=lambda k: True):
+        return [
+            (f"k{k}" if k else None, T0 + dt.timedelta(seconds=s), first + 1000 * i + k, ok(k))
+            for i, s in enumerate(seconds)
+            for k in range(200)
+        ]
+
+    batches = [rows([0, 100], 0, lambda k: k % 2 == 0), rows([299, 300, 450], 10_000), rows([750], 20_000)]
+    for part in batches:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{work}/log")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/log")
+    with data_batches_only(spark):
+        query = (
+            dedup_ttl_stream(stream, published="sink_ok", shards=16)
+            .writeStream.format("parquet")
+            .option("path", f"{work}/out")
+            .option("checkpointLocation", f"{work}/cp")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 16
+    got = {r.stream_seq: r.dedup for r in spark.read.parquet(f"{work}/out").collect()}
+    even = ["miss", "hit", "hit", "miss", "hit", "miss"]  # windows from 0, 300 and 750
+    odd = ["miss", "miss", "miss", "hit", "hit", "miss"]  # failed twice, windows from 299 and 750
+    places = [0, 1000, 10_000, 11_000, 12_000, 20_000]
+    assert got == {p + k: (odd if k % 2 else even)[i] for k in range(200) for i, p in enumerate(places)}
