@@ -21,6 +21,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowtide.functions.settle import settled
 from rowtide.llm.common import materialize, table_bytes, words_of
 
 # The word positions each mask looks at.
@@ -48,17 +49,18 @@ def _hashes(text: str) -> Column:
 
 
 def _seeds(rows: DataFrame, *keys: str) -> DataFrame:
-    """``keys``, ``at`` and ``seed`` for each mask at each word position of column ``_h``."""
-    n = F.size("_h")
+    """``keys``, ``at`` and ``seed`` for each mask at each word position of column ``_h``.
 
-    def under(at: Column) -> Column:
-        # The shortest mask ends one word earlier than the others; its last place looks at the padding of those.
-        return F.array(*[F.xxhash64(F.lit(m), *[F.col("_p")[at + o] for o in mask]) for m, mask in enumerate(MASKS)])
-
-    padded = rows.filter(n >= MIN_WORDS).select(*keys, F.concat("_h", F.array(F.lit(0).cast("bigint"))).alias("_p"))
+    Words are final before they are filtered and listed, since Spark would read
+    them again for each filter, its own on the length of a list included. Seeds
+    are made per listed position, which is compiled, unlike functions over lists.
+    """
+    # The shortest mask ends one word earlier than the others; its last place looks at the padding of those.
+    padded = settled(rows.select(*keys, F.concat("_h", F.array(F.lit(0).cast("bigint"))).alias("_p")), "_p")
     last = F.size("_p") - 1 - (min(m[-1] for m in MASKS) + 1)
-    listed = padded.select(*keys, F.posexplode(F.flatten(F.transform(F.sequence(F.lit(0), last), under))))
-    return listed.select(*keys, (F.col("pos") / len(MASKS)).cast("int").alias("at"), F.col("col").alias("seed"))
+    placed = padded.filter(F.size("_p") > MIN_WORDS).select(*keys, "_p", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    under = [F.xxhash64(F.lit(m), *[F.col("_p")[F.col("at") + o] for o in mask]) for m, mask in enumerate(MASKS)]
+    return placed.select(*keys, "at", F.explode(F.array(*under)).alias("seed"))
 
 
 def _text_key() -> list[Column]:

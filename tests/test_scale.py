@@ -9,6 +9,7 @@ import uuid
 from helpers import T0
 from pyspark.sql import functions as F
 
+from rowtide.llm import decontaminate
 from rowtide.operators import classify as C
 from rowtide.plans.stream_queries import PARTS, _captured
 from rowtide.session import shared_dir
@@ -68,3 +69,10 @@ def test_state_is_held_by_shard(spark):
     odd = ["miss", "miss", "miss", "hit", "hit", "miss"]  # failed twice, windows from 299 and 750
     places = [0, 1000, 10_000, 11_000, 12_000, 20_000]
     assert got == {p + k: (odd if k % 2 else even)[i] for k in range(200) for i, p in enumerate(places)}
+
+
+def test_words_of_a_text_are_read_once_for_its_seeds(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    seeds = decontaminate._seeds(docs.select("doc_id", decontaminate._hashes("text").alias("_h")), "doc_id")
+    plan = seeds._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
