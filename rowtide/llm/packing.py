@@ -1,7 +1,7 @@
 """Packing of tokenised documents by a grouping genetic algorithm.
 
-Documents are tokenised word by word with a bounded memory of known words, cut
-only where they exceed a sequence, and dealt at random into shards of a few
+Documents are tokenised, common words by rank and others with a bounded memory
+of known words, cut only where they exceed a sequence, and dealt at random into shards of a few
 thousand pieces. Several islands evolve packings of the same shard: crossover
 injects whole well-filled bins of one parent into another, takes out the bins
 that held the same pieces, and puts the displaced pieces back by best fit;
@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import json
 import random
+import re
+import string
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -46,6 +48,19 @@ CACHE = 100_000
 TOGETHER = 128
 CLOSE, ENDED = "</w>", b"\0"  # the end of a word in a vocabulary and in the bytes of a token here
 SLICE_BYTES = 1_000_000
+# Letters that have one lower-case letter each, whatever stands beside them: ASCII, and U+00C0 to U+017F but one.
+ASCII = re.compile(rb"[A-Za-z]+")
+LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+")
+MARKS = string.punctuation.encode()
+ODD, LETTER, MARK, SPACE = range(4)
+OTHER_WORD, TEXT_END = b"\1", b"\2"  # stand for a word to look up, and for the end of a text
+PLAIN = bytes(ord(chr(b).lower()) if b < 128 else b for b in range(256)).translate(
+    bytes(0 if b in b" \t\n\v\f\r" else b for b in range(256))
+)
+KIND = np.full(256, ODD, np.uint8)
+KIND[[*string.ascii_letters.encode(), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = LETTER
+KIND[[*MARKS]] = MARK
+KIND[0] = SPACE
 
 
 def _byte_of_mark() -> dict[str, int]:
@@ -106,8 +121,9 @@ class WordIds(dict):
     The tokenizer drops white space and reads the words between it one by one,
     in lower case, so the ids of a text are those of its words in order. Only
     marks that are tokens of their own must keep their case. Letters and the
-    punctuation after them are separate tokens, so they are known separately.
-    The ``CACHE`` words read last and as many from before them are remembered.
+    punctuation after them are separate tokens. Words of Latin letters are merged
+    by rank, all of a slice at once; others are looked up one by one, and the
+    ``CACHE`` read last and as many from before them are remembered.
     """
 
     def __init__(self, path: str, without: frozenset[int] | None = None) -> None:
@@ -116,22 +132,20 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.new: list[bytes] = []
         self.before: dict[bytes, bytes] = {}
-        self.ranked = None
+        self.ranked, self.letters = None, ASCII
         if without is not None:
             ranks = {t: i for t, i in _ranks(path).items() if i not in without}
             self.closes = np.zeros(1 + max(ranks.values()), bool)
             self.closes[[i for t, i in ranks.items() if len(t) > 1 and t.endswith(ENDED)]] = True
-            self.ranked = tiktoken.Encoding(
-                "words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}
-            ).encode_ordinary
-
-    def __missing__(self, word: bytes) -> bytes | None:
-        ids = self[word] = self.before.get(word)
-        if ids is None:
-            self.new.append(word)
-        return ids
+            encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+            self.ranked = encoding.encode_to_numpy
+            self.other, self.end = ranks[OTHER_WORD + ENDED], ranks[TEXT_END + ENDED]
+            every = [c.encode() for c in map(chr, range(0xC0, 0x180)) if LATIN.fullmatch(c.encode())]
+            self.merge(every)
+            merged = [self[c] for c in every]
+            self.ask(every)
+            self.letters = LATIN if merged == [self[c] for c in every] else ASCII
 
     def forget(self) -> None:
         self.clear()
@@ -139,38 +153,45 @@ class WordIds(dict):
 
     def learn(self, words: list[bytes]) -> None:
         whole, ended = [], []
+        is_word = self.letters.fullmatch
         for w in words:
-            core = w.rstrip(b".,!?;:")
-            if core != w and core.isalpha():
+            core = w.rstrip(MARKS)
+            if core != w and is_word(core):
                 ended.append((w, core, w[len(core) :]))
             else:
                 whole.append(w)
-        for part in {p for _, *parts in ended for p in parts}:
-            if self.get(part) is None:
-                self[part] = self.before.get(part)
-                if self[part] is None:
-                    whole.append(part)
+        for part in {p for _, *parts in ended for p in parts}.difference(self):
+            ids = self.before.get(part)
+            if ids is None:
+                whole.append(part)
+            else:
+                self[part] = ids
         self.read(list(dict.fromkeys(whole)))
         for w, core, end in ended:
             self[w] = self[core] + self[end]
 
     def read(self, words: list[bytes]) -> None:
-        """Merge words of ASCII letters by rank; ask the tokenizer for others. Some hundred go in one text."""
+        """Merge words of Latin letters by rank; ask the tokenizer for others. Some hundred go in one text."""
         plain, others = [], words
         if self.ranked:
-            plain = [w for w in words if w.isalpha()]
-            others = [w for w in words if not w.isalpha()]
+            is_word = self.letters.fullmatch
+            plain = [w for w in words if is_word(w)]
+            others = [w for w in words if not is_word(w)]
         for begin in range(0, len(plain), TOGETHER):
-            some = plain[begin : begin + TOGETHER]
-            ids = np.array(self.ranked((ENDED.join(some) + ENDED).decode("ascii").lower()), "<u4")
-            self.keep(some, ids, 4 * (np.flatnonzero(self.closes[ids]) + 1))
+            self.merge(plain[begin : begin + TOGETHER])
         for begin in range(0, len(others), TOGETHER):
-            some = others[begin : begin + TOGETHER]
-            shown = [w.decode("utf-8") for w in some]
-            found = self.tokenizer.encode(" ".join(shown), add_special_tokens=False)
-            ends = np.cumsum([len(w) + 1 for w in shown])
-            whose = np.searchsorted(ends, np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids)), side="right")
-            self.keep(some, np.array(found.ids, "<u4"), 4 * np.cumsum(np.bincount(whose, minlength=len(some))))
+            self.ask(others[begin : begin + TOGETHER])
+
+    def merge(self, words: list[bytes]) -> None:
+        ids = self.ranked((ENDED.join(words) + ENDED).decode("utf-8").lower())
+        self.keep(words, ids, 4 * (np.flatnonzero(self.closes[ids]) + 1))
+
+    def ask(self, words: list[bytes]) -> None:
+        shown = [w.decode("utf-8") for w in words]
+        found = self.tokenizer.encode(" ".join(shown), add_special_tokens=False)
+        ends = np.cumsum([len(w) + 1 for w in shown])
+        whose = np.searchsorted(ends, np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids)), side="right")
+        self.keep(words, np.array(found.ids, "<u4"), 4 * np.cumsum(np.bincount(whose, minlength=len(words))))
 
     def keep(self, words: list[bytes], ids: np.ndarray, cuts: np.ndarray) -> None:
         whole, ends = ids.tobytes(), cuts.tolist()
@@ -179,22 +200,72 @@ class WordIds(dict):
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """The ids of whole texts."""
+        if self.letters is not LATIN:
+            return self.by_word(texts)
+        cased = {k: text for k, text in enumerate(texts) if b"<|" in text or b"\0" in text}
+        out = self.by_rank([b"" if k in cased else text for k, text in enumerate(texts)])
+        for k, ids in zip(cased, self.by_word(list(cased.values())), strict=True):
+            out[k] = ids
+        return out
+
+    def by_word(self, texts: list[bytes]) -> list[bytes]:
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        self.know(*split)
+        return [b"".join(map(self.__getitem__, words)) for words in split]
+
+    def know(self, *split: list[bytes]) -> None:
         if len(self) > CACHE:
             self.before = dict(self)
             self.clear()
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        parts = [list(map(self.__getitem__, words)) for words in split]
-        if self.new:
-            words, self.new = self.new, []
-            self.learn(words)
-        out = []
-        for words, found in zip(split, parts, strict=True):
-            try:
-                out.append(b"".join(found))
-            except TypeError:  # some were new
-                out.append(b"".join(map(self.__getitem__, words)))
-        return out
-
+        new = set().union(*split).difference(self)
+        known = {w: ids for w in new if (ids := self.before.get(w)) is not None}
+        self.update(known)
+        self.learn(list(new.difference(known)))
+
+    def by_rank(self, texts: list[bytes]) -> list[bytes]:
+        """Merge all words of Latin letters and the punctuation after them at once, look up the others.
+
+        A zero byte ends each piece; a word of another kind is one mark in the
+        text that is merged, and its ids take the place of that mark's.
+        """
+        end = ENDED + TEXT_END + ENDED
+        whole = end.join(text.translate(PLAIN) for text in texts) + end
+        shown = np.frombuffer(whole, np.uint8)
+        kind = KIND[shown]
+        stops = np.flatnonzero(shown == 0)
+        # Of the letters two are signs and one has no single lower-case letter; marks stand at the end of a word.
+        pair = shown[:-1].astype(np.uint16) << 8 | shown[1:]
+        odd = kind == ODD
+        odd[:-1] |= (pair == 0xC397) | (pair == 0xC3B7) | (pair == 0xC4B0) | ((kind[:-1] == MARK) & (kind[1:] == LETTER))
+        at = np.unique(np.searchsorted(stops, np.flatnonzero(odd)))
+        begin, stop = np.append(0, stops[:-1] + 1)[at], stops[at]
+        ends = (stop - begin == 1) & (shown[begin] == TEXT_END[0])
+        ends &= np.isin(stop, np.cumsum([len(text) + len(end) for text in texts]) - 1)
+        begin, stop = begin[~ends], stop[~ends]
+        others = [whole[a:z] for a, z in zip(begin.tolist(), stop.tolist(), strict=True)]
+        changed = shown.copy()
+        changed[begin] = OTHER_WORD[0]
+        inside = np.zeros(len(shown) + 1, np.int8)
+        inside[begin + 1] += 1
+        inside[stop] -= 1
+        gone = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+        split = np.zeros(len(shown), bool)
+        split[1:] = (kind[:-1] == LETTER) & (kind[1:] == MARK) & ~gone[1:]
+        split[begin + 1] = False
+        changed = np.insert(changed[~gone], np.flatnonzero(split[~gone]), 0)
+        ids = self.ranked(changed.tobytes().decode("utf-8").lower())
+        here = ids == self.other
+        self.know(others)
+        found = list(map(self.__getitem__, others))
+        size = np.ones(len(ids), np.int64)
+        size[here] = [len(x) // 4 for x in found]
+        taken = np.repeat(here, size)
+        out = np.empty(len(taken), "<u4")
+        out[~taken] = ids[~here]
+        out[taken] = np.frombuffer(b"".join(found), "<u4")
+        last = (np.cumsum(size) - 1)[ids == self.end]
+        parts = out.tobytes()
+        return [parts[4 * a : 4 * z] for a, z in zip([0, *(last[:-1] + 1).tolist()], last.tolist(), strict=True)]
 
 _KNOWN: dict[str, WordIds] = {}  # the tokenizer stays with the Python worker for the next task, its words do not
 

@@ -291,3 +291,23 @@ def test_frequent_words_fit_their_bound(spark, size):
     counts = spark.createDataFrame([(i, i % 7, 1 + i // 3) for i in range(60)], "word bigint, affix bigint, n bigint")
     got = maxent_lm.frequent(counts, size)
     assert len(got.hashes) <= size and (np.diff(got.hashes.astype(object)) > 0).all()
+
+
+def test_words_of_a_slice_are_merged_at_once():
+    known = packing.WordIds(WORDS, packing.never_made(WORDS))
+    dice = random.Random(5)
+    signs = ["a", "B", "é", "È", "ß", "Ł", "ſ", "İ", "×", "÷", "Σ", "ς", "e\u0301", "1", ".", ",", "'", "'s", "!!", "%", "<|", "|>",
+             "<|endoftext|>", "-", "中", "\u00a0", "\x01", "\x02", "\0", " ", " ", "\n", "\t", "\x1c", "the", "tion"]
+    texts = ["", " ", "\x02", "x \x02", "\x01 y", "a\x02 \x02"]
+    texts += ["".join(dice.choices(signs, k=dice.randint(1, 30))) for _ in range(3_000)]
+    ids = [np.frombuffer(x, "<u4").tolist() for x in known.texts([x.encode() for x in texts])]
+    slow = packing.WordIds(WORDS, None).texts([x.encode() for x in texts])
+    assert ids == [np.frombuffer(x, "<u4").tolist() for x in slow]
+    plain = [x for x in texts if not set(x) & {"\0", "\u00a0", "\x1c", "\x01", "\x02"}]
+    for text, found in zip(texts, ids, strict=True):
+        if text in plain:
+            assert found == known.tokenizer.encode(text, add_special_tokens=False).ids, text
+    known.forget()
+    words = ["".join(dice.choices("abcdeéüñ", k=9)) for _ in range(2_000)]
+    known.texts([" ".join(words).encode()])
+    assert len(known) == 0  # no word was looked up or remembered
