@@ -59,14 +59,13 @@ def parse_body(data: Column) -> Column:
 
 
 def is_alone(data: Column) -> Column:
-    """True if the body is one value, with nothing after it.
+    """True if a body that :func:`parse_body` could read is one value, with nothing after it.
 
-    A body that goes on with further members shows as a further key of the outer
-    object; one that closes the outer object itself, and so hides what follows
-    from the reader, is no single array element.
+    What follows the value goes on with a comma or closes the outer object, and
+    so hides the rest from the reader. In an array the one makes a second element
+    and the other is no JSON; what closes the array is none in the outer object.
     """
-    keys = F.json_object_keys(_outer(data)) == F.array(F.lit("doc"), F.lit("__end__"))
-    return keys & F.coalesce(F.json_array_length(F.concat(F.lit("["), data, F.lit("]"))) == 1, F.lit(False))
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), data, F.lit("]"))) == 1, F.lit(False))
 
 
 def last_of_each_key(record: Column, data: Column) -> Column:

@@ -9,11 +9,12 @@ import uuid
 from helpers import T0
 from pyspark.sql import functions as F
 
+from rowtide.functions.envelope import decode_envelope
 from rowtide.llm import decontaminate
 from rowtide.operators import classify as C
 from rowtide.plans.stream_queries import PARTS, _captured
 from rowtide.session import shared_dir
-from rowtide.sources.event_log import cdc_log
+from rowtide.sources.event_log import cdc_log, change_events
 from rowtide.streaming.dedup import data_batches_only, dedup_ttl_stream
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -27,6 +28,30 @@ def test_classification_is_dealt_before_the_bodies_are_built(spark):
     assert '"record"' not in text[dealt:]
 
 
+def test_a_body_is_built_once_for_all_its_broken_forms(spark):
+    plan = change_events(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count('"commit_lsn":') == 1
+
+
+def test_the_body_is_not_read_a_third_time_for_its_keys(spark):
+    plan = C.classify(cdc_log(spark, SF_DIR))._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan.lower().replace("_", "")
+    assert "lengthofjsonarray" in plan and "jsonobjectkeys" not in plan
+
+
+def test_whatever_follows_a_body_makes_it_undecodable(spark):
+    whole = '{"record":{"id":1},"action":"insert","metadata":{"table_name":"chats"}}'
+    tails = [
+        ",", "}", "]", "]}", "}]", '"', " x", ',"x":1', ',"x":{}', '],"x":[', '],"x":[{}', '}],"x":[{', f",{whole}", f" {whole}",
+        f"],[{whole}", f'],"doc":[{whole}', ',"__end__":1}', ',"__end__":1} tail', ',"__end__":1}]', '],"__end__":1}', ']} ["',
+        ',"__end__":1},{"doc":null', f',"doc":{whole}', f'],"doc":{whole}', ',"doc":null', "//", "/* */", "\x00", ":1", ",null",
+    ]
+    bodies = [(whole + t, t) for t in tails] + [(whole, None), (f" {whole}\n", None), ("null", None)]
+    rows = decode_envelope(spark.createDataFrame(bodies, "data string, tail string")).collect()
+    assert {r.tail: r.decodable for r in rows if r.tail} == {t: False for t in tails}
+    assert [r.decodable for r in rows if r.tail is None] == [True, True, True]
+
+
 def test_a_part_of_the_log_is_a_file_per_core(spark):
     path, files = _captured(spark, SF_DIR, f"{shared_dir(spark)}/captured-{uuid.uuid4().hex}")
     assert files == spark.sparkContext.defaultParallelism
