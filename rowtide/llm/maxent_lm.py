@@ -9,10 +9,15 @@
   (single, skipped, pairs, a skipped pair and the triple, hashed into a table
   with a block of slots for each last class) and of the last three words
   themselves: n-grams and skips, hashed into slots (:func:`word_keys`).
-* The word is predicted within its class by softmaxes over the same features of
-  words: first its group in the class, then the word in the group. Without
+* The word is predicted within its class by the same features of words. Without
   weights each has its smoothed share of the class's tokens. Words that are not
-  among the frequent ones are one group, in which they have their shares.
+  among the frequent ones are predicted as one, in which they have their shares.
+
+Where features of words take part, a softmax is a path of choices between two
+branches of a Huffman tree, so a token costs as many steps as its word has bits:
+through the classes, then through the words of the class. Each choice has weights
+of its own for all features, on top of the odds that the class weights or the
+shares give it. Products of the choices add up to 1 over all words.
 
 All statistics cover all training texts: word counts, neighbours of words, and
 how often each class follows each history. Weights of classes are fitted to the
@@ -20,14 +25,17 @@ latter by distributed gradient updates: tasks return the gradient of their
 histories, the driver adds them up.
 
 Weights of words are dealt out by the last word (a frequent one also by the two
-before it) to parts of about ``EVENTS`` tokens, each with ``SLOTS`` slots for
-each softmax, so the table grows with the corpus. No slot is used by two parts:
-gradients are added up by slot within a Spark group, and the weights stay there.
-The same group scores the tokens dealt to it.
+before it, first words by their text) to parts of about ``EVENTS`` tokens, each with ``1 << SLOT_BITS`` slots
+for each feature, so the table grows with the corpus. No slot is used by two
+parts: gradients are added up by slot within a Spark group, and the weights stay
+there. A round updates one feature after the other, each on top of those before
+it. The same group scores the tokens dealt to it, where a history that it has not
+learned from adds nothing.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -55,12 +63,14 @@ LIMIT = 0.4
 CACHE = 400_000
 FEATURES = 7
 EVENTS = 2**19
-SLOT_BITS = 15
+SLOT_BITS = 22
 GROUPS = 64
 WORD_FEATURES = 5
-WORD_ROUNDS = 3
-WORD_LIMIT = 1.0
+WORD_ROUNDS = 2
+WORD_LIMIT = 3.0
+WORD_PRIOR = 3.0
 CHUNK = 16_384
+PAIRS = 131_072
 EVENT = np.dtype([("h", "<u2", 3), ("code", "<u4"), ("member", "<u2")])
 TEXT = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("n", "<i4"), ("learn", "?")])
 
@@ -125,12 +135,16 @@ class Lexicon:
 
 @dataclass(frozen=True)
 class Places:
-    """Where the frequent words stand in their classes, and the softmaxes' logits without weights."""
+    """Where the frequent words stand in their classes, and the choices that lead to each."""
 
     group: np.ndarray  # by place in the lexicon; group 0 holds the words that are not in it
     member: np.ndarray
-    groups: np.ndarray  # classes x GROUPS
-    members: np.ndarray  # classes x GROUPS x members
+    first: np.ndarray  # by class: its first leaf, which is group 0; the members of the groups follow
+    begin: np.ndarray  # by leaf: where its choices begin; one more at the end
+    choice: np.ndarray  # the choices of each leaf; the first CLASSES - 1 are between classes
+    side: np.ndarray  # 1 where the leaf is in the second branch
+    start: np.ndarray  # by choice: odds without weights, as a logarithm; 0 between classes
+    branches: np.ndarray  # 2 x choices between classes x CLASSES: which classes are in either branch
     rare: np.ndarray  # by class: log10 of what the count + 1 of a word in group 0 is divided by
 
 
@@ -384,25 +398,71 @@ def train(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model
     often[END] = ends
     table = materialize(class_counts(training, lexicon, class_of), "lm-histories")
     release(training.sparkSession)
-    return Model(lexicon, class_of, fit_weights(table, often, rounds), word_places(lexicon, class_of, rare), tokens, vocabulary, ends)
-
-
-def word_places(lexicon: Lexicon, class_of: np.ndarray, rare: np.ndarray) -> Places:
-    """Deal the frequent words of each class out to its groups; ``rare``: counts + 1 of all its other words, and 1."""
+    return Model(lexicon, class_of, fit_weights(table, often, rounds), word_places(lexicon, class_of, rare, ends), tokens, vocabulary, ends)
+
+
+def huffman(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The choices of a Huffman tree: leaf, choice and side of each step to a leaf, and the odds of each choice's second side."""
+    heap = [(float(m), k) for k, m in enumerate(mass)]
+    n = len(heap)
+    up, side, odds = np.zeros(2 * n, np.int64), np.zeros(2 * n, np.int8), np.zeros(max(n - 1, 0))
+    heapq.heapify(heap)
+    for k in range(n - 1):
+        (a, left), (b, right) = heapq.heappop(heap), heapq.heappop(heap)
+        up[left] = up[right] = n + k
+        side[right], odds[k] = 1, b / a
+        heapq.heappush(heap, (a + b, n + k))
+    leaf = at = np.arange(n if n > 1 else 0)
+    steps = []
+    while len(leaf):
+        steps.append((leaf, up[at] - n, side[at]))
+        below = up[at] < 2 * n - 2
+        leaf, at = leaf[below], up[at][below]
+    parts = [np.concatenate(x) for x in zip(*steps, strict=True)] or [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int8)]
+    return parts[0], parts[1], parts[2], odds
+
+
+def word_places(lexicon: Lexicon, class_of: np.ndarray, rare: np.ndarray, ends: int = 0) -> Places:
+    """Deal the frequent words of each class out to its groups and lay out the choices that lead to them.
+
+    ``rare``: counts + 1 of all other words of each class, and 1; ``ends``: how many texts end.
+    """
     of = class_of[lexicon.types]
     group, member = np.zeros(len(of), np.int64), np.zeros(len(of), np.int64)
-    for c in range(END + 1, CLASSES):
-        mine = np.flatnonzero(of == c)
+    rest = np.maximum(rare, 1)
+    mass = np.bincount(of, lexicon.counts + 1, CLASSES) + rest
+    mass[END] += ends
+    leaf, choice, side, _ = huffman(mass)
+    branches = np.zeros((2, CLASSES - 1, CLASSES), np.float32)
+    branches[side, choice, leaf] = 1
+    steps, start, first, leaves = [], [np.zeros(CLASSES - 1)], np.zeros(CLASSES, np.int64), 0
+    for c in range(CLASSES):
+        mine = np.flatnonzero(of == c) if c > END else np.empty(0, np.int64)
         mine = mine[np.argsort(-lexicon.counts[mine], kind="stable")]
-        group[mine], member[mine] = 1 + np.arange(len(mine)) % (GROUPS - 1), np.arange(len(mine)) // (GROUPS - 1)
-    shares = np.zeros((CLASSES, GROUPS, int(member.max(initial=0)) + 1))
-    some = of > END
-    shares[of[some], group[some], member[some]] = lexicon.counts[some] + 1
-    with np.errstate(divide="ignore"):
-        members = np.log(shares).astype(np.float32)
-        shares[:, 0, 0] = np.maximum(rare, 1)
-        groups = np.log(shares.sum(axis=2)).astype(np.float32)
-    return Places(group, member, groups, members, np.log10(np.maximum(rare, 1)))
+        rank = np.arange(len(mine))
+        group[mine], member[mine] = 1 + rank % (GROUPS - 1), rank // (GROUPS - 1)
+        first[c] = leaves
+        at, path, way, odds = huffman(np.append(rest[c], lexicon.counts[mine] + 1))
+        steps.append((leaves + at, sum(map(len, start)) + path, way))
+        start.append(np.log(odds))
+        own = leaf == c
+        all_leaves = leaves + np.arange(len(mine) + 1)
+        steps.append((np.repeat(all_leaves, own.sum()), np.tile(choice[own], len(all_leaves)), np.tile(side[own], len(all_leaves))))
+        leaves += len(all_leaves)
+    leaf, choice, side = (np.concatenate(x) for x in zip(*steps, strict=True))
+    order = np.argsort(leaf, kind="stable")
+    begin = np.append(0, np.cumsum(np.bincount(leaf, minlength=leaves)))
+    return Places(
+        group,
+        member,
+        first,
+        begin,
+        choice[order].astype(np.int32),
+        side[order],
+        np.concatenate(start).astype(np.float32),
+        branches,
+        np.log10(rest),
+    )
 
 
 def word_keys(h: np.ndarray) -> np.ndarray:
@@ -412,86 +472,136 @@ def word_keys(h: np.ndarray) -> np.ndarray:
     return np.stack([x | np.uint64(k << 48) for k, x in enumerate(kinds)])
 
 
-def word_slots(keys: np.ndarray, after: np.ndarray | int = 0) -> np.ndarray:
-    """The slots of features, in the softmax of a class and group given by ``after``."""
-    return (mix(keys ^ mix(np.asarray(after, np.uint64))) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-
-
-class WordSoftmax:
-    """A softmax over hashed features of words: a row of weights for each slot."""
-
-    def __init__(self, width: int) -> None:
-        self.weights = np.zeros((1 << SLOT_BITS, width), np.float32)
-        self.seen = np.zeros((1 << SLOT_BITS, width), np.float32)
-        self.mean = np.zeros((1 << SLOT_BITS, width), np.float32)
-
-    def logs(self, start: np.ndarray, slots: np.ndarray) -> np.ndarray:
-        x = start.copy()
-        for s in slots:
-            x += self.weights[s]
-        return log_softmax(x)
-
-    def add(self, start: np.ndarray, slots: np.ndarray, target: np.ndarray, first: bool) -> None:
-        """Add up by slot what is there and what the weights expect."""
-        p = np.exp(self.logs(start, slots))
-        for s in slots:
-            order = np.argsort(s.astype(np.uint16), kind="stable")
-            there = s[order]
-            begin = np.flatnonzero(np.append(True, there[1:] != there[:-1])) if len(there) else np.empty(0, np.int64)
-            if len(begin):
-                self.mean[there[begin]] += np.add.reduceat(p[order], begin, axis=0)
-            if first:
-                cell, n = np.unique(s * self.seen.shape[1] + target, return_counts=True)
-                self.seen.reshape(-1)[cell] += n
-
-    def step(self) -> None:
-        """One gradient update, scaled by a bound of the curvature of each cell and shared by the features of a token."""
-        used = np.flatnonzero(self.seen.any(axis=1))
-        seen, mean, weights = self.seen[used], self.mean[used], self.weights[used]
-        curve = mean * np.maximum(1 - mean / seen.sum(axis=1, keepdims=True), 0)
-        move = (seen - mean - 0.1 * weights) / (curve + 1) / WORD_FEATURES
-        self.weights[used] = weights + np.clip(move, -WORD_LIMIT, WORD_LIMIT)
-        self.mean[:] = 0
+def word_slots(keys: np.ndarray) -> np.ndarray:
+    """The slots of features, or of choices; a feature of a choice has the slot that the two make by exclusive or."""
+    return (mix(keys.astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+
+
+@dataclass(frozen=True)
+class Path:
+    """Choices on the way to the words of some tokens."""
+
+    event: np.ndarray  # which token
+    slot: np.ndarray  # the slot of the choice
+    side: np.ndarray  # 1 where the second branch was taken
+    logit: np.ndarray  # of the second branch; without weights at first
+
+
+class Choices:
+    """Choices between two branches by hashed features of words: a weight for each slot of each feature."""
+
+    def __init__(self) -> None:
+        self.weights = np.zeros((WORD_FEATURES, 1 << SLOT_BITS), np.float32)
+        self.gap = np.zeros(1 << SLOT_BITS, np.float32)
+        self.curve = np.zeros(1 << SLOT_BITS, np.float32)
+
+    def update(self, feature: int, keys: np.ndarray, path: Path) -> None:
+        """One gradient update of the weights of a feature, scaled by the curvature of each cell, and of the logits."""
+        parts = [slice(begin, begin + PAIRS) for begin in range(0, len(path.event), PAIRS)]
+        for part in parts:
+            slots = (keys.take(path.event[part]) ^ path.slot[part]).astype(np.intp)
+            p = 1 / (1 + np.exp(-path.logit[part]))
+            np.add.at(self.gap, slots, path.side[part] - p)
+            np.add.at(self.curve, slots, p * (1 - p))
+        weights, move = self.weights[feature], self.gap
+        move -= 0.1 * weights
+        self.curve += WORD_PRIOR
+        move /= self.curve
+        np.clip(move, -WORD_LIMIT, WORD_LIMIT, out=move)
+        weights += move
+        for part in parts:
+            path.logit[part] += move.take((keys.take(path.event[part]) ^ path.slot[part]).astype(np.intp))
+        self.gap[:] = self.curve[:] = 0
 
 
 class WordModel:
-    """The three softmaxes of a part: class, group in the class, word in the group."""
+    """The choices of a part: through the classes to one, and through its words."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
-        self.levels = [WordSoftmax(CLASSES), WordSoftmax(GROUPS), WordSoftmax(model.words.members.shape[2])]
-
-    def parts(self, events: np.ndarray) -> Iterator[tuple[WordSoftmax, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each softmax: which events need it, logits without weights, slots, targets."""
+        self.levels = [Choices()]
+        self.met = np.zeros((WORD_FEATURES, 1 << SLOT_BITS), bool)  # histories that were learned from
+        self.row = np.full(CLASSES**3, -1, np.int32)  # of class histories seen so far
+        self.odds = np.empty((0, CLASSES - 1), np.float32)
+        self.slot = word_slots(np.arange(len(model.words.start)))
+
+    def see(self, history: np.ndarray) -> None:
+        """Work out once for each class history the odds of the choices between classes."""
+        there = np.zeros(CLASSES**3, bool)
+        there[history] = True
+        new = np.flatnonzero(there & (self.row < 0))
+        self.row[new] = len(self.odds) + np.arange(len(new))
+        found = [self.odds]
+        for begin in range(0, len(new), CHUNK):
+            rows = features(new[begin : begin + CHUNK])
+            p = np.exp(log_softmax(sum(self.model.weights[rows[:, f]] for f in range(FEATURES))))
+            left, right = (np.log(np.maximum(p @ side.T, 1e-30)) for side in self.model.words.branches)
+            found.append((right - left).astype(np.float32))
+        self.odds = np.concatenate(found)
+
+    def path(self, events: np.ndarray) -> Path:
         places, code = self.model.words, events["code"].astype(np.int64)
-        history, now, group = code >> 12, code >> 6 & 63, code & 63
-        keys = word_keys(events["h"])
-        some, which = np.unique(history, return_inverse=True)
-        start = self.model.weights[features(some)].sum(axis=1)[which]
-        yield self.levels[0], np.arange(len(events)), start, word_slots(keys), now
-        at = np.flatnonzero(now > END)
-        yield self.levels[1], at, places.groups[now[at]], word_slots(keys[:, at], now[at] + 1), group[at]
-        at = at[group[at] > 0]
-        after = (now[at] + 1) << 6 | group[at]
-        yield self.levels[2], at, places.members[now[at], group[at]], word_slots(keys[:, at], after), events["member"][at].astype(np.int64)
-
-    def learn(self, events: np.ndarray, rounds: int = WORD_ROUNDS) -> None:
-        for k in range(rounds if len(events) else 0):
-            for begin in range(0, len(events), CHUNK):
-                for level, _, start, slots, target in self.parts(events[begin : begin + CHUNK]):
-                    level.add(start, slots, target, k == 0)
-            for level in self.levels:
-                level.step()
+        self.see(code >> 12)
+        leaf = places.first[code >> 6 & 63] + events["member"].astype(np.int64) * (GROUPS - 1) + (code & 63)
+        size = places.begin[leaf + 1] - places.begin[leaf]
+        end = np.cumsum(size)
+        n = int(end[-1]) if len(end) else 0
+        out = Path(np.empty(n, np.int32), np.empty(n, np.int32), np.empty(n, np.int8), np.empty(n, np.float32))
+        row = self.row.take(code >> 12).astype(np.int64) * (CLASSES - 1)
+        odds = self.odds.reshape(-1)
+        for begin in range(0, len(events), CHUNK):
+            some = slice(begin, begin + CHUNK)
+            first = int(end[begin] - size[begin])
+            event = np.repeat(np.arange(len(size[some])), size[some])
+            here = slice(first, first + len(event))
+            at = np.arange(first, first + len(event)) + (places.begin[leaf[some]] - end[some] + size[some]).take(event)
+            choice = places.choice.take(at)
+            start = places.start.take(choice)
+            between = np.flatnonzero(choice < CLASSES - 1)
+            start[between] = odds.take(row[some].take(event[between]) + choice[between])
+            out.event[here], out.logit[here] = event + begin, start
+            out.slot[here], out.side[here] = self.slot.take(choice), places.side.take(at)
+        return out
+
+    def learn(self, events: np.ndarray, rounds: int = WORD_ROUNDS) -> np.ndarray:
+        """Update the weights feature by feature, from the shortest to the longest; what :meth:`logs` then gives for ``events``."""
+        path, keys = self.path(events), word_slots(word_keys(events["h"]))
+        for met, k in zip(self.met, keys, strict=True):
+            met[k] = True
+        for _ in range(rounds if len(events) else 0):
+            for feature, k in enumerate(keys):
+                self.levels[0].update(feature, k, path)
+        return _log_of(path, len(events))
 
     def logs(self, events: np.ndarray) -> np.ndarray:
-        """The natural logarithm of each word's probability; of a word in group 0 that of the group."""
+        """The natural logarithm of each word's probability; of a word in group 0 that of the group.
+
+        A feature whose history was not learned from has no weight.
+        """
         out = np.zeros(len(events))
-        for begin in range(0, len(events), CHUNK):
-            for level, at, start, slots, target in self.parts(events[begin : begin + CHUNK]):
-                out[begin + at] += level.logs(start, slots)[np.arange(len(at)), target]
+        for begin in range(0, len(events), EVENTS):
+            some = events[begin : begin + EVENTS]
+            path = self.path(some)
+            for weights, met, k in zip(self.levels[0].weights, self.met, word_slots(word_keys(some["h"])), strict=True):
+                for at in range(0, len(path.event), PAIRS):
+                    part = slice(at, at + PAIRS)
+                    found = weights.take((k.take(path.event[part]) ^ path.slot[part]).astype(np.intp))
+                    path.logit[part] += found * met.take(k).take(path.event[part])
+            out[begin : begin + EVENTS] = _log_of(path, len(some))
         return out
 
 
+def _log_of(path: Path, events: int) -> np.ndarray:
+    out = np.zeros(events)
+    for at in range(0, len(path.event), PAIRS):
+        part = slice(at, at + PAIRS)
+        x = np.where(path.side[part], path.logit[part], -path.logit[part])
+        event, low = path.event[part], int(path.event[at])
+        sums = np.bincount(event - low, np.minimum(x, 0) - np.log1p(np.exp(-np.abs(x))))
+        out[low : low + len(sums)] += sums
+    return out
+
+
 def part_count(tokens: int) -> int:
     return max(1, -(-tokens // EVENTS))
 
@@ -527,7 +637,10 @@ def _deal(model: Model):
                 x[place < lag] = 0
                 before.append(x)
             one, two, three, split = before
-            part = (mix(one ^ np.where(split, mix(two ^ mix(three + np.uint64(1))), np.uint64(0))) >> np.uint64(20)) % np.uint64(parts)
+            # First words all have one history: their texts deal them out.
+            lone = batch.column("k1").to_numpy(zero_copy_only=False).view(np.uint64)[text] % np.uint64(part_count(model.ends))
+            more = np.where(split, mix(two ^ mix(three + np.uint64(1))), np.where(place == 0, mix(lone), np.uint64(0)))
+            part = (mix(one ^ more) >> np.uint64(20)) % np.uint64(parts)
             events = np.empty(len(text), EVENT)
             for k, x in enumerate((one, two, three)):
                 events["h"][:, k] = x >> np.uint64(48)
@@ -568,8 +681,10 @@ def word_scores(docs: DataFrame, model: Model, rounds: int = WORD_ROUNDS) -> Dat
 
         events, texts = read("events", EVENT), read("texts", TEXT)
         words = WordModel(sent.value)
-        words.learn(events[np.repeat(texts["learn"], texts["n"])], rounds)
-        logs = np.add.reduceat(words.logs(events), np.cumsum(texts["n"]) - texts["n"])
+        learn, logs = np.repeat(texts["learn"], texts["n"]), np.empty(len(events))
+        logs[learn] = words.learn(events[learn], rounds)
+        logs[~learn] = words.logs(events[~learn])
+        logs = np.add.reduceat(logs, np.cumsum(texts["n"]) - texts["n"])
         return pa.table({"k1": texts["k1"], "k2": texts["k2"], "score": logs / np.log(10), "n": texts["n"].astype(np.int64)})
 
     dealt = docs.mapInArrow(_deal(model), "part int, events binary, texts binary")
@@ -637,6 +752,10 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, learn: Column)
         f"doc_id {kind}, k1 bigint, k2 bigint, word bigint, times bigint, n_tokens bigint, n_known bigint, "
         "sums double, scored double",
     )
+    # First, so that what it shuffles is gone before the rare words are written.
+    texts = _texts(docs, F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"), learn.alias("learn"))
+    by_words = materialize(word_scores(texts, model), "lm-words")
+    release(docs.sparkSession)
     walked = materialize(walked, "lm-scores")
     rare = walked.filter(F.col("word").isNotNull()).select("k1", "k2", "word", "times")
     found = rare.join(counts.select("word", "n"), "word", "left")
@@ -648,9 +767,6 @@ def score_texts(docs: DataFrame, model: Model, counts: DataFrame, learn: Column)
     )
     rare = materialize(rare, "lm-rare")
     release(docs.sparkSession)
-    texts = _texts(docs, F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"), learn.alias("learn"))
-    by_words = materialize(word_scores(texts, model), "lm-words")
-    release(docs.sparkSession)
     rows = walked.filter(F.col("word").isNull()).join(rare, ["k1", "k2"], "left").join(by_words, ["k1", "k2"])
     # The rare words of copies were added up together.
     part = F.when(F.col("times") > 0, F.col("times") / F.col("all_rare")).otherwise(0.0)

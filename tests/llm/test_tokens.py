@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import collections
+import dataclasses
 import math
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer, models, normalizers
@@ -286,6 +288,41 @@ def test_word_weights_learn_and_grow_with_the_corpus():
     assert [maxent_lm.part_count(n) for n in (0, 1, maxent_lm.EVENTS + 1, 10 * maxent_lm.EVENTS)] == [1, 1, 2, 10]
 
 
+def test_a_word_costs_as_many_choices_as_its_share_has_bits():
+    places = word_model().model.words
+    leaf = places.first[40]
+    size = np.diff(places.begin)
+    assert size.max() < 40 and size[leaf:places.first[41]].min() > 0
+    mass = np.array([40.0, 30, 20, 6, 3, 1])
+    leaf, choice, side, odds = maxent_lm.huffman(mass)
+    steps = np.bincount(leaf)
+    entropy = -(mass / 100 * np.log2(mass / 100)).sum()
+    assert entropy <= (steps * mass).sum() / 100 <= entropy + 1
+    log = np.where(side == 1, np.log(odds[choice]), 0) - np.log1p(odds[choice])
+    assert np.allclose(np.exp(np.bincount(leaf, log)), mass / 100)
+
+
+def test_learning_returns_what_scoring_gives_and_unknown_histories_add_nothing():
+    model = word_model()
+    events = np.repeat(every_word(model), 2)
+    fresh = events[:50].copy()
+    fresh["h"] = [50_000, 60_000, 61_000]
+    before = model.logs(fresh)
+    assert np.allclose(model.learn(events), model.logs(events), atol=1e-4)
+    assert np.allclose(model.logs(fresh), before, atol=1e-6)
+
+
+def test_first_words_are_dealt_to_several_parts():
+    model = word_model().model
+    many = dataclasses.replace(model, tokens=40 * maxent_lm.EVENTS, ends=10 * maxent_lm.EVENTS)
+    n = 64
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([b""] * n, pa.binary()), pa.array(np.arange(n)), pa.array(np.arange(n)), pa.array([True] * n)], ["text", "k1", "k2", "learn"]
+    )
+    parts = [x for rows in maxent_lm._deal(many)(iter([batch])) for x in rows.column("part").to_pylist()]
+    assert len(set(parts)) > 4
+
+
 @pytest.mark.parametrize("size", [1, 3, 100])
 def test_frequent_words_fit_their_bound(spark, size):
     counts = spark.createDataFrame([(i, i % 7, 1 + i // 3) for i in range(60)], "word bigint, affix bigint, n bigint")
