@@ -59,55 +59,54 @@ def format_rfc3339(ts: Column) -> Column:
 # -- type checks -----------------------------------------------------------------
 
 
-def _mistyped(value: str, kind: str) -> str:
-    """SQL condition: ``value`` is present, not null, and not of its kind.
+# Spark's name of the type that all values of a kind have that needs no closer look.
+_PLAIN = {"bool": "BOOLEAN", "string": "STRING", "long": "BIGINT"}
 
-    Text rather than columns: a registry has many fields, and one parsed
-    expression is built faster than thousands of calls into the JVM.
-    """
 
-    def of(*names: str) -> str:
-        listed = ", ".join(f"'{n}'" for n in ("VOID", *names))
-        return f"coalesce(schema_of_variant({value}) IN ({listed}), true)"
+def _mistyped(value: str, kind: str, plain: str) -> str:
+    """SQL condition: ``value`` is present, not null, not of the type ``plain`` and not of its kind.
 
-    text = f"try_variant_get({value}, '$', 'string')"
-    if kind == "bool":
-        return f"NOT {of('BOOLEAN')}"
-    if kind == "string":
-        return f"NOT {of('STRING')}"
-    if kind == "date":
-        good = f"{text} IN ('', 'null') OR try_to_date({text}, '{DATE_FORMAT}') IS NOT NULL"
-        return f"NOT {of('STRING')} OR ({text} IS NOT NULL AND NOT ({good}))"
-    if kind == "timestamp":
-        good = f"{text} RLIKE r'{RFC3339_PATTERN}' AND try_to_timestamp({text}) IS NOT NULL"
-        return f"NOT {of('STRING')} OR ({text} IS NOT NULL AND NOT ({good}))"
-    # A number with a zero fraction or an exponent is an integer too.
-    low, high = _INTEGER_LIMITS[kind]
-    found, double = f"schema_of_variant({value})", f"try_variant_get({value}, '$', 'double')"
-    number = (
-        f"({found} = 'BIGINT' OR ({found} = 'DOUBLE' AND {double} = floor({double}))"
-        f" OR ({found} LIKE 'DECIMAL%' AND {text} RLIKE r'^-?[0-9]+([.]0*)?$'))"
-    )
-    whole = f"{number} AND try_variant_get({value}, '$', 'decimal(38,0)') BETWEEN {low} AND {high}"
-    plain = of("BIGINT") if kind == "long" else of()
-    return f"NOT ({plain} OR coalesce({whole}, false))"
+    ``kind`` and ``plain`` are SQL expressions too.
+    """
+    found, text = f"schema_of_variant({value})", f"try_variant_get({value}, '$', 'string')"
+    date = f"{text} IN ('', 'null') OR try_to_date({text}, '{DATE_FORMAT}') IS NOT NULL"
+    time = f"{text} RLIKE r'{RFC3339_PATTERN}' AND try_to_timestamp({text}) IS NOT NULL"
+    double = f"try_variant_get({value}, '$', 'double')"
+
+    def whole(low: int, high: int) -> str:
+        # A number with a zero fraction or an exponent is an integer too.
+        number = (
+            f"({found} = 'BIGINT' OR ({found} = 'DOUBLE' AND {double} = floor({double}))"
+            f" OR ({found} LIKE 'DECIMAL%' AND {text} RLIKE r'^-?[0-9]+([.]0*)?$'))"
+        )
+        return f"{number} AND try_variant_get({value}, '$', 'decimal(38,0)') BETWEEN {low} AND {high}"
+
+    good = {"date": f"{found} = 'STRING' AND ({date})", "timestamp": f"{found} = 'STRING' AND {time}"}
+    good |= {name: whole(*limits) for name, limits in _INTEGER_LIMITS.items()}
+    branches = " ".join(f"WHEN '{name}' THEN {condition}" for name, condition in good.items())
+    seen = f"coalesce({found} IN ('VOID', {plain}), true)"
+    return f"NOT ({seen} OR coalesce(CASE {kind} {branches} END, false))"
 
 
 def type_errors(record: str, table: str, tables: Sequence[TableSpec] = DEFAULT_TABLES) -> Column:
     """Names of the fields that do not fit the row's table, in schema order.
 
     ``record`` and ``table`` name the columns with the row image and its table.
+    The fields of a table are data that one condition goes through: a condition
+    for each of them makes a method too large for the JVM to compile.
     """
     branches = []
     for spec in tables:
-        checks = ", ".join(
-            f"CASE WHEN {_mistyped(f'{record}.`{name}`', kind)} THEN '{name}' END"
+        fields = ", ".join(
+            f"named_struct('name', '{name}', 'kind', '{kind}', 'plain', '{_PLAIN.get(kind, '')}')"
             for name, kind in spec.fields.items()
             if kind != "any"
         )
-        found = f"array_except(array({checks}), array(CAST(NULL AS STRING)))"
-        branches.append(f"WHEN '{spec.name}' THEN {found}")
-    return F.expr(f"CASE {table} {' '.join(branches)} END")
+        listed = f"CAST(array({fields}) AS array<struct<name: string, kind: string, plain: string>>)"
+        branches.append(f"WHEN '{spec.name}' THEN {listed}")
+    wrong = _mistyped(f"{record}[field.name]", "field.kind", "field.plain")
+    found = f"filter(CASE {table} {' '.join(branches)} END, field -> {wrong})"
+    return F.expr(f"transform({found}, field -> field.name)")
 
 
 def typed_field(record: Column, name: str, kind: str) -> Column:

@@ -10,6 +10,7 @@ from helpers import T0
 from pyspark.sql import functions as F
 
 from rowtide.functions.envelope import decode_envelope
+from rowtide.functions.records import type_errors
 from rowtide.llm import decontaminate
 from rowtide.operators import classify as C
 from rowtide.plans.stream_queries import PARTS, _captured
@@ -39,6 +40,17 @@ def test_the_body_is_not_read_a_third_time_for_its_keys(spark):
     assert "lengthofjsonarray" in plan and "jsonobjectkeys" not in plan
 
 
+def test_types_are_checked_by_one_condition_for_all_fields(spark):
+    row = '{"id":1.5,"agent_id":7,"is_deleted":"no","message_date":"2024-13-01","nope":{}}'
+    rows = spark.sql(f"SELECT from_json('{row}', 'map<string,variant>') AS record, t FROM VALUES ('messages'), ('chats'), ('other') AS x(t)")
+    got = rows.select("t", type_errors("record", "t").alias("e"))
+    text = got._jdf.queryExecution().analyzed().toString().lower().replace("_", "")
+    assert text.count("schemaofvariant") < 10
+    found = {r.t: r.e for r in got.collect()}
+    assert found["other"] is None and found["messages"][0] == "id" and set(found["chats"]) >= {"id", "agent_id"}
+    assert set(found["messages"]) >= {"id", "agent_id", "is_deleted", "message_date"} and "nope" not in found["messages"]
+
+
 def test_whatever_follows_a_body_makes_it_undecodable(spark):
     whole = '{"record":{"id":1},"action":"insert","metadata":{"table_name":"chats"}}'
     tails = [
