@@ -13,8 +13,9 @@ from rowtide.functions.envelope import decode_envelope
 from rowtide.functions.records import type_errors
 from rowtide.llm import decontaminate
 from rowtide.operators import classify as C
+from rowtide.plans import stream_queries
 from rowtide.plans.stream_queries import PARTS, _captured
-from rowtide.session import shared_dir
+from rowtide.session import materialize, shared_dir
 from rowtide.sources.event_log import cdc_log, change_events
 from rowtide.streaming.dedup import data_batches_only, dedup_ttl_stream
 
@@ -75,6 +76,19 @@ def test_a_part_of_the_log_is_a_file_per_core(spark):
     assert got.count() == cdc_log(spark, SF_DIR).count()
 
 
+def test_bodies_of_the_log_are_built_by_compiled_code(spark, monkeypatch):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+
+    def spy(df, label):
+        seen.append(int(spark.conf.get(name)))
+        return materialize(df, label)
+
+    monkeypatch.setattr(stream_queries, "materialize", spy)
+    _captured(spark, SF_DIR, f"{shared_dir(spark)}/captured-{uuid.uuid4().hex}")
+    assert seen == [8000] and spark.conf.get(name) == before
+
+
 def test_state_is_held_by_shard(spark):
     work = f"{shared_dir(spark)}/shards-{uuid.uuid4().hex}"
     schema = "event_id string, received_at timestamp, stream_seq bigint, sink_ok boolean"
