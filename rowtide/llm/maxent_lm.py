@@ -35,18 +35,22 @@ learned from adds nothing.
 
 from __future__ import annotations
 
+import ctypes
 import heapq
-import zlib
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowtide.llm.batches import text_slices
-from rowtide.llm.common import fold_of, materialize, release
+from rowtide.llm.common import drop_table, finished_shuffles_go, fold_of, materialize, release
 from rowtide.llm.shingles import mix
 from rowtide.session import ship
 
@@ -60,7 +64,6 @@ END = OWN  # the class of the end of a text
 SLOTS = 256
 ROUNDS = 12
 LIMIT = 0.4
-CACHE = 400_000
 FEATURES = 7
 EVENTS = 2**19
 SLOT_BITS = 22
@@ -70,41 +73,45 @@ WORD_ROUNDS = 2
 WORD_LIMIT = 3.0
 WORD_PRIOR = 3.0
 CHUNK = 16_384
-PAIRS = 131_072
+PAIRS = 65_536
+HISTORIES = 65_536
+CODE_BYTES = 8_000_000
+ENTRIES = 2**19
 EVENT = np.dtype([("h", "<u2", 3), ("code", "<u4"), ("member", "<u2")])
-TEXT = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("n", "<i4"), ("learn", "?")])
-
-
-class Words(dict):
-    """Numbers words as they come, with hash and affix of each; forgets all beyond a bound."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.forget()
-
-    def forget(self) -> None:
-        self.clear()
-        self.names: list[bytes] = []
-        self.hash = np.empty(0, np.uint64)
-        self.affix = np.empty(0, np.int64)
-
-    def __missing__(self, word: bytes) -> int:
-        out = self[word] = len(self.names)
-        self.names.append(word)
-        return out
-
-    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of all words, A-Z in lower case, and the words of each text."""
-        parts, sizes = [], np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            words = text.lower().split()
-            sizes[i] = len(words)
-            parts.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
-        new = self.names[len(self.hash) :]
-        if new:
-            self.hash = np.append(self.hash, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new)))
-            self.affix = np.append(self.affix, [zlib.crc32(w[-3:]) % AFFIXES for w in new])
-        return (np.concatenate(parts) if parts else np.empty(0, np.int64)), sizes
+CODEC = pa.Codec("zstd", compression_level=1)
+CODED = ("slice", "words", "affixes", "seen", "sizes", "learn")
+
+
+def affixes(names: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """CRC-32 of the last three bytes of each word, modulo ``AFFIXES``."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    out = np.full(len(begin), 0xFFFFFFFF, np.uint32)
+    for back in (3, 2, 1):
+        there = np.flatnonzero(end - begin >= back)
+        now = out[there]
+        out[there] = table.take((now ^ names[end[there] - back]) & 0xFF) ^ (now >> 8)
+    return (~out % np.uint32(AFFIXES)).astype(np.int64)
+
+
+def read_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and affix of each distinct word, A-Z in lower case, the words of all texts as numbers of those, and their count by text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    sizes, words = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), lists.flatten()
+    full = pc.greater(pc.binary_length(words), 0)
+    if pc.any(pc.invert(full)).as_py():  # white space at either end of a text
+        sizes -= np.bincount(np.repeat(np.arange(len(sizes)), sizes)[~full.to_numpy(zero_copy_only=False)], minlength=len(sizes))
+        words = words.filter(full)
+    coded = words.dictionary_encode()
+    distinct = coded.dictionary
+    if not len(distinct):
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int32), sizes
+    _, offsets, names = distinct.buffers()
+    offsets = np.frombuffer(offsets, np.int32, len(distinct) + 1, 4 * distinct.offset).astype(np.int64)
+    data, places = names.to_pybytes(), offsets.tolist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, (data[a:b] for a, b in pairwise(places))), np.uint64, len(distinct))
+    return hashes, affixes(np.frombuffer(data, np.uint8), offsets[:-1], offsets[1:]), coded.indices.to_numpy(), sizes
 
 
 @dataclass(frozen=True)
@@ -115,14 +122,14 @@ class Lexicon:
     counts: np.ndarray
     types: np.ndarray
 
-    def places(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """For each numbered word where it is, and whether it is there at all."""
+    def places(self, words: Slice) -> tuple[np.ndarray, np.ndarray]:
+        """For each word of a slice where it is, and whether it is there at all."""
         at = np.searchsorted(self.hashes, words.hash)
         at[at == len(self.hashes)] = 0
         return at, self.hashes[at] == words.hash if len(self.hashes) else np.zeros(len(at), bool)
 
-    def find(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """For each numbered word its count (-1: not among the frequent) and its type."""
+    def find(self, words: Slice) -> tuple[np.ndarray, np.ndarray]:
+        """For each word of a slice its count (-1: not among the frequent) and its type."""
         at, known = self.places(words)
         count, kind = np.full(len(at), -1, np.int64), TOP + words.affix
         if len(self.hashes):
@@ -159,34 +166,179 @@ class Model:
     ends: int
 
 
-def _texts(docs: DataFrame, *more: Column) -> DataFrame:
-    return docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"), *more)
-
+def trim() -> None:
+    """Give free memory back to the system: workers are used again by other steps, beside a JVM that needs its own."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def compressed(planes: np.ndarray) -> bytes:
+    return CODEC.compress(np.ascontiguousarray(planes), asbytes=True)
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes, the lowest first."""
+    return x.nbytes.to_bytes(8, "little") + compressed(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+
+
+def unpack(data: pa.Buffer | bytes, kind: str) -> np.ndarray:
+    data = pa.py_buffer(data)
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(CODEC.decompress(data[8:], size), np.uint8) if size else np.empty(0, np.uint8)
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).reshape(-1).view(kind)
+
+
+@dataclass
+class Slice:
+    """Some texts as numbers of the words in a dictionary of their own."""
+
+    number: int
+    hash: np.ndarray  # by word, ascending
+    affix: np.ndarray
+    seen: np.ndarray  # the words of all texts
+    sizes: np.ndarray  # words by text
+    more: dict[str, pa.Array]  # other columns, by text
+
+    def learned(self) -> np.ndarray:
+        """Whether each text is one to learn from."""
+        return self.more["learn"].to_numpy(zero_copy_only=False)
+
+    def training(self) -> tuple[np.ndarray, np.ndarray]:
+        """Words and sizes of the texts to learn from."""
+        learn = self.learned()
+        return self.seen[np.repeat(learn, self.sizes)], self.sizes[learn]
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each :class:`Slice` of texts (text, and columns to keep)."""
+    task, made = TaskContext.get(), 0
+    first = (task.partitionId() if task else 0) << 32
+    for batch in text_slices(batches, CODE_BYTES):
+        hashes, affix, seen, sizes = read_words(batch.column("text"))
+        order = np.argsort(hashes)
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order))
+        more = [x for x in batch.schema.names if x != "text"]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([first + made]),
+                pa.array([hashes[order].tobytes()], pa.binary()),
+                pa.array([pack(affix[order].astype(np.uint16))], pa.binary()),
+                pa.array([pack(number.take(seen))], pa.binary()),
+                pa.array([pack(sizes.astype(np.int32))], pa.binary()),
+                *(pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(x)) for x in more),
+            ],
+            ["slice", "words", "affixes", "seen", "sizes", *more],
+        )
+        made += 1
+    trim()
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
+    """The slices of coded texts, or of texts that are not coded yet."""
+    for batch in batches:
+        for rows in _coded(iter([batch])) if "text" in batch.schema.names else [batch]:
+            for i in range(rows.num_rows):
+                row = {x: rows.column(x)[i] for x in rows.schema.names}
+                yield Slice(
+                    row.pop("slice").as_py(),
+                    np.frombuffer(row.pop("words").as_buffer(), np.uint64) if "words" in row else np.empty(0, np.uint64),
+                    unpack(row.pop("affixes").as_buffer(), "<u2").astype(np.int64),
+                    unpack(row.pop("seen").as_buffer(), "<i4"),
+                    unpack(row.pop("sizes").as_buffer(), "<i4").astype(np.int64),
+                    {k: x.values if x.is_valid else pa.nulls(0) for k, x in row.items()},
+                )
+
+
+def code_texts(docs: DataFrame, learn: Column) -> DataFrame:
+    """The texts of ``docs`` (doc_id, text) as slices: the words of each are told apart, hashed and numbered once."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        text.cast("binary").alias("text"),
+        "doc_id",
+        F.xxhash64(text).alias("k1"),
+        F.xxhash64(text, F.lit(1)).alias("k2"),
+        learn.alias("learn"),
+    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(
+        _coded,
+        "slice bigint, words binary, affixes binary, seen binary, sizes binary, "
+        f"doc_id array<{kind}>, k1 array<bigint>, k2 array<bigint>, learn array<boolean>",
+    )
 
-def count_words(training: DataFrame) -> DataFrame:
-    """``word, affix, n``: a hash of each distinct word, its affix, and its count in ``training`` (text)."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, totals = Words(), np.empty(0, np.int64)
+def count_words(coded: DataFrame) -> DataFrame:
+    """How often each word occurs in the texts to learn from, counted in buckets of hashes.
 
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words.hash.view(np.int64)), pa.array(words.affix), pa.array(totals)], ["word", "affix", "n"]
+    A row for each bucket with its words (``slice`` null), and one for each slice
+    in it: the counts of the slice's words, in the order of their hashes.
+    """
+    entries = coded.select(F.sum(F.octet_length("words")).alias("n")).first()["n"] or 0
+    buckets = np.uint64(max(1, -(-entries // (8 * ENTRIES))))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _slices(batches):
+            n = np.bincount(s.training()[0], minlength=len(s.hash))
+            used, first = np.unique(((s.hash >> np.uint64(32)) * buckets) >> np.uint64(32), return_index=True)
+            cuts = list(zip(first, np.append(first, len(n))[1:], strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(used.astype(np.int32)),
+                    pa.array([s.number] * len(used), pa.int64()),
+                    pa.array([s.hash[a:b].tobytes() for a, b in cuts], pa.binary()),
+                    pa.array([pack(s.affix[a:b].astype(np.uint16)) for a, b in cuts], pa.binary()),
+                    pa.array([pack(n[a:b]) for a, b in cuts], pa.binary()),
+                ],
+                ["bucket", "slice", "words", "affixes", "n"],
             )
 
-        for batch in text_slices(batches):
-            if len(words) > CACHE:
-                yield rows()
-                words.forget()
-                totals = np.empty(0, np.int64)
-            seen, _ = words.read(batch.column("text").to_pylist())
-            now = np.bincount(seen, minlength=len(words.hash))
-            now[: len(totals)] += totals
-            totals = now
-        yield rows()
-
-    counted = training.mapInArrow(count, "word bigint, affix bigint, n bigint")
-    return counted.groupBy("word", "affix").agg(F.sum("n").alias("n"))
+    def count(table: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("words")]
+        word, ends = np.concatenate(hashes), np.cumsum([len(x) for x in hashes])
+        affix = np.concatenate([unpack(x.as_buffer(), "<u2") for x in table.column("affixes")])
+        n = np.concatenate([unpack(x.as_buffer(), "<i8") for x in table.column("n")])
+        order = np.argsort(word)
+        first = np.append(True, word[order][1:] != word[order][:-1])
+        begin = np.flatnonzero(first)
+        total = np.add.reduceat(n[order], begin)
+        all_n = np.empty(len(word), np.int64)
+        all_n[order] = total[np.cumsum(first) - 1]
+        own = [pack(x) for x in np.split(all_n, ends[:-1])]
+        met = total > 0
+        vocabulary = order[begin][met]
+        return pa.table(
+            {
+                "bucket": pa.array([table.column("bucket")[0].as_py()] * (len(own) + 1), pa.int32()),
+                "slice": pa.array([*table.column("slice").to_pylist(), None], pa.int64()),
+                "words": pa.array([None] * len(own) + [word[vocabulary].tobytes()], pa.binary()),
+                "affixes": pa.array([None] * len(own) + [pack(affix[vocabulary])], pa.binary()),
+                "n": pa.array([*own, pack(total[met])], pa.binary()),
+            }
+        )
+
+    schema = "bucket int, slice bigint, words binary, affixes binary, n binary"
+    return coded.select("slice", "words", "affixes", "seen", "sizes", "learn").mapInArrow(send, schema).groupBy("bucket").applyInArrow(count, schema)
+
+
+def words_counted(counted: DataFrame) -> DataFrame:
+    """``word, affix, n``: a hash of each distinct word, its affix, and its count."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, affixes, n in zip(*(batch.column(x) for x in ("words", "affixes", "n")), strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.frombuffer(words.as_buffer(), np.int64)),
+                        pa.array(unpack(affixes.as_buffer(), "<u2").astype(np.int64)),
+                        pa.array(unpack(n.as_buffer(), "<i8")),
+                    ],
+                    ["word", "affix", "n"],
+                )
+
+    return counted.filter(F.col("slice").isNull()).select("words", "affixes", "n").mapInArrow(rows, "word bigint, affix bigint, n bigint")
 
 
 def frequent(counts: DataFrame, size: int = HEAD) -> Lexicon:
@@ -207,27 +359,26 @@ def frequent(counts: DataFrame, size: int = HEAD) -> Lexicon:
     return Lexicon(hashes[order], np.array([r["n"] for r in rows], np.int64)[order], types[order])
 
 
-def neighbours(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
+def neighbours(coded: DataFrame, lexicon: Lexicon) -> np.ndarray:
     """How often each type stands one or two words from each of the most frequent words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = Words(), np.zeros((TOP + AFFIXES) * ANCHORS, np.int64)
-        for batch in text_slices(batches):
-            if len(words) > CACHE:
-                words.forget()
-            seen, sizes = words.read(batch.column("text").to_pylist())
-            kind = lexicon.find(words)[1][seen]
-            text = np.repeat(np.arange(len(sizes)), sizes)
+        total = np.zeros((TOP + AFFIXES) * ANCHORS, np.int64)
+        for s in _slices(batches):
+            seen, sizes = s.training()
+            kind = lexicon.find(s)[1].astype(np.int32).take(seen)
+            text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            anchor = np.flatnonzero(kind < ANCHORS)
             for lag in (1, 2):
-                same = text[lag:] == text[:-lag] if len(text) > lag else np.empty(0, bool)
-                a, b = kind[: len(same)][same], kind[lag : lag + len(same)][same]
-                for near, one in ((a, b), (b, a)):
-                    cell = one[near < ANCHORS] * ANCHORS + near[near < ANCHORS]
-                    total += np.bincount(cell, minlength=len(total))
+                for near, one in ((anchor, anchor + lag), (anchor, anchor - lag)):
+                    inside = (one >= 0) & (one < len(kind))
+                    near, one = near[inside], one[inside]
+                    same = text.take(near) == text.take(one)
+                    total += np.bincount(kind.take(one[same]) * ANCHORS + kind.take(near[same]), minlength=len(total))
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
-    counted = training.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    counted = coded.select(*CODED).mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     out = np.zeros((TOP + AFFIXES) * ANCHORS)
     for r in counted.collect():
         out[r["cell"]] = r["n"]
@@ -307,26 +458,40 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def class_counts(training: DataFrame, lexicon: Lexicon, class_of: np.ndarray) -> DataFrame:
-    """``history, next, counts``: how often each class follows each history."""
+def class_counts(coded: DataFrame, lexicon: Lexicon, class_of: np.ndarray) -> DataFrame:
+    """How often each class follows each history: a row for each last class, with the cells of :func:`features`' histories in it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in text_slices(batches):
-            if len(words) > CACHE:
-                words.forget()
-            seen, sizes = words.read(batch.column("text").to_pylist())
-            _, now, code = histories(class_of[lexicon.find(words)[1]][seen], sizes)
-            cell, n = np.unique(code * CLASSES + now, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], ["cell", "n"])
-
-    cells = training.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = cells.select(
-        F.floor(F.col("cell") / CLASSES).cast("bigint").alias("history"), F.pmod("cell", F.lit(CLASSES)).alias("next"), "n"
-    )
-    # At most CLASSES cells a history.
-    rows = cells.groupBy("history").agg(F.collect_list("next").alias("next"), F.collect_list("n").alias("counts"))
-    return rows.repartition(CLASSES // 4, F.pmod("history", F.lit(CLASSES)))
+        total = np.zeros(CLASSES**4, np.int32)
+        for s in _slices(batches):
+            seen, sizes = s.training()
+            _, now, code = histories(class_of[lexicon.find(s)[1]].take(seen), sizes)
+            cell = ((code % CLASSES) * CLASSES**2 + code // CLASSES) * CLASSES + now
+            np.add.at(total, cell, np.int32(1))
+        for last, block in enumerate(total.reshape(CLASSES, -1)):
+            cells = np.flatnonzero(block).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([last], pa.int32()), pa.array([pack(cells)], pa.binary()), pa.array([pack(block[cells])], pa.binary())],
+                ["last", "cells", "n"],
+            )
+        del total, block
+        trim()
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(CLASSES**3, np.int64)
+        for cells, n in zip(table.column("cells"), table.column("n"), strict=True):
+            total[unpack(cells.as_buffer(), "<i4")] += unpack(n.as_buffer(), "<i4")
+        cells = np.flatnonzero(total).astype(np.int32)
+        return pa.table(
+            {
+                "last": pa.array([table.column("last")[0].as_py()], pa.int32()),
+                "cells": pa.array([pack(cells)], pa.binary()),
+                "n": pa.array([pack(total[cells])], pa.binary()),
+            }
+        )
+
+    schema = "last int, cells binary, n binary"
+    return coded.select(*CODED).mapInArrow(count, schema).groupBy("last").applyInArrow(add, schema)
 
 
 def fit_weights(table: DataFrame, often: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -340,45 +505,46 @@ def fit_weights(table: DataFrame, often: np.ndarray, rounds: int = ROUNDS) -> np
     for _ in range(rounds):
 
         def gradient(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
-            g = np.zeros((ROWS, CLASSES))
-            h = np.zeros((ROWS, CLASSES))
+            g, h = np.zeros((ROWS, CLASSES)), np.zeros((ROWS, CLASSES))
             for b in batches:
-                lists = b.column("next")
-                n = lists.value_lengths().to_numpy(zero_copy_only=False)
-                seen = np.zeros((b.num_rows, CLASSES))
-                seen[np.repeat(np.arange(b.num_rows), n), lists.flatten().to_numpy()] = b.column("counts").flatten().to_numpy()
-                rows = features(b.column("history").to_numpy())
-                p = np.exp(log_softmax(weights[rows].sum(axis=1)))
-                total = seen.sum(axis=1, keepdims=True)
-                for f in range(FEATURES):
-                    np.add.at(g, rows[:, f], seen - total * p)
-                    np.add.at(h, rows[:, f], total * p * (1 - p))
+                for last, cells, n in zip(*(b.column(x) for x in ("last", "cells", "n")), strict=True):
+                    seen = np.zeros(CLASSES**3)
+                    seen[unpack(cells.as_buffer(), "<i4")] = unpack(n.as_buffer(), "<i8")
+                    seen = seen.reshape(-1, CLASSES)
+                    there = np.flatnonzero(seen.any(axis=1))
+                    seen, rows = seen[there], features(there * CLASSES + last.as_py())
+                    p = np.exp(log_softmax(sum(weights.take(x, axis=0) for x in rows.T)))
+                    total = seen.sum(axis=1, keepdims=True)
+                    seen -= total * p
+                    curve = total * p * (1 - p)
+                    for x in rows.T if len(there) else ():
+                        order = np.argsort(x, kind="stable")
+                        first = np.flatnonzero(np.append(True, np.diff(x[order])))
+                        g[x[order][first]] += np.add.reduceat(seen[order], first)
+                        h[x[order][first]] += np.add.reduceat(curve[order], first)
             used = np.flatnonzero(h.any(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(used),
-                    pa.array([x.tobytes() for x in g[used].astype(np.float32)], pa.binary()),
-                    pa.array([x.tobytes() for x in h[used].astype(np.float32)], pa.binary()),
-                ],
-                ["row", "g", "h"],
+                [pa.array([x.tobytes()], pa.binary()) for x in (used, g[used].astype(np.float32), h[used].astype(np.float32))],
+                ["rows", "g", "h"],
             )
 
         g, h = np.zeros((ROWS, CLASSES)), np.zeros((ROWS, CLASSES))
-        for r in table.mapInArrow(gradient, "row bigint, g binary, h binary").toLocalIterator():
-            g[r["row"]] += np.frombuffer(r["g"], np.float32)
-            h[r["row"]] += np.frombuffer(r["h"], np.float32)
+        for r in table.mapInArrow(gradient, "rows binary, g binary, h binary").toLocalIterator():
+            used = np.frombuffer(r["rows"], np.int64)
+            g[used] += np.frombuffer(r["g"], np.float32).reshape(-1, CLASSES)
+            h[used] += np.frombuffer(r["h"], np.float32).reshape(-1, CLASSES)
         pull = 0.1 * weights
         pull[0] = 0
         weights = (weights + np.clip((g - pull) / (h + 1.0) / FEATURES, -LIMIT, LIMIT)).astype(np.float32)
     return weights
 
 
-def train(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Fit the model to ``training`` (text), whose word counts are ``counts``."""
-    ends = training.count()
+def train(coded: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
+    """Fit the model to the texts to learn from, whose word counts are ``counts`` (:func:`words_counted`)."""
+    ends = coded.select(F.explode("learn").alias("learn")).filter("learn").count()
     sums = counts.groupBy("affix").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     lexicon = frequent(counts)
-    class_of = classes(neighbours(training, lexicon))
+    class_of = classes(neighbours(coded, lexicon))
     n, v = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in sums:
         n[class_of[TOP + r["affix"]]] += r["n"]
@@ -396,9 +562,10 @@ def train(training: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model
     tokens, vocabulary = sum(r["n"] for r in sums) + ends, sum(r["v"] for r in sums) + (ends > 0)
     often = n.copy()
     often[END] = ends
-    table = materialize(class_counts(training, lexicon, class_of), "lm-histories")
-    release(training.sparkSession)
-    return Model(lexicon, class_of, fit_weights(table, often, rounds), word_places(lexicon, class_of, rare, ends), tokens, vocabulary, ends)
+    table = materialize(class_counts(coded, lexicon, class_of), "lm-histories")
+    weights = fit_weights(table, often, rounds)
+    drop_table(table)
+    return Model(lexicon, class_of, weights, word_places(lexicon, class_of, rare, ends), tokens, vocabulary, ends)
 
 
 def huffman(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -465,15 +632,21 @@ def word_places(lexicon: Lexicon, class_of: np.ndarray, rare: np.ndarray, ends:
     )
 
 
-def word_keys(h: np.ndarray) -> np.ndarray:
-    """Features of the hashes of the last three words, the last first: 1-, 2- and 3-grams, and two that skip words."""
-    one, two, three = h.astype(np.uint64).T
-    kinds = [one, two, two << 16 | one, three << 32 | one, three << 32 | two << 16 | one]
-    return np.stack([x | np.uint64(k << 48) for k, x in enumerate(kinds)])
+def word_keys(h: np.ndarray, feature: int) -> np.ndarray:
+    """A feature of the hashes of the last three words, the last first: 1-, 2- or 3-gram, or one of two that skip words."""
+    one, two, three = (h[:, k].astype(np.uint64) for k in range(3))
+    kinds = (lambda: one, lambda: two, lambda: two << 16 | one, lambda: three << 32 | one, lambda: three << 32 | two << 16 | one)
+    return kinds[feature]() | np.uint64(feature << 48)
+
+
+#: Layouts of slots: which of the last words has them, and how their number grows with its tokens (a word has but one history alone).
+LAYOUTS = ((0, 24, 0.8), (1, 24, 0.8), (0, 20, 0.9))
+#: The layout of each feature.
+LAID = (0, 1, 2, 2, 2)
 
 
 def word_slots(keys: np.ndarray) -> np.ndarray:
-    """The slots of features, or of choices; a feature of a choice has the slot that the two make by exclusive or."""
+    """Hashes of features, or of choices; a feature of a choice has the slot that the two make by exclusive or."""
     return (mix(keys.astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
 
 
@@ -481,52 +654,154 @@ def word_slots(keys: np.ndarray) -> np.ndarray:
 class Path:
     """Choices on the way to the words of some tokens."""
 
-    event: np.ndarray  # which token
-    slot: np.ndarray  # the slot of the choice
+    begin: np.ndarray  # by token: where its choices begin; one more at the end
+    slot: np.ndarray  # the hash of the choice
     side: np.ndarray  # 1 where the second branch was taken
     logit: np.ndarray  # of the second branch; without weights at first
 
 
+class Layout:
+    """Where the slots of each word are, by its hash: about ``first * tokens ** power``, a power of two.
+
+    Words with more tokens, and so more slots, stand first.
+    """
+
+    def __init__(self, words: np.ndarray, first: float, power: float) -> None:
+        n = np.bincount(words, minlength=1 << 16)
+        self.there = n > 0
+        bits = np.clip(np.rint(np.log2(first * np.maximum(n, 1) ** power)), 3, SLOT_BITS).astype(np.int64)
+        self.cells = np.where(self.there, 1 << bits, 0)
+        order = np.argsort(-n, kind="stable")
+        cells = self.cells[order]
+        self.rank, self.base = np.empty(len(n), np.uint16), np.empty(len(n), np.int64)
+        self.rank[order] = np.arange(len(n))
+        self.base[order] = np.where(cells > 0, np.cumsum(cells) - cells, 0)
+        self.size, self.mask = int(cells.sum()), np.maximum(self.cells - 1, 0).astype(np.int32)
+
+    def sorted(self, words: np.ndarray) -> np.ndarray:
+        return np.argsort(self.rank.take(words), kind="stable")
+
+    def slots(self, words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """What makes the slots of the features of some tokens, by exclusive or with their masked choices."""
+        return self.base.take(words) ^ (keys & self.mask.take(words))
+
+
+class Turn:
+    """The tokens of a path in the order of a layout.
+
+    Words that have as many slots, or parts of one, go together: what they touch fits a processor's cache.
+    """
+
+    def __init__(self, layout: Layout, words: np.ndarray, path: Path, order: np.ndarray | None = None) -> None:
+        """``order``: of the tokens, if the path has another."""
+        self.layout, self.order = layout, order
+        sizes = np.diff(path.begin)
+        self.words, self.sizes = (words, sizes) if order is None else (words[order], sizes[order])
+        ends = np.append(0, np.cumsum(self.sizes))
+        if order is not None:
+            self.shift = path.begin[order] - ends[:-1]
+        # Each chunk: first token, end, mask, first slot, end, and the ends of its steps.
+        self.ends, self.chunks = ends, []
+        groups = np.append(np.flatnonzero(np.append(True, self.words[1:] != self.words[:-1])), len(self.words))
+        heads, after, masks = self.words[groups[:-1]], ends[groups], layout.mask.take(self.words[groups[:-1]])
+        changes = np.append(np.flatnonzero(masks[1:] != masks[:-1]) + 1, len(heads))
+        first = 0
+        while first < len(heads):
+            last = max(first + 1, int(np.searchsorted(after, after[first] + PAIRS, side="right")) - 1)
+            last = min(last, int(changes[np.searchsorted(changes, first, side="right")]))
+            steps, end = [int(groups[first])], int(groups[last])
+            while steps[-1] < end:
+                until = int(np.searchsorted(ends, ends[steps[-1]] + PAIRS, side="right")) - 1
+                steps.append(min(end, max(steps[-1] + 1, until)))
+            low, high = int(layout.base[heads[first]]), int(layout.base[heads[last - 1]] + layout.cells[heads[last - 1]])
+            self.chunks.append((masks[first], low, high, steps))
+            first = last
+
+    def pairs(self, a: int, b: int) -> slice | np.ndarray:
+        """Where the choices of some tokens are in the path."""
+        low, high = self.ends[a], self.ends[b]
+        return slice(low, high) if self.order is None else np.repeat(self.shift[a:b], self.sizes[a:b]) + np.arange(low, high)
+
+
 class Choices:
     """Choices between two branches by hashed features of words: a weight for each slot of each feature."""
 
     def __init__(self) -> None:
-        self.weights = np.zeros((WORD_FEATURES, 1 << SLOT_BITS), np.float32)
-        self.gap = np.zeros(1 << SLOT_BITS, np.float32)
-        self.curve = np.zeros(1 << SLOT_BITS, np.float32)
+        self.deal(np.empty((0, 2), np.uint16))
+        self.weights = np.zeros(WORD_FEATURES, np.float32)
 
-    def update(self, feature: int, keys: np.ndarray, path: Path) -> None:
-        """One gradient update of the weights of a feature, scaled by the curvature of each cell, and of the logits."""
-        parts = [slice(begin, begin + PAIRS) for begin in range(0, len(path.event), PAIRS)]
-        for part in parts:
-            slots = (keys.take(path.event[part]) ^ path.slot[part]).astype(np.intp)
-            p = 1 / (1 + np.exp(-path.logit[part]))
-            np.add.at(self.gap, slots, path.side[part] - p)
-            np.add.at(self.curve, slots, p * (1 - p))
-        weights, move = self.weights[feature], self.gap
-        move -= 0.1 * weights
-        self.curve += WORD_PRIOR
-        move /= self.curve
-        np.clip(move, -WORD_LIMIT, WORD_LIMIT, out=move)
-        weights += move
-        for part in parts:
-            path.logit[part] += move.take((keys.take(path.event[part]) ^ path.slot[part]).astype(np.intp))
-        self.gap[:] = self.curve[:] = 0
+    def deal(self, h: np.ndarray) -> None:
+        """Give slots to the words of some histories."""
+        self.layouts = [Layout(h[:, k], first, power) for k, first, power in LAYOUTS]
+        self.weights = np.zeros(int(self.begins()[-1]), np.float32)
 
+    def begins(self) -> np.ndarray:
+        """Where the weights of each feature begin; one more at the end."""
+        return np.cumsum([0, *(max(1, self.layouts[k].size) for k in LAID)])
 
-class WordModel:
-    """The choices of a part: through the classes to one, and through its words."""
+    def of(self, feature: int) -> np.ndarray:
+        return self.weights[self.begins()[feature] : self.begins()[feature + 1]]
+
+    def update(self, feature: int, keys: np.ndarray, turn: Turn, path: Path) -> None:
+        """One gradient update of the weights of a feature, scaled by the curvature of each cell, and of the logits."""
+        all_weights, slots = self.of(feature), turn.layout.slots(turn.words, keys if turn.order is None else keys[turn.order])
+        most = max(turn.ends[b] - turn.ends[a] for _, _, _, steps in turn.chunks for a, b in zip(steps, steps[1:], strict=False))
+        space = [np.empty(most, kind) for kind in (np.intp, np.float32, np.float32, np.float32)]
+        cells = max(high - low for _, low, high, _ in turn.chunks)
+        tables = [np.empty(cells, np.float32) for _ in range(3)]
+        for mask, low, high, steps in turn.chunks:
+            gap, curve, pull = (x[: high - low] for x in tables)
+            gap.fill(0)
+            curve.fill(WORD_PRIOR)
+            done = []
+            for a, b in zip(steps, steps[1:], strict=False):
+                here = turn.pairs(a, b)
+                at, x, p, q = (y[: turn.ends[b] - turn.ends[a]] for y in space)
+                if turn.order is None:
+                    x, slot, side = path.logit[here], path.slot[here], path.side[here]
+                else:
+                    x, slot, side = path.logit.take(here, out=x, mode="wrap"), path.slot.take(here), path.side.take(here)
+                np.bitwise_and(slot, mask, out=at, casting="same_kind")
+                at ^= np.repeat(slots[a:b] - low, turn.sizes[a:b])
+                np.negative(x, out=p)
+                np.exp(p, out=p)
+                p += 1
+                np.reciprocal(p, out=p)
+                np.subtract(side, p, out=q)
+                np.add.at(gap, at, q)
+                np.multiply(p, p, out=q)
+                p -= q
+                np.add.at(curve, at, p)
+                done.append((here, x, at) if len(steps) == 2 else (here, x if turn.order is None else x.copy(), at.copy()))
+            weights = all_weights[low:high]
+            gap -= np.multiply(weights, np.float32(0.1), out=pull)
+            gap /= curve
+            np.clip(gap, -WORD_LIMIT, WORD_LIMIT, out=gap)
+            weights += gap
+            for here, x, at in done:
+                x += gap.take(at, mode="wrap", out=space[2][: len(at)])
+                if turn.order is not None:
+                    path.logit[here] = x
+
+
+class Ways:
+    """The choices that lead to words, as they are without weights of words."""
 
     def __init__(self, model: Model) -> None:
-        self.model = model
-        self.levels = [Choices()]
-        self.met = np.zeros((WORD_FEATURES, 1 << SLOT_BITS), bool)  # histories that were learned from
+        self.model, places = model, model.words
+        self.slot = word_slots(np.arange(len(places.start))).take(places.choice)
+        self.start = places.start.take(places.choice)
+        self.between = np.where(places.choice < CLASSES - 1, places.choice, np.int32(-1))
+        self.forget()
+
+    def forget(self) -> None:
         self.row = np.full(CLASSES**3, -1, np.int32)  # of class histories seen so far
         self.odds = np.empty((0, CLASSES - 1), np.float32)
-        self.slot = word_slots(np.arange(len(model.words.start)))
 
     def see(self, history: np.ndarray) -> None:
         """Work out once for each class history the odds of the choices between classes."""
+        if len(self.odds) > HISTORIES:
+            self.forget()
         there = np.zeros(CLASSES**3, bool)
         there[history] = True
         new = np.flatnonzero(there & (self.row < 0))
@@ -544,61 +819,85 @@ class WordModel:
         self.see(code >> 12)
         leaf = places.first[code >> 6 & 63] + events["member"].astype(np.int64) * (GROUPS - 1) + (code & 63)
         size = places.begin[leaf + 1] - places.begin[leaf]
-        end = np.cumsum(size)
-        n = int(end[-1]) if len(end) else 0
-        out = Path(np.empty(n, np.int32), np.empty(n, np.int32), np.empty(n, np.int8), np.empty(n, np.float32))
+        begin = np.append(0, np.cumsum(size))
+        n = int(begin[-1])
+        out = Path(begin, np.empty(n, np.int32), np.empty(n, np.int8), np.empty(n, np.float32))
         row = self.row.take(code >> 12).astype(np.int64) * (CLASSES - 1)
-        odds = self.odds.reshape(-1)
-        for begin in range(0, len(events), CHUNK):
-            some = slice(begin, begin + CHUNK)
-            first = int(end[begin] - size[begin])
-            event = np.repeat(np.arange(len(size[some])), size[some])
-            here = slice(first, first + len(event))
-            at = np.arange(first, first + len(event)) + (places.begin[leaf[some]] - end[some] + size[some]).take(event)
-            choice = places.choice.take(at)
-            start = places.start.take(choice)
-            between = np.flatnonzero(choice < CLASSES - 1)
-            start[between] = odds.take(row[some].take(event[between]) + choice[between])
-            out.event[here], out.logit[here] = event + begin, start
-            out.slot[here], out.side[here] = self.slot.take(choice), places.side.take(at)
+        shift, odds = places.begin[leaf] - begin[:-1], self.odds.reshape(-1)
+        for a in range(0, len(events), CHUNK):
+            some = slice(a, a + CHUNK)
+            here = slice(begin[a], begin[min(a + CHUNK, len(events))])
+            at = np.arange(here.start, here.stop)
+            at += np.repeat(shift[some], size[some])
+            out.slot[here], out.side[here], logit = self.slot.take(at), places.side.take(at), self.start.take(at)
+            choice = self.between.take(at)
+            between = np.flatnonzero(choice >= 0)
+            logit[between] = odds.take(np.repeat(row[some], size[some]).take(between) + choice.take(between))
+            out.logit[here] = logit
         return out
 
+
+class WordModel:
+    """The choices of a part: through the classes to one, and through its words."""
+
+    def __init__(self, model: Model, ways: Ways | None = None) -> None:
+        self.model = model
+        self.ways = ways or Ways(model)
+        self.levels = [Choices()]
+        self.met = np.zeros((WORD_FEATURES, 1 << SLOT_BITS - 3), np.uint8)  # histories that were learned from, a bit each
+
     def learn(self, events: np.ndarray, rounds: int = WORD_ROUNDS) -> np.ndarray:
-        """Update the weights feature by feature, from the shortest to the longest; what :meth:`logs` then gives for ``events``."""
-        path, keys = self.path(events), word_slots(word_keys(events["h"]))
+        """Fit the weights feature by feature, from the shortest to the longest; what :meth:`logs` then gives for ``events``."""
+        if not len(events):
+            return np.zeros(0)
+        choices = self.levels[0]
+        choices.deal(events["h"])
+        order = choices.layouts[0].sorted(events["h"][:, 0])
+        events = events[order]
+        path, keys = self.ways.path(events), [word_slots(word_keys(events["h"], k)) for k in range(WORD_FEATURES)]
         for met, k in zip(self.met, keys, strict=True):
-            met[k] = True
-        for _ in range(rounds if len(events) else 0):
+            there = np.zeros(1 << SLOT_BITS, bool)
+            there[k] = True
+            met[:] = np.packbits(there, bitorder="little")
+        first, second = (events["h"][:, k] for k in range(2))
+        one, two, more = choices.layouts
+        turns = [Turn(one, first, path), Turn(two, second, path, two.sorted(second)), Turn(more, first, path)]
+        for _ in range(rounds):
             for feature, k in enumerate(keys):
-                self.levels[0].update(feature, k, path)
-        return _log_of(path, len(events))
+                choices.update(feature, k, turns[LAID[feature]], path)
+        out = np.empty(len(events))
+        out[order] = _log_of(path)
+        return out
 
     def logs(self, events: np.ndarray) -> np.ndarray:
         """The natural logarithm of each word's probability; of a word in group 0 that of the group.
 
         A feature whose history was not learned from has no weight.
         """
-        out = np.zeros(len(events))
-        for begin in range(0, len(events), EVENTS):
-            some = events[begin : begin + EVENTS]
-            path = self.path(some)
-            for weights, met, k in zip(self.levels[0].weights, self.met, word_slots(word_keys(some["h"])), strict=True):
-                for at in range(0, len(path.event), PAIRS):
-                    part = slice(at, at + PAIRS)
-                    found = weights.take((k.take(path.event[part]) ^ path.slot[part]).astype(np.intp))
-                    path.logit[part] += found * met.take(k).take(path.event[part])
-            out[begin : begin + EVENTS] = _log_of(path, len(some))
+        out = np.empty(len(events))
+        choices = self.levels[0]
+        order = choices.layouts[0].sorted(events["h"][:, 0])
+        for begin in range(0, len(events), CHUNK):
+            some = order[begin : begin + CHUNK]
+            now = events[some]
+            path = self.ways.path(now)
+            sizes = np.diff(path.begin)
+            for feature, met in enumerate(self.met):
+                k = word_slots(word_keys(now["h"], feature))
+                layout, words = choices.layouts[LAID[feature]], now["h"][:, LAYOUTS[LAID[feature]][0]]
+                at = np.repeat(layout.slots(words, k), sizes) ^ (path.slot & np.repeat(layout.mask.take(words), sizes))
+                path.logit[:] += choices.of(feature).take(at) * np.repeat((met.take(k >> 3) >> (k & 7)) & layout.there.take(words), sizes)
+            out[some] = _log_of(path)
         return out
 
 
-def _log_of(path: Path, events: int) -> np.ndarray:
-    out = np.zeros(events)
-    for at in range(0, len(path.event), PAIRS):
-        part = slice(at, at + PAIRS)
-        x = np.where(path.side[part], path.logit[part], -path.logit[part])
-        event, low = path.event[part], int(path.event[at])
-        sums = np.bincount(event - low, np.minimum(x, 0) - np.log1p(np.exp(-np.abs(x))))
-        out[low : low + len(sums)] += sums
+def _log_of(path: Path) -> np.ndarray:
+    out = np.zeros(len(path.begin) - 1)
+    for a in range(0, len(out), CHUNK):
+        begin = path.begin[a : a + CHUNK + 1]
+        here = slice(begin[0], begin[-1])
+        x = np.where(path.side[here], path.logit[here], -path.logit[here])
+        out[a : a + CHUNK] = np.add.reduceat(np.minimum(x, 0) - np.log(1 + np.exp(-np.abs(x))), begin[:-1] - begin[0], dtype=float)
     return out
 
 
@@ -606,179 +905,206 @@ def part_count(tokens: int) -> int:
     return max(1, -(-tokens // EVENTS))
 
 
+RARE = 1 << 16  # symbols below are frequent words by rank; above, class and hash of others
+LAST = (1 + END) * RARE  # the end of a text, and what stands before its first word
+HELD = 1 << 23  # set in symbols of words not to learn from
+
+
+def _symbols(lexicon: Lexicon, s: Slice, class_of: np.ndarray, ranks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A number for each word of a dictionary, from which :func:`_events` has its class, its place and 16 bits of its hash."""
+    at, known = lexicon.places(s)
+    out = ((1 + class_of[TOP + s.affix]) * RARE + (hashes >> np.uint64(48)).astype(np.int64)).astype(np.int32)
+    out[known] = ranks[at[known]]
+    return out
+
+
+def _by_rank(lexicon: Lexicon) -> np.ndarray:
+    """The frequent words, the most frequent first."""
+    return np.argsort(-lexicon.counts, kind="stable")
+
+
 def _deal(model: Model):
-    """For each part the tokens of some texts that fall to it, with the texts they are from."""
-    parts, places = part_count(model.tokens), model.words
+    """For each part the tokens of some texts that fall to it: their words and the three before, and the texts they are from."""
+    lexicon, class_of, tokens = model.lexicon, model.class_of, model.tokens
+    parts, firsts = part_count(tokens), part_count(model.ends)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in text_slices(batches):
-            if len(words) > CACHE:
-                words.forget()
-            seen, sizes = words.read(batch.column("text").to_pylist())
-            count, kind = model.lexicon.find(words)
-            at, known = model.lexicon.places(words)
-            text, now, code = histories(model.class_of[kind][seen], sizes)
-            place = np.arange(len(text)) - (np.cumsum(sizes + 1) - sizes - 1)[text]
-            is_word = place < sizes[text]
-
-            def of_words(values: np.ndarray, seen=seen, is_word=is_word) -> np.ndarray:
-                out = np.zeros(len(is_word), values.dtype)
-                out[is_word] = values[seen]
-                return out
-
-            group, member = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
-            group[known], member[known] = places.group[at[known]], places.member[at[known]]
-            word, hot = of_words(mix(words.hash)), of_words(count * 4 * parts > model.tokens)
-            before = []
-            for values, lag in ((word, 1), (word, 2), (word, 3), (hot, 1)):
-                x = np.zeros_like(values)
-                x[lag:] = values[:-lag]
-                x[place < lag] = 0
-                before.append(x)
-            one, two, three, split = before
+        ranks = np.empty(len(lexicon.hashes), np.int32)
+        ranks[_by_rank(lexicon)] = np.arange(len(ranks))
+        for s in _slices(batches):
+            # The last entry of each array by word is for ends.
+            word = np.append(mix(s.hash), np.uint64(0))
+            symbol = np.append(_symbols(lexicon, s, class_of, ranks, word[:-1]), np.int32(LAST))
+            hot = np.append(lexicon.find(s)[0] * 4 * parts > tokens, False)
+            home = ((mix(word ^ mix(np.uint64(0))) >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
+            n = len(s.sizes)
+            text = np.repeat(np.arange(n, dtype=np.int32), s.sizes + 1)
+            # Three ends stand before each text.
+            at = np.arange(len(text)) + 3 * (text.astype(np.int64) + 1)
+            seen = np.full(len(text) + 3 * n, len(s.hash), np.int32)
+            ends = np.cumsum(s.sizes + 1) - 1
+            is_word = np.ones(len(text), bool)
+            is_word[ends] = False
+            seen[at[is_word]] = s.seen
+            part = home.take(seen.take(at - 1))
+            split = hot.take(seen.take(at - 1))
+            split[ends - s.sizes] = True
+            some = np.flatnonzero(split)
+            one, two, three = (word.take(seen.take(at[some] - lag)) for lag in (1, 2, 3))
             # First words all have one history: their texts deal them out.
-            lone = batch.column("k1").to_numpy(zero_copy_only=False).view(np.uint64)[text] % np.uint64(part_count(model.ends))
-            more = np.where(split, mix(two ^ mix(three + np.uint64(1))), np.where(place == 0, mix(lone), np.uint64(0)))
-            part = (mix(one ^ more) >> np.uint64(20)) % np.uint64(parts)
-            events = np.empty(len(text), EVENT)
-            for k, x in enumerate((one, two, three)):
-                events["h"][:, k] = x >> np.uint64(48)
-            events["code"] = code << 12 | now << 6 | of_words(group)
-            events["member"] = of_words(member)
-            order = np.argsort(part, kind="stable")
-            part, events, text = part[order], events[order], text[order]
-            begin = np.flatnonzero(np.append(True, (part[1:] != part[:-1]) | (text[1:] != text[:-1]))) if len(text) else np.empty(0, np.int64)
-            texts = np.empty(len(begin), TEXT)
-            for k in ("k1", "k2", "learn"):
-                texts[k] = batch.column(k).to_numpy(zero_copy_only=False)[text[begin]]
-            texts["n"] = np.diff(np.append(begin, len(text)))
-            used, first = np.unique(part, return_index=True)
-            ends = np.append(first[1:], len(part))
-            rows = np.searchsorted(begin, np.append(first, len(part)))
+            lone = s.more["k1"].to_numpy(zero_copy_only=False).view(np.uint64)[text[some]] % np.uint64(firsts)
+            begins = np.zeros(len(text), bool)
+            begins[ends - s.sizes] = True
+            more = np.where(begins[some], mix(lone), mix(two ^ mix(three + np.uint64(1))))
+            part[some] = (mix(one ^ more) >> np.uint64(20)) % np.uint64(parts)
+            order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+            part, at, text = part[order], at[order], text[order]
+            first = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.empty(0, np.int64)
+            cuts = list(zip(first, np.append(first, len(part))[1:], strict=True))
+            learn = s.learned()
+            planes = np.empty((16, len(part)), np.uint8)
+            for lag in range(4):
+                x = symbol.take(seen.take(at - lag))
+                if lag == 0:
+                    x = x | np.where(learn[text], 0, HELD).astype(np.int32)
+                planes[3 * lag : 3 * lag + 3] = x.view(np.uint8).reshape(-1, 4).T[:3]
+            step = np.diff(text, prepend=np.int32(0))
+            step[first] = text[first]
+            planes[12:] = step.view(np.uint8).reshape(-1, 4).T
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(used.astype(np.int32)),
-                    pa.array([events[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
-                    pa.array([texts[a:b].tobytes() for a, b in zip(rows[:-1], rows[1:], strict=True)], pa.binary()),
+                    pa.array(part[first]),
+                    pa.array([s.number] * len(cuts), pa.int64()),
+                    pa.array([b - a for a, b in cuts], pa.int32()),
+                    pa.array([compressed(planes[:, a:b]) for a, b in cuts], pa.binary()),
                 ],
-                ["part", "events", "texts"],
+                ["part", "slice", "n", "tokens"],
             )
+        trim()
 
     return deal
 
 
-def word_scores(docs: DataFrame, model: Model, rounds: int = WORD_ROUNDS) -> DataFrame:
-    """``k1, k2, word_score, tokens`` by text of ``docs`` (text, k1, k2, learn), summed over its copies.
+def _dealt(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols (of the word, and of the three before it) and texts of the tokens of a part."""
+    symbols, texts = [], []
+    for n, tokens in zip(table.column("n").to_pylist(), table.column("tokens"), strict=True):
+        planes = np.frombuffer(CODEC.decompress(tokens.as_buffer(), 16 * n), np.uint8).reshape(16, n)
+        x = np.zeros((n, 16), np.uint8)
+        for lag in range(4):
+            x[:, 4 * lag : 4 * lag + 3] = planes[3 * lag : 3 * lag + 3].T
+        symbols.append(x.view("<i4"))
+        texts.append(np.cumsum(np.ascontiguousarray(planes[12:].T).view("<i4").reshape(-1)))
+    return np.concatenate(symbols), np.concatenate(texts)
+
+
+def _events(model: Model, symbols: np.ndarray) -> np.ndarray:
+    places, order = model.words, _by_rank(model.lexicon)
+    by_class = np.append(model.class_of[model.lexicon.types[order]], 0).astype(np.uint32)
+    by_hash = np.append(mix(model.lexicon.hashes[order]) >> np.uint64(48), 0).astype(np.uint16)
+    out, code = np.empty(len(symbols), EVENT), np.zeros(len(symbols), np.uint32)
+    for lag in (3, 2, 1, 0):
+        x = symbols[:, lag] & (HELD - 1)
+        rank = np.where(x < RARE, x, len(order))  # past the frequent words
+        kind = np.where(x < RARE, by_class.take(rank), ((x >> 16) - 1).astype(np.uint32))
+        if lag:
+            out["h"][:, lag - 1] = np.where(x < RARE, by_hash.take(rank), x.astype(np.uint16))
+            code = code * np.uint32(CLASSES) + kind
+        else:
+            out["code"] = code << 12 | kind << 6 | np.append(places.group[order], 0).astype(np.uint32).take(rank)
+            out["member"] = np.append(places.member[order], 0).astype(np.uint16).take(rank)
+    return out
+
+
+def word_scores(coded: DataFrame, model: Model, rounds: int = WORD_ROUNDS) -> DataFrame:
+    """``slice, texts, scores``: sums of the tokens of some parts, by text.
 
     Each part learns from the tokens of texts to learn from, then scores all of its tokens.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = coded.sparkSession.sparkContext.broadcast(model)
+    ways: list[Ways] = []  # those of a task
 
     def fit(table: pa.Table) -> pa.Table:
-        def read(name: str, kind: np.dtype) -> np.ndarray:
-            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table.column(name)])
-
-        events, texts = read("events", EVENT), read("texts", TEXT)
-        words = WordModel(sent.value)
-        learn, logs = np.repeat(texts["learn"], texts["n"]), np.empty(len(events))
+        model = sent.value
+        if not ways:
+            ways.append(Ways(model))
+        symbols, texts = _dealt(table)
+        learn = symbols[:, 0] < HELD
+        events = _events(model, symbols)
+        del symbols
+        trim()
+        words = WordModel(model, ways[0])
+        logs = np.empty(len(events))
         logs[learn] = words.learn(events[learn], rounds)
         logs[~learn] = words.logs(events[~learn])
-        logs = np.add.reduceat(logs, np.cumsum(texts["n"]) - texts["n"])
-        return pa.table({"k1": texts["k1"], "k2": texts["k2"], "score": logs / np.log(10), "n": texts["n"].astype(np.int64)})
+        del words, events
+        trim()
+        ends = np.cumsum(table.column("n").to_numpy())
+        numbers, sums = [], []
+        for a, b in zip(np.append(0, ends), ends, strict=False):
+            begin = np.flatnonzero(np.append(True, texts[a + 1 : b] != texts[a : b - 1]))
+            numbers.append(pack(np.diff(texts[a:b][begin], prepend=0).astype(np.int32)))
+            sums.append((np.add.reduceat(logs[a:b], begin) / np.log(10)).astype(np.float32).tobytes())
+        return pa.table({"slice": table.column("slice"), "texts": pa.array(numbers, pa.binary()), "scores": pa.array(sums, pa.binary())})
 
-    dealt = docs.mapInArrow(_deal(model), "part int, events binary, texts binary")
-    scored = dealt.groupBy("part").applyInArrow(fit, "k1 bigint, k2 bigint, score double, n bigint")
-    return scored.groupBy("k1", "k2").agg(F.sum("score").alias("word_score"), F.sum("n").alias("tokens"))
+    dealt = coded.select(*CODED, "k1").mapInArrow(_deal(model), "part int, slice bigint, n int, tokens binary")
+    return dealt.groupBy("part").applyInArrow(fit, "slice bigint, texts binary, scores binary")
 
 
 def _walk(model: Model):
-    """A row with sums for each text (word null), and a row for each rare word in it."""
+    """For each text what it is made of: words with counts, those among them without a softmax, and its score so far."""
+    least, ends = model.lexicon.counts.min(initial=2**62), model.ends
+    class_of, share_of = model.class_of, model.words.rare
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in text_slices(batches):
-            if len(words) > CACHE:
-                words.forget()
-            seen, sizes = words.read(batch.column("text").to_pylist())
-            count, kind = model.lexicon.find(words)
-            n = len(sizes)
-            of = model.class_of[kind][seen]
-            row = np.repeat(np.arange(n), sizes)
-            c = count[seen]
-            head = c >= 0
-            sums = np.bincount(row[head], np.log10(c[head] + 1), n) + np.log10(model.ends + 1)
-            # Softmaxes give frequent words and ends as a whole; of the others the group.
-            scored = -sums - np.bincount(row[~head], model.words.rare[of[~head]], n)
-            known = np.bincount(row[head], minlength=n) + (model.ends > 0)
-            cell, times = np.unique((row[~head] << 32) | seen[~head], return_counts=True)
-            rare = pa.array(np.concatenate([words.hash[cell & 0xFFFFFFFF].view(np.int64), np.zeros(n, np.int64)]),
-                            mask=np.append(np.zeros(len(cell), bool), np.ones(n, bool)))
-            rows = pa.array(np.append(cell >> 32, np.arange(n)))
-            none = np.zeros(len(cell))
-
-            def column(values: np.ndarray, kind, none=none) -> pa.Array:
-                return pa.array(np.append(none, values).astype(kind))
-
+        for s in _slices(batches):
+            found = sorted(s.more["counts"].to_pylist(), key=lambda x: x["bucket"])
+            count = np.concatenate([np.empty(0, np.int64), *(unpack(x["n"], "<i8") for x in found)])
+            n = len(s.sizes)
+            row = np.repeat(np.arange(n), s.sizes)
+            sums = np.bincount(row, np.log10(count + 1).take(s.seen), n) + np.log10(ends + 1)
+            known = np.bincount(row, (count > 0).take(s.seen), n).astype(np.int64) + (ends > 0)
+            # Softmaxes give frequent words and ends as a whole; of the others the group, in which they have their shares.
+            frequent = np.log10(count + 1)
+            share = np.where(count >= least, -frequent, -share_of[class_of[TOP + s.affix]])
+            scored = np.bincount(row, share.take(s.seen), n) - np.log10(ends + 1)
+            words = np.zeros(n)
+            for x in s.more["scores"].to_pylist():
+                words[np.cumsum(unpack(x["texts"], "<i4"))] += np.frombuffer(x["scores"], np.float32)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").take(rows),
-                    batch.column("k1").take(rows),
-                    batch.column("k2").take(rows),
-                    rare,
-                    pa.array(np.append(times, np.bincount(row[~head], minlength=n)).astype(np.int64)),
-                    column(sizes + 1, np.int64),
-                    column(known, np.int64),
-                    column(sums, float),
-                    column(scored, float),
-                ],
-                ["doc_id", "k1", "k2", "word", "times", "n_tokens", "n_known", "sums", "scored"],
+                [*(s.more[x] for x in ("doc_id", "k1", "k2", "learn")), *map(pa.array, (s.sizes + 1, known, sums, scored, words))],
+                ["doc_id", "k1", "k2", "learn", "n_tokens", "n_known", "sums", "scored", "word_score"],
             )
 
     return walk
 
 
-def score_texts(docs: DataFrame, model: Model, counts: DataFrame, learn: Column) -> DataFrame:
-    """``doc_id, n_tokens, n_known, base_score, score`` per row of ``docs``.
-
-    Counts of frequent words travel with the model; the others are joined. A
-    text is known by two hashes, so its copies share those sums.
-    """
-    text = F.coalesce("text", F.lit(""))
-    keyed = _texts(docs, F.col("doc_id"), F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    walked = keyed.mapInArrow(
+def walk_texts(coded: DataFrame, model: Model, counted: DataFrame, by_words: DataFrame) -> DataFrame:
+    """A row for each text of ``coded``, from the counts of its words and what parts gave them."""
+    scores = by_words.groupBy("slice").agg(F.collect_list(F.struct("texts", "scores")).alias("scores"))
+    counts = counted.filter(F.col("slice").isNotNull())
+    counts = counts.groupBy("slice").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
+    texts = coded.drop("words").join(scores, "slice").join(counts, "slice", "left")
+    kind = coded.schema["doc_id"].dataType.elementType.simpleString()
+    return texts.mapInArrow(
         _walk(model),
-        f"doc_id {kind}, k1 bigint, k2 bigint, word bigint, times bigint, n_tokens bigint, n_known bigint, "
-        "sums double, scored double",
-    )
-    # First, so that what it shuffles is gone before the rare words are written.
-    texts = _texts(docs, F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2"), learn.alias("learn"))
-    by_words = materialize(word_scores(texts, model), "lm-words")
-    release(docs.sparkSession)
-    walked = materialize(walked, "lm-scores")
-    rare = walked.filter(F.col("word").isNotNull()).select("k1", "k2", "word", "times")
-    found = rare.join(counts.select("word", "n"), "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    rare = found.groupBy("k1", "k2").agg(
-        F.sum("times").alias("all_rare"),
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known_rare"),
-        F.sum(F.col("times") * F.log10(n + 1)).alias("sum_rare"),
-    )
-    rare = materialize(rare, "lm-rare")
-    release(docs.sparkSession)
-    rows = walked.filter(F.col("word").isNull()).join(rare, ["k1", "k2"], "left").join(by_words, ["k1", "k2"])
-    # The rare words of copies were added up together.
-    part = F.when(F.col("times") > 0, F.col("times") / F.col("all_rare")).otherwise(0.0)
-    sums = F.col("sums") + part * F.coalesce("sum_rare", F.lit(0.0))
-    known = F.col("n_known") + F.round(part * F.coalesce("known_rare", F.lit(0))).cast("bigint")
-    score = sums + F.col("scored") + F.col("word_score") * F.col("n_tokens") / F.col("tokens")
-    base = sums - F.col("n_tokens") * F.log10(F.lit(model.tokens + model.vocabulary + 1).cast("double"))
-    return rows.select(
-        "doc_id", "n_tokens", known.alias("n_known"), base.alias("base_score"), score.alias("score")
+        f"doc_id {kind}, k1 bigint, k2 bigint, learn boolean, n_tokens bigint, n_known bigint, sums double, scored double, "
+        "word_score double",
     )
 
 
+def score_texts(walked: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, learn, n_tokens, n_known, base_score, score`` per row of ``walked``.
+
+    A text is known by two hashes, so its copies share what the softmaxes give them.
+    """
+    copies = walked.groupBy("k1", "k2").agg(F.avg("word_score").alias("word_score"))
+    rows = walked.drop("word_score").join(copies, ["k1", "k2"])
+    base = F.col("sums") - F.col("n_tokens") * F.log10(F.lit(model.tokens + model.vocabulary + 1).cast("double"))
+    score = F.col("sums") + F.col("scored") + F.col("word_score")
+    return rows.select("doc_id", "learn", "n_tokens", "n_known", base.alias("base_score"), score.alias("score"))
+
+
 def language_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row of ``docs``.
 
@@ -790,14 +1116,19 @@ def language_scores(docs: DataFrame, folds: int = 7, held_out: int = 2, rounds:
     """
     ship(docs.sparkSession)
     out = F.coalesce(fold_of(F.col("doc_id"), folds) == held_out, F.lit(False))
-    training = _texts(docs.filter(~out))
-    counts = materialize(count_words(training), "lm-counts")
+    with finished_shuffles_go(docs.sparkSession):
+        coded = materialize(code_texts(docs, ~out), "lm-texts")
+        counted = materialize(count_words(coded), "lm-counts")
+        model = train(coded, words_counted(counted), rounds)
+        by_words = materialize(word_scores(coded, model), "lm-words")
+        walked = materialize(walk_texts(coded, model, counted, by_words), "lm-scores")
+    for table in (coded, counted, by_words):
+        drop_table(table)
     release(docs.sparkSession)
-    model = train(training, counts, rounds)
-    scored = score_texts(docs, model, counts, ~out)
+    scored = score_texts(walked, model)
     return scored.select(
         "doc_id",
-        out.alias("held_out"),
+        (~F.col("learn")).alias("held_out"),
         "n_tokens",
         "n_known",
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer, models, normalizers
 
@@ -323,6 +324,59 @@ def test_first_words_are_dealt_to_several_parts():
     assert len(set(parts)) > 4
 
 
+def test_words_are_read_as_python_splits_them():
+    dice = random.Random(8)
+    texts = [b"", b"  ", b" a\x0bB\x0c c\r\n\t d ", "Ä ä x\u00a0y \x1c z\x1cq".encode(), b"\xff\xfe b", b"x\x00y z"]
+    texts += [bytes(dice.choices(b"abC \n\t\x0b\x0c\r\x1c\x85\xc3\xa4.Z", k=dice.randint(0, 40))) for _ in range(2_000)]
+    hashes, affix, seen, sizes = maxent_lm.read_words(pa.array([b"left out", *texts], pa.binary())[1:])
+    words = [w for t in texts for w in t.lower().split()]
+    assert sizes.tolist() == [len(t.lower().split()) for t in texts]
+    assert hashes[seen].tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+    assert affix[seen].tolist() == [zlib.crc32(w[-3:]) % maxent_lm.AFFIXES for w in words]
+
+
+def test_dealt_tokens_are_whole_and_take_few_bytes():
+    model, dice = word_model().model, np.random.default_rng(6)
+    names = [b"w%d" % k for k in range(len(model.lexicon.hashes))]
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in names], np.uint64)
+    names = [names[k] for k in np.argsort(hashes)]
+    lexicon = dataclasses.replace(model.lexicon, hashes=np.sort(hashes))
+    model = dataclasses.replace(model, lexicon=lexicon, tokens=3 * maxent_lm.EVENTS, ends=1)
+    of = dict(zip(names, range(len(names)), strict=True))
+    texts = [[names[k] for k in np.minimum(dice.zipf(1.3, 400), len(names)) - 1] + [b"rare%d" % d] for d in range(80)]
+    texts += [[], []]
+    learn, keys = [d % 3 > 0 for d in range(len(texts))], pa.array(range(len(texts)), pa.int64())
+    columns = [pa.array([b" ".join(t) for t in texts], pa.binary()), keys, keys, pa.array(learn)]
+    rows = pa.Table.from_batches(maxent_lm._deal(model)(iter([pa.RecordBatch.from_arrays(columns, ["text", "k1", "k2", "learn"])])))
+    assert rows.num_rows == 3
+    assert rows.nbytes < 9 * sum(len(t) + 1 for t in texts)
+    symbols, numbers = maxent_lm._dealt(rows)
+    events = maxent_lm._events(model, symbols)
+    got = sorted((int(t), int(x) < maxent_lm.HELD, *map(int, e["h"]), int(e["code"]), int(e["member"])) for t, x, e in zip(numbers, symbols[:, 0], events, strict=True))
+    end, want = (0, maxent_lm.END, 0, 0), []
+    for d, words in enumerate(texts):
+        known = []
+        for w in words:
+            h = int(maxent_lm.mix(np.array([xxhash.xxh3_64_intdigest(w)], np.uint64))[0] >> np.uint64(48))
+            k = of.get(w)
+            kind = lexicon.types[k] if k is not None else maxent_lm.TOP + zlib.crc32(w[-3:]) % maxent_lm.AFFIXES
+            place = (0, 0) if k is None else (int(model.words.group[k]), int(model.words.member[k]))
+            known.append((h, int(model.class_of[kind]), *place))
+        known = [end] * 3 + known + [end]
+        for three, two, one, now in zip(known, known[1:], known[2:], known[3:], strict=False):
+            code = ((three[1] * 64 + two[1]) * 64 + one[1]) << 12 | now[1] << 6 | now[2]
+            want.append((d, learn[d], one[0], two[0], three[0], code, now[3]))
+    assert got == sorted(want)
+
+
+def test_words_have_slots_of_their_own():
+    words = np.repeat(np.arange(40), np.arange(40) ** 2).astype(np.uint16)
+    layout = maxent_lm.Layout(words, 20, 0.9)
+    cells = np.concatenate([layout.slots(np.full(5_000, w), np.arange(5_000) * 977) for w in range(1, 40)]).reshape(39, -1)
+    ranges = sorted((int(x.min()), int(x.max())) for x in cells)
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:])) and ranges[-1][1] < layout.size <= 40 * len(words)
+
+
 @pytest.mark.parametrize("size", [1, 3, 100])
 def test_frequent_words_fit_their_bound(spark, size):
     counts = spark.createDataFrame([(i, i % 7, 1 + i // 3) for i in range(60)], "word bigint, affix bigint, n bigint")
