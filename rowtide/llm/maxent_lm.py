@@ -167,10 +167,15 @@ class Model:
 
 
 def trim() -> None:
-    """Give free memory back to the system: workers are used again by other steps, beside a JVM that needs its own."""
+    """Give free memory back to the system, now and as soon as a large array goes: a JVM beside this worker needs its own.
+
+    Without that, the C library keeps what arrays of some MB have left for others.
+    """
     pa.default_memory_pool().release_unused()
     with suppress(AttributeError, OSError):
-        ctypes.CDLL(None).malloc_trim(0)
+        library = ctypes.CDLL(None)
+        library.mallopt(-3, 1 << 22)  # M_MMAP_THRESHOLD
+        library.malloc_trim(0)
 
 
 def compressed(planes: np.ndarray) -> bytes:
@@ -647,7 +652,10 @@ LAID = (0, 1, 2, 2, 2)
 
 def word_slots(keys: np.ndarray) -> np.ndarray:
     """Hashes of features, or of choices; a feature of a choice has the slot that the two make by exclusive or."""
-    return (mix(keys.astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+    out = np.empty(len(keys), np.int32)
+    for a in range(0, len(keys), CHUNK):
+        out[a : a + CHUNK] = mix(keys[a : a + CHUNK].astype(np.uint64) + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)
+    return out
 
 
 @dataclass(frozen=True)
@@ -695,10 +703,11 @@ class Turn:
     def __init__(self, layout: Layout, words: np.ndarray, path: Path, order: np.ndarray | None = None) -> None:
         """``order``: of the tokens, if the path has another."""
         self.layout, self.order = layout, order
-        sizes = np.diff(path.begin)
-        self.words, self.sizes = (words, sizes) if order is None else (words[order], sizes[order])
-        ends = np.append(0, np.cumsum(self.sizes))
+        sizes = np.diff(path.begin).astype(np.int32)
+        self.words, self.sizes, ends = words, sizes, path.begin
         if order is not None:
+            self.words, self.sizes = words[order], sizes[order]
+            ends = np.append(0, np.cumsum(self.sizes, dtype=np.int64))
             self.shift = path.begin[order] - ends[:-1]
         # Each chunk: first token, end, mask, first slot, end, and the ends of its steps.
         self.ends, self.chunks = ends, []
@@ -854,17 +863,17 @@ class WordModel:
         choices.deal(events["h"])
         order = choices.layouts[0].sorted(events["h"][:, 0])
         events = events[order]
-        path, keys = self.ways.path(events), [word_slots(word_keys(events["h"], k)) for k in range(WORD_FEATURES)]
-        for met, k in zip(self.met, keys, strict=True):
+        path = self.ways.path(events)
+        for feature, met in enumerate(self.met):
             there = np.zeros(1 << SLOT_BITS, bool)
-            there[k] = True
+            there[word_slots(word_keys(events["h"], feature))] = True
             met[:] = np.packbits(there, bitorder="little")
         first, second = (events["h"][:, k] for k in range(2))
         one, two, more = choices.layouts
         turns = [Turn(one, first, path), Turn(two, second, path, two.sorted(second)), Turn(more, first, path)]
         for _ in range(rounds):
-            for feature, k in enumerate(keys):
-                choices.update(feature, k, turns[LAID[feature]], path)
+            for feature in range(WORD_FEATURES):
+                choices.update(feature, word_slots(word_keys(events["h"], feature)), turns[LAID[feature]], path)
         out = np.empty(len(events))
         out[order] = _log_of(path)
         return out
@@ -1028,6 +1037,7 @@ def word_scores(coded: DataFrame, model: Model, rounds: int = WORD_ROUNDS) -> Da
         model = sent.value
         if not ways:
             ways.append(Ways(model))
+        trim()
         symbols, texts = _dealt(table)
         learn = symbols[:, 0] < HELD
         events = _events(model, symbols)
